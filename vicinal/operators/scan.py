@@ -103,6 +103,15 @@ def _limits(scan: Scan, table: pa.Table):
 
 def _compare(scan: Scan, q_table: pa.Table, batches, lists: dict | None = None):
     """Run one task's corpus batches against one query block; yields result tables."""
+    if scan.metric == "maxsim":
+        from vicinal.operators.rerank import compare_token_sets
+
+        hits = Hits(q_table.num_rows, scan.k, scan.order, None, None)
+        compare_token_sets(scan, q_table, batches, hits)
+        table = hits.result()
+        if table is not None:
+            yield table
+        return
     q = _query_side(scan, q_table)
     limit, accept = _limits(scan, q_table)
     hits = None

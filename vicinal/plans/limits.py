@@ -30,6 +30,10 @@ def query_cap(dim: int, k: int, limits: Limits) -> int:
 def vector_length(df: DataFrame, vec: str, of: Column | None = None) -> int | None:
     """Length of the first vector (bytes for packed codes), or None for a table without any."""
     kind = df.schema[vec].dataType.typeName()
+    if kind == "array" and df.schema[vec].dataType.elementType.typeName() == "array":
+        # Rows hold several vectors each: the bound is the longest list times the widest vector.
+        row = df.select(F.max(F.size(vec)).alias("n"), F.max(F.size(F.col(vec)[0])).alias("d")).first()
+        return None if row.n is None else row.n * (row.d or 1)
     size = F.octet_length(vec) if kind == "binary" else F.size(vec)
     row = df.where(F.col(vec).isNotNull()).select(size.alias("n")).first()
     return None if row is None else row.n
