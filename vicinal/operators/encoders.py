@@ -176,7 +176,7 @@ class Sq7(Encoder):
         return np.rint((np.clip(rows, self.low, self.high) - self.low) / span * 127).astype(np.uint8)
 
     def decode_rows(self, codes, space):
-        return (self.low + codes.astype(np.float64) * ((self.high - self.low) / 127)).astype(np.float32)
+        return self.low + codes.astype(np.float64) * ((self.high - self.low) / 127)
 
 
 def fit_interval(rows: np.ndarray, bits: int, rounds: int = 5):
@@ -270,7 +270,7 @@ class ProductQuantizer(Encoder):
                         axis=1).astype(np.uint8)
 
     def decode_rows(self, codes, space):
-        return np.concatenate([self.codebook[s][codes[:, s]] for s in range(len(self.codebook))], axis=1).astype(np.float32)
+        return np.concatenate([self.codebook[s][codes[:, s]] for s in range(len(self.codebook))], axis=1)
 
     def metric(self, space):
         return "ip_gap" if space == "cosinesimil" else METRIC_OF_SPACE[space]

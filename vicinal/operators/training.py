@@ -155,7 +155,7 @@ def fit_sq7(c: DataFrame, confidence_interval: float | None = None, *, vec: str
     dim = vector_length(c, vec)
     if sample is not None:
         c = sample_vectors(c, sample, id=id)
-    values = c.select(F.explode(vec).cast("double").alias("v"))
+    values = c.select(F.explode(vec).alias("v")).select(F.col("v").cast("double").alias("v"))
     default = 1 - 1 / (dim + 1)
     tries = [confidence_interval or default] if confidence_interval != 0 else [0.9, 0.95, 0.99, default, 1.0]
     points = [p for t in tries for p in ((1 - t) / 2, 1 - (1 - t) / 2)]

@@ -163,6 +163,11 @@ def train_model(c: DataFrame, model_id: str, spec: VectorSpec, path: str, *, des
     return model
 
 
+def save_model(spark: SparkSession, path: str, model: Model, model_id: str, description: str = "") -> None:
+    """Record a model that was fitted elsewhere."""
+    _append(spark, path, state="created", blob=model.to_blob(), **_describe(model_id, model.spec, description))
+
+
 def load_model(spark: SparkSession, path: str, model_id: str, *, id: str = "id", vec: str = "vec") -> Model:
     row = models(spark, path).where(F.col("model_id") == model_id).first()
     if row is None:

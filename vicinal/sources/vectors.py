@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import base64
 import fnmatch
 
 import numpy as np
@@ -11,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from vicinal.operators.blocks import as_matrix, binary_array, list_array
+from vicinal.operators.blocks import as_bytes, as_matrix, binary_array, list_array
 from vicinal.spec import SpecError, VectorSpec, validate_spec
 
 _ELEMENT = {"float": T.FloatType, "byte": T.ByteType}
@@ -77,18 +76,12 @@ def validate_vectors(df: DataFrame, spec: VectorSpec, *, vec: str = "vec", on_er
 
 @F.arrow_udf("array<float>")
 def _from_bytes(values: pa.Array) -> pa.Array:
-    out = []
-    for item in values:
-        raw = item.as_py()
-        if raw is None:
-            out.append(None)
-            continue
-        if isinstance(raw, str):
-            raw = base64.b64decode(raw, validate=True)
-        if len(raw) % 4:
-            raise ValueError("an encoded vector must be a multiple of 4 bytes long")
-        out.append(np.frombuffer(raw, "<f4"))
-    return pa.array(out, pa.list_(pa.float32()))
+    there = values.drop_null()
+    if not len(there):
+        return pa.nulls(len(values), pa.list_(pa.float32()))
+    rows = list_array(np.ascontiguousarray(as_bytes(there)).view("<f4"), pa.float32())
+    valid = values.is_valid().to_numpy(zero_copy_only=False)
+    return rows if valid.all() else rows.take(pa.array(np.cumsum(valid) - 1, mask=~valid))
 
 
 def decode_vectors(df: DataFrame, col: str, spec: VectorSpec) -> DataFrame:
@@ -106,10 +99,16 @@ def decode_vectors(df: DataFrame, col: str, spec: VectorSpec) -> DataFrame:
     if isinstance(kind, (T.StringType, T.BinaryType)):
         if spec.data_type != "float":
             raise SpecError("encoded vectors hold float32 values")
-        vectors = _from_bytes(F.col(col))
-        wrong = F.raise_error(F.lit(f"an encoded vector must have {spec.dimension} dimensions")).cast("array<float>")
-        return df.withColumn(col, vectors).withColumn(
-            col, F.when(F.col(col).isNull() | (F.size(col) == spec.dimension), F.col(col)).otherwise(wrong))
+        raw = F.to_binary(F.col(col), F.lit("base64")) if isinstance(kind, T.StringType) else F.col(col)
+        size = F.octet_length(raw)
+
+        def wrong(text):
+            return F.raise_error(F.lit(text)).cast("binary")
+
+        checked = (F.when(size % 4 != 0, wrong("an encoded vector must be a multiple of 4 bytes long"))
+                   .when(size != 4 * spec.dimension, wrong(f"an encoded vector must have {spec.dimension} dimensions"))
+                   .otherwise(raw))
+        return df.withColumn(col, _from_bytes(checked))
     raise SpecError(f"cannot read vectors from {kind.simpleString()}")
 
 
@@ -130,7 +129,8 @@ def encode_vectors(df: DataFrame, col: str, format: str = "binary") -> DataFrame
         return df
     if format != "binary":
         raise SpecError("format must be 'binary' or 'array'")
-    return df.withColumn(col, F.base64(_to_bytes(F.col(col))))
+    # base64() breaks long text into lines; the encoded form has none.
+    return df.withColumn(col, F.translate(F.base64(_to_bytes(F.col(col))), "\r\n", ""))
 
 
 def packed_bits(vec: str | Column, threshold: float = 0.0) -> Column:
@@ -145,8 +145,6 @@ def packed_bits(vec: str | Column, threshold: float = 0.0) -> Column:
 
 def unpacked_bits(code: str | Column) -> Column:
     """Signed bytes of a packed code as ``array<tinyint>``."""
-    from vicinal.operators.blocks import as_bytes
-
     @F.arrow_udf("array<tinyint>")
     def run(values: pa.Array) -> pa.Array:
         return list_array(as_bytes(values).view(np.int8), pa.int8())
