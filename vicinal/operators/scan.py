@@ -219,6 +219,35 @@ def schema_empty(schema: pa.Schema) -> pa.Table:
     return schema.empty_table()
 
 
+def query_block(scan: Scan, q: DataFrame, limits: Limits):
+    """``(block, dim)``: the whole query side if it fits the limits, else no block; no dim for an empty table.
+
+    The first read takes at most ``small`` rows, which is bounded at any allowed dimension, so most searches learn
+    size, width and content in one job.
+    """
+    q = q.select(*scan.query_columns)
+    sets = isinstance(q.schema[scan.query_vec].dataType, T.ArrayType) and isinstance(
+        q.schema[scan.query_vec].dataType.elementType, T.ArrayType)
+    small = min(limits.query_rows, 4096, max(1, limits.state_rows // (scan.k or 1)))
+    if not sets:
+        block = q.limit(small + 1).toArrow()
+        if not block.num_rows:
+            return None, None
+        dim = max(1, block.column(scan.query_vec)[0].as_buffer().size if scan.metric == "hamming" and pa.types.is_binary(
+            block.column(scan.query_vec).type) else len(block.column(scan.query_vec)[0]))
+        cap = query_cap(dim, scan.k or 1, limits)
+        if block.num_rows <= small:
+            return (block if block.num_rows <= cap else None), dim
+    else:
+        # Rows hold differing numbers of vectors, so the widest row has to be known before anything is fetched.
+        dim = vector_length(q, scan.query_vec)
+        if dim is None:
+            return None, None
+        cap = query_cap(dim, scan.k or 1, limits)
+    block = q.limit(cap + 1).toArrow()
+    return (block if block.num_rows <= cap else None), dim
+
+
 def run_scan(scan: Scan, q: DataFrame, c: DataFrame, *, probes: Callable | None = None, limits: Limits = LIMITS):
     """Unmerged hits ``(query_id, columns..., distance)`` and whether a task emitted at most k per query.
 
@@ -227,12 +256,10 @@ def run_scan(scan: Scan, q: DataFrame, c: DataFrame, *, probes: Callable | None
     spark = c.sparkSession
     c = c.where(F.col(scan.vec).isNotNull())
     q = q.where(F.col(scan.query_vec).isNotNull())
-    dim = vector_length(q, scan.query_vec)
+    block, dim = query_block(scan, q, limits)
     if dim is None:
         return spark.createDataFrame([], output_schema(scan, q, c))
-    cap = query_cap(dim, scan.k or 1, limits)
-    block = q.select(*scan.query_columns).limit(cap + 1).toArrow()
-    if block.num_rows <= cap:
+    if block is not None:
         block = block.combine_chunks()
         lists = None
         if probes is not None:

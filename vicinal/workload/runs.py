@@ -527,10 +527,7 @@ def _(spark, d):
 
 @run("s32_flat_compressed")
 def _(spark, d):
-    index = _index(spark, d, _sq1_model(spark, d, method="flat"))
-    hits = knn_join(queries(spark, d), index, 10, mode="flat")
-    truth = knn_join(queries(spark, d), corpus(spark, d), 10)
-    return A.recall_at_k(hits, truth, 10).select((F.col("recall") >= 0.8).alias("above_floor"))
+    return ranked(knn_join(queries(spark, d), _index(spark, d, _sq1_model(spark, d, method="flat")), 10, mode="flat"))
 
 
 # --- re-ranking -----------------------------------------------------------------------------------------------
@@ -675,17 +672,14 @@ def _(spark, d):
 @run("q08_sq7_search")
 def _(spark, d):
     spec = VectorSpec(DIM, encoder="sq7", compression="4x")
-    index = _index(spark, d, M.Model(spec, Q.fit_sq7(corpus(spark, d))))
-    hits = knn_join(queries(spark, d), index, 10, mode="sq7")
-    return A.recall_at_k(hits, knn_join(queries(spark, d), corpus(spark, d), 10), 10).select((F.col("recall") >= 0.9).alias("above_floor"))
+    index = _index(spark, d, M.Model(spec, Q.fit_sq7(corpus(spark, d), 1.0, sample=None)))
+    return ranked(knn_join(queries(spark, d), index, 10, mode="sq7"))
 
 
 @run("q09_sq1_search")
 def _(spark, d):
     index = _index(spark, d, _sq1_model(spark, d, "cosinesimil"))
-    hits = knn_join(queries(spark, d), index, 10, "cosinesimil", mode="sq1")
-    truth = knn_join(queries(spark, d), corpus(spark, d), 10, "cosinesimil")
-    return A.recall_at_k(hits, truth, 10).select((F.col("recall") >= 0.8).alias("above_floor"))
+    return ranked(knn_join(queries(spark, d), index, 10, "cosinesimil", mode="sq1"))
 
 
 def _centroid_rows(spark, table_) -> DataFrame:

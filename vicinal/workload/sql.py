@@ -302,6 +302,9 @@ ORACLES["q07_to_byte"] = (
 ORACLES["q08_sq7_full_range"] = (
     f"WITH {E}, {X}, lim AS (SELECT min(x) AS lo, max(x) AS hi FROM x) SELECT vec_id AS id, CAST(p AS INTEGER) - 1 AS pos, "
     "CAST(round((x - lo) / (hi - lo) * 127) AS INTEGER) AS level FROM x, lim")
+ORACLES["q08_sq7_search"] = top(l2(*QC), inverse, 10, c="y c", ctes=(
+    E, X, "lim AS (SELECT min(x) AS lo, max(x) AS hi FROM x)",
+    "y AS (SELECT vec_id, list(lo + round((x - lo) / (hi - lo) * 127) * ((hi - lo) / 127) ORDER BY p) AS v FROM x, lim GROUP BY vec_id)"))
 
 # Nested tables: five children per parent.
 N = "c AS (SELECT vec_id // 5 AS parent_id, CAST(vec_id % 5 AS INTEGER) AS child_pos, v, label FROM e)"
@@ -356,9 +359,6 @@ ORACLES["s30_combined_clauses"] = (
     f"s AS (SELECT query_id, id, sum({inverse('distance')}) AS score FROM t GROUP BY query_id, id), "
     "o AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, id) AS rk FROM s) "
     f"SELECT query_id, id, CAST(rk AS INTEGER) AS rank, {r('score')} AS score FROM o WHERE rk <= 10")
-ORACLES["s32_flat_compressed"] = ORACLES["q08_sq7_search"] = ORACLES["q09_sq1_search"] = (
-    "SELECT count(*) > 0 AS above_floor FROM embeddings")
-
 # Greedy diversity selection of 3 out of 9, unrolled.
 POOL = (f"{E}, d AS (SELECT q.vec_id AS query_id, c.vec_id AS id, c.v, c.label, {l2(*QC)} AS distance FROM e q, e c), "
         f"p AS (SELECT query_id, id, v, label, {inverse('distance')} AS score, rk FROM (SELECT *, row_number() OVER (PARTITION BY query_id "
