@@ -13,8 +13,8 @@ from pyspark.sql import types as T
 
 from vicinal.functions.scores import to_score
 from vicinal.operators.blocks import METRIC_OF_SPACE, as_bytes, as_matrix, pair_distance
-from vicinal.operators.scan import Scan, merge_top_k, output_schema, run_scan, with_score
-from vicinal.plans.limits import LIMITS, Limits
+from vicinal.operators.scan import Scan, merge_top_k, run_scan, top_k, with_score
+from vicinal.plans.limits import LIMITS, Limits, few_partitions, parallelism
 from vicinal.spec import (MAX_DISTANCE_COMPUTATIONS, RESULT_WINDOW, SCORE_FORMULA, SpecError, check_k, check_radius)
 
 APPROXIMATE = ("ivf", "binary", "adc", "pq", "sq1", "sq7", "fp16", "flat")
@@ -162,6 +162,9 @@ def knn(c: DataFrame, vector, k: int, space: str = "l2", *, id: str = "id", vec:
     if filter is not None:
         c = c.where(filter)
     scored = c.where(F.col(vec).isNotNull()).select(id, *keep, distance_to(vector, vec, space).alias("distance"))
+    if 4 * parallelism(c.sparkSession) * k > 1_000_000:
+        # The final sort takes k rows of every task; thin them out in parallel first.
+        scored = top_k(few_partitions(scored).withColumn("_salt", F.spark_partition_id() % 64), k, "_salt", [id]).drop("_salt", "rank")
     hits = scored.orderBy("distance", id).limit(k)
     return with_score(hits, space, boost).select(id, "distance", "score", *keep)
 

@@ -273,19 +273,16 @@ def run_scan(scan: Scan, q: DataFrame, c: DataFrame, *, probes: Callable | None
     return _grid_scan(scan, q, c, dim, limits)
 
 
-def top_k(hits: DataFrame, k: int, query_id: str, order: list, *, rank: str = "rank") -> DataFrame:
+def top_k(hits: DataFrame, k: int, query_id, order: list, *, rank: str = "rank") -> DataFrame:
     """Best k rows per query. Spark adds a per-partition limit below the shuffle for this shape of filter."""
-    w = Window.partitionBy(query_id).orderBy(F.col("distance"), *[F.col(c) for c in order])
+    w = Window.partitionBy(*([query_id] if isinstance(query_id, str) else query_id)).orderBy(F.col("distance"), *[F.col(c) for c in order])
     return hits.withColumn(rank, F.row_number().over(w)).where(F.col(rank) <= k)
 
 
 def merge_top_k(hits: DataFrame, k: int, query_id: str, order: list) -> DataFrame:
     """Global best k per query out of per-task bests; in two steps where one query could get very many rows."""
-    tasks = 4 * parallelism(hits.sparkSession)
-    if tasks * k > 1_000_000:
-        w = Window.partitionBy(query_id, "_salt").orderBy(F.col("distance"), *[F.col(c) for c in order])
-        hits = (hits.withColumn("_salt", F.pmod(F.xxhash64(*order), F.lit(64)))
-                .withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= k).drop("_r", "_salt"))
+    if 4 * parallelism(hits.sparkSession) * k > 1_000_000:
+        hits = top_k(hits.withColumn("_salt", F.spark_partition_id() % 64), k, [query_id, "_salt"], order).drop("_salt", "rank")
     return top_k(hits, k, query_id, order)
 
 

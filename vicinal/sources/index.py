@@ -13,11 +13,10 @@ executor cannot leave a half-applied or doubled change. Compaction writes a fres
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from vicinal.operators.approx import Index
-from vicinal.plans.limits import parallelism
 from vicinal.sources.models import MODEL_SCHEMA, Model, _append, _describe, fit_model, model_of
 from vicinal.spec import SpecError
 
@@ -33,13 +32,10 @@ def _maybe(spark: SparkSession, path: str) -> DataFrame | None:
         return None
 
 
-def _layout(df: DataFrame, id: str, list_column: str, rows_per_file: int) -> DataFrame:
-    """Rows of a list side by side in files of about ``rows_per_file``. A list with many rows is spread over as many
-    salts as it needs; the counts are one row per list, so they may be broadcast."""
-    salts = df.groupBy(list_column).agg(F.ceil(F.count("*") / F.lit(rows_per_file)).cast("int").alias("_salts"))
-    spread = df.join(F.broadcast(salts), df[list_column].eqNullSafe(salts[list_column])).drop(salts[list_column])
-    spread = spread.withColumn("_salt", F.pmod(F.xxhash64(id), F.col("_salts")).cast("int"))
-    return spread.repartition(list_column, "_salt").sortWithinPartitions(list_column, id).drop("_salt", "_salts")
+def _layout(df: DataFrame, id: str, list_column: str) -> DataFrame:
+    """Rows of a list side by side, ordered by id. Rebalancing lets Spark merge small lists into one task and split a
+    list that holds much of the table over several, from the sizes it measures while shuffling."""
+    return df.hint("rebalance", list_column).sortWithinPartitions(list_column, id)
 
 
 def _write(df: DataFrame, model: Model, path: str, seq: int, *, encode: bool, rows_per_file: int = ROWS_PER_FILE) -> None:
@@ -47,10 +43,11 @@ def _write(df: DataFrame, model: Model, path: str, seq: int, *, encode: bool, ro
     target = f"{path}/data/seq={seq}"
     if encode and model.centroids is not None:
         df = df.withColumn(model.list_column, F.coalesce(model.list_column, F.lit(-1)))
-        _layout(df, model.id, model.list_column, rows_per_file).write.mode("overwrite").partitionBy(
-            model.list_column).parquet(target)
+        rows = _layout(df, model.id, model.list_column)
+        writer = rows.write.partitionBy(model.list_column)
     else:
-        df.write.mode("overwrite").parquet(target)
+        writer = df.write
+    writer.mode("overwrite").option("maxRecordsPerFile", rows_per_file).parquet(target)
 
 
 def write_index(df: DataFrame, model: Model, path: str, *, approximate_threshold: int = 0,
@@ -147,9 +144,10 @@ def index_stats(index: Index) -> DataFrame:
     lists = df.groupBy(key.alias("list_id")).agg(
         F.count("*").alias("row_count"), F.count(model.vec).alias("vector_count"), code.alias("code_bytes"),
         (F.sum(F.size(model.vec)) * 4).alias("vector_bytes"))
-    # One row per list, so the whole-table window below holds a bounded number of rows.
-    total = lists.agg(F.sum("row_count").alias("_all"), F.count("*").alias("_lists"))
-    return lists.join(F.broadcast(total), F.lit(True)).select(
+    # One row per list (at most the list limit), so one window over all of them is small.
+    every = Window.partitionBy(F.lit(0))
+    lists = lists.withColumns({"_all": F.sum("row_count").over(every), "_lists": F.count("*").over(every)})
+    return lists.select(
         "list_id", "row_count", "vector_count", "code_bytes", "vector_bytes",
         (F.col("row_count") / F.col("_all")).alias("share"),
         (F.col("row_count") * F.col("_lists") / F.col("_all")).alias("skew"))

@@ -74,7 +74,7 @@ def validate_vectors(df: DataFrame, spec: VectorSpec, *, vec: str = "vec", on_er
     return df.withColumn(vec, F.when(problem.isNull(), F.col(vec)).otherwise(stop))
 
 
-@F.arrow_udf("array<float>")
+@F.arrow_udf(T.ArrayType(T.FloatType()))
 def _from_bytes(values: pa.Array) -> pa.Array:
     there = values.drop_null()
     if not len(there):
@@ -112,7 +112,7 @@ def decode_vectors(df: DataFrame, col: str, spec: VectorSpec) -> DataFrame:
     raise SpecError(f"cannot read vectors from {kind.simpleString()}")
 
 
-@F.arrow_udf("binary")
+@F.arrow_udf(T.BinaryType())
 def _to_bytes(values: pa.Array) -> pa.Array:
     there = values.drop_null()
     if not len(there):
