@@ -29,6 +29,12 @@ def _d(x: Column) -> Column:
     return x.cast("double")
 
 
+def _let(value: Column, body) -> Column:
+    """``body(value)`` with the value computed once per row; inside a lambda a plain expression would be computed
+    again for every element."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 def _dot(a: Column, b: Column) -> Column:
     return _sum(F.zip_with(a, b, lambda x, y: _d(x) * _d(y)))
 
@@ -74,8 +80,8 @@ def is_zero_vector(a) -> Column:
 def l2_normalize(a) -> Column:
     """Unit-length copy of a float vector; a zero vector stays as it is."""
     a = _col(a)
-    norm = F.sqrt(magnitude_squared(a))
-    return F.when(norm > 0, F.transform(a, lambda x: _d(x) / norm)).otherwise(a.cast("array<double>"))
+    return _let(F.sqrt(magnitude_squared(a)), lambda norm: F.when(norm > 0, F.transform(a, lambda x: _d(x) / norm)).otherwise(
+        a.cast("array<double>")))
 
 
 def has_vector(a) -> Column:
@@ -91,10 +97,14 @@ def _byte_at(code: Column, i: Column) -> Column:
 
 
 def _hamming_equal(a: Column, b: Column) -> Column:
-    # An empty code has no positions; sequence(1, 0) would count down.
-    places = F.when(F.octet_length(a) > 0, F.sequence(F.lit(1), F.octet_length(a))).otherwise(
-        F.array().cast("array<int>"))
-    return F.aggregate(places, F.lit(0), lambda acc, i: acc + F.bit_count(_byte_at(a, i).bitwiseXOR(_byte_at(b, i))))
+    def count(codes: Column) -> Column:
+        size = F.octet_length(codes["a"])
+        # An empty code has no positions; sequence(1, 0) would count down.
+        places = F.when(size > 0, F.sequence(F.lit(1), size)).otherwise(F.array().cast("array<int>"))
+        return F.aggregate(places, F.lit(0), lambda acc, i: acc + F.bit_count(
+            _byte_at(codes["a"], i).bitwiseXOR(_byte_at(codes["b"], i))))
+
+    return _let(F.struct(a.alias("a"), b.alias("b")), count)
 
 
 def hamming(a, b) -> Column:

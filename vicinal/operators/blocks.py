@@ -87,6 +87,7 @@ class Prepared:
     def __init__(self, metric: str, rows: np.ndarray):
         self.metric = metric
         self.n = len(rows)
+        self.width = rows.shape[1] if rows.ndim == 2 else 0
         if metric == "hamming":
             self.rows = to_words(rows.view(np.uint8) if rows.dtype == np.int8 else rows)
             return
@@ -112,7 +113,7 @@ class Prepared:
 
     def take(self, start: int, stop: int) -> "Prepared":
         part = object.__new__(Prepared)
-        part.metric, part.n = self.metric, stop - start
+        part.metric, part.n, part.width = self.metric, stop - start, self.width
         part.rows = self.rows[start:stop]
         if self.metric != "hamming":
             part.norm2, part.wide, part.fast = self.norm2[start:stop], self.wide[start:stop], self.fast
@@ -121,7 +122,7 @@ class Prepared:
 
     def pick(self, index: np.ndarray) -> "Prepared":
         part = object.__new__(Prepared)
-        part.metric, part.n = self.metric, len(index)
+        part.metric, part.n, part.width = self.metric, len(index), self.width
         part.rows = self.rows[index]
         if self.metric != "hamming":
             part.norm2, part.wide, part.fast = self.norm2[index], self.wide[index], self.fast
@@ -132,13 +133,19 @@ class Prepared:
 def lower_bounds(q: Prepared, c: Prepared):
     """``low``, ``eq``, ``ec`` with  low <= raw <= low + eq[:, None] + ec[None, :]."""
     metric = q.metric
+    if q.width != c.width:
+        raise ValueError(f"vector lengths differ: {q.width} and {c.width}")
     if metric == "hamming":
         low = np.zeros((q.n, c.n), np.float32)
-        for w in range(c.rows.shape[1]):
-            low += np.bitwise_count(q.rows[:, w, None] ^ c.rows[None, :, w])
+        words = np.ascontiguousarray(c.rows.T)
+        strip = max(1, 80_000 // max(1, c.n))
+        differ, count = np.empty((strip, c.n), np.uint64), np.empty((strip, c.n), np.uint8)
+        for s in range(0, q.n, strip):
+            mine, total = q.rows[s:s + strip], low[s:s + strip]
+            for w in range(len(words)):
+                np.bitwise_xor(mine[:, w, None], words[w][None], out=differ[:len(mine)])
+                total += np.bitwise_count(differ[:len(mine)], out=count[:len(mine)])
         return low, np.zeros(q.n), np.zeros(c.n)
-    if q.rows.shape[1] != c.rows.shape[1]:
-        raise ValueError(f"vector lengths differ: {q.rows.shape[1]} and {c.rows.shape[1]}")
     if metric in ("l1", "linf"):
         return _by_dimension(q, c)
     dim = q.rows.shape[1]
