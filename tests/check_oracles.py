@@ -8,8 +8,6 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 
 def compare(spark, con, name, run, sql, sf_dir):
-    import pandas as pd
-
     start = time.time()
     got = run(spark, sf_dir).toPandas()
     took = time.time() - start

@@ -2,7 +2,6 @@ import base64
 
 import numpy as np
 import pytest
-from pyspark.sql import functions as F
 
 from vicinal.functions import scores as S
 from vicinal.functions import vectors as V

@@ -210,6 +210,18 @@ def test_more_results_only_extend_fewer(data):
     assert ids(knn_join(qdf, cdf.repartition(2), 4)) == ids(knn_join(qdf, cdf.repartition(9), 4))
 
 
+@pytest.mark.parametrize("space", SPACES)
+def test_kernel_and_column_functions_agree(data, space):
+    from vicinal.functions.scores import to_score
+    from vicinal.functions.vectors import raw_distance
+
+    q, c, qdf, cdf = data
+    hits = knn_join(qdf, cdf, 5, space, keep=["vec"]).join(qdf, "query_id")
+    raw = raw_distance("query_vec", "vec", space)
+    off = hits.where((F.abs(raw - F.col("distance")) > 1e-9) | (F.abs(to_score(raw, space) - F.col("score")) > 1e-9))
+    assert off.count() == 0
+
+
 def test_rescore(data):
     q, c, qdf, cdf = data
     assert ids(rescore(knn_join(qdf, cdf, 400, "linf"), qdf, cdf, 5)) == nearest("l2", q, c, 5).tolist()

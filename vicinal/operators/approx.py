@@ -2,15 +2,14 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
-from functools import reduce
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from vicinal.operators.blocks import METRIC_OF_SPACE, as_matrix, list_array
+from vicinal.operators.blocks import METRIC_OF_SPACE, as_bytes, as_matrix, list_array
 from vicinal.operators.encoders import ADC_METRIC, nearest_centroid, nearest_centroids
 from vicinal.operators.knn import conditions, explanation, rescore
 from vicinal.operators.scan import Scan, merge_top_k, run_scan, with_score
@@ -91,7 +90,6 @@ def code_scan(index: Index, mode: str, space: str, query_id: str, query_vec: str
         metric, prepare = ADC_METRIC[space], encoder.adc_query
     else:
         metric, prepare = encoder.metric(space), encoder.query
-    from vicinal.operators.blocks import as_bytes
 
     def decode(column):
         codes = as_bytes(column)
@@ -105,7 +103,7 @@ def code_scan(index: Index, mode: str, space: str, query_id: str, query_vec: str
 def approx_join(q: DataFrame, index: Index, k: int, *, mode: str, space: str = "l2", query_id: str = "query_id",
                 query_vec: str = "query_vec", filter: Column | str | None = None, on=None, keep=(), boost: float = 1.0,
                 candidates: int | None = None, rescore=None, nprobes: int | None = None, explain: bool = False,
-                limits: Limits = LIMITS) -> DataFrame:
+                metrics: bool = False, limits: Limits = LIMITS) -> DataFrame:
     check_k(k)
     model = index.model
     df = index.df if filter is None else index.df.where(filter)
@@ -131,7 +129,7 @@ def approx_join(q: DataFrame, index: Index, k: int, *, mode: str, space: str = "
         if not 0 < nprobes < IVF_LIMIT:
             raise SpecError(f"nprobes must lie in 1..{IVF_LIMIT - 1}")
         probes = Probes(model.centroids, nprobes, METRIC_OF_SPACE[space], list_column=model.list_column)
-        scan = _with_lists(scan, model.list_column)
+        scan = replace(scan, list_column=model.list_column)
     hits = run_scan(scan, q, df, probes=probes, limits=limits)
     if user is None:
         hits = merge_top_k(hits, k, query_id, [id])
@@ -145,10 +143,14 @@ def approx_join(q: DataFrame, index: Index, k: int, *, mode: str, space: str = "
         hits = _second_pass(hits, q, df, k, space, query_id=query_id, query_vec=query_vec, id=id, vec=vec, join_on=extra,
                             keep=keep, boost=boost, max_hits=q.count() * first, limits=limits)
         hits = hits.drop(*extra) if not set(extra) & set(keep) else hits
+    rows = df.where(F.col(vec).isNotNull()).count() if explain or metrics else 0
+    if metrics:
+        # Rows that passed the filter, candidates asked of the codes, and how many of them were compared exactly.
+        hits = hits.withColumns({"filtered_rows": F.lit(rows).cast("bigint"), "ann_count": F.lit(first).cast("bigint"),
+                                 "exact_count": F.lit(first if user else 0).cast("bigint")})
     if explain:
         kind = "Approximate-NN" if user is None else "Disk-based"
         reason = f"{mode} search" + (f" with {nprobes} lists per query" if lists else "")
-        rows = df.where(F.col(vec).isNotNull()).count()
         hits = hits.withColumn("explain", explanation(kind, reason, space, rows, first if user else None,
                                                       user.oversample if user else None))
     return hits
@@ -157,12 +159,6 @@ def approx_join(q: DataFrame, index: Index, k: int, *, mode: str, space: str = "
 _second_pass = rescore
 
 
-def _with_lists(scan: Scan, column: str) -> Scan:
-    from dataclasses import replace
-
-    return replace(scan, list_column=column)
-
-
 def radius_approx(q: DataFrame, index: Index, *, max_distance=None, min_score=None, space: str = "l2",
                   max_results: int | None = None, slack: float = 0.25, query_id: str = "query_id",
                   query_vec: str = "query_vec", filter=None, boost: float = 1.0, limits: Limits = LIMITS) -> DataFrame:

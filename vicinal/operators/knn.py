@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import operator
 from functools import reduce
 
 import numpy as np
@@ -15,13 +14,15 @@ from vicinal.functions.scores import to_score
 from vicinal.operators.blocks import METRIC_OF_SPACE, as_bytes, as_matrix, pair_distance
 from vicinal.operators.scan import Scan, merge_top_k, run_scan, top_k, with_score
 from vicinal.plans.limits import LIMITS, Limits, few_partitions, parallelism
-from vicinal.spec import (MAX_DISTANCE_COMPUTATIONS, RESULT_WINDOW, SCORE_FORMULA, SpecError, check_k, check_radius)
+from vicinal.spec import SCORE_FORMULA, SpecError, check_k, check_radius
 
 APPROXIMATE = ("ivf", "binary", "adc", "pq", "sq1", "sq7", "fp16", "flat")
 
 
 def one_table(c) -> DataFrame:
     """A list of tables (shards) read as one; the partial top-k stays inside each partition."""
+    if hasattr(c, "model"):  # an index searched exactly
+        return c.df
     return reduce(lambda a, b: a.unionByName(b), c) if isinstance(c, (list, tuple)) else c
 
 
@@ -75,7 +76,7 @@ def knn_join(q: DataFrame, c, k: int, space: str = "l2", *, mode: str = "exact",
 
         return approx_join(q, c, k, mode=mode, space=space, query_id=query_id, query_vec=query_vec, filter=filter,
                            on=on, keep=keep, boost=boost, candidates=candidates, rescore=rescore, nprobes=nprobes,
-                           explain=explain, limits=limits)
+                           explain=explain, metrics=metrics, limits=limits)
     c = one_table(c)
     if space not in METRIC_OF_SPACE:
         raise SpecError(f"unknown space {space!r}")

@@ -13,7 +13,7 @@ each list by its own size, so a list holding a third of the corpus becomes many
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field, replace
+from dataclasses import dataclass, replace
 from typing import Callable
 
 import numpy as np

@@ -17,6 +17,7 @@ class Limits:
     block_bytes: int = 128 << 20      # corpus vector bytes of one grid cell
     join_rows: int = 1_000_000        # rows of hits that may be broadcast into an id join
     model_bytes: int = 512 << 20      # trained tables held on the driver and broadcast
+    scan_tasks: int = 20_000          # scan tasks beyond which input splits are joined into longer ones
 
 
 LIMITS = Limits()
@@ -45,8 +46,9 @@ def parallelism(spark: SparkSession) -> int:
 
 def few_partitions(df: DataFrame) -> DataFrame:
     """Cap the number of scan tasks. A scan task streams its rows and emits at most k per query, so fewer,
-    longer tasks shrink what the merge has to shuffle; coalesce never adds a shuffle."""
-    return df.coalesce(4 * parallelism(df.sparkSession))
+    longer tasks shrink what the merge has to shuffle. The cap is far above any cluster's core count, also where
+    executors are still being added, and coalesce never adds a shuffle."""
+    return df.coalesce(max(LIMITS.scan_tasks, 4 * parallelism(df.sparkSession)))
 
 
 def scratch_dir(spark: SparkSession, name: str) -> str:

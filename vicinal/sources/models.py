@@ -7,8 +7,7 @@ Nothing is rewritten, so readers and writers do not disturb one another.
 from __future__ import annotations
 
 import time
-import uuid
-from dataclasses import dataclass, field, replace
+from dataclasses import dataclass, replace
 
 import numpy as np
 from pyspark.errors import AnalysisException
@@ -16,9 +15,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vicinal.operators import training
-from vicinal.operators.encoders import ByteCode, Encoder, Fp16, ProductQuantizer, pack, unpack
+from vicinal.operators.encoders import ByteCode, Encoder, Fp16, pack, unpack
 from vicinal.plans.limits import vector_length
-from vicinal.spec import MAX_DESCRIPTION, Rescore, SpecError, VectorSpec, resolve_rescore, resolve_spec, validate_spec
+from vicinal.spec import MAX_DESCRIPTION, Rescore, SpecError, VectorSpec, resolve_rescore, validate_spec
 
 MODEL_SCHEMA = ("model_id string, space string, dimension int, data_type string, state string, timestamp timestamp, "
                 "description string, error string, method string, encoder string, mode string, compression string, "
