@@ -234,8 +234,8 @@ class Sq1(Encoder):
     def decode_rows(self, codes, space):
         dim = len(self.centroid)
         width = -(-dim // 8)
-        level = np.unpackbits(codes[:, :width], axis=1)[:, :dim].astype(np.float32)
-        tail = np.ascontiguousarray(codes[:, width:width + 12]).view("<f4")
+        level = np.unpackbits(codes[:, :width], axis=1)[:, :dim].astype(np.float64)
+        tail = np.ascontiguousarray(codes[:, width:width + 12]).view("<f4").astype(np.float64)
         low, high, extra = tail[:, 0:1], tail[:, 1:2], tail[:, 2:3]
         return np.concatenate([low + level * (high - low), extra, np.ones_like(extra)], axis=1)
 

@@ -681,6 +681,12 @@ def _(spark, d):
     return ranked(knn_join(queries(spark, d), index, 10, "cosinesimil", mode="sq1"))
 
 
+@run("q09_sq1_estimate")
+def _(spark, d):
+    index = _index(spark, d, _sq1_model(spark, d, "cosinesimil"))
+    return ranked(knn_join(queries(spark, d), index, 10, "cosinesimil", mode="sq1", rescore=False))
+
+
 def _centroid_rows(spark, table_) -> DataFrame:
     rows = [(s, j, p, float(x)) for s, sub in enumerate(table_) for j, c in enumerate(sub) for p, x in enumerate(c)]
     return rounded(spark.createDataFrame(rows, "sub int, centroid int, pos int, value double"), "value")

@@ -251,10 +251,10 @@ for _s in ("l2", "innerproduct"):
         "(SELECT vec_id AS id, v FROM aq)", "id", "v")
 
 
-def second_pass(first, n, ctes, q, c, where="TRUE"):
+def second_pass(first, n, ctes, q, c, where="TRUE", metric=l2, score=inverse):
     pool = (f"f AS (SELECT query_id, id FROM (SELECT q.vec_id AS query_id, c.vec_id AS id, row_number() OVER (PARTITION BY q.vec_id ORDER BY "
             f"{first}, c.vec_id) AS fr FROM {q}, {c} WHERE {where}) WHERE fr <= {n})")
-    return top(l2(*QC), inverse, 10, ctes=(*ctes, pool), q="f JOIN e q ON q.vec_id = f.query_id", c="e c", where="c.vec_id = f.id")
+    return top(metric(*QC), score, 10, ctes=(*ctes, pool), q="f JOIN e q ON q.vec_id = f.query_id", c="e c", where="c.vec_id = f.id")
 
 
 ORACLES["s13_two_phase"] = second_pass(ham(*QC), 120, (E, X, MOM, codes(1)), "b q", "b c")
@@ -306,6 +306,45 @@ ORACLES["q08_sq7_search"] = top(l2(*QC), inverse, 10, c="y c", ctes=(
     E, X, "lim AS (SELECT min(x) AS lo, max(x) AS hi FROM x)",
     "y AS (SELECT vec_id, list(lo + round((x - lo) / (hi - lo) * 127) * ((hi - lo) / 127) ORDER BY p) AS v FROM x, lim GROUP BY vec_id)"))
 
+
+def interval(bits, rounds=5):
+    """Per-row interval with evenly spaced levels, fitted to the centred vector m by alternating assignment and a
+    least-squares line; final CTE fit{bits}."""
+    top_ = (1 << bits) - 1
+    level = f"list_transform(m, lambda x: greatest(0.0, least({top_}.0, round_even((x - lo) / (CASE WHEN hi > lo THEN (hi - lo) / {top_} ELSE 1 END), 0))))"
+    first = "list_avg(m) - list_stddev_pop(m) AS lo, list_avg(m) + list_stddev_pop(m) AS hi" if bits == 1 else "list_min(m) AS lo, list_max(m) AS hi"
+    out, name = [f"w{bits}_0 AS (SELECT vec_id, m, {first} FROM mv)"], f"w{bits}_0"
+    for i in range(1, rounds + 1):
+        out += [f"l{bits}_{i} AS (SELECT vec_id, m, lo, hi, {level} AS lv FROM {name})",
+                f"g{bits}_{i} AS (SELECT *, list_avg(lv) AS mid FROM l{bits}_{i})",
+                f"s{bits}_{i} AS (SELECT *, list_sum(list_transform(list_zip(lv, m), lambda s: (s[1] - mid) * s[2])) / "
+                f"nullif(list_sum(list_transform(lv, lambda x: (x - mid) * (x - mid))), 0) AS slope FROM g{bits}_{i})",
+                f"w{bits}_{i} AS (SELECT vec_id, m, CASE WHEN slope > 0 THEN list_avg(m) - slope * mid ELSE lo END AS lo, "
+                f"CASE WHEN slope > 0 THEN list_avg(m) - slope * mid + slope * {top_} ELSE hi END AS hi FROM s{bits}_{i})"]
+        name = f"w{bits}_{i}"
+    out.append(f"fit{bits} AS (SELECT vec_id, m, lo, hi, {level} AS lv FROM {name})")
+    return ", ".join(out)
+
+
+def sq1(unit, extra, query_extra):
+    """Centred vectors, their 1-bit codes with float32 corrections, and the 4-bit form of the queries."""
+    source = "list_transform(v, lambda x: x / sqrt(list_inner_product(v, v)))" if unit else "v"
+    return (f"u AS (SELECT vec_id, {source} AS v FROM e)", "ux AS (SELECT unnest(v) AS x, generate_subscripts(v, 1) AS p FROM u)",
+            "mu AS (SELECT list(mx ORDER BY p) AS c FROM (SELECT p, avg(x) AS mx FROM ux GROUP BY p))",
+            "mv AS (SELECT vec_id, list_transform(list_zip(v, c), lambda s: s[1] - s[2]) AS m FROM u, mu)", interval(1), interval(4),
+            f"dx AS (SELECT f.vec_id, list_transform(lv, lambda x: lo::FLOAT::DOUBLE + x * (hi::FLOAT::DOUBLE - lo::FLOAT::DOUBLE)) AS v, "
+            f"({extra})::FLOAT::DOUBLE AS w FROM fit1 f JOIN u ON u.vec_id = f.vec_id, mu)",
+            f"qx AS (SELECT f.vec_id, list_transform(lv, lambda x: lo + x * ((hi - lo) / 15)) AS v, {query_extra} AS w FROM fit4 f JOIN u ON u.vec_id = f.vec_id, mu)")
+
+
+SQ1_COS = sq1(True, "list_inner_product(u.v, c)", "list_inner_product(u.v, c) - list_inner_product(c, c)")
+SQ1_COS_RAW = "1 - (list_inner_product(q.v, c.v) + c.w + q.w)"
+ORACLES["q09_sq1_estimate"] = top(SQ1_COS_RAW, cos_score, 10, q="qx q", c="dx c", ctes=(E, *SQ1_COS))
+ORACLES["q09_sq1_search"] = second_pass(SQ1_COS_RAW, 100, (E, *SQ1_COS), "qx q", "dx c", metric=cos, score=cos_score)
+ORACLES["s32_flat_compressed"] = second_pass(
+    "q.w + c.w - 2 * list_inner_product(q.v, c.v)", 100,
+    (E, *sq1(False, "list_inner_product(m, m)", "list_inner_product(m, m)")), "qx q", "dx c")
+
 # Nested tables: five children per parent.
 N = "c AS (SELECT vec_id // 5 AS parent_id, CAST(vec_id % 5 AS INTEGER) AS child_pos, v, label FROM e)"
 
