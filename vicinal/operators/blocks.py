@@ -87,6 +87,7 @@ class Prepared:
     def __init__(self, metric: str, rows: np.ndarray):
         self.metric = metric
         self.n = len(rows)
+        self.side = {}
         self.width = rows.shape[1] if rows.ndim == 2 else 0
         if metric == "hamming":
             self.rows = to_words(rows.view(np.uint8) if rows.dtype == np.int8 else rows)
@@ -111,23 +112,52 @@ class Prepared:
         self.wide = wide
         self.narrow = wide.astype(np.float32) if self.fast else None
 
-    def take(self, start: int, stop: int) -> "Prepared":
+    def _part(self, at) -> "Prepared":
         part = object.__new__(Prepared)
-        part.metric, part.n, part.width = self.metric, stop - start, self.width
-        part.rows = self.rows[start:stop]
+        part.metric, part.width = self.metric, self.width
+        part.rows = self.rows[at]
+        part.n = len(part.rows)
         if self.metric != "hamming":
-            part.norm2, part.wide, part.fast = self.norm2[start:stop], self.wide[start:stop], self.fast
-            part.narrow = self.narrow[start:stop] if self.fast else None
+            part.norm2, part.wide, part.fast = self.norm2[at], self.wide[at], self.fast
+            part.narrow = self.narrow[at] if self.fast else None
+        if self.metric in GEMM and self.fast:
+            part.side = {"query": self.factor("query", True)[at]}
         return part
 
+    def take(self, start: int, stop: int) -> "Prepared":
+        return self._part(slice(start, stop))
+
     def pick(self, index: np.ndarray) -> "Prepared":
-        part = object.__new__(Prepared)
-        part.metric, part.n, part.width = self.metric, len(index), self.width
-        part.rows = self.rows[index]
-        if self.metric != "hamming":
-            part.norm2, part.wide, part.fast = self.norm2[index], self.wide[index], self.fast
-            part.narrow = self.narrow[index] if self.fast else None
-        return part
+        return self._part(index)
+
+    def factor(self, side: str, fast: bool) -> np.ndarray:
+        """This side's factor of the matrix product that gives the lower bounds outright.
+
+        Two further columns carry each side's own term (and a 1 for the other's), so no pass over the product is needed.
+        """
+        if fast and side in self.side:
+            return self.side[side]
+        rows = self.narrow if fast else self.wide
+        g = slack(self.width, fast)
+        one = np.ones(self.n)
+        if self.metric == "l2":
+            own, scale = (1 - g) * self.norm2, -2
+        elif self.metric == "cos":
+            own, scale = np.full(self.n, (1 - g) / 2), -1
+        else:
+            own, scale = (0.5 if self.metric == "ip_gap" else 0.0) * (1 - g) - g * self.norm2, -1
+        extra = [own, one] if side == "query" else [one, own]
+        out = np.empty((self.n, self.width + 2), rows.dtype)
+        out[:, :-2] = rows * rows.dtype.type(scale) if side == "query" else rows
+        out[:, -2], out[:, -1] = extra
+        if fast:
+            self.side[side] = out
+        return out
+
+
+def slack(dim: int, fast: bool) -> float:
+    """Relative error allowed for a product over ``dim`` columns, including the rounding of its inputs."""
+    return (dim + 32) * (2.0 ** -22 if fast else 2.0 ** -50)
 
 
 def lower_bounds(q: Prepared, c: Prepared):
@@ -148,25 +178,12 @@ def lower_bounds(q: Prepared, c: Prepared):
         return low, np.zeros(q.n), np.zeros(c.n)
     if metric in ("l1", "linf"):
         return _by_dimension(q, c)
-    dim = q.rows.shape[1]
     fast = q.fast and c.fast
-    unit = 2.0 ** -22 if fast else 2.0 ** -50
-    g = (dim + 32) * unit
-    prod = q.narrow @ c.narrow.T if fast else q.wide @ c.wide.T
-    if metric == "l2":
-        prod *= -2
-        prod += ((1 - g) * q.norm2).astype(prod.dtype)[:, None]
-        prod += ((1 - g) * c.norm2).astype(prod.dtype)[None, :]
-        return prod, 4 * g * q.norm2, 4 * g * c.norm2
-    np.negative(prod, out=prod)
+    g = slack(q.width, fast)
+    low = q.factor("query", fast) @ c.factor("corpus", fast).T
     if metric == "cos":
-        prod += prod.dtype.type(1 - g)
-        return prod, np.full(q.n, 4 * g), np.zeros(c.n)
-    prod -= (g * q.norm2).astype(prod.dtype)[:, None]
-    prod -= (g * c.norm2).astype(prod.dtype)[None, :]
-    if metric == "ip_gap":
-        prod += prod.dtype.type(1 - g)
-    return prod, 4 * g * q.norm2 + (4 * g if metric == "ip_gap" else 0.0), 4 * g * c.norm2
+        return low, np.full(q.n, 4 * g), np.zeros(c.n)
+    return low, 4 * g * q.norm2 + (4 * g if metric == "ip_gap" else 0.0), 4 * g * c.norm2
 
 
 def _by_dimension(q: Prepared, c: Prepared):
@@ -368,9 +385,11 @@ def scan_batch(hits: Hits | None, q: Prepared, q_rows, batch, vectors: np.ndarra
         ok = low <= _reach(bound, low.dtype)[:, None]
         if conds:
             ok &= np.isfinite(low)
-        qi, ci = np.nonzero(ok)
-        if not len(qi):
+        # Few pairs pass, and the search in one dimension skips long runs of misses.
+        hit = np.flatnonzero(ok)
+        if not len(hit):
             continue
+        qi, ci = np.divmod(hit, c.n)
         raw = exact_pairs(part, c, qi, ci)
         keep = raw <= (limit if hits is None else hits.tau)[rows][qi] if accept is None else accept(raw, rows[qi])
         qi, ci, raw = qi[keep], ci[keep], raw[keep]
