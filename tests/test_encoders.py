@@ -184,15 +184,30 @@ def test_list_search_in_both_forms(recall_data):
     assert small.exceptAll(large).count() == 0 and small.count() == large.count() == 500
 
 
-def test_radius_on_codes(recall_data):
+@pytest.mark.parametrize("space,limit", [("l2", dict(max_distance=3.0)), ("l2", dict(min_score=0.3)), ("innerproduct", dict(max_distance=-9.0)),
+                                         ("cosinesimil", dict(max_distance=0.15)), ("cosinesimil", dict(min_score=0.93))])
+def test_radius_on_codes_loses_nothing(recall_data, space, limit):
     q, c, _ = recall_data
-    model = fit_model(c, VectorSpec(32, encoder="sq1", compression="32x"))
+    model = fit_model(c, VectorSpec(32, space=space, encoder="sq1", compression="32x"))
     index = Index(model.encode(c), model)
-    exact = radius_join(q, c, max_distance=3.0).select("query_id", "id")
-    found = radius_approx(q, index, max_distance=3.0).select("query_id", "id")
-    assert found.exceptAll(exact).count() == 0
-    assert found.count() >= 0.9 * exact.count()
-    assert radius_approx(q, index, max_distance=3.0, slack=5.0).count() == exact.count()
+    exact = radius_join(q, c, space=space, **limit)
+    found = radius_approx(q, index, space=space, **limit)
+    assert 0 < exact.count() == found.count()
+    assert found.select("query_id", "id").exceptAll(exact.select("query_id", "id")).count() == 0
+    capped = radius_approx(q, index, space=space, max_results=2, **limit)
+    assert capped.exceptAll(radius_join(q, c, space=space, max_results=2, **limit)).count() == 0
+
+
+def test_radius_bound_is_below_every_distance_and_prunes():
+    c, q = uniform(2000, 64, 1).astype(float) - 0.5, uniform(50, 64, 2).astype(float) - 0.5
+    code = E.Sq1(c.mean(axis=0), "l2")
+    low = -(code.bound_query(q, "l2") @ code.bound_rows(code.encode_rows(c), "l2").T)
+    true = ((q[:, None] - c[None]) ** 2).sum(-1)
+    assert (low <= true + 1e-9).all() and (low <= 1.0).mean() < 0.05
+
+
+def test_radius_needs_the_right_codes(recall_data):
+    q, c, _ = recall_data
     bits = fit_model(c, VectorSpec(32, encoder="binary", params={"bits": 1}))
     with pytest.raises(SpecError):
         radius_approx(q, Index(bits.encode(c), bits), max_distance=3.0)

@@ -9,9 +9,10 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from vicinal.functions.scores import score_to_threshold, to_score
 from vicinal.operators.blocks import METRIC_OF_SPACE, as_bytes, as_matrix, list_array
 from vicinal.operators.encoders import ADC_METRIC, nearest_centroid, nearest_centroids
-from vicinal.operators.knn import conditions, explanation, rescore
+from vicinal.operators.knn import conditions, explanation, pairwise_distance, rescore
 from vicinal.operators.scan import Scan, merge_top_k, run_scan, with_score
 from vicinal.plans.limits import LIMITS, Limits
 from vicinal.spec import IVF_LIMIT, SpecError, check_k, check_radius, first_pass_k, resolve_rescore
@@ -76,8 +77,9 @@ def assign_lists(c: DataFrame, centroids: np.ndarray, space: str = "l2", *, vec:
 
 
 def code_scan(index: Index, mode: str, space: str, query_id: str, query_vec: str, id: str, columns, order, k, *, group=None,
-              conds=(), max_distance=None, min_score=None) -> Scan:
-    """Scan over the code column of an index; raw vectors are not read."""
+              conds=(), max_distance=None, bound: bool = False) -> Scan:
+    """Scan over the code column of an index; raw vectors are not read. ``bound`` compares by a lower bound of the
+    distance instead of its estimate."""
     encoder = index.model.encoder
     if encoder is None:
         raise SpecError("the index holds no codes")
@@ -89,15 +91,16 @@ def code_scan(index: Index, mode: str, space: str, query_id: str, query_vec: str
             raise SpecError(f"space {space!r} is not supported with asymmetric distance")
         metric, prepare = ADC_METRIC[space], encoder.adc_query
     else:
-        metric, prepare = encoder.metric(space), encoder.query
+        metric, prepare = encoder.metric(space), encoder.bound_query if bound else encoder.query
+    rebuild = encoder.bound_rows if bound else encoder.decode_rows
 
     def decode(column):
         codes = as_bytes(column)
-        return codes if metric == "hamming" else encoder.decode_rows(codes, space)
+        return codes if metric == "hamming" else rebuild(codes, space)
 
     return Scan(metric, space, query_id, query_vec, id, index.model.code_column, tuple(columns), tuple(order), k=k,
                 group=group, conds=conds, decode=decode, encode_query=lambda rows: prepare(rows, space),
-                max_distance=max_distance, min_score=min_score)
+                max_distance=max_distance)
 
 
 def approx_join(q: DataFrame, index: Index, k: int, *, mode: str, space: str = "l2", query_id: str = "query_id",
@@ -160,30 +163,27 @@ _second_pass = rescore
 
 
 def radius_approx(q: DataFrame, index: Index, *, max_distance=None, min_score=None, space: str = "l2",
-                  max_results: int | None = None, slack: float = 0.25, query_id: str = "query_id",
-                  query_vec: str = "query_vec", filter=None, boost: float = 1.0, limits: Limits = LIMITS) -> DataFrame:
-    """Radius search on 1-bit scalar codes: candidates by estimated distance, then an exact check on the vectors.
+                  max_results: int | None = None, query_id: str = "query_id", query_vec: str = "query_vec", filter=None,
+                  boost: float = 1.0, limits: Limits = LIMITS) -> DataFrame:
+    """Radius search on 1-bit scalar codes: candidates by a lower bound of their distance, then an exact check.
 
-    The estimate errs both ways, so candidates are taken from a radius widened by ``slack`` (relative).
+    The bound follows from the codes alone and never exceeds the distance, so no match is lost and the result equals
+    ``radius_join`` while only the candidates' vectors are compared. ``max_results`` cuts the checked matches.
     """
-    from vicinal.functions.scores import score_to_threshold, to_score
-    from vicinal.operators.knn import pairwise_distance
-
     model = index.model
     check_radius(space, max_distance, min_score, encoder=model.encoder.name if model.encoder else None,
                  method=model.spec.method, compression=model.spec.compression)
     df = index.df if filter is None else index.df.where(filter)
     raw = float(max_distance) if max_distance is not None else float(score_to_threshold(min_score, space))
-    wide = raw + abs(raw) * slack
     mode = "flat" if model.spec.method == "flat" else "sq1"
-    scan = code_scan(Index(df, model), mode, space, query_id, query_vec, model.id, (model.id,), (model.id,), max_results,
-                     max_distance=wide)
-    found = run_scan(scan, q, df, limits=limits)
-    if max_results is not None:
-        found = merge_top_k(found, max_results, query_id, [model.id])
-    pairs = found.select(query_id, model.id).join(df.select(model.id, model.vec), model.id)
+    scan = code_scan(Index(df, model), mode, space, query_id, query_vec, model.id, (model.id,), (model.id,), None,
+                     max_distance=raw + 1e-9 * (1 + abs(raw)), bound=True)
+    pairs = run_scan(scan, q, df, limits=limits).select(query_id, model.id).join(df.select(model.id, model.vec), model.id)
     queries = q.select(query_id, F.col(query_vec).alias("_query_vec"))
     pairs = pairs.join(queries, query_id).withColumn("distance", pairwise_distance("_query_vec", model.vec, space))
-    score = to_score("distance", space)
-    kept = pairs.where(F.col("distance") <= raw) if max_distance is not None else pairs.where(score >= min_score)
-    return with_score(kept, space, boost).select(query_id, model.id, "distance", "score")
+    kept = pairs.where(F.col("distance") <= raw) if max_distance is not None else pairs.where(to_score("distance", space) >= min_score)
+    columns = [query_id, model.id, "distance", "score"]
+    if max_results is not None:
+        kept = merge_top_k(kept.select(query_id, model.id, "distance"), max_results, query_id, [model.id])
+        columns.insert(2, "rank")
+    return with_score(kept, space, boost).select(*columns)

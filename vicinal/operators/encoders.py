@@ -208,7 +208,8 @@ def fit_interval(rows: np.ndarray, bits: int, rounds: int = 5):
 class Sq1(Encoder):
     """1-bit codes of centred vectors with per-row corrections; queries take 4 bits.
 
-    A code is the packed bits, then float32 lower and upper level, float32 correction, int32 count of set bits.
+    A code is the packed bits, then float32 lower and upper level, float32 correction, float32 length of what the
+    levels leave over, int32 count of set bits.
     The distance estimate is an inner product of the rebuilt vectors plus the corrections, so the rows are
     extended by two columns and run through the ordinary inner-product scan.
     """
@@ -226,18 +227,42 @@ class Sq1(Encoder):
         moved = rows - centre
         low, high, level = fit_interval(moved, 1)
         extra = (moved * moved).sum(axis=1) if self.space == "l2" else rows @ centre
-        tail = np.stack([low, high, extra], axis=1).astype("<f4")
+        low, high = low.astype("<f4"), high.astype("<f4")
+        rebuilt = low.astype(np.float64)[:, None] + level * (high.astype(np.float64) - low)[:, None]
+        left = np.sqrt(((moved - rebuilt) ** 2).sum(axis=1))
+        tail = np.stack([low, high, extra, np.nextafter(left.astype("<f4"), np.float32(np.inf))], axis=1).astype("<f4")
         count = level.sum(axis=1).astype("<i4")[:, None]
         return np.concatenate([np.packbits(level, axis=1), np.ascontiguousarray(tail).view(np.uint8),
                                np.ascontiguousarray(count).view(np.uint8)], axis=1)
 
-    def decode_rows(self, codes, space):
+    def _rebuilt(self, codes):
         dim = len(self.centroid)
         width = -(-dim // 8)
         level = np.unpackbits(codes[:, :width], axis=1)[:, :dim].astype(np.float64)
-        tail = np.ascontiguousarray(codes[:, width:width + 12]).view("<f4").astype(np.float64)
-        low, high, extra = tail[:, 0:1], tail[:, 1:2], tail[:, 2:3]
-        return np.concatenate([low + level * (high - low), extra, np.ones_like(extra)], axis=1)
+        tail = np.ascontiguousarray(codes[:, width:width + 16]).view("<f4").astype(np.float64)
+        low, high = tail[:, 0:1], tail[:, 1:2]
+        return low + level * (high - low), tail[:, 2:3], tail[:, 3:4]
+
+    def decode_rows(self, codes, space):
+        rebuilt, extra, _ = self._rebuilt(codes)
+        return np.concatenate([rebuilt, extra, np.ones_like(extra)], axis=1)
+
+    def bound_rows(self, codes, space):
+        """Rows whose product with ``bound_query`` never exceeds the true distance: what the levels leave over can
+        bring a pair closer by at most the product of its length and the centred query's."""
+        rebuilt, extra, left = self._rebuilt(codes)
+        rounding = 2e-7 * np.abs(extra)  # of the float32 correction
+        extra = extra - rounding if self.space == "l2" else extra + rounding
+        return np.concatenate([rebuilt, extra, np.ones_like(extra), left], axis=1)
+
+    def bound_query(self, rows, space):
+        rows, centre = self._centred(rows)
+        moved = rows - centre
+        size = (moved * moved).sum(axis=1)[:, None]
+        one = np.ones((len(rows), 1))
+        if self.space == "l2":
+            return np.concatenate([2 * moved, -one, -size, 2 * np.sqrt(size)], axis=1)
+        return np.concatenate([moved, one, (rows @ centre - centre @ centre)[:, None], np.sqrt(size)], axis=1)
 
     def metric(self, space):
         if space != self.space:

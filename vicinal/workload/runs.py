@@ -416,9 +416,14 @@ def _sq1_model(spark, d, space="l2", method="exact"):
 
 @run("s15_two_phase_radius")
 def _(spark, d):
-    # The slack takes in every row, so the exact check alone decides.
     index = _index(spark, d, _sq1_model(spark, d))
-    return ranked(radius_approx(queries(spark, d), index, max_distance=1.4, slack=3.0))
+    return ranked(radius_approx(queries(spark, d), index, max_distance=1.4))
+
+
+@run("s15_two_phase_radius_cosine")
+def _(spark, d):
+    index = _index(spark, d, _sq1_model(spark, d, "cosinesimil"))
+    return ranked(radius_approx(queries(spark, d), index, min_score=0.63, space="cosinesimil"))
 
 
 @run("s16_nested_knn")

@@ -188,6 +188,7 @@ ORACLES["s05_radius_distance"] = within(l2(*QC), inverse, "distance <= 1.4")
 ORACLES["s15_two_phase_radius"] = ORACLES["s05_radius_distance"]
 ORACLES["s05_radius_inner_product"] = within(ip(*QC), ip_score, "distance <= -0.25")
 ORACLES["s06_radius_score"] = within(cos(*QC), cos_score, f"{cos_score('distance')} >= 0.63")
+ORACLES["s15_two_phase_radius_cosine"] = ORACLES["s06_radius_score"]
 ORACLES["s06_radius_score_per_query"] = within(l2(*QC), inverse, f"{inverse('distance')} >= 0.4::DOUBLE + ql / 100.0::DOUBLE")
 ORACLES["s07_radius_capped"] = top(l2(*QC), inverse, 4, after="distance <= 1.7 AND rk <= {k}")
 ORACLES["s08_prefiltered_knn"] = top(l2(*QC), inverse, 5, where="c.label = 3", keep="label")
