@@ -174,6 +174,17 @@ def test_light_codes(recall_data, encoder, floor):
     assert recall(recall_data, VectorSpec(32, encoder=encoder), encoder) >= floor
 
 
+@pytest.mark.parametrize("mode,spec", [("binary", VectorSpec(32, encoder="binary", params={"bits": 2})), ("adc", VectorSpec(32, encoder="binary", params={"bits": 1})),
+                                       ("sq1", VectorSpec(32, encoder="sq1")), ("pq", VectorSpec(32, encoder="pq", params={"m": 4, "code_size": 4}))])
+def test_code_search_in_both_forms(recall_data, mode, spec):
+    q, c, _ = recall_data
+    model = fit_model(c, spec, iterations=2)
+    index = Index(model.encode(c), model)
+    small = knn_join(q, index, 5, mode=mode, rescore=False)
+    large = knn_join(q, index, 5, mode=mode, rescore=False, limits=Limits(query_rows=13, block_bytes=32 * 8 * 300))
+    assert small.select("query_id", "id", "rank").exceptAll(large.select("query_id", "id", "rank")).count() == 0 and large.count() == 500
+
+
 def test_list_search_in_both_forms(recall_data):
     q, c, _ = recall_data
     model = fit_model(c, VectorSpec(32, method="ivf", params={"nlist": 6}), iterations=3)

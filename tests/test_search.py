@@ -93,6 +93,10 @@ def test_per_query_conditions(spark):
     want = np.argsort(d, axis=1, kind="stable")[1:, :4].tolist()
     for limits in (Limits(), Limits(query_rows=9, block_bytes=5 * 8 * 60)):
         assert ids(knn_join(qdf, cdf, 4, on=[("want", "tag")], limits=limits)) == want
+    # Every query under a key of its own: compared under a mask.
+    many = query(spark, *np.repeat(q, 8, axis=0)).withColumn("want", F.col("query_id"))
+    own = knn_join(many, cdf.withColumn("one", F.col("id") + 0), 4, on=[("want", "one")])
+    assert own.count() == 200 and own.where("query_id <> id").count() == 0
     low = knn_join(qdf, cdf, 4, on=[("query_id", "<=", "id")]).toPandas()
     assert (low.id >= low.query_id).all() and len(low) == 160
 

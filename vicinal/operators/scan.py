@@ -53,7 +53,7 @@ class Scan:
 
     @property
     def query_columns(self) -> list[str]:
-        extra = [c[0] for c in self.conds] + [v for v in (self.min_score, self.max_distance) if isinstance(v, str)]
+        extra = [c[0] for c in self.conds] + ([self.query_list] if self.query_list else []) + [v for v in (self.min_score, self.max_distance) if isinstance(v, str)]
         return list(dict.fromkeys([self.query_id, self.query_vec, *extra]))
 
     @property
@@ -131,17 +131,34 @@ def _compare(scan: Scan, q_table: pa.Table, batches, lists: dict | None = None):
 
 
 def _by_list(scan: Scan, batch, lists: dict | None):
+    """The batch cut by list (or key) together with the query rows that want it; unwanted lists are passed over."""
     if lists is None:
         yield batch, None
         return
-    numbers = combined(batch.column(scan.list_column)).to_numpy(zero_copy_only=False)
-    for number in np.unique(numbers):
-        index = lists.get(int(number))
+    column = combined(batch.column(scan.list_column)).dictionary_encode()
+    code = column.indices.fill_null(-1).to_numpy(zero_copy_only=False)
+    order = np.argsort(code, kind="stable")
+    values = column.dictionary.to_pylist()
+    edges = np.searchsorted(code[order], np.arange(len(values) + 1))
+    for i, value in enumerate(values):
+        index = lists.get(value)
         if index is not None:
-            rows = np.flatnonzero(numbers == number)
+            rows = order[edges[i]:edges[i + 1]]
             yield (batch if len(rows) == batch.num_rows else batch.take(pa.array(rows))), index
 
 
+def _keyed(scan: Scan, q: DataFrame, c: DataFrame) -> Scan:
+    """Turn one equality condition into a key, so that only pairs sharing it are ever compared."""
+    if scan.list_column is not None:
+        return scan
+    for cond in scan.conds:
+        left, right = q.schema[cond[0]].dataType, c.schema[cond[2]].dataType
+        if cond[1] == "==" and left == right and isinstance(left, (T.IntegralType, T.StringType, T.DateType, T.BooleanType)):
+            rest = tuple(other for other in scan.conds if other is not cond)
+            return replace(scan, conds=rest, query_list=cond[0], list_column=cond[2])
+    return scan
+
+
 def _shape(scan: Scan, q_table: pa.Table, found: pa.Table, schema: pa.Schema) -> pa.Table:
     who = q_table.column(scan.query_id).take(found.column("_q"))
     columns = {scan.query_id: who, **{c: found.column(c) for c in scan.columns}, "distance": found.column("_raw")}
@@ -177,7 +194,7 @@ def _grid_scan(scan: Scan, q: DataFrame, c: DataFrame, dim: int, limits: Limits)
     arrow = to_arrow_schema(schema)
     per_query = query_cap(dim, scan.k or 1, limits)
     per_corpus = max(1, limits.block_bytes // (8 * max(1, dim)))
-    q = q.select(*scan.query_columns, *([scan.query_list] if scan.query_list else []))
+    q = q.select(*scan.query_columns)
     c = c.select(*scan.corpus_columns)
     if scan.list_column is None:
         n_q, n_c = q.count(), c.count()
@@ -187,7 +204,7 @@ def _grid_scan(scan: Scan, q: DataFrame, c: DataFrame, dim: int, limits: Limits)
         sizes = {"_nq": F.lit(_cells(n_q, per_query)), "_nc": F.lit(c_cells)}
         q, c = (side.withColumn("_list", F.lit(0)).withColumns(sizes) for side in (q, c))
     else:
-        q = q.withColumnRenamed(scan.query_list, "_list")
+        q = q.withColumn("_list", F.col(scan.query_list))
         c = c.withColumn("_list", F.col(scan.list_column))
         # One row per list (bounded by the list limit), so this side may be broadcast.
         n_q = q.groupBy("_list").agg(F.ceil(F.count("*") / F.lit(per_query)).cast("int").alias("_nq"))
@@ -262,6 +279,16 @@ def run_scan(scan: Scan, q: DataFrame, c: DataFrame, *, probes: Callable | None
     if block is not None:
         block = block.combine_chunks()
         lists = None
+        keyed = _keyed(scan, q, c)
+        if keyed.query_list is not None and probes is None:
+            keys = block.column(keyed.query_list).to_pylist()
+            groups: dict = {}
+            for i, key in enumerate(keys):
+                if key is not None:
+                    groups.setdefault(key, []).append(i)
+            # With very many keys a batch would fall into tiny pieces; comparing under a mask is cheaper then.
+            if len(groups) <= 256:
+                scan, lists = keyed, {key: np.array(rows) for key, rows in groups.items()}
         if probes is not None:
             rows, numbers = probes.block(as_matrix(block.column(scan.query_vec)))
             lists = {int(n): rows[numbers == n] for n in np.unique(numbers)}
@@ -270,6 +297,8 @@ def run_scan(scan: Scan, q: DataFrame, c: DataFrame, *, probes: Callable | None
     if probes is not None:
         q = probes.explode(q, scan.query_vec)
         scan = replace(scan, query_list=probes.column)
+    else:
+        scan = _keyed(scan, q, c)
     return _grid_scan(scan, q, c, dim, limits)
 
 
