@@ -304,14 +304,14 @@ class Hits:
         self.table: pa.Table | None = None
         self.pending: list[pa.Table] = []
         self.waiting = 0
-        self.full = False
+        self.done = np.zeros(n, bool)  # queries that have k hits already
 
     def push(self, qi, raw, rows: pa.Table, dist=None):
         if not len(qi):
             return
         self.pending.append(rows.append_column("_q", pa.array(qi, pa.int32())).append_column("_raw", pa.array(raw)))
         self.waiting += len(qi)
-        if not self.full or self.waiting > max(50_000, self.n * self.k // 4):
+        if not self.done[qi].all() or self.waiting > max(50_000, self.n * self.k // 4):
             self.compact()
 
     def compact(self):
@@ -338,7 +338,7 @@ class Hits:
         done = counts >= self.k
         raw = table.column("_raw").to_numpy()
         self.tau[done] = np.minimum(self.limit[done], raw[last[done]])
-        self.full = bool(done.all())
+        self.done = done
         self.table = table
 
     def result(self) -> pa.Table | None:
@@ -375,7 +375,7 @@ def scan_batch(hits: Hits | None, q: Prepared, q_rows, batch, vectors: np.ndarra
             bound = limit[rows]
         else:
             bound = hits.tau[rows]
-            if not hits.full or np.count_nonzero(low <= _reach(bound, low.dtype)[:, None]) > 4 * len(rows) * hits.k:
+            if not np.isfinite(bound).all() or np.count_nonzero(low <= _reach(bound, low.dtype)[:, None]) > 4 * len(rows) * hits.k:
                 high = low + ec.astype(low.dtype)[None, :]
                 if groups is not None:
                     high = np.minimum.reduceat(high[:, groups], starts, axis=1)
