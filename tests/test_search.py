@@ -228,7 +228,13 @@ def test_kernel_and_column_functions_agree(data, space):
 
 def test_rescore(data):
     q, c, qdf, cdf = data
-    assert ids(rescore(knn_join(qdf, cdf, 400, "linf"), qdf, cdf, 5)) == nearest("l2", q, c, 5).tolist()
+    every, want = knn_join(qdf, cdf, 400, "linf"), nearest("l2", q, c, 5).tolist()
+    assert ids(rescore(every, qdf, cdf, 5)) == want
+    assert ids(rescore(every, qdf, cdf, 5, per_query=400)) == want
+    assert ids(rescore(every, qdf, cdf, 5, limits=GRID)) == want
+    some = knn_join(qdf, cdf, 3, "innerproduct")
+    pairs = {(r.query_id, r.id) for r in rescore(some, qdf.where("query_id < 50"), cdf, 5).collect()}
+    assert pairs == {(r.query_id, r.id) for r in some.where("query_id < 50").collect()}
 
 
 def test_plan_shape(spark, tmp_path):

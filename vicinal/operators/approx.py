@@ -144,7 +144,7 @@ def approx_join(q: DataFrame, index: Index, k: int, *, mode: str, space: str = "
     else:
         hits = merge_top_k(hits, first, query_id, [id]).drop("rank", "distance")
         hits = _second_pass(hits, q, df, k, space, query_id=query_id, query_vec=query_vec, id=id, vec=vec, join_on=extra,
-                            keep=keep, boost=boost, max_hits=q.count() * first, limits=limits)
+                            keep=keep, boost=boost, per_query=first, limits=limits)
         hits = hits.drop(*extra) if not set(extra) & set(keep) else hits
     rows = df.where(F.col(vec).isNotNull()).count() if explain or metrics else 0
     if metrics:

@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 
 from vicinal.functions.scores import to_score
 from vicinal.operators.blocks import METRIC_OF_SPACE, as_bytes, as_matrix, pair_distance
-from vicinal.operators.scan import Scan, merge_top_k, run_scan, top_k, with_score
+from vicinal.operators.scan import Scan, merge_top_k, query_block, run_scan, scan_pairs, top_k, with_score
 from vicinal.plans.limits import LIMITS, Limits, few_partitions, parallelism
 from vicinal.spec import SCORE_FORMULA, SpecError, check_k, check_radius
 
@@ -238,21 +238,29 @@ def page(hits: DataFrame, from_: int, size: int, rank: str = "rank") -> DataFram
 
 def rescore(hits: DataFrame, q: DataFrame, c: DataFrame, k: int, space: str = "l2", *, query_id: str = "query_id",
             query_vec: str = "query_vec", id: str = "id", vec: str = "vec", join_on=(), keep=(), boost: float = 1.0,
-            max_hits: int | None = None, limits: Limits = LIMITS) -> DataFrame:
+            per_query: int | None = None, limits: Limits = LIMITS) -> DataFrame:
     """Re-rank a candidate list by exact distance on the full vectors.
 
     Candidates meet their vectors through an equi-join on the id (and ``join_on``, e.g. the list number, so that
-    other lists are never read). The candidates are broadcast into it only when ``max_hits``, a proven bound on
-    their number, is small; otherwise Spark chooses the join.
+    other lists are never read). They are broadcast into it only when ``per_query``, the most candidates a query can
+    have, times the number of queries is small; otherwise Spark chooses the join. A query block within the limits
+    travels to the tasks, which keep k rows per query; a larger query side is joined in.
     """
     check_k(k)
     keys = [id, *join_on]
+    keep = tuple(n for n in keep if n not in keys)
     wanted = hits.select(query_id, *keys)
-    if max_hits is not None and max_hits <= limits.join_rows:
+    scan = Scan(METRIC_OF_SPACE[space], space, query_id, query_vec, id, vec, (id, *keep), (id,), k=k)
+    q = q.where(F.col(query_vec).isNotNull())
+    block, _ = query_block(scan, q, limits)
+    if block is not None and per_query is not None and block.num_rows * per_query <= limits.join_rows:
         wanted = F.broadcast(wanted)
-    keep = [n for n in keep if n not in keys]
     pairs = c.select(*keys, vec, *keep).where(F.col(vec).isNotNull()).join(wanted, keys)
-    queries = q.select(query_id, F.col(query_vec).alias("_query_vec"))
-    pairs = pairs.join(queries, query_id).withColumn("distance", pairwise_distance("_query_vec", vec, space))
-    hits = merge_top_k(pairs.select(query_id, id, *keep, "distance"), k, query_id, [id])
-    return with_score(hits, space, boost).select(query_id, id, "rank", "distance", "score", *keep)
+    if block is not None:
+        found = scan_pairs(scan, block, q, pairs)
+    else:
+        queries = q.select(query_id, F.col(query_vec).alias("_query_vec"))
+        pairs = pairs.join(queries, query_id).withColumn("distance", pairwise_distance("_query_vec", vec, space))
+        found = pairs.select(query_id, id, *keep, "distance")
+    found = merge_top_k(found, k, query_id, [id])
+    return with_score(found, space, boost).select(query_id, id, "rank", "distance", "score", *keep)

@@ -18,13 +18,14 @@ from typing import Callable
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from vicinal.functions.scores import score_array, to_score
-from vicinal.operators.blocks import Hits, Prepared, as_bytes, as_matrix, combined, scan_batch
+from vicinal.operators.blocks import Hits, Prepared, as_bytes, as_matrix, combined, pair_distance, scan_batch, to_words
 from vicinal.plans.limits import LIMITS, Limits, few_partitions, parallelism, query_cap, vector_length
 from vicinal.spec import SpecError
 
@@ -184,6 +185,35 @@ def _broadcast_scan(scan: Scan, q_table: pa.Table, q: DataFrame, c: DataFrame, l
     return few_partitions(c.select(*scan.corpus_columns)).mapInArrow(task, schema)
 
 
+def scan_pairs(scan: Scan, block: pa.Table, q: DataFrame, pairs: DataFrame) -> DataFrame:
+    """Exact distances of given (query, row) pairs against a broadcast query block; a task keeps k rows per query."""
+    schema = output_schema(scan, q, pairs)
+    arrow = to_arrow_schema(schema)
+    held = pairs.sparkSession.sparkContext.broadcast(block.combine_chunks())
+
+    def task(batches):
+        table = held.value
+        side, ids = _query_side(scan, table), combined(table.column(scan.query_id))
+        hits = Hits(side.n, scan.k, scan.order, None, None)
+        for batch in batches:
+            who = pc.index_in(batch.column(scan.query_id), value_set=ids)
+            if who.null_count:
+                keep = pc.is_valid(who)
+                batch, who = batch.filter(keep), who.filter(keep)
+            if not batch.num_rows:
+                continue
+            qi = who.to_numpy()
+            rows = _matrix(scan, batch.column(scan.vec))
+            rows = to_words(rows) if scan.metric == "hamming" else rows
+            raw = pair_distance(scan.metric, side.rows[qi], rows)
+            hits.push(qi, raw, pa.table({n: batch.column(n) for n in scan.columns}))
+        found = hits.result()
+        if found is not None:
+            yield from _shape(scan, table, found, arrow).to_batches(max_chunksize=10_000)
+
+    return pairs.select(scan.query_id, *scan.columns, scan.vec).mapInArrow(task, schema)
+
+
 def _cells(n: int, rows: int) -> int:
     return max(1, -(-n // max(1, rows)))
 
