@@ -244,3 +244,17 @@ def test_plan_shape(spark, tmp_path):
     plan = hits._jdf.queryExecution().toString()
     assert "CartesianProduct" not in plan and "NestedLoopJoin" not in plan
     assert "WindowGroupLimit" in plan and "EqualTo(label,1)" in plan and "unused" not in plan.split("== Physical Plan ==")[1]
+
+
+def test_two_step_merge(data, monkeypatch):
+    # As on a cluster with very many tasks: a first round over task groups comes before the final ranking.
+    from vicinal.operators import knn as knn_module
+    from vicinal.operators import scan
+
+    for module in (scan, knn_module):
+        monkeypatch.setattr(module, "parallelism", lambda spark: 10 ** 6)
+    q, c, qdf, cdf = data
+    hits = knn_join(qdf, cdf, 7)
+    assert "_salt" in hits._jdf.queryExecution().toString()
+    assert ids(hits) == nearest("l2", q, c, 7).tolist()
+    assert [r.id for r in knn(cdf, q[0].tolist(), 9).orderBy("distance", "id").collect()] == nearest("l2", q[:1], c, 9)[0].tolist()

@@ -10,8 +10,9 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from vicinal.functions.scores import score_array
-from vicinal.operators.blocks import METRIC_OF_SPACE, as_bytes, as_matrix, combined, pair_distance
+from vicinal.operators.blocks import METRIC_OF_SPACE, as_bytes, as_matrix, combined, pair_distance, to_words
 from vicinal.operators.scan import Scan, merge_top_k, run_scan
+from vicinal.operators.tokens import rows_and_cuts, token_scores
 from vicinal.plans.limits import LIMITS, Limits
 from vicinal.spec import SpecError, check_k
 
@@ -92,8 +93,6 @@ def mmr(hits: DataFrame, size: int = 10, diversity: float = 0.5, candidates: int
         group = group.sort_by([(rank, "ascending")]).combine_chunks()
         vectors = as_bytes(group.column("_vec")) if packed else as_matrix(group.column("_vec"))
         if packed:
-            from vicinal.operators.blocks import to_words
-
             vectors = to_words(vectors)
         scores = group.column(score).to_numpy().astype(np.float64)
         picked, trail = _select(vectors, scores, size, diversity, space)
@@ -122,36 +121,6 @@ def _check_late(space: str) -> str:
     return METRIC_OF_SPACE[space]
 
 
-def _rows_and_cuts(column):
-    """Inner vectors of an array-of-vectors column as one matrix, with the row each belongs to.
-    Null and empty inner vectors are skipped."""
-    arr = combined(column)
-    inner = arr.flatten()
-    owner = np.repeat(np.arange(len(arr)), np.nan_to_num(np.asarray(
-        arr.value_lengths().to_numpy(zero_copy_only=False), dtype=float)).astype(int))
-    lengths = np.nan_to_num(inner.value_lengths().to_numpy(zero_copy_only=False).astype(float))
-    real = lengths > 0
-    if not real.all():
-        inner, owner = inner.filter(pa.array(real)), owner[real]
-    return as_matrix(inner), owner
-
-
-def _token_scores(a: np.ndarray, b: np.ndarray, metric: str, space: str) -> np.ndarray:
-    a, b = a.astype(np.float64), b.astype(np.float64)
-    if metric == "l2":
-        # Centring first keeps the expanded form accurate for vectors far from the origin.
-        mid = a.mean(axis=0)
-        a, b = a - mid, b - mid
-        raw = np.maximum((a * a).sum(1)[:, None] + (b * b).sum(1)[None, :] - 2 * (a @ b.T), 0.0)
-    else:
-        if metric == "cos":
-            a, b = (m / np.where((n := np.sqrt((m * m).sum(1))) > 0, n, 1.0)[:, None] for m in (a, b))
-        raw = -(a @ b.T)
-        if metric == "cos":
-            raw += 1.0
-    return score_array(raw, space)
-
-
 def late_interaction(query_vectors, vecs, space: str = "l2") -> Column:
     """Sum over the query's vectors of the best score among the row's vectors.
 
@@ -173,7 +142,7 @@ def late_interaction(query_vectors, vecs, space: str = "l2") -> Column:
 
     @F.arrow_udf("double")
     def pairwise(left: pa.Array, right: pa.Array) -> pa.Array:
-        rows, owner = _rows_and_cuts(left)
+        rows, owner = rows_and_cuts(left)
         if len(np.unique(owner)) < len(left):
             raise ValueError("query vectors must not be empty")
         return _late_rows(rows, owner, right, metric, space)
@@ -186,13 +155,13 @@ def _late_rows(q_rows, q_owner, column, metric, space) -> pa.Array:
     lengths = np.nan_to_num(np.asarray(combined(column).value_lengths().to_numpy(zero_copy_only=False), dtype=float))
     if (lengths == 0).any():
         raise ValueError("document vectors must not be null or empty")
-    d_rows, d_owner = _rows_and_cuts(column)
+    d_rows, d_owner = rows_and_cuts(column)
     out = np.zeros(n)
     for i in range(n):
         mine = d_rows[np.searchsorted(d_owner, i):np.searchsorted(d_owner, i, "right")]
         theirs = q_rows[np.searchsorted(q_owner, i):np.searchsorted(q_owner, i, "right")]
         if len(mine):
-            out[i] = _token_scores(theirs, mine, metric, space).max(axis=1).sum()
+            out[i] = token_scores(theirs, mine, metric, space).max(axis=1).sum()
     return pa.array(out)
 
 
@@ -206,46 +175,3 @@ def late_interaction_join(q: DataFrame, d: DataFrame, k: int, space: str = "l2",
     usable = d.where(F.exists(vecs, lambda v: F.coalesce(F.size(v), F.lit(0)) > 0))
     hits = merge_top_k(run_scan(scan, q, usable, limits=limits), k, query_id, [id])
     return hits.withColumn("score", -F.col("distance")).select(query_id, id, "rank", "score", *[n for n in keep if n != id])
-
-
-def _by_tokens(batches, vec: str, most: int):
-    """The batches cut so that a piece holds about ``most`` inner vectors."""
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        ends = np.cumsum(combined(batch.column(vec)).value_lengths().to_numpy(zero_copy_only=False))
-        at = 0
-        while at < batch.num_rows:
-            base = ends[at - 1] if at else 0
-            stop = max(at + 1, int(np.searchsorted(ends, base + most, "right")))
-            yield batch.slice(at, stop - at)
-            at = stop
-
-
-def compare_token_sets(scan: Scan, q_table: pa.Table, batches, hits) -> None:
-    """Task side of ``late_interaction_join``: all token pairs of a batch in blocks, reduced to one score per pair
-    of rows before anything is kept."""
-    metric = METRIC_OF_SPACE[scan.space]
-    q_rows, q_owner = _rows_and_cuts(q_table.column(scan.query_vec))
-    n_q = q_table.num_rows
-    if len(np.unique(q_owner)) < n_q:
-        raise ValueError("query vectors must not be empty")
-    starts = np.searchsorted(q_owner, np.arange(n_q))
-    ends = np.append(starts[1:], len(q_rows))
-    for batch in _by_tokens(batches, scan.vec, 20_000):
-        d_rows, d_owner = _rows_and_cuts(batch.column(scan.vec))
-        d_starts = np.searchsorted(d_owner, np.arange(batch.num_rows))
-        table = pa.table({c: batch.column(c) for c in dict.fromkeys([*scan.columns, *scan.order])})
-        at = 0
-        while at < n_q:
-            # As many whole queries as keep the token block small.
-            stop = max(at + 1, int(np.searchsorted(ends, starts[at] + max(1, 2_000_000 // len(d_rows)), "right")))
-            block = _token_scores(q_rows[starts[at]:ends[stop - 1]], d_rows, metric, scan.space)
-            best = np.maximum.reduceat(block, d_starts, axis=1)
-            total = -np.add.reduceat(best, starts[at:stop] - starts[at], axis=0)
-            bound = hits.tau[at:stop]
-            if total.shape[1] > hits.k:
-                bound = np.minimum(bound, np.partition(total, hits.k - 1, axis=1)[:, hits.k - 1])
-            qi, ci = np.nonzero(total <= bound[:, None])
-            hits.push(qi + at, total[qi, ci], table.take(pa.array(ci)))
-            at = stop

@@ -26,6 +26,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 
 from vicinal.functions.scores import score_array, to_score
 from vicinal.operators.blocks import Hits, Prepared, as_bytes, as_matrix, combined, pair_distance, scan_batch, to_words
+from vicinal.operators.tokens import compare_token_sets
 from vicinal.plans.limits import LIMITS, Limits, few_partitions, parallelism, query_cap, vector_length
 from vicinal.spec import SpecError
 
@@ -105,8 +106,6 @@ def _limits(scan: Scan, table: pa.Table):
 def _compare(scan: Scan, q_table: pa.Table, batches, lists: dict | None = None):
     """Run one task's corpus batches against one query block; yields result tables."""
     if scan.metric == "maxsim":
-        from vicinal.operators.rerank import compare_token_sets
-
         hits = Hits(q_table.num_rows, scan.k, scan.order, None, None)
         compare_token_sets(scan, q_table, batches, hits)
         table = hits.result()
