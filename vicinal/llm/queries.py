@@ -24,3 +24,21 @@ def op2_simhash_near_dedup(spark, sf_dir):
 
     got = near_duplicates(table(spark, sf_dir, "documents"), radius=3, width=3, seed=42)
     return got.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
+@registered
+def op6_toxicity(spark, sf_dir):
+    from .toxicity import held_out, score, train
+
+    docs = table(spark, sf_dir, "documents")
+    model = train(docs, table(spark, sf_dir, "labels"))
+    return score(docs, model).select(
+        "doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+@registered
+def op4_secret_scan(spark, sf_dir):
+    from .secrets import scan
+
+    return scan(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_assign", "n_access", "n_hex", F.sha2("base", 256).alias("base_sha256"), "spans", "n_named")
