@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .mixing import MIX_SQL
+
 REGISTRY: dict = {}
 ORACLES: dict[str, str] = {}
 
@@ -42,3 +44,24 @@ def op4_secret_scan(spark, sf_dir):
 
     return scan(table(spark, sf_dir, "documents")).select(
         "doc_id", "n_assign", "n_access", "n_hex", F.sha2("base", 256).alias("base_sha256"), "spans", "n_named")
+
+
+@registered
+def op3_mixing(spark, sf_dir):
+    from .mixing import mixed
+
+    return mixed(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+
+
+ORACLES["op3_mixing"] = MIX_SQL
+
+
+@registered
+def op1_sentencepiece(spark, sf_dir):
+    from .pieces import decode, encode, load
+
+    pieces = load()
+    ids = encode(table(spark, sf_dir, "documents"), pieces, keep=["doc_id", "text"])
+    both = decode(ids, pieces, text="decoded")
+    return both.select("doc_id", "ids", F.size("ids").alias("n_pieces"), F.sha2("decoded", 256).alias("decoded_sha256"),
+                       (F.col("decoded") == F.coalesce("text", F.lit(""))).alias("same"))
