@@ -84,3 +84,10 @@ def op7_chat_format(spark, sf_dir):
 
 
 ORACLES["op7_chat_format"] = CHAT_SQL
+
+
+@registered
+def op10_embedding_near_dedup(spark, sf_dir):
+    from .embeddings import near_duplicates
+
+    return near_duplicates(table(spark, sf_dir, "embeddings"))
