@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from .chat import CHAT_SQL
 from .mixing import MIX_SQL
+from .topk import TOPK_SQL
 
 REGISTRY: dict = {}
 ORACLES: dict[str, str] = {}
@@ -91,3 +92,14 @@ def op10_embedding_near_dedup(spark, sf_dir):
     from .embeddings import near_duplicates
 
     return near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
+@registered
+def op5_topk_search(spark, sf_dir):
+    from .topk import nearest, sign_code
+
+    rows = table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("id"), sign_code(F.col("embedding")).alias("code"))
+    return nearest(rows.where("id % 100 = 0"), rows, 10).select("query_id", "rank", F.col("id").alias("vec_id"), "distance")
+
+
+ORACLES["op5_topk_search"] = TOPK_SQL
