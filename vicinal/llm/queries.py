@@ -103,3 +103,10 @@ def op5_topk_search(spark, sf_dir):
 
 
 ORACLES["op5_topk_search"] = TOPK_SQL
+
+
+@registered
+def op9_paragraph_dedup(spark, sf_dir):
+    from .paragraphs import repeats
+
+    return repeats(table(spark, sf_dir, "documents"))
