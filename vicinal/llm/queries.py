@@ -110,3 +110,10 @@ def op9_paragraph_dedup(spark, sf_dir):
     from .paragraphs import repeats
 
     return repeats(table(spark, sf_dir, "documents"))
+
+
+@registered
+def op8_suffix_dedup(spark, sf_dir):
+    from .substrings import without_repeats
+
+    return without_repeats(table(spark, sf_dir, "documents")).drop("kept")
