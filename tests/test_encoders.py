@@ -238,3 +238,24 @@ def test_wrong_mode_for_the_codes(recall_data):
     for mode in ("pq", "ivf", "adc"):
         with pytest.raises(SpecError):
             knn_join(q, index, 1, mode=mode)
+
+
+def test_missing_vectors_stay_missing(spark):
+    df = spark.createDataFrame([(0, [1.0, -2.0]), (1, None), (2, [3.0, 4.0])], "id int, vec array<float>")
+    from vicinal.operators import encoders as E
+    from vicinal.sources.vectors import packed_bits, unpacked_bits
+
+    q = Q.fit_scalar_quantizer(df, 2)
+    out = df.select("id", E.rotate("vec", E.random_rotation(2)).alias("a"), E.to_fp16("vec").alias("b"), q.decoded(q.column("vec")).alias("c"),
+                    E.adc_column(Q.fit_scalar_quantizer(df, 1), "vec", "l2").alias("d"), packed_bits("vec").alias("e"), unpacked_bits(packed_bits("vec")).alias("f"))
+    for r in out.collect():
+        assert all((v is None) == (r.id == 1) for v in r[1:])
+        assert r.id == 1 or len(r.c) == 4         # both planes of both dimensions
+
+
+def test_training_sees_all_rows_unless_a_sample_is_asked_for(spark):
+    from pyspark.sql import functions as F
+
+    df = spark.range(26_000).select("id", F.array((F.col("id") >= 25_500).cast("float")).alias("vec"))
+    assert Q.fit_scalar_quantizer(df, 1).thresholds[0][0] == pytest.approx(500 / 26_000)
+    assert Q.fit_scalar_quantizer(df, 1, sample=1000).thresholds[0][0] != pytest.approx(500 / 26_000)

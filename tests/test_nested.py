@@ -84,3 +84,21 @@ def test_expanding_needs_a_nested_table(spark):
     flat = spark.createDataFrame([(1, [1.0])], "id bigint, vec array<float>")
     with pytest.raises(SpecError):
         nested_knn(query(spark, [1]), flat, 1, expand=True)
+
+
+@pytest.mark.parametrize("mode", ["exact", "binary"])
+@pytest.mark.parametrize("expand", [False, True])
+def test_conditions_hold_in_every_form(spark, mode, expand):
+    c, q = uniform(120, 8, 3), uniform(6, 8, 4)
+    rows = spark.createDataFrame([(i // 4, i % 4, c[i].tolist(), i % 3) for i in range(120)], "parent_id int, child_pos int, vec array<float>, label int")
+    asked = query(spark, *q).withColumn("want", (F.col("query_id") % 3).cast("int"))
+    model = Model(VectorSpec(8, encoder="binary", params={"bits": 1}), fit_scalar_quantizer(rows, 1, id="parent_id"), id="parent_id")
+    table = rows if mode == "exact" else Index(model.encode(rows), model)
+    names = dict(mode=mode, **({} if mode == "exact" else dict(rescore=100)))
+    got = nested_knn(asked, table, 5, expand=expand, on=[("want", "label")], **names).collect()
+    d = distances("l2", q, c)
+    for i in range(6):
+        best = sorted((min(d[i, j] for j in range(4 * p, 4 * p + 4) if j % 3 == i % 3), p) for p in range(30) if any(j % 3 == i % 3 for j in range(4 * p, 4 * p + 4)))[:5]
+        want = {(p, j % 4) for _, p in best for j in range(4 * p, 4 * p + 4) if j % 3 == i % 3}
+        mine = {(r.parent_id, r.child_pos) for r in got if r.query_id == i}
+        assert mine == want if expand else {p for p, _ in mine} == {p for _, p in best}

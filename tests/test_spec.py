@@ -90,11 +90,11 @@ def test_size_estimate():
 
 def test_choice_rules():
     args = dict(filtered=True, threshold=None, built=True)
-    assert choose(0, 10, 64, **args)[0] == "empty"
-    assert choose(10, 10, 64, **args)[0] == "exact"
-    assert choose(32_000, 10, 64, **args)[0] == "exact"
-    assert choose(32_001, 10, 64, **args)[0] == "approximate"
-    assert choose(500, 10, 64, filtered=True, threshold=499, built=True)[0] == "approximate"
-    assert choose(500, 10, 64, filtered=True, threshold=500, built=True)[0] == "exact"
-    assert choose(500, 10, 64, filtered=False, threshold=None, built=True)[0] == "approximate"
-    assert choose(500, 10, 64, filtered=False, threshold=None, built=False)[0] == "exact"
+    assert choose(0, 10, **args)[0] == "empty"
+    assert choose(10, 10, **args)[0] == "exact"
+    # Without a threshold of the caller's, size decides nothing.
+    assert choose(11, 10, **args)[0] == choose(1 << 40, 10, **args)[0] == "approximate"
+    assert choose(500, 10, filtered=True, threshold=499, built=True)[0] == "approximate"
+    assert choose(500, 10, filtered=True, threshold=500, built=True)[0] == "exact"
+    assert choose(500, 10, filtered=False, threshold=None, built=True)[0] == "approximate"
+    assert choose(500, 10, filtered=False, threshold=None, built=False)[0] == "exact"

@@ -84,8 +84,16 @@ def test_index_round_trip_and_changes(spark, corpus, tmp_path):
     assert sorted(r.id for r in hits) == [0, 500] and all(r.distance == 0 for r in hits)
     before = sorted(map(tuple, index.df.select("id", "vec", "list_id").collect()))
     # Writing the same change again changes nothing.
-    again = X.apply_changes(spark, path, fresh, spark.createDataFrame([(3,), (4,)], "id bigint"), seq=1)
-    assert sorted(map(tuple, again.df.select("id", "vec", "list_id").collect())) == before
+    named = dict(writer="w", batch=0)
+    for _ in range(2):
+        again = X.apply_changes(spark, path, fresh, spark.createDataFrame([(3,), (4,)], "id bigint"), **named)
+    assert sorted(map(tuple, again.df.select("id", "vec", "list_id").collect())) == before and X.commits(spark, path).count() == 3
+    # What a job left behind that was lost before its commit is not read.
+    X._write(fresh, again.model, path, "lost", encode=True)
+    fresh.select("id").withColumn("at", F.lit(None).cast("double")).write.parquet(f"{path}/gone/change=lost")
+    assert sorted(map(tuple, X.open_index(spark, path).df.select("id", "vec", "list_id").collect())) == before
+    with pytest.raises(SpecError):
+        X.write_index(corpus, again.model, path)
     # A deleted id may come back.
     back = X.apply_changes(spark, path, table(spark, {3: [8] * 8}).withColumn("label", F.lit(1)))
     assert back.df.where("id = 3").count() == 1 and back.df.count() == 200
@@ -116,10 +124,10 @@ def test_a_hot_list_is_spread_over_files(spark, tmp_path):
     assert stats.row_count.sum() == 300 and stats.share.sum() == pytest.approx(1.0)
 
 
-def test_small_tables_stay_plain(spark, corpus, tmp_path):
+def test_plain_tables(spark, corpus, tmp_path):
     model = M.fit_model(corpus, IVF, iterations=1)
-    for n, threshold, plain in ((0, 201, True), (1, 200, False), (2, -1, True), (3, 0, False)):
-        index = X.write_index(corpus, model, str(tmp_path / f"t{n}"), approximate_threshold=threshold)
+    for n, plain in enumerate((True, False)):
+        index = X.write_index(corpus, model, str(tmp_path / f"t{n}"), plain=plain)
         assert (index.model.centroids is None) == plain == ("list_id" not in index.df.columns)
 
 
@@ -127,17 +135,25 @@ def test_auto_mode(spark, corpus, tmp_path):
     q = query(spark, *uniform(10, 8, 2))
     index = X.write_index(corpus, M.fit_model(corpus, VectorSpec(8, method="ivf", params={"nlist": 20, "nprobes": 1}), iterations=3), str(tmp_path / "i"))
     auto = dict(mode="auto", explain=True, metrics=True)
-    exact = knn_join(q, index, 5, filter="label = 1", **auto)
+    exact = knn_join(q, index, 5, filter="label = 1", threshold=67, **auto)
     assert {r.explain.search_type for r in exact.collect()} == {"Exact"} and exact.first().exact_count == 67
     assert ids(exact) == ids(knn_join(q, corpus, 5, filter="label = 1"))
     assert knn_join(q, index, 5, filter="label = 9", **auto).count() == 0
     few = knn_join(q, index, 100, filter="label = 1", **auto)
-    assert few.count() == 670 and "less than or equal to k" in few.first().explain.reason
+    assert few.count() == 670 and "all of which are hits" in few.first().explain.reason
     ann = knn_join(q, index, 2, filter="label = 1", threshold=10, **auto)
     assert "Approximate-NN" in {r.explain.search_type for r in ann.collect()} and ann.count() == 20
     # Lists hold about ten rows, so most queries fall back.
     full = knn_join(q, index, 60, **auto)
     assert full.count() == 600
+    asked = q.withColumn("want", (F.col("query_id") % 3).cast("int"))
+    for how in (dict(mode="auto"), dict(mode="auto", threshold=1000), dict(mode="ivf", fill="exact")):
+        got = knn_join(asked, index, 60, on=[("want", "label")], keep=["label"], **how)
+        assert got.count() == 600 and got.where("label <> query_id % 3").count() == 0
+    filled = knn_join(q, index, 60, mode="ivf", fill="exact")
+    assert ids(filled) == ids(full.drop("explain"))
+    with pytest.raises(SpecError):
+        knn_join(q, corpus, 5, fill="exact")
     short = knn_join(q, index, 60, fallback=False, **auto)
     assert short.count() < 600
 
@@ -166,6 +182,8 @@ def test_model_life_cycle(spark, corpus, tmp_path):
         M.drop_model(spark, path, "a")
     bits = M.train_model(corpus, "d", IVF, path, quantize_bits=1, max_training_vectors=100, iterations=2)
     assert bits.centroids.min() >= 0 and bits.centroids.max() <= 1
+    wide = M.train_model(corpus, "e", IVF, path, quantize_bits=2, iterations=1)
+    assert wide.centroids.shape[1] == 16 == M.load_model(spark, path, "e").spec.dimension
 
 
 @pytest.mark.parametrize("spec", [VectorSpec(8, encoder="binary", params={"bits": 2, "random_rotation": True}), VectorSpec(8, encoder="sq1"),
@@ -195,7 +213,20 @@ def test_streams(spark, corpus, tmp_path):
     spark.createDataFrame([(1, [5.0] * 8, 0, "upsert", 1), (1, [6.0] * 8, 0, "upsert", 2), (2, None, 0, "delete", 1), (3, None, 0, "delete", 1),
                            (3, [7.0] * 8, 0, "upsert", 2)], change).coalesce(1).write.parquet(at("changes"))
     changes = spark.readStream.schema(change).parquet(at("changes"))
-    T.stream_changes(changes, at("index"), at("c2"), first_seq=X.next_seq(spark, at("index"))).awaitTermination()
+    # A second writer in between, and a batch change, lose nothing.
+    X.apply_changes(spark, at("index"), table(spark, {199: [4] * 8}).withColumn("label", F.lit(2)))
+    T.stream_changes(changes, at("index"), at("c2")).awaitTermination()
+    assert X.open_index(spark, at("index")).df.where("id = 199").first().vec[0] == 4.0
+    # Rows that are older than what was applied come too late; an unknown change stops the stream.
+    spark.createDataFrame([(1, [1.0] * 8, 0, "upsert", 1), (2, [2.0] * 8, 0, "upsert", 0), (3, None, 0, "delete", 1)], change).coalesce(1).write.mode("append").parquet(at("changes"))
+    T.stream_changes(changes, at("index"), at("c2")).awaitTermination()
+    spark.createDataFrame([(1, None, 0, "remove", 9)], change).coalesce(1).write.parquet(at("odd"))
+    with pytest.raises(Exception, match="unknown change"):
+        T.stream_changes(spark.readStream.schema(change).parquet(at("odd")), at("index"), at("c4")).awaitTermination()
+    # An id that is stored is replaced by the append stream.
+    table(spark, {150: [3] * 8}).withColumn("label", F.lit(1)).select(corpus.columns).coalesce(1).write.mode("append").parquet(at("in"))
+    T.stream_into_index(stream, at("index"), at("c1"), bad_rows=at("bad")).awaitTermination()
+    assert [r.vec[0] for r in X.open_index(spark, at("index")).df.where("id = 150").collect()] == [3.0]
     index = X.open_index(spark, at("index"))
     assert index.df.count() == 199
     assert {r.id: r.vec[0] for r in index.df.where("id in (1, 2, 3)").collect()} == {1: 6.0, 3: 7.0}

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from vicinal.functions.scores import score_to_threshold, to_score
 from vicinal.operators.blocks import METRIC_OF_SPACE, as_bytes, as_matrix, list_array
 from vicinal.operators.encoders import ADC_METRIC, nearest_centroid, nearest_centroids
-from vicinal.operators.knn import conditions, explanation, pairwise_distance, rescore
+from vicinal.operators.knn import conditions, explanation, hit_schema, knn_join, pairwise_distance, rescore
 from vicinal.operators.scan import Scan, merge_top_k, run_scan, with_score
 from vicinal.plans.limits import LIMITS, Limits
 from vicinal.spec import IVF_LIMIT, SpecError, check_k, check_radius, first_pass_k, resolve_rescore
@@ -106,9 +106,16 @@ def code_scan(index: Index, mode: str, space: str, query_id: str, query_vec: str
 def approx_join(q: DataFrame, index: Index, k: int, *, mode: str, space: str = "l2", query_id: str = "query_id",
                 query_vec: str = "query_vec", filter: Column | str | None = None, on=None, keep=(), boost: float = 1.0,
                 candidates: int | None = None, rescore=None, nprobes: int | None = None, explain: bool = False,
-                metrics: bool = False, limits: Limits = LIMITS) -> DataFrame:
+                metrics: bool = False, ignore_unmapped: bool = False, fill: str | None = None, limits: Limits = LIMITS) -> DataFrame:
     check_k(k)
     model = index.model
+    if model.vec not in index.df.columns:
+        if ignore_unmapped:
+            return q.sparkSession.createDataFrame([], hit_schema(q, index.df, query_id, model.id, keep))
+        raise SpecError(f"column {model.vec!r} is not in the table")
+    if fill is not None:
+        return _filled_join(q, index, k, fill, mode=mode, space=space, query_id=query_id, query_vec=query_vec, filter=filter, on=on, keep=keep,
+                            boost=boost, candidates=candidates, rescore=rescore, nprobes=nprobes, explain=explain, metrics=metrics, limits=limits)
     df = index.df if filter is None else index.df.where(filter)
     id, vec = model.id, model.vec
     by_codes = model.encoder is not None
@@ -162,6 +169,22 @@ def approx_join(q: DataFrame, index: Index, k: int, *, mode: str, space: str = "
 _second_pass = rescore
 
 
+def _filled_join(q, index: Index, k: int, fill: str, *, filter, query_id, query_vec, on, space, keep, boost, explain, metrics, limits, **how) -> DataFrame:
+    """An index search whose queries with fewer than k hits are answered again exactly, if k rows pass the filter."""
+    from vicinal.plans.choice import filled
+    from vicinal.plans.limits import cut
+
+    if fill != "exact":
+        raise SpecError("fill must be 'exact'")
+    model = index.model
+    names = dict(query_id=query_id, query_vec=query_vec, on=on, keep=keep, boost=boost, explain=explain, metrics=metrics, limits=limits)
+    found = cut(approx_join(q, index, k, space=space, filter=filter, **names, **how))
+    df = index.df if filter is None else index.df.where(filter)
+    want = min(k, df.where(F.col(model.vec).isNotNull()).count())
+    kept, again = filled(found, q, want, query_id, lambda short: knn_join(short, df, k, space, id=model.id, vec=model.vec, **names))
+    return kept if again is None else kept.unionByName(again)
+
+
 def radius_approx(q: DataFrame, index: Index, *, max_distance=None, min_score=None, space: str = "l2",
                   max_results: int | None = None, query_id: str = "query_id", query_vec: str = "query_vec", filter=None,
                   boost: float = 1.0, limits: Limits = LIMITS) -> DataFrame:

@@ -72,6 +72,16 @@ def list_array(rows: np.ndarray, kind=None) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(np.arange(n + 1, dtype=np.int32) * dim), values)
 
 
+def where_valid(values: pa.Array, kind: pa.DataType, f) -> pa.Array:
+    """``f`` of the values that are there; null for the others."""
+    there = values.drop_null()
+    if not len(there):
+        return pa.nulls(len(values), kind)
+    out = f(there)
+    valid = values.is_valid().to_numpy(zero_copy_only=False)
+    return out if valid.all() else out.take(pa.array(np.cumsum(valid) - 1, mask=~valid))
+
+
 def to_words(codes: np.ndarray) -> np.ndarray:
     """Packed bytes as 64-bit words, zero-filled at the end."""
     n, width = codes.shape

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from vicinal.operators.blocks import METRIC_OF_SPACE, as_bytes, as_matrix, binary_array, list_array
+from vicinal.operators.blocks import METRIC_OF_SPACE, as_bytes, as_matrix, binary_array, list_array, where_valid
 from vicinal.spec import FP16_MAX, ROTATION_SEED, SpecError
 
 
@@ -46,24 +46,17 @@ class Encoder:
 
         @F.arrow_udf("binary")
         def run(values: pa.Array) -> pa.Array:
-            there = values.drop_null()
-            if not len(there):
-                return pa.nulls(len(values), pa.binary())
-            codes = binary_array(encode(as_matrix(there).astype(np.float64)))
-            if len(there) == len(values):
-                return codes
-            at = np.cumsum(values.is_valid().to_numpy(zero_copy_only=False)) - 1
-            return codes.take(pa.array(at, mask=~values.is_valid().to_numpy(zero_copy_only=False)))
+            return where_valid(values, pa.binary(), lambda v: binary_array(encode(as_matrix(v).astype(np.float64))))
 
         return run(F.col(vec) if isinstance(vec, str) else vec)
 
     def decoded(self, code, space: str = "l2") -> Column:
-        """The approximate vector of a code column."""
+        """The approximate vector of a code column; null stays null."""
         decode = self.decode_rows
 
         @F.arrow_udf("array<double>")
         def run(codes: pa.Array) -> pa.Array:
-            return list_array(decode(as_bytes(codes), space).astype(np.float64))
+            return where_valid(codes, pa.list_(pa.float64()), lambda v: list_array(decode(as_bytes(v), space).astype(np.float64)))
 
         return run(F.col(code) if isinstance(code, str) else code)
 
@@ -95,8 +88,8 @@ class BitQuantizer(Encoder):
         return np.packbits(planes.reshape(len(rows), -1), axis=1)
 
     def decode_rows(self, codes, space):
-        dim = self.thresholds.shape[1]
-        return np.unpackbits(codes, axis=1)[:, :dim].astype(np.float32)
+        """One value a bit: all planes, ``bits * dim`` of them."""
+        return np.unpackbits(codes, axis=1)[:, :self.thresholds.size].astype(np.float32)
 
     def metric(self, space):
         return "hamming"
@@ -127,7 +120,7 @@ def adc_column(quantizer: BitQuantizer, vec, space: str) -> Column:
 
     @F.arrow_udf("array<double>")
     def run(values: pa.Array) -> pa.Array:
-        return list_array(quantizer.adc_query(as_matrix(values), space))
+        return where_valid(values, pa.list_(pa.float64()), lambda v: list_array(quantizer.adc_query(as_matrix(v), space)))
 
     return run(F.col(vec) if isinstance(vec, str) else vec)
 
@@ -336,7 +329,7 @@ def random_rotation(dim: int, seed: int = ROTATION_SEED) -> np.ndarray:
 def rotate(vec, matrix: np.ndarray) -> Column:
     @F.arrow_udf("array<double>")
     def run(values: pa.Array) -> pa.Array:
-        return list_array(as_matrix(values).astype(np.float64) @ matrix.T)
+        return where_valid(values, pa.list_(pa.float64()), lambda v: list_array(as_matrix(v).astype(np.float64) @ matrix.T))
 
     return run(F.col(vec) if isinstance(vec, str) else vec)
 
@@ -347,7 +340,8 @@ def to_fp16(vec, clip: bool = False) -> Column:
 
     @F.arrow_udf("array<float>")
     def run(values: pa.Array) -> pa.Array:
-        return list_array(code.decode_rows(code.encode_rows(as_matrix(values).astype(np.float64)), "l2"))
+        return where_valid(values, pa.list_(pa.float32()), lambda v: list_array(
+            code.decode_rows(code.encode_rows(as_matrix(v).astype(np.float64)), "l2").astype(np.float32)))
 
     return run(F.col(vec) if isinstance(vec, str) else vec)
 

@@ -9,7 +9,7 @@ from vicinal.operators.blocks import METRIC_OF_SPACE
 from vicinal.operators.knn import conditions, pairwise_distance
 from vicinal.operators.scan import Scan, run_scan, top_k, with_score
 from vicinal.plans.limits import LIMITS, Limits
-from vicinal.spec import SpecError, check_k, check_radius, first_pass_k
+from vicinal.spec import SpecError, check_k, check_radius, first_pass_k, resolve_rescore
 
 
 def explode_children(df: DataFrame, id: str, children: str, *, parent: str = "parent_id", pos: str = "child_pos",
@@ -38,15 +38,20 @@ def _best_child(hits: DataFrame, query_id: str, parent: str, pos: str, extra=())
 
 
 def siblings(winners: DataFrame, q: DataFrame, children: DataFrame, space: str, *, query_id: str, query_vec: str, parent: str,
-             pos: str, vec: str, keep=(), max_hits: int | None = None, limits: Limits = LIMITS) -> DataFrame:
-    """Every child of the winning parents with its own distance: an equi-join on the parent."""
+             pos: str, vec: str, keep=(), conds=(), max_hits: int | None = None, limits: Limits = LIMITS) -> DataFrame:
+    """Every child of the winning parents that meets ``conds`` with the query, with its own distance: an equi-join on
+    the parent."""
     wanted = winners.select(query_id, parent, *([] if "rank" not in winners.columns else ["rank"]))
     if max_hits is not None and max_hits <= limits.join_rows:
         wanted = F.broadcast(wanted)
-    rows = children.where(F.col(vec).isNotNull()).select(parent, pos, vec, *keep).join(wanted, parent)
-    queries = q.select(query_id, F.col(query_vec).alias("_query_vec"))
-    return rows.join(queries, query_id).withColumn("distance", pairwise_distance("_query_vec", vec, space)).drop(
-        "_query_vec", vec)
+    tests = [(F.col(left).alias(f"_q{n}"), F.col(right).alias(f"_c{n}")) for n, (left, _, right) in enumerate(conds)]
+    rows = children.where(F.col(vec).isNotNull()).select(parent, pos, vec, *keep, *[c for _, c in tests]).join(wanted, parent)
+    queries = q.select(query_id, F.col(query_vec).alias("_query_vec"), *[a for a, _ in tests])
+    pairs = rows.join(queries, query_id)
+    for n, (_, op, _) in enumerate(conds):
+        pairs = pairs.where(F.expr(f"_q{n} {op} _c{n}"))
+    return pairs.withColumn("distance", pairwise_distance("_query_vec", vec, space)).drop(
+        "_query_vec", vec, *[f"_{side}{n}" for n in range(len(conds)) for side in "qc"])
 
 
 def nested_knn(q: DataFrame, children, k: int, space: str = "l2", *, expand: bool = False, child_filter=None,
@@ -61,7 +66,7 @@ def nested_knn(q: DataFrame, children, k: int, space: str = "l2", *, expand: boo
     re-scores all filtered siblings of the candidates on their full vectors.
     """
     check_k(k)
-    index = None
+    index, conds = None, conditions(on)
     if mode != "exact":
         index, children = children, children.df
     if parent not in children.columns:
@@ -70,24 +75,24 @@ def nested_knn(q: DataFrame, children, k: int, space: str = "l2", *, expand: boo
     names = dict(query_id=query_id, query_vec=query_vec, parent=parent, pos=pos, vec=vec)
     if mode == "exact":
         scan = Scan(METRIC_OF_SPACE[space], space, query_id, query_vec, parent, vec, (parent, pos), (parent, pos), k=k,
-                    group=parent, conds=conditions(on))
+                    group=parent, conds=conds)
         hits = _best_child(run_scan(scan, q, children, limits=limits), query_id, parent, pos)
     else:
         from vicinal.operators.approx import code_scan
 
-        factor = 1.0 if rescore in (None, True, False) else float(rescore)
-        first = k if rescore is False else first_pass_k(k, factor)
-        scan = code_scan(index, mode, space, query_id, query_vec, parent, (parent, pos), (parent, pos), first, group=parent)
+        user = resolve_rescore(index.model.spec, rescore) if rescore is not None else index.model.default_rescore(mode)
+        first = k if rescore is False else first_pass_k(k, user.oversample if user else 1.0)
+        scan = code_scan(index, mode, space, query_id, query_vec, parent, (parent, pos), (parent, pos), first, group=parent, conds=conds)
         hits = _best_child(run_scan(scan, q, children, limits=limits), query_id, parent, pos)
         if rescore is not False:
             hits = top_k(hits, first, query_id, [parent])
-            again = siblings(hits.drop("rank"), q, children, space, max_hits=q.count() * first, limits=limits, **names)
+            again = siblings(hits.drop("rank"), q, children, space, conds=conds, max_hits=q.count() * first, limits=limits, **names)
             hits = _best_child(again, query_id, parent, pos)
     best = top_k(hits, k, query_id, [parent])
     shown = "hamming" if mode == "binary" and rescore is False else space
     if not expand:
         return with_score(best, shown, boost).select(query_id, parent, pos, "rank", "distance", "score")
-    rows = siblings(best, q, children, space, keep=keep, max_hits=q.count() * k, limits=limits, **names)
+    rows = siblings(best, q, children, space, keep=keep, conds=conds, max_hits=q.count() * k, limits=limits, **names)
     return with_score(rows, space, boost).select(query_id, parent, pos, "rank", "distance", "score", *keep)
 
 

@@ -106,10 +106,18 @@ def mmr(hits: DataFrame, size: int = 10, diversity: float = 0.5, candidates: int
         return pa.table([c.cast(f.type) for c, f in zip(columns, arrow)], schema=arrow)
 
     out = pool.groupBy(query_id).applyInArrow(task, schema)
-    root = vector_path.split(".")[0]
-    if not keep_vector and "." not in vector_path and root in out.columns:
-        out = out.drop(root)
-    return out
+    return out if keep_vector else without_path(out, vector_path)
+
+
+def without_path(df: DataFrame, path: str) -> DataFrame:
+    """The table without a column or a field inside structs; a struct of which nothing is left goes as well."""
+    steps = path.split(".")
+    if steps[0] not in df.columns:
+        return df
+    while len(steps) > 1 and len(df.select(".".join(steps[:-1])).schema[0].dataType.fields) == 1:
+        steps.pop()
+    root, *inner = steps
+    return df.withColumn(root, F.col(root).dropFields(".".join(inner))) if inner else df.drop(root)
 
 
 LATE_SPACES = ("l2", "innerproduct", "cosinesimil")

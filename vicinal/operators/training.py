@@ -17,8 +17,6 @@ from vicinal.operators.encoders import (BitQuantizer, ProductQuantizer, Sq1, Sq7
 from vicinal.plans.limits import LIMITS, few_partitions, vector_length
 from vicinal.spec import IVF_LIMIT, SpecError
 
-DEFAULT_SAMPLE = 25_000
-
 
 def sample_vectors(c: DataFrame, n: int, *, id: str = "id", seed: int = 42) -> DataFrame:
     """Exactly ``n`` rows (all if there are fewer), uniform and repeatable: those with the smallest hashed ids.
@@ -118,11 +116,10 @@ def vector_stats(c: DataFrame, *, vec: str = "vec") -> DataFrame:
     return stats.join(F.broadcast(_side_means(c, vec, mean, None)), "dim")
 
 
-def fit_scalar_quantizer(c: DataFrame, bits: int = 1, *, sample: int | None = DEFAULT_SAMPLE, rotate: bool = False,
+def fit_scalar_quantizer(c: DataFrame, bits: int = 1, *, sample: int | None = None, rotate: bool = False,
                          vec: str = "vec", id: str = "id", seed: int = 42, matrix: np.ndarray | None = None) -> BitQuantizer:
-    """Thresholds ``mean + (-1 + 2(i+1)/(bits+1)) * std`` per dimension, from a sample of the rows.
-
-    ``sample=None`` trains on every row.
+    """Thresholds ``mean + (-1 + 2(i+1)/(bits+1)) * std`` per dimension, over all rows, or over
+    ``sample`` of them.
     """
     if bits not in (1, 2, 4):
         raise SpecError("bits must be 1, 2 or 4")
@@ -144,7 +141,7 @@ def fit_scalar_quantizer(c: DataFrame, bits: int = 1, *, sample: int | None = DE
 
 
 def fit_sq7(c: DataFrame, confidence_interval: float | None = None, *, vec: str = "vec", id: str = "id",
-            sample: int | None = DEFAULT_SAMPLE) -> Sq7:
+            sample: int | None = None) -> Sq7:
     """Bounds that hold the middle ``confidence_interval`` of all values.
 
     Unset: ``1 - 1/(dim + 1)``. 0: the interval out of a few candidates with the smallest squared error.

@@ -1,4 +1,4 @@
-"""Exact or approximate: decided by how many rows are left after filtering."""
+"""Exact or index search of one request, and exact answers where an index search came up short."""
 
 from __future__ import annotations
 
@@ -7,38 +7,46 @@ from pyspark.sql import functions as F
 
 from vicinal.operators.knn import explanation, knn_join
 from vicinal.plans.limits import LIMITS, Limits, cut
-from vicinal.spec import MAX_DISTANCE_COMPUTATIONS
+from vicinal.spec import SpecError
 
 
-def choose(rows: int, k: int, dim: int, *, filtered: bool, threshold: int | None, built: bool) -> tuple[str, str]:
-    """``(exact | approximate | empty, reason)`` for a table with ``rows`` rows after the filter."""
+def choose(rows: int, k: int, *, filtered: bool, threshold: int | None, built: bool) -> tuple[str, str]:
+    """``(exact | approximate | empty, reason)`` for a table with ``rows`` rows after the filter. Which search answers depends
+    on the table's size only where the caller sets a ``threshold``; without one an index is searched wherever it can answer in full."""
     if not built:
-        return "exact", "no index was built"
-    if filtered:
-        if rows == 0:
-            return "empty", "no row passes the filter"
-        if rows <= k:
-            return "exact", f"filtered rows = {rows} is less than or equal to k = {k}"
-        if threshold is not None and threshold != -1:
-            if rows <= threshold:
-                return "exact", f"filtered threshold value = {threshold} is greater than or equal to rows = {rows}"
-        elif rows * dim <= MAX_DISTANCE_COMPUTATIONS:
-            return "exact", (f"max distance computation = {MAX_DISTANCE_COMPUTATIONS} is greater than or equal to "
-                             f"estimated distance computations = {rows * dim}")
+        return "exact", "the table has neither lists nor codes"
+    if filtered and not rows:
+        return "empty", "the filter leaves nothing"
+    if filtered and rows <= k:
+        return "exact", f"the filter leaves {rows} rows, all of which are hits of k = {k}"
+    if threshold is not None and threshold >= 0 and rows <= threshold:
+        return "exact", f"{rows} rows are within the threshold of {threshold} set for exact search"
     return "approximate", "the index is searched"
 
 
-def auto_join(q: DataFrame, index, k: int, space: str, *, query_id: str, query_vec: str, filter=None, keep=(), boost=1.0,
-              nprobes=None, rescore=None, threshold=None, fallback: bool = True, explain: bool = False,
-              metrics: bool = False, limits: Limits = LIMITS) -> DataFrame:
+def filled(found: DataFrame, q: DataFrame, want: int, query_id: str, exact) -> tuple[DataFrame, DataFrame | None]:
+    """``found`` (materialized) of the queries with ``want`` hits, and the exact answers of the others if there are any."""
+    full = found.groupBy(query_id).count().where(F.col("count") >= want).select(query_id)
+    short = cut(q.join(full, query_id, "left_anti"))
+    if not short.limit(1).count():
+        return found, None
+    return found.join(full, query_id, "left_semi"), exact(short)
+
+
+def auto_join(q: DataFrame, index, k: int, space: str, *, query_id: str, query_vec: str, filter=None, on=None, keep=(), boost=1.0,
+              candidates=None, nprobes=None, rescore=None, threshold=None, fallback: bool = True, explain: bool = False,
+              metrics: bool = False, ignore_unmapped: bool = False, limits: Limits = LIMITS) -> DataFrame:
     """``knn_join`` over an index with the rules above. Queries for which the index found fewer than k although k rows
     pass the filter are answered again exactly, unless ``fallback`` is off."""
+    if not hasattr(index, "model"):
+        raise SpecError("mode 'auto' needs an index")
     model = index.model
     df = index.df if filter is None else index.df.where(filter)
     rows = df.where(F.col(model.vec).isNotNull()).count()
     built = model.encoder is not None or model.centroids is not None
-    path, reason = choose(rows, k, model.spec.dimension, filtered=filter is not None, threshold=threshold, built=built)
-    names = dict(query_id=query_id, query_vec=query_vec, keep=keep, boost=boost, limits=limits)
+    path, reason = choose(rows, k, filtered=filter is not None, threshold=threshold, built=built)
+    names = dict(query_id=query_id, query_vec=query_vec, on=on, keep=keep, boost=boost, candidates=candidates,
+                 ignore_unmapped=ignore_unmapped, limits=limits)
 
     def exact(queries: DataFrame) -> DataFrame:
         return knn_join(queries, df, k, space, id=model.id, vec=model.vec, **names)
@@ -57,10 +65,8 @@ def auto_join(q: DataFrame, index, k: int, space: str, *, query_id: str, query_v
     found = cut(knn_join(q, index, k, space, mode=mode, filter=filter, nprobes=nprobes, rescore=rescore, **names))
     want = min(k, rows)
     if fallback and want:
-        full = found.groupBy(query_id).count().where(F.col("count") >= want).select(query_id)
-        short = cut(q.join(full, query_id, "left_anti"))
-        if short.limit(1).count():
-            why = f"the number of rows returned is less than k = {k} and {rows} rows pass the filter"
-            kept = found.join(full, query_id, "left_semi")
-            return finish(kept, "Approximate-NN", reason, k, 0).unionByName(finish(exact(short), "Exact", why, 0, rows))
+        kept, again = filled(found, q, want, query_id, exact)
+        if again is not None:
+            why = f"the index gave fewer than {want} rows to this query"
+            return finish(kept, "Approximate-NN", reason, k, 0).unionByName(finish(again, "Exact", why, 0, rows))
     return finish(found, "Approximate-NN", reason, k, 0)

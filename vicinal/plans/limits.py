@@ -3,11 +3,14 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from vicinal.spec import SpecError
+
 
 @dataclass(frozen=True)
 class Limits:
@@ -51,18 +54,25 @@ def few_partitions(df: DataFrame) -> DataFrame:
     return df.coalesce(max(LIMITS.scan_tasks, 4 * parallelism(df.sparkSession)))
 
 
-def scratch_dir(spark: SparkSession, name: str) -> str:
-    """A fresh folder under the cluster's shared checkpoint folder (a local one only where none is set)."""
-    import uuid
+def _shared(spark: SparkSession) -> str:
+    """The folder that the cluster names in ``spark.checkpoint.dir``. Only a local session may do without one."""
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if base:
+        return base.rstrip("/")
+    master = spark.sparkContext.master
+    if not master.startswith("local") or master.startswith("local-cluster"):
+        raise SpecError("set spark.checkpoint.dir to a folder that all executors share")
+    return tempfile.mkdtemp(prefix="run-", dir="/tmp")
 
-    base = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="run-", dir="/tmp")
-    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
+
+def scratch_dir(spark: SparkSession, name: str) -> str:
+    """A fresh folder under the cluster's shared folder."""
+    return f"{_shared(spark)}/{name}-{uuid.uuid4().hex[:12]}"
 
 
 def cut(df: DataFrame) -> DataFrame:
     """Materialize on reliable storage so that later steps neither recompute nor depend on executors."""
-    spark = df.sparkSession
-    sc = spark.sparkContext
+    sc = df.sparkSession.sparkContext
     if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="run-", dir="/tmp"))
+        sc.setCheckpointDir(_shared(df.sparkSession))
     return df.checkpoint()

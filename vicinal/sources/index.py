@@ -2,16 +2,22 @@
 
 Layout under one folder::
 
-    data/seq=N/list_id=M/*.parquet   rows written by change number N (0 is the first load)
-    gone/seq=N/*.parquet             ids deleted or replaced by change N: older rows with these ids are dead
-    meta/*.parquet                   the model
-
-A change only adds folders, and writing change N again replaces exactly what it wrote, so a retried job or a lost
-executor cannot leave a half-applied or doubled change. Compaction writes a fresh folder.
+    data/change=X/list_id=M/*.parquet   rows that change X wrote
+    gone/change=X/*.parquet             ids that X deleted or replaced: rows of earlier changes with these ids are dead
+    commits/*.parquet                   one row a finished change: its name, number, and the writer's batch
+    meta/*.parquet                      the model
+
+A change writes into folders of a name of its own and counts once its row in ``commits`` is there, which is written last: readers see
+all of a change or nothing, and writers never meet in a folder. What a lost job leaves behind belongs to no commit
+and is never read. A stream names its writer and batch, so a batch that is run again after its commit does nothing.
+Compaction writes a fresh folder.
 """
 
 from __future__ import annotations
 
+import time
+import uuid
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -21,6 +27,7 @@ from vicinal.sources.models import MODEL_SCHEMA, Model, _append, _describe, fit_
 from vicinal.spec import SpecError
 
 ROWS_PER_FILE = 1_000_000
+COMMIT_SCHEMA = "change string, number bigint, writer string, batch bigint"
 
 
 def _maybe(spark: SparkSession, path: str) -> DataFrame | None:
@@ -38,9 +45,9 @@ def _layout(df: DataFrame, id: str, list_column: str) -> DataFrame:
     return df.hint("rebalance", list_column).sortWithinPartitions(list_column, id)
 
 
-def _write(df: DataFrame, model: Model, path: str, seq: int, *, encode: bool, rows_per_file: int = ROWS_PER_FILE) -> None:
+def _write(df: DataFrame, model: Model, path: str, change: str, *, encode: bool, rows_per_file: int = ROWS_PER_FILE) -> None:
     df = model.encode(df) if encode else df
-    target = f"{path}/data/seq={seq}"
+    target = f"{path}/data/change={change}"
     if encode and model.centroids is not None:
         df = df.withColumn(model.list_column, F.coalesce(model.list_column, F.lit(-1)))
         rows = _layout(df, model.id, model.list_column)
@@ -50,16 +57,29 @@ def _write(df: DataFrame, model: Model, path: str, seq: int, *, encode: bool, ro
     writer.mode("overwrite").option("maxRecordsPerFile", rows_per_file).parquet(target)
 
 
-def write_index(df: DataFrame, model: Model, path: str, *, approximate_threshold: int = 0,
-                rows_per_file: int = ROWS_PER_FILE) -> Index:
-    """Encode a table by its model and write it. Fewer rows than ``approximate_threshold`` (or a negative one) are
-    written plainly, and searches over them are exact."""
+def commits(spark: SparkSession, path: str) -> DataFrame:
+    """``(change, number, writer, batch)`` of the finished changes; a larger number is a later change."""
+    found = _maybe(spark, f"{path}/commits")
+    return spark.createDataFrame([], COMMIT_SCHEMA) if found is None else found.select("change", "number", "writer", "batch")
+
+
+def _commit(spark: SparkSession, path: str, change: str, writer: str | None = None, batch: int | None = None) -> None:
+    last = commits(spark, path).agg(F.max("number")).first()[0]
+    number = max(time.time_ns(), (last or 0) + 1)
+    spark.createDataFrame([(change, number, writer, batch)], COMMIT_SCHEMA).coalesce(1).write.mode("append").parquet(f"{path}/commits")
+
+
+def write_index(df: DataFrame, model: Model, path: str, *, plain: bool = False, rows_per_file: int = ROWS_PER_FILE) -> Index:
+    """Encode a table by its model and write it to a folder that holds no index yet. ``plain`` writes the rows without lists and
+    codes; searches over them are exact."""
     spark = df.sparkSession
-    rows = df.where(F.col(model.vec).isNotNull()).count() if approximate_threshold > 0 else 0
-    build = approximate_threshold >= 0 and rows >= approximate_threshold
-    _write(df, model, path, 0, encode=build, rows_per_file=rows_per_file)
+    if commits(spark, path).limit(1).count():
+        raise SpecError(f"{path!r} holds an index already; apply changes to it, or write to another folder")
+    change = uuid.uuid4().hex
+    _write(df, model, path, change, encode=not plain, rows_per_file=rows_per_file)
     about = _describe(model.model_id or "index", model.spec, f"id={model.id};vec={model.vec}")
-    _append(spark, f"{path}/meta", state="created" if build else "plain", blob=model.to_blob(), **about)
+    _append(spark, f"{path}/meta", state="plain" if plain else "created", blob=model.to_blob(), **about)
+    _commit(spark, path, change)
     return open_index(spark, path)
 
 
@@ -74,41 +94,48 @@ def open_index(spark: SparkSession, path: str) -> Index:
 
 
 def _live(spark: SparkSession, path: str, model: Model) -> DataFrame:
-    data = spark.read.parquet(f"{path}/data")
+    done = commits(spark, path).select("change", "number")
+    first = done.limit(2).collect()
+    if len(first) == 1:
+        return spark.read.parquet(f"{path}/data/change={first[0].change}")
+    data = spark.read.parquet(f"{path}/data").join(done, "change")
     gone = _maybe(spark, f"{path}/gone")
     if gone is not None:
-        gone = gone.groupBy(F.col(model.id).alias("_gone")).agg(F.max("seq").alias("_since"))
-        data = data.join(gone, (F.col(model.id) == F.col("_gone")) & (F.col("seq") < F.col("_since")), "left_anti")
-    return data.drop("seq")
+        gone = gone.join(done, "change").groupBy(F.col(model.id).alias("_gone")).agg(F.max("number").alias("_since"))
+        data = data.join(gone, (F.col(model.id) == F.col("_gone")) & (F.col("number") < F.col("_since")), "left_anti")
+    return data.drop("change", "number")
 
 
-def next_seq(spark: SparkSession, path: str) -> int:
-    """One more than the last change; read from the folder names."""
-    last = 0
-    for part in ("data", "gone"):
-        table = _maybe(spark, f"{path}/{part}")
-        if table is not None:
-            last = max(last, table.agg(F.max("seq")).first()[0] or 0)
-    return last + 1
+def newest(spark: SparkSession, path: str, id: str) -> DataFrame | None:
+    """``(id, at)``: the latest order value that a stream of changes has brought for an id, where it has brought one."""
+    gone = _maybe(spark, f"{path}/gone")
+    if gone is None or "at" not in gone.columns:
+        return None
+    done = commits(spark, path).select("change")
+    return gone.where("at is not null").join(done, "change").groupBy(id).agg(F.max("at").alias("at"))
 
 
 def apply_changes(spark: SparkSession, path: str, upserts: DataFrame | None = None, deletes: DataFrame | None = None, *,
-                  seq: int | None = None) -> Index:
-    """Replace the rows of ``upserts`` and remove the ids of ``deletes``; neither appears in later searches."""
+                  writer: str | None = None, batch: int | None = None, marks: DataFrame | None = None) -> Index:
+    """Replace the rows of ``upserts`` and remove the ids of ``deletes``; neither appears in later searches.
+
+    ``writer`` and ``batch`` name the change: if it was committed before, nothing happens. ``marks`` (id, at) is what
+    ``newest`` will report."""
     index = open_index(spark, path)
     model = index.model
-    seq = next_seq(spark, path) if seq is None else seq
+    if writer is not None and commits(spark, path).where((F.col("writer") == writer) & (F.col("batch") == batch)).limit(1).count():
+        return index
+    change = uuid.uuid4().hex
     built = model.encoder is not None or model.centroids is not None
-    parts = []
+    ids = [d.select(model.id) for d in (upserts, deletes) if d is not None]
+    if not ids:
+        return index
     if upserts is not None:
-        _write(upserts, model, path, seq, encode=built)
-        parts.append(upserts.select(model.id))
-    if deletes is not None:
-        parts.append(deletes.select(model.id))
-    if parts:
-        # The marks go in last: until then the old rows are still the live ones.
-        ids = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
-        ids.distinct().write.mode("overwrite").parquet(f"{path}/gone/seq={seq}")
+        _write(upserts, model, path, change, encode=built)
+    dead = (ids[0] if len(ids) == 1 else ids[0].unionByName(ids[1])).distinct()
+    dead = dead.withColumn("at", F.lit(None).cast("double")) if marks is None else marks.select(model.id, F.col("at").cast("double"))
+    dead.write.mode("overwrite").parquet(f"{path}/gone/change={change}")
+    _commit(spark, path, change, writer, batch)
     return open_index(spark, path)
 
 
@@ -120,9 +147,9 @@ def merge_changes(base: DataFrame, upserts: DataFrame | None, deletes: DataFrame
     return base if upserts is None else base.unionByName(upserts)
 
 
-def compact_index(spark: SparkSession, path: str, out_path: str, *, retrain: bool = True,
+def compact_index(spark: SparkSession, path: str, out_path: str, *, retrain: bool = True, sample: int | None = None,
                   rows_per_file: int = ROWS_PER_FILE) -> Index:
-    """Live rows only, in fresh files under ``out_path``; code thresholds are trained again on them."""
+    """Live rows only, in fresh files under ``out_path``; code thresholds are trained again on all of them, or on ``sample``."""
     if out_path.rstrip("/") == path.rstrip("/"):
         raise SpecError("compaction needs a folder of its own")
     index = open_index(spark, path)
@@ -130,10 +157,11 @@ def compact_index(spark: SparkSession, path: str, out_path: str, *, retrain: boo
     built = model.encoder is not None or model.centroids is not None
     rows = index.df.drop(*[c for c in (model.code_column, model.list_column) if c in index.df.columns])
     if retrain and model.encoder is not None and model.encoder.name in ("binary", "sq1", "sq7"):
-        fresh = fit_model(rows, model.spec, vec=model.vec, id=model.id, init_lists=model.centroids, iterations=0)
+        fresh = fit_model(rows, model.spec, vec=model.vec, id=model.id, sample=sample, init_lists=model.centroids,
+                          iterations=0)
         fresh.centroids, fresh.model_id = model.centroids, model.model_id
         model = fresh
-    return write_index(rows, model, out_path, approximate_threshold=0 if built else -1, rows_per_file=rows_per_file)
+    return write_index(rows, model, out_path, plain=not built, rows_per_file=rows_per_file)
 
 
 def index_stats(index: Index) -> DataFrame:

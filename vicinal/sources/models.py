@@ -100,9 +100,9 @@ def _describe(model_id: str, spec: VectorSpec, description: str) -> dict:
 
 
 def fit_model(c: DataFrame, spec: VectorSpec, *, vec: str = "vec", id: str = "id", seed: int = 42, iterations: int = 10,
-              sample: int | None = training.DEFAULT_SAMPLE, init_lists: np.ndarray | None = None,
+              sample: int | None = None, init_lists: np.ndarray | None = None,
               init_codes: np.ndarray | None = None) -> Model:
-    """Fit what the spec asks for: coarse lists, an encoder, or both."""
+    """Fit what the spec asks for: coarse lists, an encoder, or both. Encoders see all rows unless ``sample`` is given."""
     p, space = spec.params, spec.resolved_space
     encoder = None
     if spec.encoder == "binary":
@@ -152,11 +152,14 @@ def train_model(c: DataFrame, model_id: str, spec: VectorSpec, path: str, *, des
             rows = training.sample_vectors(rows, max_training_vectors, id=id, seed=seed)
         if quantize_bits is not None:
             bits = training.fit_scalar_quantizer(rows, quantize_bits, vec=vec, id=id)
+            # Every plane counts: the model works on quantize_bits values a dimension, and so do rows and queries put to it.
             rows = rows.withColumn(vec, bits.decoded(bits.column(vec)))
+            spec = replace(spec, dimension=quantize_bits * spec.dimension)
+            about = _describe(model_id, spec, description)
         model = fit_model(rows, spec, vec=vec, id=id, seed=seed, iterations=iterations)
         model.model_id = model_id
     except Exception as e:
-        _append(spark, path, state="failed", error=str(e)[:2000], **about)
+        _append(spark, path, state="failed", error=str(e), **about)
         raise
     _append(spark, path, state="created", blob=model.to_blob(), **about)
     return model

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from vicinal.operators.blocks import as_bytes, as_matrix, binary_array, list_array
+from vicinal.operators.blocks import as_bytes, as_matrix, binary_array, list_array, where_valid
 from vicinal.spec import SpecError, VectorSpec, validate_spec
 
 _ELEMENT = {"float": T.FloatType, "byte": T.ByteType}
@@ -138,7 +138,7 @@ def packed_bits(vec: str | Column, threshold: float = 0.0) -> Column:
 
     @F.arrow_udf("binary")
     def run(values: pa.Array) -> pa.Array:
-        return binary_array(np.packbits(as_matrix(values) > threshold, axis=1))
+        return where_valid(values, pa.binary(), lambda v: binary_array(np.packbits(as_matrix(v) > threshold, axis=1)))
 
     return run(F.col(vec) if isinstance(vec, str) else vec)
 
@@ -147,7 +147,7 @@ def unpacked_bits(code: str | Column) -> Column:
     """Signed bytes of a packed code as ``array<tinyint>``."""
     @F.arrow_udf("array<tinyint>")
     def run(values: pa.Array) -> pa.Array:
-        return list_array(as_bytes(values).view(np.int8), pa.int8())
+        return where_valid(values, pa.list_(pa.int8()), lambda v: list_array(as_bytes(v).view(np.int8), pa.int8()))
 
     return run(F.col(code) if isinstance(code, str) else code)
 

@@ -17,7 +17,6 @@ MAX_K = 10_000
 RESULT_WINDOW = 10_000
 MIN_FIRST_PASS = 100
 MAX_FIRST_PASS = 10_000
-MAX_DISTANCE_COMPUTATIONS = 2_048_000
 IVF_LIMIT = 20_000
 FP16_MAX = 65504.0
 ROTATION_SEED = 1212121212

@@ -10,8 +10,9 @@ from pyspark.sql.streaming import StreamingQuery
 
 from vicinal.operators.approx import Index
 from vicinal.operators.knn import knn_join
-from vicinal.sources.index import _write, apply_changes, open_index
+from vicinal.sources.index import apply_changes, newest, open_index
 from vicinal.sources.vectors import validate_vectors
+from vicinal.spec import SpecError
 
 
 def _start(stream: DataFrame, each: Callable, checkpoint: str, trigger: dict | None) -> StreamingQuery:
@@ -19,10 +20,11 @@ def _start(stream: DataFrame, each: Callable, checkpoint: str, trigger: dict | N
             .trigger(**(trigger or {"availableNow": True})).start())
 
 
-def stream_into_index(stream: DataFrame, path: str, checkpoint: str, *, first_seq: int = 1, bad_rows: str | None = None,
+def stream_into_index(stream: DataFrame, path: str, checkpoint: str, *, bad_rows: str | None = None, writer: str | None = None,
                       trigger: dict | None = None) -> StreamingQuery:
-    """Append arriving rows: check, encode with the index's model, write. Batch n is change ``first_seq + n``; writing
-    it again replaces it, so every row is stored exactly once. Bad rows stop the stream or go to ``bad_rows``."""
+    """Index arriving rows: check, encode with the index's model, write; a row whose id is stored replaces it. Batch n of a
+    ``writer`` (by default the checkpoint names it) is one change, so a batch that is run again is stored once. Bad rows
+    stop the stream or go to ``bad_rows``."""
 
     def each(batch: DataFrame, n: int) -> None:
         spark = batch.sparkSession
@@ -32,25 +34,35 @@ def stream_into_index(stream: DataFrame, path: str, checkpoint: str, *, first_se
         else:
             good, bad = validate_vectors(batch, model.spec, vec=model.vec, on_error="quarantine")
             bad.write.mode("overwrite").parquet(f"{bad_rows}/batch={n}")
-        _write(good, model, path, first_seq + n, encode=model.encoder is not None or model.centroids is not None)
+        apply_changes(spark, path, good, writer=writer or checkpoint, batch=n)
 
     return _start(stream, each, checkpoint, trigger)
 
 
-def stream_changes(stream: DataFrame, path: str, checkpoint: str, *, op: str = "op", order: str = "ts", first_seq: int = 1,
+def stream_changes(stream: DataFrame, path: str, checkpoint: str, *, op: str = "op", order: str = "ts", writer: str | None = None,
                    trigger: dict | None = None) -> StreamingQuery:
-    """Apply a stream of ``upsert``/``delete`` rows; within a batch the latest row of an id counts."""
+    """Apply a stream of ``upsert``/``delete`` rows. Of an id the row with the largest ``order`` (a number or time) counts, in a batch and
+    across batches: a row older than what was applied before is dropped. Any other ``op`` stops the stream."""
 
     def each(batch: DataFrame, n: int) -> None:
         spark = batch.sparkSession
         id = open_index(spark, path).model.id
+        wrong = batch.where(~F.coalesce(F.col(op).isin("upsert", "delete"), F.lit(False))).limit(1).collect()
+        if wrong:
+            raise SpecError(f"unknown change {wrong[0][op]!r}")
         names = [c for c in batch.columns if c != id]
         # Partial aggregation first: an id with very many changes in one batch still costs one row per task.
         last = batch.groupBy(id).agg(F.max_by(F.struct(*names), F.struct(order, op)).alias("_l")).select(
             id, *[F.col(f"_l.{c}").alias(c) for c in names])
-        upserts = last.where(F.col(op) == "upsert").drop(op, order)
+        time = batch.schema[order].dataType.typeName() in ("timestamp", "timestamp_ntz", "date")
+        at = F.unix_micros(F.col(order).cast("timestamp")) if time else F.col(order)
+        last = last.withColumn("_at", at.cast("double"))
+        before = newest(spark, path, id)
+        if before is not None:
+            last = last.join(before, id, "left").where("at is null or _at >= at").drop("at")
+        upserts = last.where(F.col(op) == "upsert").drop(op, order, "_at")
         deletes = last.where(F.col(op) == "delete").select(id)
-        apply_changes(spark, path, upserts, deletes, seq=first_seq + n)
+        apply_changes(spark, path, upserts, deletes, writer=writer or checkpoint, batch=n, marks=last.select(id, F.col("_at").alias("at")))
 
     return _start(stream, each, checkpoint, trigger)
 

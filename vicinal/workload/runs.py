@@ -124,7 +124,7 @@ def _(spark, d):
 
 @run("i10_small_table_stays_plain")
 def _(spark, d):
-    index = X.write_index(corpus(spark, d), ivf_model(spark, d), scratch_dir(spark, "plain"), approximate_threshold=10**9)
+    index = X.write_index(corpus(spark, d), ivf_model(spark, d), scratch_dir(spark, "plain"), plain=True)
     return ranked(knn_join(queries(spark, d), index, 5, mode="auto"))
 
 
@@ -330,6 +330,24 @@ def _(spark, d):
     return ranked(knn_join(q, corpus(spark, d), 5, on=[("want", "label")], keep=["label"]))
 
 
+@run("s09_per_query_filter_ivf")
+def _(spark, d):
+    q = queries(spark, d, F.col("label").alias("want"))
+    return ranked(knn_join(q, _index(spark, d, ivf_model(spark, d)), 5, mode="ivf", nprobes=2, on=[("want", "!=", "label")]))
+
+
+@run("s09_per_query_filter_codes")
+def _(spark, d):
+    index = _index(spark, d, bit_model(spark, d))
+    return ranked(knn_join(queries(spark, d), index, 10, mode="binary", rescore=False, on=[("query_id", "!=", "id")]))
+
+
+@run("s17_expand_per_query_filter")
+def _(spark, d):
+    q = queries(spark, d, F.col("label").alias("want"))
+    return ranked(nested_knn(q, child_rows(spark, d), 3, expand=True, on=[("want", "!=", "label")]))
+
+
 @run("s09_per_query_range")
 def _(spark, d):
     q = queries(spark, d, F.col("label").alias("low"))
@@ -473,7 +491,7 @@ def _(spark, d):
 @run("s23_auto_exact")
 def _(spark, d):
     index = _index(spark, d, ivf_model(spark, d))
-    hits = knn_join(queries(spark, d), index, 5, mode="auto", filter="label = 3", explain=True)
+    hits = knn_join(queries(spark, d), index, 5, mode="auto", filter="label = 3", threshold=1 << 62, explain=True)
     return ranked(hits).select("query_id", "id", "rank", "distance", "score", F.col("explain.search_type").alias("search_type"))
 
 
@@ -484,6 +502,12 @@ def _(spark, d):
     return ranked(hits).select("query_id", "id", "rank", "distance", "score", F.col("explain.search_type").alias("search_type"))
 
 
+@run("s24_fill_exact")
+def _(spark, d):
+    index = _index(spark, d, ivf_model(spark, d))
+    return ranked(knn_join(queries(spark, d), index, 52, mode="ivf", nprobes=1, fill="exact")).select("query_id", "id", "rank", "distance", "score")
+
+
 @run("s25_binary_vectors")
 def _(spark, d):
     c = corpus(spark, d).select("id", signed_bits("vec").alias("vec"))

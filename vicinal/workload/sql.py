@@ -205,6 +205,7 @@ def ivf(metric, score, k, nprobes, **more):
 
 
 ORACLES["s11_ivf_search"] = ivf(l2, inverse, 10, 2)
+ORACLES["s09_per_query_filter_ivf"] = ivf(l2, inverse, 5, 2).replace("c.list_id = p.list_id", "c.list_id = p.list_id AND c.label <> q.label")
 ORACLES["s11_ivf_search_cosine"] = ivf(cos, cos_score, 10, 3)
 ORACLES["m05_index_from_model"] = ivf(l2, inverse, 10, 1)
 ORACLES["t01_stream_into_index"] = ORACLES["s11_ivf_search"]
@@ -226,6 +227,7 @@ for _b, _name in ((1, "s12_binary_scan"), (2, "s12_binary_scan_2bit"), (4, "s12_
     ORACLES[f"q01_fit_{_b}bit"] = (
         f"WITH {E}, {X}, {MOM} SELECT CAST(i AS INTEGER) AS plane, CAST(p AS INTEGER) - 1 AS dim, "
         f"{r(f'(mean + (-1 + 2 * (i + 1) / {_b + 1}.0::DOUBLE) * sd)')} AS threshold FROM mo, range({_b}) t(i)")
+ORACLES["s09_per_query_filter_codes"] = top(ham(*QC), inverse, 10, ctes=(E, X, MOM, codes(1)), q="b q", c="b c", where="q.vec_id <> c.vec_id")
 ORACLES["q01_side_means"] = f"WITH {E}, {X}, {MOM}, {SIDES} SELECT CAST(p AS INTEGER) - 1 AS dim, {r('below')} AS below, {r('above')} AS above FROM sd"
 ORACLES["a03_vector_stats"] = (
     f"WITH {E}, {X}, {MOM}, {SIDES} SELECT CAST(mo.p AS INTEGER) - 1 AS dim, (SELECT count(*) FROM e) AS n, {r('mean')} AS mean, {r('sd')} AS std, "
@@ -362,6 +364,7 @@ ORACLES["s16_nested_knn"] = nested(5)
 ORACLES["s17_expand_nested"] = nested(3, "c.label <> 2", (
     f"SELECT d.query_id, d.parent_id, d.child_pos, CAST(r.rk AS INTEGER) AS rank, {r('d.distance')} AS distance, {r(inverse('d.distance'))} AS score "
     "FROM r JOIN d ON d.query_id = r.query_id AND d.parent_id = r.parent_id"))
+ORACLES["s17_expand_per_query_filter"] = ORACLES["s17_expand_nested"].replace("c.label <> 2", "c.label <> q.label")
 ORACLES["s18_nested_child_filter"] = nested(5, "c.label = 3")
 ORACLES["s18_nested_parent_filter"] = nested(5, "c.parent_id IN (SELECT parent_id FROM c WHERE label = 7)")
 ORACLES["s19_nested_radius"] = nested(1_000_000_000, f"{l2(*QC)} <= 1.4", (
@@ -381,6 +384,7 @@ ORACLES["s24_auto_fallback"] = (
     "r AS (SELECT d.*, enough, row_number() OVER (PARTITION BY d.query_id ORDER BY distance, id) AS rk FROM d JOIN n ON n.query_id = d.query_id "
     f"WHERE same OR NOT enough) SELECT query_id, id, CAST(rk AS INTEGER) AS rank, {r('distance')} AS distance, {r(inverse('distance'))} AS score, "
     "CASE WHEN enough THEN 'Approximate-NN' ELSE 'Exact' END AS search_type FROM r WHERE rk <= 52")
+ORACLES["s24_fill_exact"] = ORACLES["s24_auto_fallback"].replace(", CASE WHEN enough THEN 'Approximate-NN' ELSE 'Exact' END AS search_type", "")
 SIGN = "g AS (SELECT vec_id, list_transform(embedding, lambda x: CASE WHEN x > 0 THEN 1 ELSE 0 END) AS v FROM embeddings)"
 ORACLES["s25_binary_vectors"] = top(ham(*QC), inverse, 10, ctes=(SIGN,), q="g q", c="g c")
 BYTES = "g AS (SELECT vec_id, list_transform(embedding, lambda x: round(x::DOUBLE * 127)) AS v FROM embeddings)"
