@@ -3,8 +3,9 @@
 Every document is expected to be taken ``e`` times: its source's target over its source's size, times the document's preference where
 one is given. ``floor(e)`` copies are certain. The fraction ``p`` left is an inclusion probability: documents are ranked
 by random odds over inclusion odds, ``q = (u / (1 - u)) / (p / (1 - p))``, and each source takes the smallest ``q`` until
-the words that its fractions add up to are reached (as near as whole documents allow), a sample of fixed size with
-unequal probabilities.
+the words that its fractions add up to are reached, a sample of fixed size with unequal probabilities. Words do not
+come out even: past the first document that does not fit, smaller ones are taken that still do, and last the one that
+brings the source nearest to its target.
 
 No source is ever sorted whole. ``q / (1 + q)`` lies in (0, 1); its range is cut into ``BINS`` bins, words are summed by source and bin
 with partial aggregation, and only the one bin in which a source reaches its size is ranked row by row. What comes out is
@@ -60,24 +61,50 @@ def ranked(sized: DataFrame, plan: DataFrame, seed: int, cap: float) -> DataFram
         "tie", F.xxhash64("id", "size")).drop("e", "u", "q")
 
 
-def cut_offs(sized: DataFrame, weights=(1, 2, 3), cap: float = 3.0, seed: int = 7) -> DataFrame:
-    """(source, source_size, target, edge, last): a row is taken once more than its sure copies if its bin is before
-    ``edge``, or is ``edge`` and its (t, tie) is not beyond ``last``."""
-    plan = shares(sized, weights, cap)
-    rows = ranked(sized, plan, seed, cap)
-    bins = rows.groupBy("source", "bin").agg(F.sum("size").alias("words"), F.sum(F.col("p") * F.col("size")).alias("share"))
+def before(n: int) -> Column:
+    """Whether a ranked row lies before its source's n-th cut-off; the second is for what the first left and still fits."""
+    edge, last = F.col(f"edge{n}"), F.col(f"last{n}")
+    at = F.coalesce((F.col("bin") < edge) | ((F.col("bin") == edge) & (F.struct("t", "tie") <= last)), F.lit(False))
+    return at if n == 1 else ~before(1) & (F.col("size") <= F.col("goal2")) & at
+
+
+def fill(rows: DataFrame, plan: DataFrame, n: int) -> DataFrame:
+    """``plan`` with the n-th cut-off of each source (edge, last: a bin and the last row in it) such that ``rows`` before it add up to
+    ``goal`` n at most, and with what is missing then, the next goal."""
     by = Window.partitionBy("source")
-    bins = bins.withColumn("goal", F.sum("share").over(by)).where("bin is not null")
+    bins = rows.groupBy("source", "bin").agg(F.sum("size").alias("words"), F.max(f"goal{n}").alias("goal"))
     bins = bins.withColumn("upto", F.sum("words").over(by.orderBy("bin").rowsBetween(Window.unboundedPreceding, 0)))
-    edge = bins.where("upto > goal").groupBy("source").agg(F.min_by(F.struct("bin", "words", "upto", "goal"), "bin").alias("b"))
-    edge = edge.select(F.col("source").alias("__source"), F.col("b.bin").alias("edge"), (F.col("b.goal") - (F.col("b.upto") - F.col("b.words"))).alias("left"))
+    over = F.col("upto") > F.col("goal")
+    edge = bins.groupBy(F.col("source").alias("__source")).agg(
+        F.min(F.when(over, F.col("bin"))).alias("edge"), F.max(F.when(~over, F.col("upto"))).alias("fits"), F.max("goal").alias("goal"))
+    edge = edge.select("__source", "edge", F.coalesce("fits", F.lit(0)).alias("fits"), "goal")
     inside = rows.join(edge, F.col("source").eqNullSafe(F.col("__source")) & (F.col("bin") == F.col("edge")))
     run = Window.partitionBy("__source").orderBy("t", "tie").rowsBetween(Window.unboundedPreceding, 0)
-    inside = inside.withColumn("mid", F.sum("size").over(run) - F.col("size") / 2).where("mid <= left")
-    last = inside.groupBy(F.col("source").alias("__source")).agg(F.max(F.struct("t", "tie")).alias("last"))
-    same = lambda a, b: a["source"].eqNullSafe(b["__source"])
-    got = plan.join(edge, same(plan, edge), "left").select("source", "source_size", "target", "edge")
-    return got.join(last, same(got, last), "left").select("source", "source_size", "target", F.coalesce("edge", F.lit(BINS)).alias("edge"), "last")
+    inside = inside.withColumn("upto", F.col("fits") + F.sum("size").over(run)).where(F.col("upto") <= F.col("goal"))
+    last = inside.groupBy("__source").agg(F.max(F.struct("t", "tie")).alias("last"), F.max("upto").alias("upto"))
+    last = last.withColumnRenamed("__source", "__inside")
+    both = edge.join(last, F.col("__source").eqNullSafe(F.col("__inside")), "left").select(
+        "__source", F.coalesce("edge", F.lit(BINS)).alias(f"edge{n}"), F.col("last").alias(f"last{n}"),
+        (F.col("goal") - F.coalesce("upto", "fits")).alias(f"goal{n + 1}"))
+    return plan.join(both, plan["source"].eqNullSafe(both["__source"]), "left").drop("__source")
+
+
+def cut_offs(sized: DataFrame, weights=(1, 2, 3), cap: float = 3.0, seed: int = 7) -> DataFrame:
+    """(source, source_size, target, and what decides about its rows): a row is taken once more than its sure copies if it lies
+    before the first cut-off, or, being small enough for what is missing there, before the second, or if it is ``closing``,
+    the one that then brings the words nearest to the goal, if any does."""
+    plan = shares(sized, weights, cap)
+    goal = ranked(sized, plan, seed, cap).groupBy(F.col("source").alias("__source")).agg(F.sum(F.col("p") * F.col("size")).alias("goal1"))
+    plan = cut(plan.join(goal, plan["source"].eqNullSafe(goal["__source"])).drop("__source"), "mix-goals")
+    plan = cut(fill(ranked(sized, plan, seed, cap).where("p > 0"), plan, 1), "mix-first")
+    rows = ranked(sized, plan, seed, cap).where((F.col("p") > 0) & ~before(1) & (F.col("size") <= F.col("goal2")))
+    plan = cut(fill(rows, plan, 2), "mix-second")
+    missing = F.coalesce("goal3", "goal2")
+    off = F.abs(missing - F.col("size"))
+    rest = ranked(sized, plan, seed, cap).where((F.col("p") > 0) & ~before(1) & ~before(2) & (off < missing))
+    closing = rest.groupBy(F.col("source").alias("__source")).agg(F.min(F.struct(off.alias("off"), "t", "tie")).alias("c"))
+    closing = closing.select("__source", F.struct("c.t", "c.tie").alias("closing"))
+    return plan.join(closing, plan["source"].eqNullSafe(closing["__source"]), "left").drop("__source")
 
 
 def sizes(docs: DataFrame, id: str, source: str, text: str, preference: str | None) -> DataFrame:
@@ -107,8 +134,8 @@ def mixed(docs: DataFrame, id: str = "doc_id", source: str = "source", text: str
 
 def decided(sized: DataFrame, plan: DataFrame, seed: int, cap: float) -> DataFrame:
     got = ranked(sized, plan, seed, cap)
-    more = (F.col("bin") < F.col("edge")) | ((F.col("bin") == F.col("edge")) & (F.struct("t", "tie") <= F.col("last")))
-    return got.withColumn("copies", F.col("sure") + F.coalesce(more, F.lit(False)).cast("long"))
+    more = before(1) | before(2) | F.coalesce(F.struct("t", "tie") == F.col("closing"), F.lit(False))
+    return got.withColumn("copies", F.col("sure") + more.cast("long"))
 
 
 def mix(docs: DataFrame, id: str = "doc_id", source: str = "source", text: str = "text", weights=(1, 2, 3), cap: float = 3.0, seed: int = 7) -> DataFrame:
@@ -136,6 +163,14 @@ d1 AS (SELECT d.*, s.source_size, s.target, CASE WHEN s.source_size > 0 THEN lea
 d2 AS (SELECT *, e - floor(e) AS p, (CAST(('0x' || substr(md5('7|' || coalesce(source, '') || '|' || coalesce(CAST(doc_id AS VARCHAR), '') || '|' || CAST(size AS VARCHAR)), 1, 13)) AS BIGINT) + 0.5::DOUBLE)
        / 4503599627370496.0::DOUBLE AS u FROM d1),
 d3 AS (SELECT *, CASE WHEN p > 0 THEN (u / (1 - u)) / (p / (1 - p)) END AS q FROM d2),
-d4 AS (SELECT *, sum(p * size) OVER (PARTITION BY source) AS goal, sum(CASE WHEN p > 0 THEN size ELSE 0 END) OVER (PARTITION BY source ORDER BY q ASC NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) - size / 2.0::DOUBLE AS mid FROM d3)
-SELECT doc_id, size, source_size, target, CAST((floor(e) + CASE WHEN p > 0 AND mid <= goal THEN 1 ELSE 0 END) * size AS BIGINT) AS taken FROM d4
+d4 AS (SELECT *, sum(p * size) OVER (PARTITION BY source) AS goal, sum(CASE WHEN p > 0 THEN size ELSE 0 END) OVER (PARTITION BY source ORDER BY q ASC NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS upto FROM d3),
+d5 AS (SELECT *, p > 0 AND upto <= goal AS a1 FROM d4),
+d6 AS (SELECT *, goal - coalesce(max(CASE WHEN a1 THEN upto END) OVER (PARTITION BY source), 0) AS goal2 FROM d5),
+d7 AS (SELECT *, p > 0 AND NOT a1 AND size <= goal2 AS small FROM d6),
+d8 AS (SELECT *, sum(CASE WHEN small THEN size ELSE 0 END) OVER (PARTITION BY source ORDER BY q ASC NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS upto2 FROM d7),
+d9 AS (SELECT *, small AND upto2 <= goal2 AS a2 FROM d8),
+d10 AS (SELECT *, goal2 - coalesce(max(CASE WHEN a2 THEN upto2 END) OVER (PARTITION BY source), 0) AS goal3 FROM d9),
+d11 AS (SELECT *, p > 0 AND NOT a1 AND NOT a2 AND abs(goal3 - size) < goal3 AS could FROM d10),
+d12 AS (SELECT *, could AND row_number() OVER (PARTITION BY source, could ORDER BY abs(goal3 - size), q) = 1 AS closing FROM d11)
+SELECT doc_id, size, source_size, target, CAST((floor(e) + CASE WHEN a1 OR a2 OR closing THEN 1 ELSE 0 END) * size AS BIGINT) AS taken FROM d12
 """
