@@ -25,9 +25,9 @@ from pyspark.sql import types as T
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = "▁"
 BASE = np.uint64(0x9E3779B97F4A7C15)
-TOGETHER = 16384       # words that advance together, at most
+TOGETHER = 8192        # words that advance together, at most
 EXACT = 32             # longest words grouped by exact length; longer ones are padded to a common length
-REMEMBERED = 400_000   # distinct words that a task remembers
+REMEMBERED = 250_000   # distinct words that a task remembers
 UNIGRAM, BPE = 1, 2
 
 
@@ -321,15 +321,16 @@ class Encoder:
         return np.concatenate([[0], ends])[edges], self.ids[at]
 
 
-def encode(docs: DataFrame, pieces: Pieces, id: str = "doc_id", text: str = "text", keep: list[str] | None = None, room: int = 8 << 20) -> DataFrame:
+def encode(docs: DataFrame, pieces: Pieces, id: str = "doc_id", text: str = "text", keep: list[str] | None = None, decoded: str | None = None,
+           room: int = 3 << 20) -> DataFrame:
     """(columns ``keep``, by default the id; ids): the piece numbers of every whole text, empty for null and empty
-    texts. Texts go through a task in slices of about ``room`` characters, so its memory does not depend on how many it gets."""
+    texts. With ``decoded``, a column of that name holds what they decode to, as ``decode`` has it, in the same pass. Texts go through a task in slices of about ``room`` characters, so its memory does not depend on how many it gets."""
     keep = [id] if keep is None else keep
     frame = docs.select(*[F.col(f"`{c}`") for c in keep], F.col(text).cast("binary").alias("__text"))
-    names, tables = [*keep, "ids"], pieces.prepare()
+    names, tables = [*keep, "ids", *([decoded] if decoded else [])], pieces.prepare()
 
     def run(batches):
-        encoder = Encoder(tables)
+        encoder, decoder = Encoder(tables), Decoder(pieces)
         for batch in batches:
             texts = batch.column(batch.num_columns - 1)
             size = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64))
@@ -339,10 +340,12 @@ def encode(docs: DataFrame, pieces: Pieces, id: str = "doc_id", text: str = "tex
                 part = [(t.as_py() or b"").decode("utf-8", "replace") for t in texts.slice(at, to - at)]
                 offsets, ids = encoder.encode(part)
                 listed = pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(ids))
-                yield pa.record_batch([*(c.slice(at, to - at) for c in batch.columns[:-1]), listed], names)
+                back = [pa.array([decoder.decode(ids[a:b]) for a, b in zip(offsets[:-1], offsets[1:])], pa.string())] if decoded else []
+                yield pa.record_batch([*(c.slice(at, to - at) for c in batch.columns[:-1]), listed, *back], names)
                 at = to
 
-    return frame.mapInArrow(run, frame.select(*keep).schema.add("ids", T.ArrayType(T.IntegerType())))
+    schema = frame.select(*keep).schema.add("ids", T.ArrayType(T.IntegerType()))
+    return frame.mapInArrow(run, schema.add(decoded, "string") if decoded else schema)
 
 
 def decode(encoded: DataFrame, pieces: Pieces, ids: str = "ids", text: str = "text") -> DataFrame:

@@ -60,11 +60,9 @@ ORACLES["op3_mixing"] = MIX_SQL
 
 @registered
 def op1_sentencepiece(spark, sf_dir):
-    from .pieces import decode, encode, load
+    from .pieces import encode, load
 
-    pieces = load()
-    ids = encode(table(spark, sf_dir, "documents"), pieces, keep=["doc_id", "text"])
-    both = decode(ids, pieces, text="decoded")
+    both = encode(table(spark, sf_dir, "documents"), load(), keep=["doc_id", "text"], decoded="decoded")
     return both.select("doc_id", "ids", F.size("ids").alias("n_pieces"), F.sha2("decoded", 256).alias("decoded_sha256"),
                        (F.col("decoded") == F.coalesce("text", F.lit(""))).alias("same"))
 
