@@ -100,9 +100,10 @@ def train(docs: DataFrame, labels: DataFrame, id: str = "doc_id", text: str = "t
     texts = docs.select(F.col(id).alias("id"), F.col(text).alias("t")).join(F.broadcast(known), "id").select("id", "y", "t")
     rows = texts.mapInArrow(run, f"id {kind}, y int, x binary").groupBy("id").agg(F.min("y").alias("y"), F.min("x").alias("x"))
     got = rows.toArrow()
-    order = sorted(range(got.num_rows), key=lambda i: (zlib.crc32(str(got.column("id")[i].as_py()).encode()), str(got.column("id")[i].as_py())))
-    x, y = got.column("x"), got.column("y").to_numpy()
-    return fit_ftrl([np.frombuffer(x[i].as_py(), "<u4") for i in order], y[order] if len(order) else y, settings)
+    ids, y, x = got.column("id").to_pylist(), got.column("y").to_numpy(), got.column("x").to_pylist()
+    del got
+    order = sorted(range(len(ids)), key=lambda i: (zlib.crc32(str(ids[i]).encode()), str(ids[i])))
+    return fit_ftrl([np.frombuffer(x[i], "<u4") for i in order], y[order] if order else y, settings)
 
 
 def score(docs: DataFrame, model: Model, id: str = "doc_id", text: str = "text", keep: list[str] | None = None) -> DataFrame:
