@@ -25,7 +25,7 @@ def shares(sized: DataFrame, weights: tuple[float, ...], cap: float) -> DataFram
     """(source, source_size, target): sources by code point, null last, weigh ``weights`` in turn and share the total size;
     no target exceeds ``cap`` times its source's size, and what that frees is shared out again by weight.
 
-    Targets are min(cap * size, weight * level) for the one level at which they add up to the total. Sources reach
+    The windows over all sources hold one row a source, never documents. Targets are min(cap * size, weight * level) for the one level at which they add up to the total. Sources reach
     their cap in order of cap * size / weight, so the level follows from running sums in that order."""
     each = sized.groupBy("source").agg(F.sum("size").alias("source_size"))
     row = F.row_number().over(Window.orderBy(F.col("source").asc_nulls_last()))

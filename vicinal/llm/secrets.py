@@ -7,7 +7,6 @@ reported when its target's name and its own looks score high enough together. Ev
 
 from __future__ import annotations
 
-import hashlib
 import math
 import re
 from collections import Counter
@@ -167,7 +166,3 @@ def redact(docs: DataFrame, text: str = "text", chars: str | None = "n_chars", m
             yield pa.record_batch(columns, schema=batch.schema)
 
     return docs.mapInArrow(run, docs.schema)
-
-
-def digest(text: str) -> str:
-    return hashlib.sha256(text.encode()).hexdigest()
