@@ -159,6 +159,28 @@ def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text", rad
     return prints.join(by_fp, "fp").select(F.col("id").alias(id), "fp", "component_id")
 
 
+def tagged(docs: DataFrame, id: str, text: str) -> DataFrame:
+    """(id, tag, t) of every row; ``tag`` is a hash of its text, which tells rows of one id apart."""
+    rows = docs.select(F.col(id).alias("id"), F.col(text).cast("binary").alias("t"))
+    return rows.select("id", F.xxhash64("t").alias("tag"), "t")
+
+
+def kept(docs: DataFrame, got: DataFrame, id: str, text: str) -> DataFrame:
+    """Of each component of ``got`` (id, tag, root, component_id), the row of ``docs`` whose id is the component's. Rows are told by id and
+    text. Of several rows of that id in the component one stays (the smallest by text); of several with a null id each stays."""
+    mine = got.where(F.col("id").eqNullSafe(F.col("component_id")))
+    sizes = mine.groupBy("root").agg(F.count(F.lit(1)).alias("__rows"))
+    stay = mine.select("id", "tag", "root").distinct().join(sizes, "root").select(
+        F.col("id").alias("__id"), F.col("tag").alias("__tag"), F.col("root").alias("__root"), "__rows").hint("shuffle_hash")
+    tag = F.xxhash64(docs[text].cast("binary"))
+    rows = docs.join(stay, docs[id].eqNullSafe(stay["__id"]) & (tag == stay["__tag"]))
+    single = rows.where(F.col("__id").isNull() | (F.col("__rows") == 1)).select(docs.columns)
+    several = rows.where(F.col("__id").isNotNull() & (F.col("__rows") > 1))
+    order = [F.col(c) for c in docs.columns if docs.schema[c].dataType.typeName() not in ("map", "variant")]
+    first = several.withColumn("__first", F.row_number().over(Window.partitionBy("__root").orderBy(*order))).where("__first = 1")
+    return single.union(first.select(docs.columns))
+
+
 def keep_one(docs: DataFrame, id: str = "doc_id", **how) -> DataFrame:
     """The rows of ``docs`` without near-duplicates: of each component, the row whose id is the component's. Of repeated rows of
     that id one stays (the smallest by text). Rows with a null id stay where nothing else of their component has one;
