@@ -52,3 +52,18 @@ def test_tables(spark):
     new = {r.doc_id: r for r in clean.collect()}
     assert new[1] == rows[0] and new[2] == rows[1] and new[3].text == "password=[SECRET]" and new[3].n_chars == 17
     assert new[None].n_chars == 100_014 and redact(frame(spark, [])).collect() == []
+
+
+@pytest.mark.parametrize("text, parts", [
+    ("password = " + " + ".join(f'"p{n}Q"' for n in range(200)), 200),
+    ('k = "a1B2"\n' + "".join(f'k = k + "c{n}D"\n' for n in range(500)) + "api_key = k", 501),
+    ('k = "a1B2c3D4"\n' + "k = k + k\n" * 3000 + "password = k", 1),                      # 2 ** 3003 characters
+    ('password = "a1B2" +\n    "c3D4"\n  + "e5F6" \\\n + "g7H8"', 4),
+    ('password = "a1B2c3D4e5"\n+other = 1\n+api_key = "f6G7h8I9j0"\n+"secret": "k1L2m3N4"', 3),     # a diff adds lines, not parts
+    ('password = "cha" + "ngeme12"', 0), ('password = "undef" + "ined"', 0), ('password = "a1B2" + "c3 D4"', 0),
+])
+def test_every_part_of_a_literal_is_found(text, parts):
+    got = [text[a:b] for a, _, b, _ in sorted(named_spans(text))]
+    assert len(got) == parts
+    if parts:
+        assert not any(p in redacted(text) for p in got)

@@ -27,7 +27,7 @@ PAIR = re.compile(r"""(?<![\w.$-])(?:"([\w.$-]++)"|'([\w.$-]++)'|([A-Za-z_$][\w.
 STRING = re.compile(r'''"((?:[^"\\\n]|\\.)*+)"|'((?:[^'\\\n]|\\.)*+)\'''')
 NAME = re.compile(r"\$?\{?([A-Za-z_][\w.-]*+)\}?")
 BARE = re.compile(r"""[^\s"'<>,;{}()\[\]]++""")
-PLUS = re.compile(r"[ \t]*+\+[ \t]*+")
+PLUS = re.compile(r"(?:[ \t\r\n]|\\\r?\n)*+\+(?:[ \t\r\n]|\\\r?\n)*+")     # line breaks on either side, a backslash before them or not
 PARTS = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+|\d+")
 
 # How much a word of a target's name speaks for a secret, and against one.
@@ -36,7 +36,9 @@ SENSITIVE = {
     "credentials": 3, "bearer": 3, "auth": 2, "key": 2, "private": 2, "access": 1, "api": 1, "signing": 1, "encryption": 1, "pin": 1,
 }
 HARMLESS = {"public": 3, "count": 3, "length": 3, "size": 3, "limit": 3, "file": 3, "path": 3, "url": 3, "type": 3, "field": 3, "primary": 3, "foreign": 3}
-PLACEHOLDER = re.compile(r"change.?me|example|placeholder|your|dummy|x{4,}|\*{3,}|^(?:none|null|true|false|undefined)$", re.I)
+PLACEHOLDER = re.compile(r"change.?me|example|placeholder|your|dummy|x{4,}|\*{3,}", re.I)
+NOTHING = re.compile(r"^(?:none|null|true|false|undefined)$", re.I)
+EDGE = 16      # characters of a literal's ends that are kept: no placeholder needs more
 LEAST = 5      # of both scores together
 HEXES = bytes(104 if chr(b) in "0123456789abcdef" else 32 for b in range(256))
 
@@ -46,43 +48,70 @@ def name_score(name: str) -> int:
     return sum(SENSITIVE.get(w, 0) for w in words) - sum(HARMLESS.get(w, 0) for w in words)
 
 
-def literal_score(text: str) -> int:
-    """Length, mixture and entropy speak for a secret; spaces and placeholders against."""
-    if len(text) < 8 or PLACEHOLDER.search(text) or any(c.isspace() for c in text):
-        return -9
-    classes = sum(bool(re.search(p, text)) for p in ("[a-z]", "[A-Z]", "[0-9]", "[^A-Za-z0-9]"))
-    entropy = -sum(n / len(text) * math.log2(n / len(text)) for n in Counter(text).values())
-    return 1 + (classes > 1) + (classes > 2) + (entropy > 3)
+class Value:
+    """A literal as its own parts and the constants it refers to. What its score needs is kept, its text is not: a chain of constants
+    stays linear in memory, however often it is built upon."""
+
+    __slots__ = ("length", "chars", "held", "head", "tail", "parts")
+
+    def __init__(self):
+        self.length, self.chars, self.held, self.head, self.tail = 0, Counter(), False, "", ""
+        self.parts: tuple[list, list] = [], []      # spans, and the parts of constants
+
+    def _append(self, length, chars, held, head, tail):
+        self.held = self.held or held or bool(PLACEHOLDER.search(self.tail + head))
+        self.head = self.head if self.length >= EDGE else (self.head + head)[:EDGE]
+        self.tail = (self.tail + tail)[-EDGE:] if length < EDGE else tail
+        self.length += length
+        self.chars.update(chars)
+
+    def add_text(self, text: str, span: tuple[int, int]):
+        self._append(len(text), text, bool(PLACEHOLDER.search(text)), text[:EDGE], text[-EDGE:])
+        self.parts[0].append(span)
+
+    def add(self, other: Value):
+        self._append(other.length, other.chars, other.held, other.head, other.tail)
+        self.parts[1].append(other.parts)
+
+    def score(self) -> int:
+        """Length, mixture and entropy speak for a secret; spaces and placeholders against."""
+        if self.length < 8 or self.held or self.length <= EDGE and NOTHING.search(self.head) or any(c.isspace() for c in self.chars):
+            return -9
+        text = "".join(self.chars)
+        classes = sum(bool(re.search(p, text)) for p in ("[a-z]", "[A-Z]", "[0-9]", "[^A-Za-z0-9]"))
+        entropy = -sum(n / self.length * math.log2(n / self.length) for n in self.chars.values() if n / self.length)
+        return 1 + (classes > 1) + (classes > 2) + (entropy > 3)
 
 
 def pairs(text: str):
-    """(name, literal, its spans) of every assignment, constants propagated in text order."""
-    known: dict[str, tuple[str, tuple]] = {}
+    """(name, value) of every assignment, constants propagated in text order."""
+    known: dict[str, Value] = {}
     at = 0
     while m := PAIR.search(text, at):
         at = m.end()
-        name, value, spans = m[1] or m[2] or m[3], "", ()
+        name, value = m[1] or m[2] or m[3], Value()
         while True:
             if s := STRING.match(text, at):
                 group = 1 if s[1] is not None else 2
-                value, spans, at = value + s[group], (*spans, s.span(group)), s.end()
-            elif r := NAME.match(text, at):
-                if (short := r[1].rpartition(".")[2]) in known:
-                    value, spans, at = value + known[short][0], (*spans, *known[short][1]), r.end()
-                else:
-                    break
+                value.add_text(s[group], s.span(group))
+                at = s.end()
+            elif (r := NAME.match(text, at)) and (short := r[1].rpartition(".")[2]) in known:
+                value.add(known[short])
+                at = r.end()
             else:
                 break
             if not (p := PLUS.match(text, at)):
                 break
             at = p.end()
-        if not spans:
+            if "\n" in p[0] and PAIR.match(text, at):     # an added line of a diff, say: the next assignment and no part
+                break
+        if not any(value.parts):
             if not (b := BARE.match(text, m.end())):
                 continue
-            value, spans = b[0], (b.span(),)
+            value.add_text(b[0], b.span())
             at = m.end() if PAIR.match(text, m.end()) else b.end()
-        known[name.rpartition(".")[2]] = (value, spans[:64])
-        yield name, value, spans[:64]
+        known[name.rpartition(".")[2]] = value
+        yield name, value
 
 
 def base_spans(text: str) -> list[tuple[int, str, int, tuple[int, int]]]:
@@ -102,11 +131,19 @@ def named_spans(text: str) -> list[tuple[int, str, int, tuple[int, int]]]:
     """Literals whose target's name marks them, each once."""
     if ":" not in text and "=" not in text:
         return []
-    found = set()
-    for name, value, spans in pairs(text):
+    found, seen = set(), set()
+    held = []      # keeps parts alive, so that their identities stay apart
+    for name, value in pairs(text):
         n = name_score(name)
-        if n >= 3 and n + literal_score(value) >= LEAST:
-            found.update(s for s in spans if s[1] > s[0])
+        if n >= 3 and n + value.score() >= LEAST:
+            todo = [value.parts]
+            while todo:
+                v = todo.pop()
+                if id(v) not in seen:
+                    seen.add(id(v))
+                    held.append(v)
+                    found.update(s for s in v[0] if s[1] > s[0])
+                    todo += v[1]
     return [(a, "named", b, (a, b)) for a, b in found]
 
 
