@@ -75,3 +75,10 @@ def test_more_blocks_find_the_same(spark):
 
 def test_empty_table(spark):
     assert near_duplicates(frame(spark, [])).collect() == [] and keep_one(frame(spark, [])).collect() == []
+
+
+def test_rows_are_told_by_id_and_text(spark):
+    text = [" ".join(f"{c}{i}" for i in range(300)) for c in "abcde"]
+    rows = [(None, text[0]), (1, text[1]), (None, text[1]), (5, text[2]), (5, text[3]), (3, text[3]), (5, text[2]), (7, text[4]), (7, "other words " * 30)]
+    got = keep_one(frame(spark, rows)).collect()
+    assert sorted(map(tuple, got), key=str) == sorted([rows[0], rows[1], rows[3], rows[5], rows[7], rows[8]], key=str)

@@ -150,13 +150,25 @@ def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text", rad
 
     Rows with equal fingerprints are linked, repeated rows and rows without words among them. A null id is never the
     smallest unless nothing else is reached. An empty table gives an empty one. Other columns are not read."""
-    prints = cut(fingerprints(docs, id, text, width, seed), "simhash")
+    got = _rooted(docs, id, text, radius, width, seed, tree)
+    return got.select(F.col("id").alias(id), "fp", "component_id")
+
+
+def _rooted(docs: DataFrame, id: str, text: str, radius: int = 3, width: int = 3, seed: int = 42, tree: int = TREE) -> DataFrame:
+    """(id, tag, fp, root, component_id): as ``near_duplicates``, with what tells rows of one id apart."""
+    def run(batches):
+        for batch in batches:
+            got = [fingerprint(t.as_py() or b"", width, seed) for t in batch.column(2)]
+            yield pa.record_batch([batch.column(0), batch.column(1), pa.array(got, pa.int64())], ["id", "tag", "fp"])
+
+    kind = docs.schema[id].dataType.simpleString()
+    prints = cut(tagged(docs, id, text).mapInArrow(run, f"id {kind}, tag bigint, fp bigint"), "simhash")
     classes = prints.groupBy("fp").agg(F.min("id").alias("rep"))
     found = components(close_fingerprints(classes.select("fp"), radius, tree=tree), "simhash-links")
     rooted = classes.join(found.withColumnRenamed("node", "fp"), "fp", "left").select("fp", "rep", F.coalesce("root", "fp").alias("root"))
     best = rooted.groupBy("root").agg(F.min("rep").alias("component_id"))
-    by_fp = rooted.select("fp", "root").join(best, "root").select("fp", "component_id")
-    return prints.join(by_fp, "fp").select(F.col("id").alias(id), "fp", "component_id")
+    by_fp = rooted.select("fp", "root").join(best, "root")
+    return prints.join(by_fp, "fp").select("id", "tag", "fp", "root", "component_id")
 
 
 def tagged(docs: DataFrame, id: str, text: str) -> DataFrame:
@@ -181,16 +193,8 @@ def kept(docs: DataFrame, got: DataFrame, id: str, text: str) -> DataFrame:
     return single.union(first.select(docs.columns))
 
 
-def keep_one(docs: DataFrame, id: str = "doc_id", **how) -> DataFrame:
+def keep_one(docs: DataFrame, id: str = "doc_id", text: str = "text", **how) -> DataFrame:
     """The rows of ``docs`` without near-duplicates: of each component, the row whose id is the component's. Of repeated rows of
-    that id one stays (the smallest by text). Rows with a null id stay where nothing else of their component has one;
-    of several such rows with one fingerprint each stays, because nothing tells which is first."""
-    got = near_duplicates(docs, id, **how)
-    stay = got.where(F.col(id).eqNullSafe(F.col("component_id"))).groupBy(id).agg(F.count(F.lit(1)).alias("__rows"))
-    stay = stay.withColumnRenamed(id, "__id").hint("shuffle_hash")
-    kept = docs.join(stay, docs[id].eqNullSafe(stay["__id"]))
-    single = kept.where(F.col("__id").isNull() | (F.col("__rows") == 1)).select(docs.columns)
-    several = kept.where(F.col("__id").isNotNull() & (F.col("__rows") > 1))
-    order = [F.col(c) for c in docs.columns if docs.schema[c].dataType.typeName() not in ("map", "variant")]
-    first = several.withColumn("__first", F.row_number().over(Window.partitionBy("__id").orderBy(*order))).where("__first = 1")
-    return single.union(first.select(docs.columns))
+    that id in the component one stays (the smallest by text). Rows with a null id stay where nothing else of their component has
+    one; of several such rows in one component each stays, because nothing tells which is first."""
+    return kept(docs, _rooted(docs, id, text, **how), id, text)
