@@ -109,3 +109,11 @@ def test_paragraphs_equal_brute_force(spark, cell):
 def test_bands_follow_the_wanted_recall():
     s = paragraphs.Settings()
     assert 1 - (1 - s.similarity ** s.rows) ** s.bands() >= s.recall > 1 - (1 - s.similarity ** s.rows) ** (s.bands() - 1)
+
+
+def test_short_paragraphs_are_compared_too(spark):
+    ten = "one two three four five six seven eight nine ten eleven twelve thirteen fourteen fifteen sixteen"
+    rows = [(1, f"Licence: MIT\nalone here\n{ten}"), (2, f"x\n\nlicence:  mit\n{ten} more"), (3, "a b c d e f\n \nA B C D E F"), (4, "a b c d e g")]
+    got = paragraphs.repeats(frame(spark, rows), settings=paragraphs.Settings(recall=0.999999)).collect()
+    assert sorted((r.doc_id, r.paragraph, r.first_id, r.first_paragraph, r.removed) for r in got) == [
+        (1, 0, 1, 0, False), (1, 2, 1, 2, False), (2, 2, 1, 0, True), (2, 3, 1, 2, True), (3, 0, 3, 0, False), (3, 2, 3, 0, True)]

@@ -1,7 +1,7 @@
 """Repeated passages by paragraph MinHash banding.
 
-A paragraph is a line; those of ``Settings.least`` words or more are compared, lower-cased, as sets of five-word shingles. Equal paragraphs are one
-class. Bands are tuned to a wanted recall at the threshold: with r minima a band, b bands find a pair of similarity s with probability
+A paragraph is a line with at least one word, lower-cased. Equal paragraphs of any length are one class; classes of five words or more are compared
+as sets of five-word shingles. Bands are tuned to a wanted recall at the threshold: with r minima a band, b bands find a pair of similarity s with probability
 1 - (1 - s^r)^b. Classes that share a band's minima meet in cells of bounded size, where their exact Jaccard similarity is computed from the words
 themselves; texts are fetched only for classes that meet another. Verified links make components, and of each component the
 first paragraph (smallest document, then position) stays."""
@@ -27,7 +27,7 @@ BATCH = 1 << 20   # words hashed at once
 
 @dataclass(frozen=True)
 class Settings:
-    least: int = 20             # words of a paragraph that is compared
+    least: int = 1              # words of a paragraph that is compared
     similarity: float = 0.8
     rows: int = 2               # minima a band
     recall: float = 0.995       # wanted at the threshold
@@ -79,13 +79,21 @@ def band_keys(words: list[list[bytes]], rows: int, bands: int) -> np.ndarray:
     return out.view(np.int64)
 
 
+def band_lists(words: list[list[bytes]], rows: int, bands: int) -> pa.Array:
+    """The band keys of every paragraph as a list, empty for one of fewer words than a shingle has."""
+    long = [i for i, w in enumerate(words) if len(w) >= SHINGLE]
+    keys = band_keys([words[i] for i in long], rows, bands).ravel() if long else np.empty(0, np.int64)
+    sizes = np.zeros(len(words), np.int32)
+    sizes[long] = bands
+    return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)), pa.array(keys))
+
+
 def paragraphs(docs: DataFrame, id: str, text: str, s: Settings) -> DataFrame:
     """(id, paragraph, n_words, node, bands) of every paragraph that is compared; ``node`` is a 128-bit digest of its words."""
     bands = s.bands()
 
     def flush(held):
-        keys = band_keys([h[2] for h in held], s.rows, bands)
-        listed = pa.FixedSizeListArray.from_arrays(pa.array(keys.ravel()), bands).cast(pa.list_(pa.int64()))
+        listed = band_lists([h[2] for h in held], s.rows, bands)
         return pa.record_batch([pa.array([h[0] for h in held], kind), pa.array([h[1] for h in held], pa.int32()),
                                 pa.array([len(h[2]) for h in held], pa.int32()),
                                 pa.array([xxhash.xxh3_128_digest(b" ".join(h[2])) for h in held], pa.binary()), listed],
@@ -158,8 +166,6 @@ def repeats(docs: DataFrame, id: str = "doc_id", text: str = "text", settings: S
     Null and empty texts have no paragraphs. A null id sorts first. Rows repeated with one id count as the same place: a
     paragraph at the same line of both is not removed. Ids are longs; other columns are not read."""
     s = settings
-    if s.least < SHINGLE:
-        raise ValueError(f"paragraphs of fewer than {SHINGLE} words have no shingles")
     found = cut(paragraphs(docs, id, text, s), "paragraphs")
     place = F.struct("id", "paragraph")
     classes = cut(found.groupBy("node").agg(F.min(place).alias("first"), F.max(place).alias("last"), F.first("bands").alias("bands")), "paragraph-classes")
