@@ -43,3 +43,8 @@ def test_unknown_events_are_an_error(spark):
 
 def test_no_turns(spark):
     assert render(messages(events_of(frame(spark, [], TURNS)))).collect() == []
+
+
+def test_the_replay_is_a_running_frame(spark):
+    log = frame(spark, [(1, 1, 0, "open", "user", "a")], "conv_id long, seq long, turn long, kind string, role string, text string")
+    assert "unboundedfollowing" not in messages(log)._jdf.queryExecution().toString().lower()

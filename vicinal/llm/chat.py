@@ -34,7 +34,8 @@ def messages(events: DataFrame) -> DataFrame:
     clean = events.select("conv_id", "seq", "turn", F.when(F.expr(kinds), F.col("kind")).otherwise(
         F.raise_error(F.concat(F.lit("unknown kind of event: "), F.coalesce("kind", F.lit("null"))))).alias("kind"), "role", F.coalesce("text", F.lit("")).alias("text"))
     by = Window.partitionBy("conv_id").orderBy(*order)
-    later = by.rowsBetween(1, Window.unboundedFollowing)
+    # Later events, as a running frame of the reversed order: linear, where a frame to the end is computed anew for every row.
+    later = Window.partitionBy("conv_id").orderBy(F.col("__n").desc()).rowsBetween(Window.unboundedPreceding, -1)
     played = clean.withColumn("__n", F.row_number().over(by)).withColumn("__cut", F.min(F.when(reset, F.col("turn"))).over(later))
     counts = F.col("__cut").isNull() | (F.col("__cut") > F.col("turn")) | F.col("turn").isNull()
     opened = (F.col("kind") == "open") & F.col("role").isNotNull()
