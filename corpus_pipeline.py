@@ -6,7 +6,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from vicinal.llm import copies, mixing, pieces, secrets, toxicity
+from vicinal.llm import mixing, pieces, secrets, simhash, toxicity
 from vicinal.llm.common import cut
 
 
@@ -17,8 +17,8 @@ def toxic_texts(spark, docs, sf_dir):
 
 
 def near_duplicates(spark, docs, sf_dir):
-    """One document of each component of near copies stays, the one with the smallest id; near are five-word shingles of Jaccard 0.8."""
-    return copies.keep_one(docs)
+    """One document of each component of near copies stays, the one with the smallest id; near are fingerprints of three-word shingles at most three bits apart, found by BK-trees."""
+    return simhash.keep_one(docs, radius=3, width=3, seed=42)
 
 
 def secret_spans(spark, docs, sf_dir):
