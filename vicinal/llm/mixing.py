@@ -22,14 +22,15 @@ BINS = 4096
 
 
 def shares(sized: DataFrame, weights: tuple[float, ...], cap: float) -> DataFrame:
-    """(source, source_size, target): sources by code point, null last, weigh ``weights`` in turn and share the total size;
+    """(s, source, source_size, target): sources, numbered by code point, null last, weigh ``weights`` in turn and share the total size;
     no target exceeds ``cap`` times its source's size, and what that frees is shared out again by weight.
 
     The windows over all sources hold one row a source, never documents. Targets are min(cap * size, weight * level) for the one level at which they add up to the total. Sources reach
     their cap in order of cap * size / weight, so the level follows from running sums in that order."""
     each = sized.groupBy("source").agg(F.sum("size").alias("source_size"))
     row = F.row_number().over(Window.orderBy(F.col("source").asc_nulls_last()))
-    each = each.withColumn("w", F.element_at(F.array(*[F.lit(float(w)) for w in weights]), (row - 1) % len(weights) + 1))
+    each = each.withColumn("s", row)
+    each = each.withColumn("w", F.element_at(F.array(*[F.lit(float(w)) for w in weights]), (F.col("s") - 1) % len(weights) + 1))
     each = each.withColumn("most", cap * F.col("source_size").cast("double")).withColumn("full", F.col("most") / F.col("w"))
     order = Window.orderBy("full", F.col("source").asc_nulls_last())
     above = order.rowsBetween(Window.currentRow, Window.unboundedFollowing)
@@ -40,7 +41,7 @@ def shares(sized: DataFrame, weights: tuple[float, ...], cap: float) -> DataFram
     # The first source, in that order, that the level leaves below its cap: from there on all are.
     level = F.min(F.when(F.col("level") <= F.col("full"), F.struct("full", F.col("source").isNull(), "source", "level"))).over(everything)
     each = each.withColumn("at", level["level"])
-    return each.select("source", "source_size", F.coalesce(F.least("most", F.col("w") * F.col("at")), F.col("most")).alias("target"))
+    return each.select("s", "source", "source_size", F.coalesce(F.least("most", F.col("w") * F.col("at")), F.col("most")).alias("target"))
 
 
 def uniform(seed: int, *key: Column) -> Column:
@@ -49,62 +50,85 @@ def uniform(seed: int, *key: Column) -> Column:
     return (F.conv(F.substring(F.md5(text.cast("binary")), 1, 13), 16, 10).cast("double") + 0.5) / float(1 << 52)
 
 
-def ranked(sized: DataFrame, plan: DataFrame, seed: int, cap: float) -> DataFrame:
-    """``sized`` with what its source's plan says of each row: sure copies, the rank t in (0, 1), and its bin."""
-    got = sized.join(plan.withColumnRenamed("source", "__source"), F.col("source").eqNullSafe(F.col("__source"))).drop("__source")
-    e = F.when(F.col("source_size") > 0, F.least(F.lit(cap), F.col("target") / F.col("source_size") * F.col("preference"))).otherwise(0.0)
-    u = uniform(seed, F.col("source"), F.col("id"), F.col("size"))
-    got = got.withColumn("e", e).withColumn("sure", F.floor("e").cast("long")).withColumn("p", F.col("e") - F.col("sure"))
-    got = got.withColumn("u", u).withColumn("q", F.when(F.col("p") > 0, (F.col("u") / (1 - F.col("u"))) / (F.col("p") / (1 - F.col("p")))))
-    got = got.withColumn("t", F.col("q") / (1 + F.col("q")))
-    return got.withColumn("bin", F.least(F.floor(F.col("t") * BINS), F.lit(BINS - 1)).cast("int")).withColumn(
-        "tie", F.xxhash64("id", "size")).drop("e", "u", "q")
+def let(value: Column, then) -> Column:
+    """``then(value)`` with the value computed once. A column that is only named several times would be repeated wherever Spark
+    folds projections or pushes a filter, and chains of such columns multiply."""
+    return F.transform(F.array(value), then)[0]
 
 
-def before(n: int) -> Column:
-    """Whether a ranked row lies before its source's n-th cut-off; the second is for what the first left and still fits."""
+def rank(id: Column, source: Column, size: Column, preference: Column, source_size: Column, target: Column, seed: int, cap: float) -> Column:
+    """What a source's plan says of a row: size, sure copies, the fraction p left, the rank t in (0, 1), its bin, and a tie-breaker."""
+    e = F.when(source_size > 0, F.least(F.lit(cap), target / source_size * preference)).otherwise(0.0)
+    given = F.struct(size.alias("size"), e.alias("e"), id.alias("id"))
+
+    def drawn(r):
+        return F.struct(r["size"].alias("size"), F.floor(r["e"]).cast("long").alias("sure"), (r["e"] - F.floor(r["e"])).alias("p"),
+                        uniform(seed, source, r["id"], r["size"]).alias("u"), F.xxhash64(r["id"], r["size"]).alias("tie"))
+
+    def odds(r):
+        q = F.when(r["p"] > 0, (r["u"] / (1 - r["u"])) / (r["p"] / (1 - r["p"])))
+        return F.struct(*[r[c].alias(c) for c in ("size", "sure", "p", "tie")], q.alias("q"))
+
+    def placed(r):
+        return F.struct(*[r[c].alias(c) for c in ("size", "sure", "p", "tie")], (r["q"] / (1 + r["q"])).alias("t"))
+
+    def binned(r):
+        at = F.least(F.floor(r["t"] * BINS), F.lit(BINS - 1)).cast("int")
+        return F.struct(*[r[c].alias(c) for c in ("size", "sure", "p", "t", "tie")], at.alias("bin"))
+
+    return let(let(let(let(given, drawn), odds), placed), binned)
+
+
+def before(r, n: int) -> Column:
+    """Whether the ranked row ``r`` (its columns by name) lies before its source's n-th cut-off; the second is for what the first left
+    and still fits."""
     edge, last = F.col(f"edge{n}"), F.col(f"last{n}")
-    at = F.coalesce((F.col("bin") < edge) | ((F.col("bin") == edge) & (F.struct("t", "tie") <= last)), F.lit(False))
-    return at if n == 1 else ~before(1) & (F.col("size") <= F.col("goal2")) & at
+    at = F.coalesce((r["bin"] < edge) | ((r["bin"] == edge) & (F.struct(r["t"].alias("t"), r["tie"].alias("tie")) <= last)), F.lit(False))
+    return at if n == 1 else ~before(r, 1) & (r["size"] <= F.col("goal2")) & at
+
+
+def copies(r) -> Column:
+    """How often the mix takes the ranked row ``r``, given its source's cut-offs."""
+    closing = F.coalesce((r["t"] == F.col("closing.t")) & (r["tie"] == F.col("closing.tie")), F.lit(False))
+    return r["sure"] + (before(r, 1) | before(r, 2) | closing).cast("long")
 
 
 def fill(rows: DataFrame, plan: DataFrame, n: int) -> DataFrame:
     """``plan`` with the n-th cut-off of each source (edge, last: a bin and the last row in it) such that ``rows`` before it add up to
-    ``goal`` n at most, and with what is missing then, the next goal."""
-    by = Window.partitionBy("source")
-    bins = rows.groupBy("source", "bin").agg(F.sum("size").alias("words"), F.max(f"goal{n}").alias("goal"))
-    bins = bins.withColumn("upto", F.sum("words").over(by.orderBy("bin").rowsBetween(Window.unboundedPreceding, 0)))
-    over = F.col("upto") > F.col("goal")
-    edge = bins.groupBy(F.col("source").alias("__source")).agg(
-        F.min(F.when(over, F.col("bin"))).alias("edge"), F.max(F.when(~over, F.col("upto"))).alias("fits"), F.max("goal").alias("goal"))
-    edge = edge.select("__source", "edge", F.coalesce("fits", F.lit(0)).alias("fits"), "goal")
-    inside = rows.join(edge, F.col("source").eqNullSafe(F.col("__source")) & (F.col("bin") == F.col("edge")))
-    run = Window.partitionBy("__source").orderBy("t", "tie").rowsBetween(Window.unboundedPreceding, 0)
-    inside = inside.withColumn("upto", F.col("fits") + F.sum("size").over(run)).where(F.col("upto") <= F.col("goal"))
-    last = inside.groupBy("__source").agg(F.max(F.struct("t", "tie")).alias("last"), F.max("upto").alias("upto"))
-    last = last.withColumnRenamed("__source", "__inside")
-    both = edge.join(last, F.col("__source").eqNullSafe(F.col("__inside")), "left").select(
-        "__source", F.coalesce("edge", F.lit(BINS)).alias(f"edge{n}"), F.col("last").alias(f"last{n}"),
-        (F.col("goal") - F.coalesce("upto", "fits")).alias(f"goal{n + 1}"))
-    return plan.join(both, plan["source"].eqNullSafe(both["__source"]), "left").drop("__source")
-
-
-def cut_offs(sized: DataFrame, weights=(1, 2, 3), cap: float = 3.0, seed: int = 7) -> DataFrame:
-    """(source, source_size, target, and what decides about its rows): a row is taken once more than its sure copies if it lies
-    before the first cut-off, or, being small enough for what is missing there, before the second, or if it is ``closing``,
-    the one that then brings the words nearest to the goal, if any does."""
-    plan = shares(sized, weights, cap)
-    goal = ranked(sized, plan, seed, cap).groupBy(F.col("source").alias("__source")).agg(F.sum(F.col("p") * F.col("size")).alias("goal1"))
-    plan = cut(plan.join(goal, plan["source"].eqNullSafe(goal["__source"])).drop("__source"), "mix-goals")
-    plan = cut(fill(ranked(sized, plan, seed, cap).where("p > 0"), plan, 1), "mix-first")
-    rows = ranked(sized, plan, seed, cap).where((F.col("p") > 0) & ~before(1) & (F.col("size") <= F.col("goal2")))
-    plan = cut(fill(rows, plan, 2), "mix-second")
+    ``goal`` n at most, and with what is missing then, the next goal. The first goal is what the fractions of the rows add up to."""
+    bins = rows.groupBy("s", "bin").agg(F.sum("size").alias("words"), F.sum(F.col("p") * F.col("size")).alias("part"))
+    each = Window.partitionBy("s")
+    bins = bins.withColumn("upto", F.sum("words").over(each.orderBy("bin").rowsBetween(Window.unboundedPreceding, 0)))
+    if n == 1:
+        bins = bins.withColumn("goal1", F.sum("part").over(each))
+    else:
+        bins = bins.join(plan.select("s", f"goal{n}"), "s")
+    over = F.col("upto") > F.col(f"goal{n}")
+    edge = bins.groupBy("s").agg(F.coalesce(F.min(F.when(over, F.col("bin"))), F.lit(BINS)).alias("edge"),
+                                 F.coalesce(F.max(F.when(~over, F.col("upto"))), F.lit(0)).alias("fits"), F.max(f"goal{n}").alias("goal"))
+    edge = cut(edge, "mix-edges")
+    inside = rows.select("s", "bin", "t", "tie", "size").join(edge, "s").where("bin = edge")
+    run = Window.partitionBy("s").orderBy("t", "tie").rowsBetween(Window.unboundedPreceding, 0)
+    inside = inside.withColumn("upto", F.col("fits") + F.sum("size").over(run)).where("upto <= goal")
+    last = inside.groupBy("s").agg(F.max(F.struct("t", "tie")).alias("last"), F.max("upto").alias("upto"))
+    both = edge.join(last, "s", "left").select("s", F.col("edge").alias(f"edge{n}"), F.col("last").alias(f"last{n}"),
+                                               (F.col("goal") - F.coalesce("upto", "fits")).alias(f"goal{n + 1}"))
+    return cut(plan.join(both, "s", "left"), "mix-plan")
+
+
+def cut_offs(ranks: DataFrame, plan: DataFrame) -> DataFrame:
+    """``plan`` (s, source, source_size, target) with what decides about the rows of ``ranks``: a row is taken once more than its sure
+    copies if it lies before the first cut-off, or, being small enough for what is missing there, before the second, or if it is
+    ``closing``, the one that then brings the words nearest to the goal, if any does. Every step reads the written ranks."""
+    left = {c: F.col(c) for c in ("size", "t", "tie", "bin")}
+    some = ranks.where("p > 0")
+    plan = fill(some, plan, 1)
+    plan = fill(some.join(plan.select("s", "edge1", "last1", "goal2"), "s").where(~before(left, 1) & F.expr("size <= goal2")).select(some.columns), plan, 2)
     missing = F.coalesce("goal3", "goal2")
     off = F.abs(missing - F.col("size"))
-    rest = ranked(sized, plan, seed, cap).where((F.col("p") > 0) & ~before(1) & ~before(2) & (off < missing))
-    closing = rest.groupBy(F.col("source").alias("__source")).agg(F.min(F.struct(off.alias("off"), "t", "tie")).alias("c"))
-    closing = closing.select("__source", F.struct("c.t", "c.tie").alias("closing"))
-    return plan.join(closing, plan["source"].eqNullSafe(closing["__source"]), "left").drop("__source")
+    rest = some.join(plan.drop("source", "source_size", "target"), "s").where(~before(left, 1) & ~before(left, 2) & (off < missing))
+    closing = rest.groupBy("s").agg(F.min(F.struct(off.alias("off"), "t", "tie")).alias("closing"))
+    return cut(plan.join(closing, "s", "left"), "mix-plan")
 
 
 def sizes(docs: DataFrame, id: str, source: str, text: str, preference: str | None) -> DataFrame:
@@ -126,25 +150,31 @@ def mixed(docs: DataFrame, id: str = "doc_id", source: str = "source", text: str
     Sources share 100 % of all sizes by ``weights``, none above ``cap`` times its size. A document is taken at most
     ``ceil(cap)`` times. Null texts have size 0, null sources are one source, the last. Rows equal in source, id and size share their
     fate, also at the cut-off. Reruns agree, whatever the partitioning. An empty table gives an empty mix."""
-    sized = cut(sizes(docs, id, source, text, preference), "mix-sizes")
-    plan = cut(cut_offs(sized, weights, cap, seed), "mix-plan")
-    return decided(sized, plan, seed, cap).select(
-        F.col("id").alias(id), F.col("source").alias(source), "size", "source_size", "target", "copies", (F.col("copies") * F.col("size")).alias("taken"))
+    ranks, plan = planned(docs, id, source, text, weights, cap, seed, preference)
+    taken = copies({c: F.col(c) for c in ("size", "t", "tie", "bin", "sure")})
+    got = ranks.join(plan.drop("source", "source_size", "target"), "s").select("id", "source", "size", "source_size", "target", taken.alias("copies"))
+    return got.select(F.col("id").alias(id), F.col("source").alias(source), "size", "source_size", "target", "copies", (F.col("copies") * F.col("size")).alias("taken"))
 
 
-def decided(sized: DataFrame, plan: DataFrame, seed: int, cap: float) -> DataFrame:
-    got = ranked(sized, plan, seed, cap)
-    more = before(1) | before(2) | F.coalesce(F.struct("t", "tie") == F.col("closing"), F.lit(False))
-    return got.withColumn("copies", F.col("sure") + more.cast("long"))
+def planned(docs: DataFrame, id: str, source: str, text: str, weights, cap: float, seed: int, preference: str | None = None):
+    """Every row ranked, and every source's cut-offs: two written tables. Sources have a number ``s``, so that no later join
+    has to care for the missing one."""
+    sized = cut(sizes(docs, id, source, text, preference), "mix-sizes")
+    plan = cut(shares(sized, weights, cap), "mix-shares")
+    mine = plan.withColumnRenamed("source", "__source")
+    r = rank(*map(F.col, ("id", "source", "size", "preference", "source_size", "target")), seed, cap)
+    ranks = sized.join(mine, F.col("source").eqNullSafe(F.col("__source"))).select("s", "id", "source", "source_size", "target", r.alias("r"))
+    ranks = cut(ranks.select("s", "id", "source", "source_size", "target", "r.*"), "mix-ranks")
+    return ranks, cut_offs(ranks, plan)
 
 
 def mix(docs: DataFrame, id: str = "doc_id", source: str = "source", text: str = "text", weights=(1, 2, 3), cap: float = 3.0, seed: int = 7) -> DataFrame:
     """The mix itself: every row of ``docs`` as often as it is taken, with the columns of ``docs``. Texts are not shuffled:
     the cut-offs, one row a source, come to the rows."""
-    sized = cut(sizes(docs, id, source, text, None), "mix-sizes")
-    plan = cut(cut_offs(sized, weights, cap, seed), "mix-plan")
-    whole = docs.select(F.col(id).alias("id"), F.col(source).alias("source"), words_of(F.col(text)).alias("size"), F.lit(1.0).alias("preference"), F.struct("*").alias("__row"))
-    taken = decided(whole, plan, seed, cap).where("copies > 0").select("__row", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))).alias("__copy"))
+    _, plan = planned(docs, id, source, text, weights, cap, seed)
+    whole = docs.select(F.struct("*").alias("__row")).join(plan, F.col(f"__row.{source}").eqNullSafe(F.col("source")))
+    r = rank(F.col(f"__row.{id}"), F.col("source"), words_of(F.col(f"__row.{text}")), F.lit(1.0), F.col("source_size"), F.col("target"), seed, cap)
+    taken = whole.select("__row", F.explode(F.array_repeat(F.lit(True), let(r, copies).cast("int"))))
     return taken.select(*[F.col("__row").getField(c).alias(c) for c in docs.columns])
 
 
