@@ -95,6 +95,21 @@ def _bounded(held, keys):
     return table, np.append(np.flatnonzero(change), table.num_rows)
 
 
+HOT = 4096      # groups of this share of all rows or more are at most so many
+
+
+def attach(rows: DataFrame, groups: DataFrame, keys: list[str], size: str, how: str = "inner") -> DataFrame:
+    """``rows`` with the columns of their group, one row of ``groups`` for each set of ``keys`` (nulls are equal to each other); ``size``
+    is the group's number of rows. Groups with more than 1 / HOT of all rows number less than HOT: they are broadcast and their rows
+    stay where they are. The rest meets in a shuffle in which no key can have more than that share."""
+    least = max(1, (rows.agg(F.count(F.lit(1))).first()[0]) // HOT)
+    named = groups.select(*[F.col(k).alias(f"__{k}") for k in keys], *[c for c in groups.columns if c not in keys])
+    hot, cold = F.broadcast(named.where(F.col(size) > least)), named.where(F.col(size) <= least)
+    same = [F.col(k).eqNullSafe(F.col(f"__{k}")) for k in keys]
+    drop = [f"__{k}" for k in keys]
+    return rows.join(hot, same).drop(*drop).unionByName(rows.join(hot, same, "left_anti").join(cold, same, how).drop(*drop))
+
+
 class Forest:
     """Union by smallest index over 0..n-1; keeps only the links that joined two trees."""
 

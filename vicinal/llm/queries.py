@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .chat import CHAT_SQL
+from .exact import EXACT_SQL
 from .mixing import MIX_SQL
 from .topk import TOPK_SQL
 
@@ -115,3 +116,14 @@ def op8_suffix_dedup(spark, sf_dir):
     from .substrings import without_repeats
 
     return without_repeats(table(spark, sf_dir, "documents")).drop("kept")
+
+
+@registered
+def op11_exact_dedup(spark, sf_dir):
+    from .exact import duplicates
+
+    got = duplicates(table(spark, sf_dir, "documents"), digest=True)
+    return got.select("doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("sha256")).alias("text_sha256"))
+
+
+ORACLES["op11_exact_dedup"] = EXACT_SQL
