@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .chat import CHAT_SQL
+from .codes import CODES_SQL
 from .exact import EXACT_SQL
 from .mixing import MIX_SQL
 from .topk import TOPK_SQL
@@ -127,3 +128,20 @@ def op11_exact_dedup(spark, sf_dir):
 
 
 ORACLES["op11_exact_dedup"] = EXACT_SQL
+
+
+@registered
+def op12_vector_codes(spark, sf_dir):
+    from .codes import encode, train
+    from .common import attach, cut
+
+    rows = table(spark, sf_dir, "embeddings")
+    books = train(rows)
+    coded = cut(encode(rows, books, keep=["vec_id", "label"]), "vector-codes")
+    labels = cut(coded.groupBy("label").agg(F.count(F.lit(1)).alias("n"), F.sum("error").alias("label_error")), "code-labels")
+    digest = books.digest() if books else None
+    return attach(coded, labels, ["label"], "n").select(
+        "vec_id", F.lower(F.hex("code")).alias("code"), "error", "label_error", F.lit(digest).cast("string").alias("codebooks_sha256"))
+
+
+ORACLES["op12_vector_codes"] = CODES_SQL
