@@ -9,6 +9,7 @@ from .chat import CHAT_SQL
 from .codes import CODES_SQL
 from .exact import EXACT_SQL
 from .mixing import MIX_SQL
+from .phrases import PHRASES_SQL
 from .topk import TOPK_SQL
 
 REGISTRY: dict = {}
@@ -145,3 +146,13 @@ def op12_vector_codes(spark, sf_dir):
 
 
 ORACLES["op12_vector_codes"] = CODES_SQL
+
+
+@registered
+def op13_collocations(spark, sf_dir):
+    from .phrases import collocations
+
+    return collocations(table(spark, sf_dir, "documents"))
+
+
+ORACLES["op13_collocations"] = PHRASES_SQL
