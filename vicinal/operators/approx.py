@@ -10,8 +10,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vicinal.functions.scores import score_to_threshold, to_score
-from vicinal.operators.blocks import METRIC_OF_SPACE, as_bytes, as_matrix, list_array
-from vicinal.operators.encoders import ADC_METRIC, nearest_centroid, nearest_centroids
+from vicinal.operators.blocks import METRIC_OF_SPACE, as_bytes, list_array
+from vicinal.operators.encoders import ADC_METRIC, centroid_rows, coarse_metric, nearest_centroid, nearest_centroids
 from vicinal.operators.knn import conditions, explanation, hit_schema, knn_join, pairwise_distance, rescore
 from vicinal.operators.scan import Scan, merge_top_k, run_scan, with_score
 from vicinal.plans.limits import LIMITS, Limits
@@ -39,9 +39,10 @@ class Probes:
     column: str = "_probe"
     list_column: str = "list_id"
 
-    def block(self, rows: np.ndarray):
-        lists = nearest_centroids(rows, self.centroids, self.nprobes, self.metric)
-        return np.repeat(np.arange(len(rows)), lists.shape[1]), lists.reshape(-1)
+    def block(self, column):
+        """(query row, list) of every visit."""
+        lists = nearest_centroids(centroid_rows(column, self.metric), self.centroids, self.nprobes, self.metric)
+        return np.repeat(np.arange(len(lists)), lists.shape[1]), lists.reshape(-1)
 
     def prune(self, c: DataFrame, lists: list) -> DataFrame:
         """Read the visited lists only; the list number is the table's partition column."""
@@ -55,14 +56,15 @@ class Probes:
         @F.arrow_udf("array<int>")
         def visit(values: pa.Array) -> pa.Array:
             n = len(values)
-            return list_array(find(as_matrix(values))[1].reshape(n, -1).astype(np.int32), pa.int32())
+            return list_array(find(values)[1].reshape(n, -1).astype(np.int32), pa.int32())
 
         return q.withColumn(self.column, F.explode(visit(F.col(vec))))
 
 
 def assign_lists(c: DataFrame, centroids: np.ndarray, space: str = "l2", *, vec: str = "vec", column: str = "list_id") -> DataFrame:
-    """Add the number of each row's nearest centroid; a row without a vector gets none."""
-    metric = METRIC_OF_SPACE[space]
+    """Add the number of each row's nearest centroid; a row without a vector gets none. In the Hamming space vectors and centroids are
+    packed bits."""
+    metric = coarse_metric(space)
     held = c.sparkSession.sparkContext.broadcast(centroids)
 
     @F.arrow_udf("int")
@@ -70,7 +72,7 @@ def assign_lists(c: DataFrame, centroids: np.ndarray, space: str = "l2", *, vec:
         there = values.is_valid().to_numpy(zero_copy_only=False)
         out = np.zeros(len(values), np.int32)
         if there.any():
-            out[there] = nearest_centroid(as_matrix(values.drop_null()), held.value, metric)
+            out[there] = nearest_centroid(centroid_rows(values.drop_null(), metric), held.value, metric)
         return pa.array(out, mask=~there)
 
     return c.withColumn(column, near(F.col(vec)))
@@ -135,10 +137,12 @@ def approx_join(q: DataFrame, index: Index, k: int, *, mode: str, space: str = "
         scan = Scan(METRIC_OF_SPACE[space], space, query_id, query_vec, id, vec, columns, (id,), k=first, conds=conditions(on))
     probes = None
     if lists:
+        if (space == "hamming") != (model.space == "hamming"):
+            raise SpecError(f"lists of the {model.space!r} space cannot be searched in {space!r}")
         nprobes = nprobes or model.spec.params.get("nprobes", 1)
         if not 0 < nprobes < IVF_LIMIT:
             raise SpecError(f"nprobes must lie in 1..{IVF_LIMIT - 1}")
-        probes = Probes(model.centroids, nprobes, METRIC_OF_SPACE[space], list_column=model.list_column)
+        probes = Probes(model.centroids, nprobes, coarse_metric(space), list_column=model.list_column)
         scan = replace(scan, list_column=model.list_column)
     hits = run_scan(scan, q, df, probes=probes, limits=limits)
     if user is None:

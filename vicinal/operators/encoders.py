@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from vicinal.operators.blocks import METRIC_OF_SPACE, as_bytes, as_matrix, binary_array, list_array, where_valid
+from vicinal.operators.blocks import METRIC_OF_SPACE, as_bytes, as_matrix, binary_array, list_array, to_words, where_valid
 from vicinal.spec import FP16_MAX, ROTATION_SEED, SpecError
 
 
@@ -302,14 +302,42 @@ def nearest_centroid(rows: np.ndarray, centroids: np.ndarray, metric: str = "l2"
     return nearest_centroids(rows, centroids, 1, metric)[:, 0]
 
 
+COARSE_SPACES = ("l2", "cosinesimil", "innerproduct", "hamming")
+
+
+def coarse_metric(space: str) -> str:
+    """How vectors of this space are dealt to the lists of an inverted file. The other spaces have no mean that represents a list."""
+    if space not in COARSE_SPACES:
+        raise SpecError(f"an inverted file needs one of the spaces {COARSE_SPACES}, not {space!r}")
+    return METRIC_OF_SPACE[space]
+
+
+def centroid_rows(column, metric: str) -> np.ndarray:
+    """A vector column in the form that centroids of this metric are compared with: packed bytes for Hamming, else numbers."""
+    return as_bytes(column) if metric == "hamming" else as_matrix(column)
+
+
 def nearest_centroids(rows: np.ndarray, centroids: np.ndarray, n: int, metric: str = "l2") -> np.ndarray:
-    rows, centroids = rows.astype(np.float64), centroids.astype(np.float64)
+    """Numbers of the ``n`` nearest centroids of each row, nearest first; the lower number wins a tie."""
+    if metric not in ("l2", "cos", "ip", "hamming"):
+        raise SpecError(f"centroids cannot be ranked by {metric!r}")
     out = np.empty((len(rows), min(n, len(centroids))), np.int64)
     step = max(1, 4_000_000 // len(centroids))
+    if metric == "hamming":
+        if len(rows) and rows.shape[1] != centroids.shape[1]:
+            raise SpecError(f"codes of {rows.shape[1]} bytes do not match centroids of {centroids.shape[1]}")
+        rows, centroids = to_words(rows), to_words(centroids)
+    else:
+        rows, centroids = rows.astype(np.float64), centroids.astype(np.float64)
     if metric == "cos":
         centroids = _unit(centroids)
     for s in range(0, len(rows), step):
-        score = -(rows[s:s + step] @ centroids.T)
+        if metric == "hamming":
+            score = np.zeros((len(rows[s:s + step]), len(centroids)), np.int32)
+            for w in range(rows.shape[1]):
+                score += np.bitwise_count(rows[s:s + step, w, None] ^ centroids[None, :, w])
+        else:
+            score = -(rows[s:s + step] @ centroids.T)
         if metric == "l2":
             score = 2 * score + (centroids * centroids).sum(axis=1)[None, :]
         if n == 1:

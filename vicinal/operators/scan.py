@@ -319,7 +319,7 @@ def run_scan(scan: Scan, q: DataFrame, c: DataFrame, *, probes: Callable | None
             if len(groups) <= 256:
                 scan, lists = keyed, {key: np.array(rows) for key, rows in groups.items()}
         if probes is not None:
-            rows, numbers = probes.block(as_matrix(block.column(scan.query_vec)))
+            rows, numbers = probes.block(block.column(scan.query_vec))
             lists = {int(n): rows[numbers == n] for n in np.unique(numbers)}
             c = probes.prune(c, list(lists))
         return _broadcast_scan(scan, block, q, c, lists)

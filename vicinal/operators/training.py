@@ -11,8 +11,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vicinal.operators.blocks import METRIC_OF_SPACE, as_matrix, list_array
-from vicinal.operators.encoders import (BitQuantizer, ProductQuantizer, Sq1, Sq7, _unit, nearest_centroid,
+from vicinal.operators.blocks import as_bytes, as_matrix, list_array
+from vicinal.operators.encoders import (BitQuantizer, ProductQuantizer, Sq1, Sq7, _unit, coarse_metric, nearest_centroid,
                                         random_rotation)
 from vicinal.plans.limits import LIMITS, few_partitions, vector_length
 from vicinal.spec import IVF_LIMIT, SpecError
@@ -197,10 +197,94 @@ def first_centroids(c: DataFrame, n: int, *, vec: str, id: str, seed: int) -> np
                 .orderBy("_h").limit(n).collect())
         # Fewer than n distinct vectors come back unlimited, so their copies add up to the sample's size.
         if len(rows) == n or sum(r["_n"] for r in rows) < size:
-            return np.array([r["vec"] for r in rows], np.float64)
+            packed = bool(rows) and isinstance(rows[0]["vec"], (bytes, bytearray))
+            return np.array([np.frombuffer(r["vec"], np.uint8) for r in rows]) if packed else np.array([r["vec"] for r in rows], np.float64)
         size *= 4
 
 
+def _added_up(batches):
+    """Rows (s, j, n, total) with n and total added up for each (s, j) of the partition."""
+    keys, counts, sums = np.zeros(0, np.int64), np.zeros(0, np.int64), None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        rows = as_matrix(batch.column(3))
+        key = (batch.column(0).to_numpy().astype(np.int64) << 32) | batch.column(1).to_numpy()
+        new, where = np.unique(np.concatenate([keys, key]), return_inverse=True)
+        n, total = np.zeros(len(new), np.int64), np.zeros((len(new), rows.shape[1]), rows.dtype)
+        if sums is not None:
+            n[where[:len(keys)]], total[where[:len(keys)]] = counts, sums
+        np.add.at(n, where[len(keys):], batch.column(2).to_numpy())
+        np.add.at(total, where[len(keys):], rows)
+        keys, counts, sums = new, n, total
+    if len(keys):
+        yield pa.record_batch([pa.array((keys >> 32).astype(np.int32)), pa.array((keys & 0xFFFFFFFF).astype(np.int32)), pa.array(counts), list_array(sums)],
+                              names=["s", "j", "n", "total"])
+
+
+def kmajority(c: DataFrame, init: np.ndarray, *, vec: str = "vec", iterations: int = 10) -> np.ndarray:
+    """Lloyd's iterations in the Hamming space; ``init`` is (centroids, bytes) of packed bits.
+
+    A centroid's bit becomes what most of its rows have, and stays where they are divided evenly. Tasks count set bits per nearest
+    centroid, at most one row a centroid and task, which Spark adds up. A centroid without rows becomes the fullest one
+    with its most divided bit turned over, and takes half of its weight. Stops when nothing changes.
+    """
+    k, width = init.shape
+    _check_model_bytes(init.size * 8)
+    sc = c.sparkSession.sparkContext
+    table = few_partitions(c.where(F.col(vec).isNotNull()).select(vec))
+    centroids = np.ascontiguousarray(init, np.uint8)
+
+    for _ in range(iterations):
+        held = sc.broadcast(centroids)
+
+        def assign(batches, held=held):
+            now = held.value
+            ones, counts = np.zeros((len(now), 8 * now.shape[1]), np.int64), np.zeros(len(now), np.int64)
+            for batch in batches:
+                rows = as_bytes(batch.column(0))
+                if not len(rows):
+                    continue
+                near = nearest_centroid(rows, now, "hamming")
+                order = np.argsort(near, kind="stable")
+                for part in np.array_split(order, max(1, rows.size // (1 << 22))):
+                    start = np.flatnonzero(np.r_[True, np.diff(near[part]) > 0])
+                    ones[near[part][start]] += np.add.reduceat(np.unpackbits(rows[part], axis=1), start, axis=0, dtype=np.int64)
+                counts += np.bincount(near, minlength=len(now))
+            j = np.flatnonzero(counts)
+            if len(j):
+                yield pa.record_batch([pa.array(np.zeros(len(j)), pa.int32()), pa.array(j, pa.int32()), pa.array(counts[j]), list_array(ones[j])],
+                                      names=["s", "j", "n", "total"])
+
+        schema = "s int, j int, n bigint, total array<bigint>"
+        rows = table.mapInArrow(assign, schema).repartition("j").mapInArrow(_added_up, schema).toArrow()
+        held.unpersist()
+        if not rows.num_rows:
+            break
+        j, ones, n = rows.column("j").to_numpy(), np.zeros((k, 8 * width)), np.zeros(k)
+        n[j], ones[j] = rows.column("n").to_numpy(), as_matrix(rows.column("total"))
+        bits = np.unpackbits(centroids, axis=1)
+        new = np.where(2 * ones > n[:, None], 1, np.where(2 * ones < n[:, None], 0, bits)).astype(np.uint8)
+        new[n == 0] = bits[n == 0]
+        for empty in np.flatnonzero(n == 0):
+            full = int(n.argmax())
+            if n[full] < 2:
+                break
+            new[empty] = new[full]
+            turned = int(np.abs(2 * ones[full] - n[full]).argmin())
+            new[empty, turned] ^= 1
+            ones[full, turned] = np.inf      # the next one turns another bit
+            n[empty] = n[full] / 2
+            ones[empty] = ones[full] / 2
+            n[full] /= 2
+            ones[full] /= 2
+        packed = np.packbits(new, axis=1)
+        if (packed == centroids).all():
+            break
+        centroids = packed
+    return centroids
+
+
 def kmeans(c: DataFrame, init: np.ndarray, *, vec: str = "vec", iterations: int = 10, metric: str = "l2",
            tolerance: float = 1e-6) -> np.ndarray:
     """Lloyd's iterations on one or several sub-spaces at once; ``init`` is (subs, centroids, width).
@@ -239,22 +323,8 @@ def kmeans(c: DataFrame, init: np.ndarray, *, vec: str = "vec", iterations: int
                 yield pa.record_batch([pa.array(s, pa.int32()), pa.array(j, pa.int32()), pa.array(counts[s, j]),
                                        list_array(sums[s, j])], names=["s", "j", "n", "total"])
 
-        def merge(batches):
-            counts, sums = {}, {}
-            for batch in batches:
-                totals = as_matrix(batch.column(3)) if batch.num_rows else []
-                for key, n, row in zip(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()),
-                                       batch.column(2).to_pylist(), totals):
-                    counts[key] = counts.get(key, 0) + n
-                    sums[key] = sums[key] + row if key in sums else row.astype(np.float64)
-            if counts:
-                keys = sorted(counts)
-                yield pa.record_batch([pa.array([a for a, _ in keys], pa.int32()), pa.array([b for _, b in keys], pa.int32()),
-                                       pa.array([counts[x] for x in keys], pa.int64()),
-                                       list_array(np.stack([sums[x] for x in keys]))], names=["s", "j", "n", "total"])
-
         schema = "s int, j int, n bigint, total array<double>"
-        rows = table.mapInArrow(assign, schema).repartition("s", "j").mapInArrow(merge, schema).toArrow()
+        rows = table.mapInArrow(assign, schema).repartition("s", "j").mapInArrow(_added_up, schema).toArrow()
         s, j = rows.column("s").to_numpy(), rows.column("j").to_numpy()
         n = np.zeros((subs, k))
         n[s, j] = rows.column("n").to_numpy()
@@ -280,17 +350,19 @@ def kmeans(c: DataFrame, init: np.ndarray, *, vec: str = "vec", iterations: int
 
 def fit_ivf(c: DataFrame, nlist: int = 4, *, space: str = "l2", iterations: int = 10, seed: int = 42, vec: str = "vec",
             id: str = "id", init: np.ndarray | None = None) -> np.ndarray:
-    """Coarse centroids ``(nlist, dim)`` of an inverted file."""
+    """Coarse centroids of an inverted file: ``(nlist, dim)`` numbers, or ``(nlist, bytes)`` packed bits in the Hamming space."""
     if not 0 < nlist < IVF_LIMIT:
         raise SpecError(f"nlist must lie in 1..{IVF_LIMIT - 1}")
-    metric = METRIC_OF_SPACE[space]
+    metric = coarse_metric(space)
     if init is None:
         init = first_centroids(c.where(F.col(vec).isNotNull()), nlist, vec=vec, id=id, seed=seed)
         if len(init) < nlist:
             raise SpecError(f"training needs at least {nlist} distinct vectors")
+    if metric == "hamming":
+        return kmajority(c, init, vec=vec, iterations=iterations)
     if metric == "cos":
         init = _unit(init)
-    return kmeans(c, init[None], vec=vec, iterations=iterations, metric=metric if metric in ("l2", "cos", "ip") else "l2")[0]
+    return kmeans(c, init[None], vec=vec, iterations=iterations, metric=metric)[0]
 
 
 def fit_pq(c: DataFrame, m: int = 1, code_size: int = 8, *, space: str = "l2", iterations: int = 10, seed: int = 42,

@@ -143,6 +143,8 @@ def train_model(c: DataFrame, model_id: str, spec: VectorSpec, path: str, *, des
         raise SpecError(f"a description has at most {MAX_DESCRIPTION} characters and no comma")
     rows = c.where(F.col(vec).isNotNull())
     dim = vector_length(rows, vec)
+    if dim is not None and spec.data_type == "binary":
+        dim *= 8
     if dim is not None and dim != spec.dimension:
         raise SpecError(f"the training vectors have {dim} dimensions, not {spec.dimension}")
     about = _describe(model_id, spec, description)

@@ -123,6 +123,8 @@ def validate_spec(spec: VectorSpec) -> VectorSpec:
         raise SpecError(f"unknown method {spec.method!r}; valid values are {METHODS}")
     if spec.encoder is not None and spec.encoder not in ENCODERS:
         raise SpecError(f"unknown encoder {spec.encoder!r}; valid values are {ENCODERS}")
+    if spec.method == "ivf" and spec.resolved_space in ("l1", "linf"):
+        raise SpecError(f"an inverted file does not support space {spec.resolved_space!r}")
     if spec.method == "flat" and spec.params:
         raise SpecError("the flat method takes no parameters")
     allowed = dict(_PARAMETERS[spec.method])

@@ -20,8 +20,8 @@ from vicinal.sources import models as M
 from vicinal.sources import vectors as I
 from vicinal.spec import VectorSpec
 from vicinal.streaming import tables as T
-from vicinal.workload.tables import (DIM, bit_model, byte_vectors, child_rows, children, corpus, flat, ivf_model, label_codebook,
-                                     label_means, queries, rounded, signed_bits, table, token_sets)
+from vicinal.workload.tables import (DIM, binary_corpus, binary_ivf_model, bit_model, byte_vectors, child_rows, children, corpus, flat, ivf_model,
+                                     label_codebook, label_codes, label_means, queries, rounded, signed_bits, table, token_sets)
 
 REGISTRY = {}
 FIXED_QUERY = [0.1 if i % 2 == 0 else -0.05 for i in range(DIM)]
@@ -369,6 +369,16 @@ def _(spark, d):
     return ranked(knn_join(queries(spark, d), index, 10, mode="ivf", nprobes=2))
 
 
+def _binary_queries(spark, d) -> DataFrame:
+    return queries(spark, d).select("query_id", signed_bits("query_vec").alias("query_vec"))
+
+
+@run("s11_ivf_search_binary")
+def _(spark, d):
+    index = X.write_index(binary_corpus(spark, d), binary_ivf_model(spark, d), scratch_dir(spark, "binary-ivf"))
+    return ranked(knn_join(_binary_queries(spark, d), index, 10, "hamming", mode="ivf", nprobes=2))
+
+
 @run("s11_ivf_search_cosine")
 def _(spark, d):
     return ranked(knn_join(queries(spark, d), _index(spark, d, ivf_model(spark, d, "cosinesimil")), 10, "cosinesimil",
@@ -739,6 +749,17 @@ def _(spark, d):
     return _centroid_rows(spark, Q.fit_ivf(corpus(spark, d), len(means), init=means, iterations=2)[None])
 
 
+@run("q12_ivf_train_binary")
+def _(spark, d):
+    codes = Q.fit_ivf(binary_corpus(spark, d), 10, space="hamming", init=label_codes(spark, d), iterations=2)
+    return spark.createDataFrame([(i, bytes(c).hex()) for i, c in enumerate(codes)], "centroid int, code string")
+
+
+@run("q13_assign_lists_binary")
+def _(spark, d):
+    return assign_lists(binary_corpus(spark, d), label_codes(spark, d), "hamming").select("id", "list_id")
+
+
 @run("q13_assign_lists")
 def _(spark, d):
     return assign_lists(corpus(spark, d), label_means(spark, d)).select("id", "list_id")

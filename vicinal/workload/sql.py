@@ -388,6 +388,27 @@ ORACLES["s24_fill_exact"] = ORACLES["s24_auto_fallback"].replace(", CASE WHEN en
 SIGN = "g AS (SELECT vec_id, list_transform(embedding, lambda x: CASE WHEN x > 0 THEN 1 ELSE 0 END) AS v FROM embeddings)"
 ORACLES["s25_binary_vectors"] = top(ham(*QC), inverse, 10, ctes=(SIGN,), q="g q", c="g c")
 BYTES = "g AS (SELECT vec_id, list_transform(embedding, lambda x: round(x::DOUBLE * 127)) AS v FROM embeddings)"
+# Majority of every label's sign bits, as coarse centroids of binary vectors.
+CODES = ("m AS (SELECT label AS list_id, list(b ORDER BY p) AS cv FROM (SELECT label, p, CASE WHEN 2 * sum(x) > count(*) THEN 1 ELSE 0 END AS b FROM "
+         "(SELECT e.label, unnest(g.v) AS x, generate_subscripts(g.v, 1) AS p FROM g JOIN embeddings e ON e.vec_id = g.vec_id) GROUP BY label, p) GROUP BY label)")
+ORACLES["s11_ivf_search_binary"] = top(
+    ham(*QC), inverse, 10, ctes=(SIGN, CODES, near_list(ham, 1, "g"), near_list(ham, 2, "g", "p"), "x AS (SELECT g.*, a.list_id FROM g JOIN a ON g.vec_id = a.vec_id)"),
+    q="g q JOIN p ON p.vec_id = q.vec_id", c="x c", where="c.list_id = p.list_id")
+ORACLES["q13_assign_lists_binary"] = f"WITH {SIGN}, {CODES}, {near_list(ham, 1, 'g')} SELECT vec_id AS id, list_id FROM a"
+
+
+def majority(step, before):
+    """One more iteration of k-majority on the centroids ``before``; evenly divided bits stay."""
+    return (f"as{step} AS (SELECT vec_id, list_id, cv, v FROM (SELECT g.vec_id, g.v, c.list_id, c.cv, row_number() OVER (PARTITION BY g.vec_id ORDER BY "
+            f"{ham('g.v', 'c.cv')}, c.list_id) AS rn FROM g, {before} c) WHERE rn = 1), "
+            f"mj{step} AS (SELECT list_id, list(b ORDER BY p) AS cv FROM (SELECT list_id, p, CASE WHEN 2 * sum(x) > count(*) THEN 1 WHEN 2 * sum(x) < count(*) THEN 0 "
+            f"ELSE any_value(old) END AS b FROM (SELECT list_id, unnest(v) AS x, unnest(cv) AS old, generate_subscripts(v, 1) AS p FROM as{step}) GROUP BY list_id, p) GROUP BY list_id)")
+
+
+ORACLES["q12_ivf_train_binary"] = (
+    f"WITH {SIGN}, {CODES}, {majority(1, 'm')}, {majority(2, 'mj1')} SELECT CAST(list_id AS INTEGER) AS centroid, "
+    "string_agg(printf('%02x', list_reduce(list_prepend(0, cv[8 * b + 1:8 * b + 8]), lambda x, y: 2 * x + y)), '' ORDER BY b) AS code "
+    "FROM mj2, range(8) t(b) GROUP BY list_id")
 ORACLES["s26_byte_vectors"] = top("list_sum(list_transform(list_zip(q.v, c.v), lambda s: (s[1] - s[2]) * (s[1] - s[2])))", inverse, 10,
                                   ctes=(BYTES,), q="g q", c="g c")
 ORACLES["s27_explain"] = (

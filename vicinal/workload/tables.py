@@ -65,6 +65,26 @@ def ivf_model(spark, sf_dir, space: str = "l2") -> Model:
     return Model(VectorSpec(DIM, space=space, method="ivf", params={"nlist": len(means)}), None, means)
 
 
+def binary_corpus(spark, sf_dir) -> DataFrame:
+    """The signs of the vectors as packed bits."""
+    return corpus(spark, sf_dir).select("id", signed_bits("vec").alias("vec"), "label")
+
+
+def label_codes(spark, sf_dir) -> np.ndarray:
+    """Majority of every label's sign bits: 10 rows, used as fixed coarse centroids of binary vectors."""
+    e = table(spark, sf_dir, "embeddings").select("label", F.posexplode("embedding").alias("pos", "x"))
+    rows = e.groupBy("label", "pos").agg((2 * F.sum((F.col("x") > 0).cast("int")) > F.count("x")).alias("bit")).collect()
+    out = np.zeros((max(r.label for r in rows) + 1, DIM), np.uint8)
+    for r in rows:
+        out[r.label, r.pos] = r.bit
+    return np.packbits(out, axis=1)
+
+
+def binary_ivf_model(spark, sf_dir) -> Model:
+    codes = label_codes(spark, sf_dir)
+    return Model(VectorSpec(DIM, data_type="binary", method="ivf", params={"nlist": len(codes)}), None, codes)
+
+
 def bit_model(spark, sf_dir, bits: int = 1, space: str = "l2") -> Model:
     quantizer = fit_scalar_quantizer(corpus(spark, sf_dir), bits, sample=None)
     return Model(VectorSpec(DIM, space=space, encoder="binary", mode="on_disk",
