@@ -18,7 +18,7 @@ def test_query_equals_its_sql(spark, name):
     for f in os.listdir(DATA):
         con.execute(f"CREATE VIEW {f.split('.')[0]} AS SELECT * FROM '{DATA}/{f}'")
     text, _, ok = compare(spark, con, name, entry.queries()[name], entry.oracle_sql().get(name), DATA)
-    assert ok or name == "op9_paragraph_dedup", text
+    assert ok, text
 
 
 @needs_data

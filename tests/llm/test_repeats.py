@@ -2,11 +2,12 @@
 
 import hashlib
 import random
+import re
 
 import pytest
 
 from vicinal.llm import paragraphs, substrings
-from .conftest import frame, least_reachable
+from .conftest import frame, least_reachable, needs_data
 
 NONE = -(1 << 63)
 
@@ -59,47 +60,62 @@ def test_no_documents(spark):
     assert substrings.without_repeats(frame(spark, [])).collect() == [] and paragraphs.repeats(frame(spark, [])).collect() == []
 
 
-def passages():
+def wrapped(words, width):
+    return "\n".join(" ".join(words[i:i + width]) for i in range(0, len(words), width))
+
+
+def some_texts():
     random.seed(11)
     words = [f"w{i}" for i in range(400)]
-    base = [[random.choice(words) for _ in range(random.randint(20, 70))] for _ in range(25)]
+    base = [[random.choice(words) for _ in range(random.randint(6, 70))] for _ in range(25)]
     rows = []
     for n in range(120):
         lines = []
         for _ in range(random.randint(0, 5)):
-            line = random.choice(base)[:] if random.random() < 0.5 else [random.choice(words) for _ in range(random.randint(3, 60))]
+            line = random.choice(base)[:] if random.random() < 0.5 else [random.choice(words) for _ in range(random.randint(1, 60))]
             if random.random() < 0.5:
                 line[random.randrange(len(line))] = "edit"
-            lines.append(random.choice((" ", "  ")).join(line).upper() if random.random() < 0.1 else " ".join(line))
-        rows.append((n, "\n".join(lines)))
-    rows += [(500, None), (501, ""), (502, "\n\n"), (None, " ".join(base[0])), (3, rows[3][1]), (503, ("\n".join([" ".join(base[1])] * 300)))]
+            kind = random.random()
+            lines.append(" ".join(line).upper() if kind < 0.1 else "  ".join(line) if kind < 0.2 else wrapped(line, random.choice((4, 11, 30))) if kind < 0.5 else " ".join(line))
+        rows.append((n, random.choice(("\n", "\n\n", "\n \n")).join(lines)))
+    rows += [(500, None), (501, ""), (502, "\n\n"), (None, " ".join(base[0])), (3, rows[3][1]), (503, ("\n".join([" ".join(base[1])] * 300))), (504, "Licence: MIT\n\nsmall")]
     return [(*r, "x", "y") for r in rows]
 
 
-@pytest.mark.parametrize("cell", [1024, 4])
-def test_paragraphs_equal_brute_force(spark, cell):
-    rows = passages()
+def plain_passages(text, least):
+    """(first line, lines, words): long lines, and what is left between them and blank lines."""
+    lines = [x.split() for x in (text or "").encode().lower().split(b"\n")]
+    short = "".join("s" if 0 < len(w) < least else "-" for w in lines)
+    out = [(i, 1, w) for i, w in enumerate(lines)]
+    out += [(m.start(), len(m[0]), sum(lines[m.start():m.end()], [])) for m in re.finditer("ss+", short)]
+    return [x for x in out if len(x[2]) >= least]
+
+
+@pytest.mark.parametrize("least, cell, size", [(20, 1024, 1 << 25), (20, 4, 1 << 25), (20, 1024, 500), (6, 1024, 1 << 25)])
+def test_paragraphs_equal_brute_force(spark, least, cell, size):
+    rows = some_texts()
     places, sets = [], []
     for r in rows:
-        for n, line in enumerate((r[1] or "").encode().lower().split(b"\n")):
-            if len(w := line.split()) >= 20:
-                places.append((r[0], n))
-                sets.append({b" ".join(w[i:i + 5]) for i in range(len(w) - 4)})
-    order = lambda p: (p[0] is not None, p[0] or 0, p[1])
+        for at, n, w in plain_passages(r[1], least):
+            places.append((r[0], at, n))
+            sets.append({b" ".join(w[i:i + 5]) for i in range(len(w) - 4)})
     root = least_reachable(len(places), lambda i, j: len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j]))
-    want = []
+    members = {}
     for i, p in enumerate(places):
-        mine = [places[j] for j in range(len(places)) if root[j] == root[i]]
-        if len(set(mine)) > 1:
-            first = min(mine, key=order)
-            want.append((*p, *first, p != first))
+        members.setdefault(root[i], []).append(p)
+    want = []
+    for mine in members.values():
+        if len({p[:2] for p in mine}) > 1:
+            first = min(mine, key=lambda p: (p[0] is not None, p[0] or 0, p[1]))
+            want += [(*p, *first[:2], p[:2] != first[:2]) for p in mine]
+    assert sum(w[2] > 1 for w in want) > 5
     docs = frame(spark, rows, "doc_id long, text string, id string, node string")
-    s = paragraphs.Settings(recall=0.999999)
-    got = [(r.doc_id, r.paragraph, r.first_id, r.first_paragraph, r.removed) for r in paragraphs.repeats(docs, settings=s, cell=cell).collect()]
+    s = paragraphs.Settings(least=least, recall=0.999999)
+    got = [(r.doc_id, r.paragraph, r.lines, r.first_id, r.first_paragraph, r.removed) for r in paragraphs.repeats(docs, settings=s, cell=cell, size=size).collect()]
     assert sorted(got, key=str) == sorted(want, key=str)
-    if cell == 4:
+    if (cell, size) != (1024, 1 << 25):
         return
-    gone = {(r[0], r[1]) for r in want if r[4]}
+    gone = {(w[0], line) for w in want if w[5] for line in range(w[1], w[1] + w[2])}
     clean = paragraphs.without_repeats(docs, settings=s)
     assert clean.columns == docs.columns
     new = sorted((("" if r.doc_id is None else r.doc_id, r.text) for r in clean.collect()), key=str)
@@ -111,9 +127,38 @@ def test_bands_follow_the_wanted_recall():
     assert 1 - (1 - s.similarity ** s.rows) ** s.bands() >= s.recall > 1 - (1 - s.similarity ** s.rows) ** (s.bands() - 1)
 
 
-def test_short_paragraphs_are_compared_too(spark):
-    ten = "one two three four five six seven eight nine ten eleven twelve thirteen fourteen fifteen sixteen"
-    rows = [(1, f"Licence: MIT\nalone here\n{ten}"), (2, f"x\n\nlicence:  mit\n{ten} more"), (3, "a b c d e f\n \nA B C D E F"), (4, "a b c d e g")]
-    got = paragraphs.repeats(frame(spark, rows), settings=paragraphs.Settings(recall=0.999999)).collect()
-    assert sorted((r.doc_id, r.paragraph, r.first_id, r.first_paragraph, r.removed) for r in got) == [
-        (1, 0, 1, 0, False), (1, 2, 1, 2, False), (2, 2, 1, 0, True), (2, 3, 1, 2, True), (3, 0, 3, 0, False), (3, 2, 3, 0, True)]
+def test_a_passage_is_found_however_it_is_wrapped(spark):
+    words = [f"word{i}" for i in range(60)]
+    rows = [(1, "x\n\n" + wrapped(words, 9) + "\n\nend"), (2, wrapped(words, 12)), (3, " ".join(words)), (4, wrapped(words[:15], 5)), (5, wrapped(words[20:30] + ["other"] * 40, 9))]
+    got = paragraphs.repeats(frame(spark, rows)).collect()
+    assert sorted((r.doc_id, r.paragraph, r.lines, r.first_id, r.first_paragraph, r.removed) for r in got) == [
+        (1, 2, 7, 1, 2, False), (2, 0, 5, 1, 2, True), (3, 0, 1, 1, 2, True)]
+
+
+def test_headings_are_no_part_of_a_long_line(spark):
+    words = " ".join(f"word{i}" for i in range(60))
+    rows = [(1, f"title\nmore\n{words}"), (2, f"other\n{words[:300]}\ntitle\nmore")]
+    assert paragraphs.repeats(frame(spark, rows)).collect() == []
+
+
+def test_short_lines_are_counted_apart(spark):
+    ten = " ".join("abcdefghij")
+    rows = [(1, f"Licence: MIT\nalone here\n{ten}"), (2, f"x\n\nlicence:  mit\n{ten.upper()} k"), (3, f"Licence: MIT\nLICENCE: mit\n\t{ten}"), (None, "x"), (4, None), (5, "w " * 25 + "\n" + "w " * 25)]
+    docs = frame(spark, rows)
+    assert sorted(map(tuple, paragraphs.short_lines(docs).collect())) == [(ten, 10, 2, 2, 1), ("licence: mit", 2, 4, 3, 1), ("x", 1, 2, 2, 2)]
+    assert {r.doc_id for r in paragraphs.repeats(docs).collect()} == {5}
+
+
+@needs_data
+def test_shared_passages_are_caught_and_clean_documents_left_alone(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    held, owners = {}, {}
+    for r in docs.collect():
+        w = (r.text or "").lower().split()
+        held[r.doc_id] = {hash(tuple(w[i:i + 51])) for i in range(len(w) - 50)}
+        for h in held[r.doc_id]:
+            owners.setdefault(h, set()).add(r.doc_id)
+    sharing = {d for d, hs in held.items() if any(len(owners[h]) > 1 for h in hs)}
+    found = {r.doc_id for r in paragraphs.repeats(docs).select("doc_id").distinct().collect()}
+    assert len(sharing) > 100
+    assert len(found & sharing) >= 0.95 * len(sharing) and len(found - sharing) <= 0.1 * (len(held) - len(sharing))

@@ -42,21 +42,32 @@ def words_of(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(r"[^\x20\x09-\x0D]+")), F.lit(0)).cast("long")
 
 
-def cells(df: DataFrame, keys: list[str], spread: Column, rows: int) -> DataFrame:
-    """Rows of every bucket (equal ``keys``) that has two or more, dealt to cells of at most about ``2 * rows`` rows such
-    that any two rows of a bucket meet in exactly one cell. A bucket of up to ``rows`` rows is one cell (``side`` 0). A larger one is cut
+def met_in(df: DataFrame, keys: list[str], spread: Column, rows: int, size: Column | None = None, most: int = 1) -> DataFrame:
+    """Rows of every bucket (equal ``keys``) that has two or more, once for each cell they belong to: any two rows of a bucket meet in exactly
+    one cell of at most about ``2 * rows`` rows. A bucket of up to ``rows`` rows is one cell (``side`` 0). A larger one is cut
     into n chunks by ``spread``, and each pair of chunks is a cell, to which one brings side 1 and the other side 2.
-    So a hot bucket becomes many tasks, and no task holds more than two chunks. Adds ``cell_i``, ``cell_j``, ``side``."""
-    sized = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1")
-    met = df.join(sized, keys).withColumn("_k", F.ceil(F.col("_n") / rows).cast("int"))
+    So a hot bucket becomes many tasks, and no task holds more than two chunks. Where a row's ``size`` is given, chunks are also cut to
+    about ``most`` of it. Adds ``cell_i``, ``cell_j``, ``side``."""
+    amount = F.sum(size) / most if size is not None else F.lit(0.0)
+    sized = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), F.greatest(F.count(F.lit(1)) / rows, amount).alias("_k")).where("_n > 1")
+    met = df.join(sized, keys).withColumn("_k", F.greatest(F.ceil("_k"), F.lit(1)).cast("int"))
     met = met.withColumn("_c", F.pmod(F.xxhash64(spread, F.lit(7)), F.col("_k")).cast("int"))
     at = F.explode(F.sequence(F.lit(0), F.col("_k") - 1))
     met = met.select("*", at.alias("_o"))
     met = met.withColumn("cell_i", F.least("_c", "_o")).withColumn("cell_j", F.greatest("_c", "_o"))
     side = F.when(F.col("_c") == F.col("_o"), 0).when(F.col("_c") < F.col("_o"), 1).otherwise(2)
-    met = met.withColumn("side", side.cast("int")).drop("_n", "_k", "_c", "_o")
+    return met.withColumn("side", side.cast("int")).drop("_n", "_k", "_c", "_o")
+
+
+def in_cells(met: DataFrame, keys: list[str]) -> DataFrame:
+    """The rows of ``met_in`` with every cell together in one task, cell by cell."""
     where = [*keys, "cell_i", "cell_j"]
-    return met.repartition(partitions(df.sparkSession), *where).sortWithinPartitions(*where)
+    return met.repartition(partitions(met.sparkSession), *where).sortWithinPartitions(*where)
+
+
+def cells(df: DataFrame, keys: list[str], spread: Column, rows: int) -> DataFrame:
+    """``df`` dealt to its cells."""
+    return in_cells(met_in(df, keys, spread, rows), keys)
 
 
 def whole_groups(batches, keys: list[str]):

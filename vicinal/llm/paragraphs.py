@@ -1,10 +1,15 @@
 """Repeated passages by paragraph MinHash banding.
 
-A paragraph is a line with at least one word, lower-cased. Equal paragraphs of any length are one class; classes of five words or more are compared
-as sets of five-word shingles. Bands are tuned to a wanted recall at the threshold: with r minima a band, b bands find a pair of similarity s with probability
-1 - (1 - s^r)^b. Classes that share a band's minima meet in cells of bounded size, where their exact Jaccard similarity is computed from the words
-themselves; texts are fetched only for classes that meet another. Verified links make components, and of each component the
-first paragraph (smallest document, then position) stays."""
+A passage is a line of ``least`` words or more, lower-cased, or a block: two or more shorter lines that follow each other without a blank one,
+taken as one run of words of that length, so that a hard-wrapped passage is found however its lines are broken. Equal passages are one
+class; classes are compared as sets of five-word shingles. Bands are tuned to a wanted recall at the threshold: with r minima a band, b bands
+find a pair of similarity s with probability 1 - (1 - s^r)^b. Classes that share a band's minima meet in cells of bounded rows and bytes, where
+their exact Jaccard similarity is computed from the words themselves. Only the words of classes that meet another are read again, by a scan
+that a Bloom filter of their digests tells which; documents are not shuffled. Verified links make components, and of each component the
+first passage (smallest document, then line) stays.
+
+Shorter lines (headings, licence tags) are no passages: that two documents share one says nothing about either. ``short_lines`` counts
+them apart."""
 
 from __future__ import annotations
 
@@ -15,19 +20,21 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import Forest, cells, components, cut, whole_groups
+from vicinal.plans import bloom
+from .common import Forest, components, cut, in_cells, met_in, whole_groups
 
 SHINGLE = 5
 CELL = 1024       # classes of a bucket that one chunk holds, about
 BATCH = 1 << 20   # words hashed at once
+CELL_BYTES = 32 << 20   # of words that one chunk holds, about
 
 
 @dataclass(frozen=True)
 class Settings:
-    least: int = 1              # words of a paragraph that is compared
+    least: int = 20             # words that make a line or block a passage
     similarity: float = 0.8
     rows: int = 2               # minima a band
     recall: float = 0.995       # wanted at the threshold
@@ -36,12 +43,22 @@ class Settings:
         return math.ceil(math.log(1 - self.recall) / math.log(1 - self.similarity ** self.rows))
 
 
-def lines(text: bytes, least: int):
-    """(position, words) of the paragraphs that are compared."""
-    for at, line in enumerate(text.lower().split(b"\n")):
+def passages(text: bytes, least: int):
+    """(first line, number of lines, words) of every line of ``least`` words or more, and of every run of two or more shorter ones that have as
+    many together; ``\\n`` ends a line, a line without words ends a run."""
+    begin, block = 0, []
+    for at, line in enumerate([*text.lower().split(b"\n"), b""]):
         words = line.split()
-        if len(words) >= least:
-            yield at, words
+        if 0 < len(words) < least:
+            if not block:
+                begin = at
+            block.append(words)
+            continue
+        if len(block) > 1 and sum(map(len, block)) >= least:
+            yield begin, len(block), [w for line in block for w in line]
+        block = []
+        if words:
+            yield at, 1, words
 
 
 def shingles(words: list[bytes]) -> set[bytes]:
@@ -89,24 +106,23 @@ def band_lists(words: list[list[bytes]], rows: int, bands: int) -> pa.Array:
 
 
 def paragraphs(docs: DataFrame, id: str, text: str, s: Settings) -> DataFrame:
-    """(id, paragraph, n_words, node, bands) of every paragraph that is compared; ``node`` is a 128-bit digest of its words."""
+    """(id, paragraph, lines, n_words, size, node, bands) of every passage; ``node`` is a 128-bit digest of its words, ``size`` their bytes."""
     bands = s.bands()
 
     def flush(held):
-        listed = band_lists([h[2] for h in held], s.rows, bands)
-        return pa.record_batch([pa.array([h[0] for h in held], kind), pa.array([h[1] for h in held], pa.int32()),
-                                pa.array([len(h[2]) for h in held], pa.int32()),
-                                pa.array([xxhash.xxh3_128_digest(b" ".join(h[2])) for h in held], pa.binary()), listed],
-                               ["id", "paragraph", "n_words", "node", "bands"])
-
-    kind = pa.int64()
+        listed = band_lists([h[3] for h in held], s.rows, bands)
+        whole = [pa.array([h[i] for h in held], k) for i, k in enumerate((pa.int64(), pa.int32(), pa.int32()))]
+        joined = [b" ".join(h[3]) for h in held]
+        return pa.record_batch([*whole, pa.array([len(h[3]) for h in held], pa.int32()), pa.array([len(j) for j in joined], pa.int32()),
+                                pa.array([xxhash.xxh3_128_digest(j) for j in joined], pa.binary()), listed],
+                               ["id", "paragraph", "lines", "n_words", "size", "node", "bands"])
 
     def run(batches):
         held, size = [], 0
         for batch in batches:
             for id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                for at, words in lines(text.as_py() or b"", s.least):
-                    held.append((id, at, words))
+                for at, lines, words in passages(text.as_py() or b"", s.least):
+                    held.append((id, at, lines, words))
                     size += len(words)
                 if size >= BATCH:
                     yield flush(held)
@@ -115,22 +131,31 @@ def paragraphs(docs: DataFrame, id: str, text: str, s: Settings) -> DataFrame:
             yield flush(held)
 
     rows = docs.select(F.col(id).cast("bigint").alias("id"), F.col(text).cast("binary").alias("t"))
-    return rows.mapInArrow(run, "id bigint, paragraph int, n_words int, node binary, bands array<bigint>")
+    return rows.mapInArrow(run, "id bigint, paragraph int, lines int, n_words int, size int, node binary, bands array<bigint>")
+
+
+def _half(node: Column) -> Column:
+    """The first eight bytes of a digest as a number."""
+    return F.conv(F.hex(F.substring(node, 1, 8)), 16, -10).cast("bigint")
 
 
-def _fetch(s: Settings):
-    """Of documents joined with the list of their wanted paragraphs: the words of each."""
+def _fetch(s: Settings, wanted: bloom.Bloom):
+    """(node, words) of the passages that may be wanted; a task sends most of them once."""
     def run(batches):
+        sent = set()
         for batch in batches:
-            nodes, texts = [], []
-            for text, wanted in zip(batch.column(0), batch.column(1)):
-                want = {w["paragraph"]: w["node"] for w in wanted.as_py()}
-                for at, words in lines(text.as_py() or b"", s.least):
-                    # A repeated id may bring several texts: the digest tells whose paragraph this is.
-                    if at in want and xxhash.xxh3_128_digest(line := b" ".join(words)) == want[at]:
-                        nodes.append(want[at])
-                        texts.append(line)
-            yield pa.record_batch([pa.array(nodes, pa.binary()), pa.array(texts, pa.binary())], ["node", "words"])
+            texts, nodes, marks = [], [], []
+            for text in batch.column(0):
+                for _, _, words in passages(text.as_py() or b"", s.least):
+                    texts.append(b" ".join(words))
+                    nodes.append(xxhash.xxh3_128_digest(texts[-1]))
+            for i in np.flatnonzero(wanted.has(np.array([int.from_bytes(n[:8], "big") for n in nodes], np.uint64))).tolist():
+                if nodes[i] not in sent:
+                    sent.add(nodes[i])
+                    marks.append(i)
+            if len(sent) > BATCH:
+                sent = set()
+            yield pa.record_batch([pa.array([nodes[i] for i in marks], pa.binary()), pa.array([texts[i] for i in marks], pa.binary())], ["node", "words"])
     return run
 
 
@@ -158,38 +183,52 @@ def _links(s: Settings):
     return run
 
 
-def repeats(docs: DataFrame, id: str = "doc_id", text: str = "text", settings: Settings = Settings(), cell: int = CELL) -> DataFrame:
-    """One row for each paragraph that has an equal or near-equal one anywhere, its own document included: id, paragraph (number of its
-    line, from 0), n_words, first_id and first_paragraph (the component's paragraph that stays), removed. Documents without such
-    paragraphs have no row.
+def repeats(docs: DataFrame, id: str = "doc_id", text: str = "text", settings: Settings = Settings(), cell: int = CELL, size: int = CELL_BYTES) -> DataFrame:
+    """One row for each passage that has an equal or near-equal one anywhere, its own document included: id, paragraph (number of its first
+    line, from 0), lines, n_words, first_id and first_paragraph (the component's passage that stays), removed. Documents without such
+    passages have no row.
 
-    Null and empty texts have no paragraphs. A null id sorts first. Rows repeated with one id count as the same place: a
-    paragraph at the same line of both is not removed. Ids are longs; other columns are not read."""
+    Null and empty texts have no passages. A null id sorts first. Rows repeated with one id count as the same place: a
+    passage at the same line of both is not removed. Ids are longs; other columns are not read."""
     s = settings
     found = cut(paragraphs(docs, id, text, s), "paragraphs")
     place = F.struct("id", "paragraph")
-    classes = cut(found.groupBy("node").agg(F.min(place).alias("first"), F.max(place).alias("last"), F.first("bands").alias("bands")), "paragraph-classes")
-    keyed = classes.select("node", F.posexplode("bands").alias("band", "value"))
+    classes = cut(found.groupBy("node").agg(F.min(place).alias("first"), F.max(place).alias("last"), F.first("size").alias("size"), F.first("bands").alias("bands")), "paragraph-classes")
+    keyed = classes.select("node", "size", F.posexplode("bands").alias("band", "value"))
     crowded = keyed.groupBy("band", "value").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("band", "value")
     keyed = cut(keyed.join(crowded, ["band", "value"]), "paragraph-buckets")
-    wanted = keyed.select("node").distinct().join(classes, "node").groupBy(F.col("first.id").alias("id")).agg(
-        F.collect_list(F.struct(F.col("first.paragraph").alias("paragraph"), "node")).alias("wanted"))
-    texts = docs.select(F.col(id).cast("bigint").alias("__id"), F.col(text).cast("binary").alias("t")).join(
-        wanted.hint("shuffle_hash"), F.col("__id").eqNullSafe(F.col("id"))).select("t", "wanted")
-    words = cut(texts.mapInArrow(_fetch(s), "node binary, words binary").dropDuplicates(["node"]), "paragraph-words")
-    dealt = cells(keyed.join(words, "node"), ["band", "value"], F.col("node"), cell)
-    roots = components(dealt.mapInArrow(_links(s), "a binary, b binary"), "paragraph-links")
+    wanted = bloom.build(keyed.select("node").distinct().select(_half(F.col("node")).alias("h")))
+    words = docs.select(F.col(text).cast("binary").alias("t")).mapInArrow(_fetch(s, wanted), "node binary, words binary").dropDuplicates(["node"])
+    placed = met_in(keyed, ["band", "value"], F.col("node"), cell, F.col("size"), size).drop("size").join(words, "node")
+    links = in_cells(placed, ["band", "value"]).mapInArrow(_links(s), "a binary, b binary")
+    roots = components(links, "paragraph-links")
     rooted = classes.select("node", "first", "last").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    ends = rooted.groupBy("root").agg(F.min("first").alias("first"), F.max("last").alias("last")).where("first < last")
-    shared = rooted.select("node", "root").join(ends, "root").select("node", "first")
+    whole = rooted.groupBy("root").agg(F.min("first").alias("first"), F.max("last").alias("last")).where("first < last")
+    shared = rooted.select("node", "root").join(whole, "root").select("node", "first")
     return found.join(shared, "node").select(
-        F.col("id").alias(id), "paragraph", "n_words", F.col("first.id").alias("first_id"), F.col("first.paragraph").alias("first_paragraph"),
+        F.col("id").alias(id), "paragraph", "lines", "n_words", F.col("first.id").alias("first_id"), F.col("first.paragraph").alias("first_paragraph"),
         (place != F.col("first")).alias("removed"))
 
 
 def without_repeats(docs: DataFrame, id: str = "doc_id", text: str = "text", settings: Settings = Settings()) -> DataFrame:
-    """``docs`` with the removed paragraphs' lines taken out of its texts, row for row."""
-    gone = repeats(docs, id, text, settings).where("removed").groupBy(F.col(id).alias("__id")).agg(F.collect_set("paragraph").alias("__gone"))
+    """``docs`` with the removed passages' lines taken out of its texts, row for row."""
+    lines = F.explode(F.sequence("paragraph", F.col("paragraph") + F.col("lines") - 1)).alias("line")
+    gone = repeats(docs, id, text, settings).where("removed").select(F.col(id).alias("__id"), lines).groupBy("__id").agg(F.collect_set("line").alias("__gone"))
     with_gone = docs.join(gone.hint("shuffle_hash"), docs[id].cast("bigint").eqNullSafe(F.col("__id")), "left")
     kept = F.array_join(F.filter(F.split(F.col(text), "\n"), lambda line, i: ~F.array_contains(F.coalesce("__gone", F.array().cast("array<int>")), i)), "\n")
     return with_gone.select(*[(F.when(F.col("__gone").isNull(), F.col(text)).otherwise(kept).alias(c) if c == text else docs[c]) for c in docs.columns])
+
+
+def _words(line: Column) -> Column:
+    return F.filter(F.split(line, r"[\x20\x09-\x0D]+"), lambda w: w != "")
+
+
+def short_lines(docs: DataFrame, id: str = "doc_id", text: str = "text", settings: Settings = Settings()) -> DataFrame:
+    """Every line of fewer words than a passage has that stands in more than one place: line (its words, A-Z lower-cased, joined by
+    spaces), n_words, n (places), n_ids (documents), first_id. Lines without words are none. Counted by partial sums: a line of every
+    document is no task's list."""
+    rows = docs.select(F.col(id).cast("bigint").alias("id"), F.explode(F.split(F.col(text), "\n")).alias("raw"))
+    lower = F.translate("raw", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    rows = rows.select("id", _words(lower).alias("w")).where(F.size("w").between(1, settings.least - 1))
+    each = rows.groupBy(F.array_join("w", " ").alias("line"), F.size("w").alias("n_words"), "id").agg(F.count(F.lit(1)).alias("n"))
+    return each.groupBy("line", "n_words").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("n_ids"), F.min("id").alias("first_id")).where("n > 1")
