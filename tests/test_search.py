@@ -258,3 +258,43 @@ def test_two_step_merge(data, monkeypatch):
     assert "_salt" in hits._jdf.queryExecution().toString()
     assert ids(hits) == nearest("l2", q, c, 7).tolist()
     assert [r.id for r in knn(cdf, q[0].tolist(), 9).orderBy("distance", "id").collect()] == nearest("l2", q[:1], c, 9)[0].tolist()
+
+
+def test_many_queries_leave_the_corpus_where_it_is(spark, tmp_path):
+    """Query blocks come to the corpus: the jobs that compare have no exchange below them, only that of the few merged hits."""
+    c, q = uniform(600, 6, 1), uniform(90, 6, 2)
+    table(spark, c).write.parquet(f"{tmp_path}/c")
+    cdf = spark.read.parquet(f"{tmp_path}/c")
+    from vicinal.operators.knn import exact_scan
+    from vicinal.operators import scan as S
+
+    plans, plain = [], S._broadcast_scan
+    S._broadcast_scan = lambda *a: plans.append(plain(*a)[0]._jdf.queryExecution().executedPlan().toString()) or plain(*a)
+    try:
+        hits = exact_scan(query(spark, *q), cdf, 5, "l2", query_id="query_id", query_vec="query_vec", id="id", vec="vec", limits=GRID)
+    finally:
+        S._broadcast_scan = plain
+    assert len(plans) >= 3 and not any("Exchange" in p for p in plans)
+    assert hits.count() == 90 * 5
+
+
+def test_a_dense_radius_streams_out(spark):
+    c, q = uniform(3000, 4, 3), uniform(200, 4, 4)
+    got = radius_join(query(spark, *q), table(spark, c), max_distance=100.0, limits=Limits(query_rows=60, block_bytes=4 * 8 * 500))
+    assert got.count() == 600_000
+    keyed = radius_join(query(spark, *q).selectExpr("*", "query_id % 2 as half"), table(spark, c).selectExpr("*", "id % 2 as part"), max_distance=100.0,
+                        on=[("half", "part")], limits=Limits(query_rows=60, block_bytes=4 * 8 * 500))
+    assert keyed.count() == 300_000
+
+
+def test_very_many_keys_and_one_hot_key(spark):
+    from pyspark.sql import functions as F
+
+    rows = spark.range(150_000).select("id", F.array((F.col("id") % 97).cast("float"), F.lit(1.0).cast("float")).alias("vec"),
+                                       F.when(F.col("id") < 50_000, 0).otherwise(F.col("id") - 49_999).alias("tag"))
+    asked = rows.where("id >= 49000 and id % 7 <> 1").select(F.col("id").alias("query_id"), F.col("vec").alias("query_vec"), F.col("tag").alias("want"))
+    got = knn_join(asked, rows, 1, on=[("want", "tag")], limits=Limits(query_rows=500, block_bytes=2 * 8 * 9000))
+    out = got.agg(F.count("*").alias("n"), F.sum((F.col("query_id") == F.col("id")).cast("int")).alias("own"), F.max("distance").alias("far")).first()
+    assert out.n == asked.count() and out.far == 0.0
+    # Keys of one row find that row; the hot key's queries find the smallest id with the same vector.
+    assert out.own == asked.where("want > 0").count()

@@ -1,14 +1,14 @@
 """The distributed compare step behind every search.
 
-Two physical forms, picked by the *measured* size of the query side:
+The query side is *measured* and picks the physical form:
 
 * **broadcast**: the query block fits ``Limits``; each corpus partition streams past it in ``mapInArrow`` and
   emits at most ``k`` rows per query (or every pair within a radius). The corpus is never shuffled.
-* **grid**: more queries than that. Both sides are cut into evenly sized hash blocks, every query block meets
-  every corpus block once in ``cogroup().applyInArrow``, so each task holds one bounded block of each side.
-
-With ``lists`` the comparison is restricted to pairs sharing a list number (an inverted file): the grid then cuts
-each list by its own size, so a list holding a third of the corpus becomes many cells.
+* **blocks**: more queries than that. They are cut into blocks of that size, each broadcast in turn. The hits of a block are
+  written before the next one starts, so the driver and a task hold one block, and a lost executor costs a task of one block.
+* **cells**: more queries than that, and only pairs that share a list (an inverted file) or a key may meet. Both sides are then
+  shuffled by it, once. A list or key that is larger than a block is cut into cells; the others, however many, need no table.
+  A task sees a cell's queries first and streams its corpus rows past them, matches go out as they are found.
 """
 
 from __future__ import annotations
@@ -27,7 +27,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from vicinal.functions.scores import score_array, to_score
 from vicinal.operators.blocks import Hits, Prepared, as_bytes, as_matrix, combined, pair_distance, scan_batch, to_words
 from vicinal.operators.tokens import compare_token_sets
-from vicinal.plans.limits import LIMITS, Limits, few_partitions, parallelism, query_cap, vector_length
+from vicinal.plans.limits import LIMITS, Limits, few_partitions, parallelism, query_cap, scratch_dir, vector_length
 from vicinal.spec import SpecError
 
 
@@ -103,33 +103,47 @@ def _limits(scan: Scan, table: pa.Table):
     return raw + np.abs(raw) * 1e-9 + 1e-9, lambda found, q: score_array(found, scan.space) >= s[q]
 
 
-def _compare(scan: Scan, q_table: pa.Table, batches, lists: dict | None = None):
-    """Run one task's corpus batches against one query block; yields result tables."""
-    if scan.metric == "maxsim":
-        hits = Hits(q_table.num_rows, scan.k, scan.order, None, None)
-        compare_token_sets(scan, q_table, batches, hits)
-        table = hits.result()
-        if table is not None:
-            yield table
-        return
-    q = _query_side(scan, q_table)
-    limit, accept = _limits(scan, q_table)
-    hits = None
-    if scan.k is not None:
-        hits = Hits(q.n, scan.k, scan.order, scan.group, limit)
-    carried = list(dict.fromkeys([*scan.columns, *scan.order]))
-    for batch in batches:
-        if not batch.num_rows or not q.n:
-            continue
-        for part, index in _by_list(scan, batch, lists):
-            yield from scan_batch(hits, q, q_table, part, _matrix(scan, part.column(scan.vec)), scan.id, carried,
-                                  scan.conds, limit, accept, index)
-    if hits is not None:
-        table = hits.result()
+class _Comparison:
+    """One query block against corpus batches as they come; yields result tables."""
+
+    def __init__(self, scan: Scan, q_table: pa.Table, lists: dict | None = None):
+        self.scan, self.q_table, self.lists = scan, q_table, lists
+        self.sets = scan.metric == "maxsim"
+        self.carried = list(dict.fromkeys([*scan.columns, *scan.order]))
+        self.hits = None
+        if self.sets:
+            self.hits = Hits(q_table.num_rows, scan.k, scan.order, None, None)
+            return
+        self.q = _query_side(scan, q_table)
+        self.limit, self.accept = _limits(scan, q_table)
+        if scan.k is not None:
+            self.hits = Hits(self.q.n, scan.k, scan.order, scan.group, self.limit)
+
+    def feed(self, batches):
+        scan = self.scan
+        if self.sets:
+            compare_token_sets(scan, self.q_table, batches, self.hits)
+            return
+        for batch in batches:
+            if not batch.num_rows or not self.q.n:
+                continue
+            for part, index in _by_list(scan, batch, self.lists):
+                yield from scan_batch(self.hits, self.q, self.q_table, part, _matrix(scan, part.column(scan.vec)), scan.id, self.carried,
+                                      scan.conds, self.limit, self.accept, index)
+
+    def finish(self):
+        table = self.hits.result() if self.hits is not None else None
         if table is not None:
             yield table
 
 
+def _compare(scan: Scan, q_table: pa.Table, batches, lists: dict | None = None):
+    """Run one task's corpus batches against one query block; yields result tables."""
+    both = _Comparison(scan, q_table, lists)
+    yield from both.feed(batches)
+    yield from both.finish()
+
+
 def _by_list(scan: Scan, batch, lists: dict | None):
     """The batch cut by list (or key) together with the query rows that want it; unwanted lists are passed over."""
     if lists is None:
@@ -171,7 +185,8 @@ def output_schema(scan: Scan, q: DataFrame, c: DataFrame) -> T.StructType:
     return T.StructType([*fields, T.StructField("distance", T.DoubleType())])
 
 
-def _broadcast_scan(scan: Scan, q_table: pa.Table, q: DataFrame, c: DataFrame, lists: dict | None) -> DataFrame:
+def _broadcast_scan(scan: Scan, q_table: pa.Table, q: DataFrame, c: DataFrame, lists: dict | None):
+    """(hits, the broadcast block)."""
     schema = output_schema(scan, q, c)
     arrow = to_arrow_schema(schema)
     held = c.sparkSession.sparkContext.broadcast((q_table, lists))
@@ -181,7 +196,7 @@ def _broadcast_scan(scan: Scan, q_table: pa.Table, q: DataFrame, c: DataFrame, l
         for found in _compare(scan, block, batches, by_list):
             yield from _shape(scan, block, found, arrow).to_batches(max_chunksize=10_000)
 
-    return few_partitions(c.select(*scan.corpus_columns)).mapInArrow(task, schema)
+    return few_partitions(c.select(*scan.corpus_columns)).mapInArrow(task, schema), held
 
 
 def scan_pairs(scan: Scan, block: pa.Table, q: DataFrame, pairs: DataFrame) -> DataFrame:
@@ -217,52 +232,100 @@ def _cells(n: int, rows: int) -> int:
     return max(1, -(-n // max(1, rows)))
 
 
-def _grid_scan(scan: Scan, q: DataFrame, c: DataFrame, dim: int, limits: Limits) -> DataFrame:
+def _block_scan(scan: Scan, q: DataFrame, c: DataFrame, dim: int, limits: Limits) -> DataFrame:
+    """Query blocks of bounded size, broadcast one after another over the corpus where it lies. A block's best k are merged before
+    they are written; the blocks together are one table of hits."""
+    spark = c.sparkSession
+    q = q.select(*scan.query_columns)
+    cap = query_cap(dim, scan.k or 1, limits)
+    blocks = _cells(q.count(), cap)
+    asked, out = scratch_dir(spark, "query-blocks"), scratch_dir(spark, "hits")
+    marked = q.withColumn("_block", F.pmod(F.xxhash64(scan.query_id), F.lit(blocks)).cast("int"))
+    marked.repartition("_block").write.partitionBy("_block").parquet(asked)
+    written = spark.read.schema(marked.schema).parquet(asked)
+    for n in range(blocks):
+        block = written.where(F.col("_block") == n).drop("_block").toArrow().combine_chunks()
+        if not block.num_rows:
+            continue
+        hits, held = _broadcast_scan(scan, block, q, c, None)
+        if scan.k is not None and scan.group is None:
+            hits = merge_top_k(hits, scan.k, scan.query_id, list(scan.order)).drop("rank")
+        hits.write.mode("append").parquet(out)
+        held.destroy()
+    return spark.read.schema(output_schema(scan, q, c)).parquet(out)
+
+
+def _cell_scan(scan: Scan, q: DataFrame, c: DataFrame, dim: int, limits: Limits) -> DataFrame:
+    """Pairs that share a list or key. Rows of both sides meet by one shuffle; each cell's queries come first."""
     spark = c.sparkSession
     schema = output_schema(scan, q, c)
     arrow = to_arrow_schema(schema)
     per_query = query_cap(dim, scan.k or 1, limits)
     per_corpus = max(1, limits.block_bytes // (8 * max(1, dim)))
-    q = q.select(*scan.query_columns)
-    c = c.select(*scan.corpus_columns)
-    if scan.list_column is None:
-        n_q, n_c = q.count(), c.count()
-        # Enough corpus cells to occupy the cluster, as long as a cell keeps a useful number of rows.
-        c_cells = max(_cells(n_c, per_corpus), min(parallelism(spark), _cells(n_c, 1000)))
-        cells = None
-        sizes = {"_nq": F.lit(_cells(n_q, per_query)), "_nc": F.lit(c_cells)}
-        q, c = (side.withColumn("_list", F.lit(0)).withColumns(sizes) for side in (q, c))
-    else:
-        q = q.withColumn("_list", F.col(scan.query_list))
-        c = c.withColumn("_list", F.col(scan.list_column))
-        # One row per list (bounded by the list limit), so this side may be broadcast.
-        n_q = q.groupBy("_list").agg(F.ceil(F.count("*") / F.lit(per_query)).cast("int").alias("_nq"))
-        n_c = c.groupBy("_list").agg(F.ceil(F.count("*") / F.lit(per_corpus)).cast("int").alias("_nc"))
-        cells = F.broadcast(n_q.join(n_c, "_list"))
-
-    def spread(side: DataFrame, key: str, own: str, other: str) -> DataFrame:
-        own_n, other_n = ("_nq", "_nc") if own == "_qb" else ("_nc", "_nq")
-        return ((side if cells is None else side.join(cells, "_list"))
-                .withColumn(own, F.pmod(F.xxhash64(key), F.col(own_n)).cast("int"))
-                .withColumn(other, F.explode(F.sequence(F.lit(0), F.col(other_n) - 1)))
-                .drop("_nq", "_nc"))
+    q = q.select(*scan.query_columns).withColumn("_list", F.col(scan.query_list)).where(F.col("_list").isNotNull())
+    c = c.select(*scan.corpus_columns).withColumn("_list", F.col(scan.list_column)).where(F.col("_list").isNotNull())
 
-    left = spread(q, scan.query_id, "_qb", "_cb").groupBy("_list", "_qb", "_cb")
-    right = spread(c, scan.id, "_cb", "_qb").groupBy("_list", "_qb", "_cb")
+    def large(side: DataFrame, rows: int, name: str) -> DataFrame:
+        return side.groupBy("_list").agg(F.ceil(F.count("*") / F.lit(rows)).cast("int").alias(name)).where(F.col(name) > 1)
 
-    def task(q_table: pa.Table, c_table: pa.Table) -> pa.Table:
-        if not q_table.num_rows or not c_table.num_rows:
-            return schema_empty(arrow)
-        q_table = q_table.combine_chunks()
-        parts = [_shape(scan, q_table, found, arrow)
-                 for found in _compare(scan, q_table, c_table.to_batches(max_chunksize=10_000))]
-        return pa.concat_tables(parts) if parts else schema_empty(arrow)
+    # At most one row a full block of either side: few, whatever the number of keys.
+    cut_up = F.broadcast(large(q, per_query, "_nq").join(large(c, per_corpus, "_nc"), "_list", "full"))
+
+    def spread(side: DataFrame, key: tuple, own: str, other: str) -> DataFrame:
+        own_n, other_n = ("_nq", "_nc") if own == "_qb" else ("_nc", "_nq")
+        sized = side.join(cut_up, "_list", "left").withColumns({n: F.coalesce(n, F.lit(1)) for n in ("_nq", "_nc")})
+        return (sized.withColumn(own, F.pmod(F.xxhash64(*key), F.col(own_n)).cast("int"))
+                .withColumn(other, F.explode(F.sequence(F.lit(0), F.col(other_n) - 1))))
 
-    return left.cogroup(right).applyInArrow(task, schema)
+    def tagged(side: DataFrame, mine: str, columns: list, mark: int) -> DataFrame:
+        return side.select("_list", "_qb", "_cb", F.lit(mark).alias("_side"), F.struct(*columns).alias(mine))
 
+    left = tagged(spread(q, (scan.query_id,), "_qb", "_cb"), "_q", scan.query_columns, 0)
+    right = tagged(spread(c, scan.order, "_cb", "_qb"), "_c", scan.corpus_columns, 1)
+    both = left.withColumn("_c", F.lit(None).cast(right.schema["_c"].dataType)).unionByName(
+        right.withColumn("_q", F.lit(None).cast(left.schema["_q"].dataType)))
+    where = ["_list", "_qb", "_cb"]
 
-def schema_empty(schema: pa.Schema) -> pa.Table:
-    return schema.empty_table()
+    def task(batches):
+        block, parts, held, now = None, [], None, None
+
+        def shaped(tables):
+            for found in tables:
+                yield from _shape(scan, block, found, arrow).to_batches(max_chunksize=10_000)
+
+        for cell, side, rows in _runs(batches, where):
+            if cell != now:
+                if held is not None:
+                    yield from shaped(held.finish())
+                block, parts, held, now = None, [], None, cell
+            if side == 0:
+                parts.append(rows)
+            elif parts:
+                if held is None:
+                    block = pa.Table.from_batches(parts).combine_chunks()
+                    held = _Comparison(scan, block)
+                yield from shaped(held.feed([rows]))
+        if held is not None:
+            yield from shaped(held.finish())
+
+    return both.repartition(*where).sortWithinPartitions(*where, "_side").mapInArrow(task, schema)
+
+
+def _runs(batches, where: list):
+    """(cell, side, rows of that side) of sorted batches, cut where either changes."""
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        change = np.ones(batch.num_rows, bool)
+        change[1:] = False
+        for name in [*where, "_side"]:
+            column = batch.column(name)
+            change[1:] |= pc.not_equal(column[1:], column[:-1]).to_numpy(zero_copy_only=False)
+        at = np.append(np.flatnonzero(change), batch.num_rows).tolist()
+        keys = list(zip(*[batch.column(name).take(pa.array(at[:-1])).to_pylist() for name in [*where, "_side"]]))
+        for (*cell, side), start, stop in zip(keys, at, at[1:]):
+            rows = batch.column("_c" if side else "_q").slice(start, stop - start)
+            yield tuple(cell), side, pa.RecordBatch.from_struct_array(rows)
 
 
 def query_block(scan: Scan, q: DataFrame, limits: Limits):
@@ -322,13 +385,13 @@ def run_scan(scan: Scan, q: DataFrame, c: DataFrame, *, probes: Callable | None
             rows, numbers = probes.block(block.column(scan.query_vec))
             lists = {int(n): rows[numbers == n] for n in np.unique(numbers)}
             c = probes.prune(c, list(lists))
-        return _broadcast_scan(scan, block, q, c, lists)
+        return _broadcast_scan(scan, block, q, c, lists)[0]
     if probes is not None:
         q = probes.explode(q, scan.query_vec)
         scan = replace(scan, query_list=probes.column)
     else:
         scan = _keyed(scan, q, c)
-    return _grid_scan(scan, q, c, dim, limits)
+    return _block_scan(scan, q, c, dim, limits) if scan.query_list is None else _cell_scan(scan, q, c, dim, limits)
 
 
 def top_k(hits: DataFrame, k: int, query_id, order: list, *, rank: str = "rank") -> DataFrame:
