@@ -9,7 +9,7 @@ reads every node's count from the totals of its leaves. Nodes above a group's pr
 each group, and Spark adds the parts up.
 
 Tasks read texts in slices, as arrays of word numbers, and combine equal suffixes of a slice before anything is shuffled: a line that stands in
-a third of all texts is one row a slice. What is known of words and pairs comes back to the next scan as Bloom filters of bounded
+a third of all texts is one suffix a slice. A slice sends the suffixes of one group as one row. What is known of words and pairs comes back to the next scan as Bloom filters of bounded
 size, which may let a rare pair through; counts are taken from the words themselves and stay exact."""
 
 from __future__ import annotations
@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from vicinal.plans import bloom
-from .common import cut, partitions, whole_groups
+from .common import cut, partitions
 
 SLICE = 8 << 20          # bytes of text that a task looks at together
 BUDGET = 1 << 20         # suffixes that one group of prefixes may bring to a task, about
@@ -112,9 +112,9 @@ def _paired(words: bloom.Bloom):
     return run
 
 
-def _suffixed(words, pairs, heavy_words, heavy_pairs, longest: int):
-    """(route, deep, lang, suffix, n): the distinct suffixes of each slice, every word closed by a line break. ``deep`` is the number of
-    words of the prefix that a suffix is grouped by, ``route`` that prefix's hash."""
+def _suffixed(words, pairs, heavy_words, heavy_pairs, longest: int, groups: int):
+    """(group, and lists of route, deep, lang, suffix, n): the distinct suffixes of each slice that belong to a group, every word closed by
+    a line break. ``deep`` is the number of words of the prefix that a suffix is grouped by, ``route`` that prefix's hash."""
     def run(batches):
         for s in slices(batches):
             at = s.linked(words)
@@ -143,33 +143,56 @@ def _suffixed(words, pairs, heavy_words, heavy_pairs, longest: int):
             deep = np.where(heavier, longest, np.where(heavy, 2, 1))
             closed = pa.array([b""] * len(at), pa.binary())
             suffix = pc.binary_join_element_wise(*columns, closed, b"\n", null_handling="skip")
+            group = (route % np.uint64(groups)).astype(np.int32)
+            order = np.argsort(group, kind="stable")
+            there, starts = np.unique(group[order], return_index=True)
+            offsets = pa.array(np.append(starts, len(order)).astype(np.int32))
             lang = pa.array(s.langs, pa.binary()).take(pa.array(s.ids[at]))
-            yield pa.record_batch([pa.array(route.view(np.int64)), pa.array(deep, pa.int32()), lang, suffix, pa.array(n)], ["route", "deep", "lang", "suffix", "n"])
+            lists = [c.take(pa.array(order)) for c in (pa.array(route.view(np.int64)), pa.array(deep, pa.int32()), lang, suffix, pa.array(n))]
+            yield pa.record_batch([pa.array(there, pa.int32()), *[pa.ListArray.from_arrays(offsets, c) for c in lists]], ["group", *PARTS])
     return run
 
 
-def _merged(batches):
-    """Sorted batches with equal neighbours added up, so that a suffix of every slice takes no room."""
+PARTS = ["route", "deep", "lang", "suffix", "n"]
+
+
+def _sorted(table: pa.Table) -> pa.Table:
+    """The suffixes of a group in order, equal ones added up."""
+    table = table.take(pc.sort_indices(table, [("route", "ascending"), ("lang", "ascending"), ("suffix", "ascending")])).combine_chunks()
+    other = np.ones(table.num_rows, bool)
+    other[1:] = False
+    for name in ("route", "lang", "suffix"):
+        c = table.column(name)
+        other[1:] |= ~pc.equal(c[1:], c[:-1]).to_numpy()
+    at = np.flatnonzero(other)
+    n = np.add.reduceat(table.column("n").to_numpy(), at)
+    return table.take(pa.array(at)).set_column(4, "n", pa.array(n)).combine_chunks()
+
+
+def _gathered(batches, room: int):
+    """One table of sorted suffixes a group. Suffixes that many slices share are added up before they take more than ``room`` rows."""
+    group, held, size = None, [], 0
     for batch in batches:
-        if batch.num_rows < 2:
-            yield batch
-            continue
-        other = np.ones(batch.num_rows, bool)
-        other[1:] = False
-        for name in ("route", "lang", "suffix"):
-            c = batch.column(name)
-            other[1:] |= ~pc.equal(c[1:], c[:-1]).to_numpy(zero_copy_only=False)
-        at = np.flatnonzero(other)
-        n = np.add.reduceat(batch.column("n").to_numpy(), at)
-        kept = batch.take(pa.array(at))
-        yield pa.record_batch([*kept.columns[:-1], pa.array(n)], schema=batch.schema)
-
-
-def _subtrees(least: int, longest: int):
+        for i, g in enumerate(batch.column(0).to_pylist()):
+            if g != group and held:
+                yield _sorted(pa.concat_tables(held))
+                held, size = [], 0
+            group = g
+            row = batch.slice(i, 1)
+            held.append(pa.table([row.column(name).flatten() for name in PARTS], PARTS))
+            size += held[-1].num_rows
+            if size > room:
+                held = [_sorted(pa.concat_tables(held))]
+                size, room = held[0].num_rows, max(room, 2 * held[0].num_rows)
+    if held:
+        yield _sorted(pa.concat_tables(held))
+
+
+def _subtrees(least: int, longest: int, room: int):
     """(lang, phrase, words, n): the nodes of two words and more of the subtrees of a group. A node below its group's prefix is
     whole, and left out if it is rarer than ``least``; one above it is a part."""
     def run(batches):
-        for table, _ in whole_groups(_merged(batches), ["route"]):
+        for table in _gathered(batches, room):
             suffix = table.column("suffix").combine_chunks()
             suffix = suffix.chunk(0) if isinstance(suffix, pa.ChunkedArray) else suffix
             offsets = np.frombuffer(suffix.buffers()[1], np.int32)[suffix.offset:suffix.offset + len(suffix) + 1]
@@ -224,10 +247,10 @@ def counts(docs: DataFrame, text: str = "text", lang: str = "lang", least: int =
     heavy = bloom.build(singles.where(F.col("n") > budget).select(h.alias("h")))
     heavier = bloom.build(pairs.where(F.col("n") > budget).select(F.col("pair").alias("h")))
     mass = pairs.agg(F.sum("n")).first()[0] or 0
-    suffixes = rows.mapInArrow(_suffixed(good, tied, heavy, heavier, longest), "route bigint, deep int, lang binary, suffix binary, n bigint")
     groups = max(partitions(spark), -(-mass // budget))
-    dealt = suffixes.repartition(groups, "route").sortWithinPartitions("route", "lang", "suffix")
-    nodes = dealt.mapInArrow(_subtrees(least, longest), "lang binary, phrase binary, words int, n bigint")
+    suffixes = rows.mapInArrow(_suffixed(good, tied, heavy, heavier, longest, groups), "group int, route array<bigint>, deep array<int>, lang array<binary>, suffix array<binary>, n array<bigint>")
+    dealt = suffixes.repartition(groups, "group").sortWithinPartitions("group")
+    nodes = dealt.mapInArrow(_subtrees(least, longest, 4 * budget), "lang binary, phrase binary, words int, n bigint")
     long = nodes.groupBy("lang", "phrase", "words").agg(F.sum("n").alias("f")).where(F.col("f") >= least)
     short = singles.select("lang", F.col("word").alias("phrase"), F.lit(1).alias("words"), F.col("n").alias("f"))
     return sizes, cut(short.union(long.select("lang", "phrase", "words", "f")), "phrase-counts")
