@@ -102,3 +102,50 @@ def test_conditions_hold_in_every_form(spark, mode, expand):
         want = {(p, j % 4) for _, p in best for j in range(4 * p, 4 * p + 4) if j % 3 == i % 3}
         mine = {(r.parent_id, r.child_pos) for r in got if r.query_id == i}
         assert mine == want if expand else {p for p, _ in mine} == {p for _, p in best}
+
+
+@pytest.mark.parametrize("limits", [Limits(), Limits(query_rows=7, block_bytes=6 * 8 * 40)], ids=["broadcast", "cells"])
+def test_lists_and_a_parent_with_a_third_of_all_children(spark, limits):
+    """Over lists, a parent's best child among the visited lists counts, wherever its children lie."""
+    from vicinal.operators.encoders import nearest_centroids
+    from vicinal.operators.training import fit_ivf
+    from vicinal.spec import VectorSpec
+
+    rng = np.random.default_rng(12)
+    vecs, parents = rng.random((450, 6)).astype(np.float32), np.r_[np.zeros(150, int), rng.integers(1, 40, 300)]
+    asked = rng.random((25, 6)).astype(np.float32)
+    pos = {}
+    rows = [(int(p), pos.setdefault(int(p), []).append(0) or len(pos[int(p)]) - 1, [float(x) for x in v]) for p, v in zip(parents, vecs)]
+    df = spark.createDataFrame(rows, "parent_id bigint, child_pos int, vec array<float>").repartition(5)
+    centroids = fit_ivf(df.selectExpr("parent_id * 1000 + child_pos as id", "vec"), 8)
+    from vicinal.sources.models import Model
+
+    model = Model(VectorSpec(6, method="ivf", params={"nlist": 8}), None, centroids)
+    got = nested_knn(query(spark, *asked), Index(model.encode(df), model), 4, mode="ivf", nprobes=3, limits=limits)
+    mine, lists = nearest_centroids(vecs, centroids, 1)[:, 0], nearest_centroids(asked, centroids, 3)
+    want = []
+    for i, x in enumerate(asked.astype(float)):
+        best = {}
+        for (p, at, _), v, home in zip(rows, vecs.astype(float), mine):
+            if home in lists[i]:
+                best[p] = min(best.get(p, (9e9, 0)), (((x - v) ** 2).sum(), at))
+        want += [(i, p, at) for (_, at), p in sorted((v, p) for p, v in best.items())[:4]]
+    out = got.toPandas().sort_values(["query_id", "rank"])
+    assert list(zip(out.query_id, out.parent_id, out.child_pos)) == want
+    assert sum(p == 0 for _, p, _ in want) > 10
+
+
+def test_radius_by_query_with_conditions_and_columns(spark):
+    rng = np.random.default_rng(5)
+    rows = [(int(i // 3), int(i % 3), [float(x) for x in rng.random(4)], int(i % 4)) for i in range(120)]
+    df = spark.createDataFrame(rows, "parent_id bigint, child_pos int, vec array<float>, kind int")
+    q = spark.createDataFrame([(n, [float(x) for x in rng.random(4)], n % 4, 0.1 + n / 20) for n in range(8)], "query_id bigint, query_vec array<float>, want int, reach double")
+    want = {}
+    for n, x, kind, reach in q.collect():
+        for p, at, v, k in rows:
+            far = sum((np.float32(a).astype(float) - np.float32(b).astype(float)) ** 2 for a, b in zip(x, v))
+            if k != kind and far <= reach:
+                want[n, p] = min(want.get((n, p), (9e9, 0, 0)), (far, at, k))
+    for limits in (Limits(), GRID):
+        got = nested_radius(q, df, max_distance="reach", on=[("want", "!=", "kind")], keep=["kind"], limits=limits).collect()
+        assert {(r.query_id, r.parent_id): (r.child_pos, r.kind) for r in got} == {k: v[1:] for k, v in want.items()}

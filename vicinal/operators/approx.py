@@ -105,6 +105,31 @@ def code_scan(index: Index, mode: str, space: str, query_id: str, query_vec: str
                 max_distance=max_distance)
 
 
+def probing(index: Index, mode: str, space: str, nprobes: int | None) -> Probes | None:
+    """Which lists a search in this mode visits; none for a mode that scans all codes."""
+    model = index.model
+    if mode != "ivf":
+        return None
+    if model.centroids is None:
+        raise SpecError("the index holds no coarse lists")
+    if (space == "hamming") != (model.space == "hamming"):
+        raise SpecError(f"lists of the {model.space!r} space cannot be searched in {space!r}")
+    nprobes = nprobes or model.spec.params.get("nprobes", 1)
+    if not 0 < nprobes < IVF_LIMIT:
+        raise SpecError(f"nprobes must lie in 1..{IVF_LIMIT - 1}")
+    return Probes(model.centroids, nprobes, coarse_metric(space), list_column=model.list_column)
+
+
+def index_scan(index: Index, mode: str, space: str, query_id: str, query_vec: str, id: str, columns, order, k, *, probes: Probes | None,
+               group=None, conds=()) -> Scan:
+    """Scan over an index: its codes, or its vectors where it has none; restricted to the visited lists where there are ``probes``."""
+    if index.model.encoder is not None:
+        scan = code_scan(index, mode, space, query_id, query_vec, id, columns, order, k, group=group, conds=conds)
+    else:
+        scan = Scan(METRIC_OF_SPACE[space], space, query_id, query_vec, id, index.model.vec, tuple(columns), tuple(order), k=k, group=group, conds=conds)
+    return scan if probes is None else replace(scan, list_column=probes.list_column)
+
+
 def approx_join(q: DataFrame, index: Index, k: int, *, mode: str, space: str = "l2", query_id: str = "query_id",
                 query_vec: str = "query_vec", filter: Column | str | None = None, on=None, keep=(), boost: float = 1.0,
                 candidates: int | None = None, rescore=None, nprobes: int | None = None, explain: bool = False,
@@ -126,24 +151,10 @@ def approx_join(q: DataFrame, index: Index, k: int, *, mode: str, space: str = "
     if not by_codes:
         user, first = None, k
     first = max(first, candidates or 0)
-    lists = model.centroids is not None and mode == "ivf"
-    if mode == "ivf" and not lists:
-        raise SpecError("the index holds no coarse lists")
-    extra = [model.list_column] if lists else []
+    probes = probing(index, mode, space, nprobes)
+    extra = [model.list_column] if probes else []
     columns = tuple(dict.fromkeys([id, *extra, *([] if user else keep)]))
-    if by_codes:
-        scan = code_scan(Index(df, model), mode, space, query_id, query_vec, id, columns, (id,), first, conds=conditions(on))
-    else:
-        scan = Scan(METRIC_OF_SPACE[space], space, query_id, query_vec, id, vec, columns, (id,), k=first, conds=conditions(on))
-    probes = None
-    if lists:
-        if (space == "hamming") != (model.space == "hamming"):
-            raise SpecError(f"lists of the {model.space!r} space cannot be searched in {space!r}")
-        nprobes = nprobes or model.spec.params.get("nprobes", 1)
-        if not 0 < nprobes < IVF_LIMIT:
-            raise SpecError(f"nprobes must lie in 1..{IVF_LIMIT - 1}")
-        probes = Probes(model.centroids, nprobes, coarse_metric(space), list_column=model.list_column)
-        scan = replace(scan, list_column=model.list_column)
+    scan = index_scan(Index(df, model), mode, space, query_id, query_vec, id, columns, (id,), first, probes=probes, conds=conditions(on))
     hits = run_scan(scan, q, df, probes=probes, limits=limits)
     if user is None:
         hits = merge_top_k(hits, k, query_id, [id])
@@ -164,7 +175,7 @@ def approx_join(q: DataFrame, index: Index, k: int, *, mode: str, space: str = "
                                  "exact_count": F.lit(first if user else 0).cast("bigint")})
     if explain:
         kind = "Approximate-NN" if user is None else "Disk-based"
-        reason = f"{mode} search" + (f" with {nprobes} lists per query" if lists else "")
+        reason = f"{mode} search" + (f" with {probes.nprobes} lists per query" if probes else "")
         hits = hits.withColumn("explain", explanation(kind, reason, space, rows, first if user else None,
                                                       user.oversample if user else None))
     return hits
@@ -190,27 +201,34 @@ def _filled_join(q, index: Index, k: int, fill: str, *, filter, query_id, query_
 
 
 def radius_approx(q: DataFrame, index: Index, *, max_distance=None, min_score=None, space: str = "l2",
-                  max_results: int | None = None, query_id: str = "query_id", query_vec: str = "query_vec", filter=None,
+                  max_results: int | None = None, query_id: str = "query_id", query_vec: str = "query_vec", filter=None, on=None, keep=(),
                   boost: float = 1.0, limits: Limits = LIMITS) -> DataFrame:
     """Radius search on 1-bit scalar codes: candidates by a lower bound of their distance, then an exact check.
 
     The bound follows from the codes alone and never exceeds the distance, so no match is lost and the result equals
-    ``radius_join`` while only the candidates' vectors are compared. ``max_results`` cuts the checked matches.
+    ``radius_join`` while only the candidates' vectors are compared. The limit is a number or the name of a query column, ``on`` and
+    ``keep`` are those of ``radius_join``. ``max_results`` cuts the checked matches.
     """
     model = index.model
     check_radius(space, max_distance, min_score, encoder=model.encoder.name if model.encoder else None,
                  method=model.spec.method, compression=model.spec.compression)
     df = index.df if filter is None else index.df.where(filter)
-    raw = float(max_distance) if max_distance is not None else float(score_to_threshold(min_score, space))
+    given = max_distance if max_distance is not None else min_score
+    own = F.col(given).cast("double") if isinstance(given, str) else F.lit(float(given))
+    raw = own if max_distance is not None else score_to_threshold(own, space)
+    q = q.withColumn("_asked", own).withColumn("_raw", raw).withColumn("_reach", F.col("_raw") + 1e-9 * (1 + F.abs("_raw")))
     mode = "flat" if model.spec.method == "flat" else "sq1"
+    keep = tuple(n for n in keep if n != model.id)
     scan = code_scan(Index(df, model), mode, space, query_id, query_vec, model.id, (model.id,), (model.id,), None,
-                     max_distance=raw + 1e-9 * (1 + abs(raw)), bound=True)
-    pairs = run_scan(scan, q, df, limits=limits).select(query_id, model.id).join(df.select(model.id, model.vec), model.id)
-    queries = q.select(query_id, F.col(query_vec).alias("_query_vec"))
+                     conds=conditions(on), max_distance="_reach", bound=True)
+    found = run_scan(scan, q, df, limits=limits).select(query_id, model.id)
+    pairs = found.join(df.select(model.id, model.vec, *keep), model.id)
+    queries = q.select(query_id, F.col(query_vec).alias("_query_vec"), "_asked")
     pairs = pairs.join(queries, query_id).withColumn("distance", pairwise_distance("_query_vec", model.vec, space))
-    kept = pairs.where(F.col("distance") <= raw) if max_distance is not None else pairs.where(to_score("distance", space) >= min_score)
-    columns = [query_id, model.id, "distance", "score"]
+    kept = pairs.where(F.col("distance") <= F.col("_asked")) if max_distance is not None else pairs.where(to_score("distance", space) >= F.col("_asked"))
+    kept = kept.select(query_id, model.id, "distance", *keep)
+    columns = [query_id, model.id, "distance", "score", *keep]
     if max_results is not None:
-        kept = merge_top_k(kept.select(query_id, model.id, "distance"), max_results, query_id, [model.id])
+        kept = merge_top_k(kept, max_results, query_id, [model.id])
         columns.insert(2, "rank")
     return with_score(kept, space, boost).select(*columns)

@@ -55,7 +55,7 @@ def siblings(winners: DataFrame, q: DataFrame, children: DataFrame, space: str,
 
 
 def nested_knn(q: DataFrame, children, k: int, space: str = "l2", *, expand: bool = False, child_filter=None,
-               parent_filter: DataFrame | None = None, mode: str = "exact", rescore=None, query_id: str = "query_id",
+               parent_filter: DataFrame | None = None, mode: str = "exact", rescore=None, nprobes: int | None = None, query_id: str = "query_id",
                query_vec: str = "query_vec", parent: str = "parent_id", pos: str = "child_pos", vec: str = "vec",
                keep=(), boost: float = 1.0, on=None, limits: Limits = LIMITS) -> DataFrame:
     """Top-k parents by their best child: ``(query_id, parent, child_pos, rank, distance, score)``.
@@ -63,7 +63,9 @@ def nested_knn(q: DataFrame, children, k: int, space: str = "l2", *, expand: boo
     ``expand=True`` returns every (filtered) child of those parents with its own score instead.
     ``child_filter`` is a predicate on the child; ``parent_filter`` a table of allowed parents.
     With a code-based ``mode``, ``children`` is an index; the first pass ranks parents by codes and the second
-    re-scores all filtered siblings of the candidates on their full vectors.
+    re-scores all filtered siblings of the candidates on their full vectors. With ``mode='ivf'`` a parent stands for its best child
+    in the ``nprobes`` lists that a query visits. A parent's children may lie in any number of partitions, lists and cells: each
+    gives its best parents, and the best child over all of them counts.
     """
     check_k(k)
     index, conds = None, conditions(on)
@@ -78,13 +80,16 @@ def nested_knn(q: DataFrame, children, k: int, space: str = "l2", *, expand: boo
                     group=parent, conds=conds)
         hits = _best_child(run_scan(scan, q, children, limits=limits), query_id, parent, pos)
     else:
-        from vicinal.operators.approx import code_scan
+        from vicinal.operators.approx import index_scan, probing
 
+        probes = probing(index, mode, space, nprobes)
         user = resolve_rescore(index.model.spec, rescore) if rescore is not None else index.model.default_rescore(mode)
-        first = k if rescore is False else first_pass_k(k, user.oversample if user else 1.0)
-        scan = code_scan(index, mode, space, query_id, query_vec, parent, (parent, pos), (parent, pos), first, group=parent, conds=conds)
-        hits = _best_child(run_scan(scan, q, children, limits=limits), query_id, parent, pos)
-        if rescore is not False:
+        coded = index.model.encoder is not None
+        second = coded and rescore is not False and (user is not None or mode != "ivf")
+        first = first_pass_k(k, user.oversample if user else 1.0) if second else k
+        scan = index_scan(index, mode, space, query_id, query_vec, parent, (parent, pos), (parent, pos), first, probes=probes, group=parent, conds=conds)
+        hits = _best_child(run_scan(scan, q, children, probes=probes, limits=limits), query_id, parent, pos)
+        if second:
             hits = top_k(hits, first, query_id, [parent])
             again = siblings(hits.drop("rank"), q, children, space, conds=conds, max_hits=q.count() * first, limits=limits, **names)
             hits = _best_child(again, query_id, parent, pos)
@@ -99,14 +104,16 @@ def nested_knn(q: DataFrame, children, k: int, space: str = "l2", *, expand: boo
 def nested_radius(q: DataFrame, children: DataFrame, *, max_distance=None, min_score=None, space: str = "l2",
                   max_results: int | None = None, child_filter=None, parent_filter: DataFrame | None = None,
                   query_id: str = "query_id", query_vec: str = "query_vec", parent: str = "parent_id",
-                  pos: str = "child_pos", vec: str = "vec", boost: float = 1.0, limits: Limits = LIMITS) -> DataFrame:
-    """Parents with a child inside the radius, each with its best child."""
+                  pos: str = "child_pos", vec: str = "vec", keep=(), boost: float = 1.0, on=None, limits: Limits = LIMITS) -> DataFrame:
+    """Parents with a child inside the radius, each with its best child and that child's columns ``keep``; ``on`` restricts which children
+    a query may meet. The radius is a number or the name of a query column."""
     check_radius(space, max_distance, min_score)
     children = _filtered(children, parent, child_filter, parent_filter)
-    scan = Scan(METRIC_OF_SPACE[space], space, query_id, query_vec, parent, vec, (parent, pos), (parent, pos),
-                k=max_results, group=parent if max_results else None, max_distance=max_distance, min_score=min_score)
-    best = _best_child(run_scan(scan, q, children, limits=limits), query_id, parent, pos)
+    keep = tuple(n for n in keep if n not in (parent, pos))
+    scan = Scan(METRIC_OF_SPACE[space], space, query_id, query_vec, parent, vec, (parent, pos, *keep), (parent, pos),
+                k=max_results, group=parent if max_results else None, conds=conditions(on), max_distance=max_distance, min_score=min_score)
+    best = _best_child(run_scan(scan, q, children, limits=limits), query_id, parent, pos, keep)
     if max_results is not None:
         best = top_k(best, max_results, query_id, [parent])
-    columns = [query_id, parent, pos, *(["rank"] if max_results else []), "distance", "score"]
+    columns = [query_id, parent, pos, *(["rank"] if max_results else []), "distance", "score", *keep]
     return with_score(best, space, boost).select(*columns)

@@ -454,11 +454,30 @@ def _(spark, d):
     return ranked(radius_approx(queries(spark, d), index, min_score=0.63, space="cosinesimil"))
 
 
+@run("s15_two_phase_radius_on")
+def _(spark, d):
+    q = queries(spark, d, F.col("label").alias("want"), (F.lit(1.2) + F.col("label") / 100).alias("reach"))
+    return ranked(radius_approx(q, _index(spark, d, _sq1_model(spark, d, "l2")), max_distance="reach", on=[("want", "!=", "label")], keep=["label"]))
+
+
 @run("s16_nested_knn")
 def _(spark, d):
     return ranked(nested_knn(queries(spark, d), child_rows(spark, d), 5))
 
 
+@run("s16_nested_knn_ivf")
+def _(spark, d):
+    model = ivf_model(spark, d)
+    index = Index(model.encode(child_rows(spark, d)), model)
+    return ranked(nested_knn(queries(spark, d), index, 5, mode="ivf", nprobes=3))
+
+
+@run("s19_nested_radius_on")
+def _(spark, d):
+    q = queries(spark, d, F.col("label").alias("want"), (F.lit(1.3) + F.col("label") / 100).alias("reach"))
+    return ranked(nested_radius(q, child_rows(spark, d), max_distance="reach", on=[("want", "!=", "label")], keep=["label"]))
+
+
 @run("s17_expand_nested")
 def _(spark, d):
     return ranked(nested_knn(queries(spark, d), child_rows(spark, d), 3, expand=True, child_filter="label <> 2"))

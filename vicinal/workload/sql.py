@@ -361,10 +361,35 @@ def nested(k, where="TRUE", tail=""):
 
 
 ORACLES["s16_nested_knn"] = nested(5)
-ORACLES["s17_expand_nested"] = nested(3, "c.label <> 2", (
-    f"SELECT d.query_id, d.parent_id, d.child_pos, CAST(r.rk AS INTEGER) AS rank, {r('d.distance')} AS distance, {r(inverse('d.distance'))} AS score "
-    "FROM r JOIN d ON d.query_id = r.query_id AND d.parent_id = r.parent_id"))
-ORACLES["s17_expand_per_query_filter"] = ORACLES["s17_expand_nested"].replace("c.label <> 2", "c.label <> q.label")
+
+
+def expanded(k, where):
+    """All children that pass, of the k nearest parents. Parents are ranked first; only the winners' children are compared again."""
+    return (f"WITH {E.replace('e AS (', 'e AS MATERIALIZED (', 1)}, {N.replace('c AS (', 'c AS MATERIALIZED (', 1)}, "
+            f"b AS MATERIALIZED (SELECT q.vec_id AS query_id, c.parent_id, min({l2(*QC)}) AS best FROM e q, c WHERE {where} GROUP BY q.vec_id, c.parent_id), "
+            "r AS MATERIALIZED (SELECT query_id, parent_id, rk FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY best, parent_id) AS rk FROM b) "
+            f"WHERE rk <= {k}), f AS MATERIALIZED (SELECT r.query_id, r.parent_id, c.child_pos, r.rk, {l2(*QC)} AS distance FROM r JOIN c ON c.parent_id = r.parent_id "
+            f"JOIN e q ON q.vec_id = r.query_id WHERE {where}) "
+            f"SELECT query_id, parent_id, child_pos, CAST(rk AS INTEGER) AS rank, {r('distance')} AS distance, {r(inverse('distance'))} AS score FROM f")
+
+
+ORACLES["s17_expand_nested"] = expanded(3, "c.label <> 2")
+ORACLES["s17_expand_per_query_filter"] = expanded(3, "c.label <> q.label")
+NESTED_LISTS = "c AS (SELECT e.vec_id // 5 AS parent_id, CAST(e.vec_id % 5 AS INTEGER) AS child_pos, v, a.list_id FROM e JOIN a ON a.vec_id = e.vec_id)"
+ORACLES["s16_nested_knn_ivf"] = (
+    f"WITH {E}, {MEANS}, {near_list(l2, 1)}, {near_list(l2, 3, name='p')}, {NESTED_LISTS}, d AS (SELECT q.vec_id AS query_id, c.parent_id, c.child_pos, {l2(*QC)} AS distance "
+    "FROM e q JOIN p ON p.vec_id = q.vec_id JOIN c ON c.list_id = p.list_id), "
+    "b1 AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY query_id, parent_id ORDER BY distance, child_pos) AS cr FROM d) WHERE cr = 1), "
+    "r AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY distance, parent_id) AS rk FROM b1) WHERE rk <= 5) "
+    f"SELECT query_id, parent_id, child_pos, CAST(rk AS INTEGER) AS rank, {r('distance')} AS distance, {r(inverse('distance'))} AS score FROM r")
+ORACLES["s19_nested_radius_on"] = (
+    f"WITH {E}, {N}, d AS (SELECT q.vec_id AS query_id, c.parent_id, c.child_pos, c.label, {l2(*QC)} AS distance FROM e q, c "
+    f"WHERE c.label <> q.label AND {l2(*QC)} <= 1.3 + q.label / 100.0), "
+    "r AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY query_id, parent_id ORDER BY distance, child_pos) AS cr FROM d) WHERE cr = 1) "
+    f"SELECT query_id, parent_id, child_pos, label, {r('distance')} AS distance, {r(inverse('distance'))} AS score FROM r")
+ORACLES["s15_two_phase_radius_on"] = (
+    f"WITH {E}, d AS (SELECT q.vec_id AS query_id, c.vec_id AS id, c.label, {l2(*QC)} AS distance FROM e q, e c WHERE c.label <> q.label "
+    f"AND {l2(*QC)} <= 1.2 + q.label / 100.0) SELECT query_id, id, label, {r('distance')} AS distance, {r(inverse('distance'))} AS score FROM d")
 ORACLES["s18_nested_child_filter"] = nested(5, "c.label = 3")
 ORACLES["s18_nested_parent_filter"] = nested(5, "c.parent_id IN (SELECT parent_id FROM c WHERE label = 7)")
 ORACLES["s19_nested_radius"] = nested(1_000_000_000, f"{l2(*QC)} <= 1.4", (
