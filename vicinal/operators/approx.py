@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from vicinal.functions.scores import score_to_threshold, to_score
 from vicinal.operators.blocks import METRIC_OF_SPACE, as_bytes, list_array
 from vicinal.operators.encoders import ADC_METRIC, centroid_rows, coarse_metric, nearest_centroid, nearest_centroids
-from vicinal.operators.knn import conditions, explanation, hit_schema, knn_join, pairwise_distance, rescore
+from vicinal.operators.knn import conditions, explanation, hit_schema, knn_join, pairwise_distance, rescore, second_pass
 from vicinal.operators.scan import Scan, merge_top_k, run_scan, with_score
 from vicinal.plans.limits import LIMITS, Limits
 from vicinal.spec import IVF_LIMIT, SpecError, check_k, check_radius, first_pass_k, resolve_rescore
@@ -155,17 +155,18 @@ def approx_join(q: DataFrame, index: Index, k: int, *, mode: str, space: str = "
     extra = [model.list_column] if probes else []
     columns = tuple(dict.fromkeys([id, *extra, *([] if user else keep)]))
     scan = index_scan(Index(df, model), mode, space, query_id, query_vec, id, columns, (id,), first, probes=probes, conds=conditions(on))
-    hits = run_scan(scan, q, df, probes=probes, limits=limits)
     if user is None:
-        hits = merge_top_k(hits, k, query_id, [id])
+        hits = merge_top_k(run_scan(scan, q, df, probes=probes, limits=limits), k, query_id, [id])
         shown = "hamming" if by_codes and scan.metric == "hamming" else space
         if shown == "l2":
             hits = hits.withColumn("distance", F.greatest("distance", F.lit(0.0)))
         hits = with_score(hits, shown, boost).select(query_id, id, "rank", "distance", "score",
                                                      *[n for n in keep if n != id])
     else:
-        hits = merge_top_k(hits, first, query_id, [id]).drop("rank", "distance")
-        hits = _second_pass(hits, q, df, k, space, query_id=query_id, query_vec=query_vec, id=id, vec=vec, join_on=extra,
+        hits = second_pass(scan, q, df, k, space, probes=probes, vec=vec, join_on=extra, keep=keep, boost=boost, limits=limits)
+        if hits is None:
+            hits = merge_top_k(run_scan(scan, q, df, probes=probes, limits=limits), first, query_id, [id]).drop("rank", "distance")
+            hits = _rescore(hits, q, df, k, space, query_id=query_id, query_vec=query_vec, id=id, vec=vec, join_on=extra,
                             keep=keep, boost=boost, per_query=first, limits=limits)
         hits = hits.drop(*extra) if not set(extra) & set(keep) else hits
     rows = df.where(F.col(vec).isNotNull()).count() if explain or metrics else 0
@@ -181,7 +182,7 @@ def approx_join(q: DataFrame, index: Index, k: int, *, mode: str, space: str = "
     return hits
 
 
-_second_pass = rescore
+_rescore = rescore
 
 
 def _filled_join(q, index: Index, k: int, fill: str, *, filter, query_id, query_vec, on, space, keep, boost, explain, metrics, limits, **how) -> DataFrame:

@@ -2,18 +2,22 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
 from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from vicinal.functions.scores import to_score
-from vicinal.operators.blocks import METRIC_OF_SPACE, as_bytes, as_matrix, pair_distance
-from vicinal.operators.scan import Scan, merge_top_k, query_block, run_scan, scan_pairs, top_k, with_score
-from vicinal.plans.limits import LIMITS, Limits, few_partitions, parallelism
+from vicinal.operators.blocks import METRIC_OF_SPACE, as_bytes, as_matrix, combined, pair_distance
+from vicinal.operators.scan import (Scan, block_lists, key_hash, match_scan, merge_top_k, packed_hits, query_block, run_scan, scan_pairs, top_k,
+                                    with_score)
+from vicinal.plans import bloom
+from vicinal.plans.limits import LIMITS, Limits, cut, few_partitions, parallelism
 from vicinal.spec import SCORE_FORMULA, SpecError, check_k, check_radius
 
 APPROXIMATE = ("ivf", "binary", "adc", "pq", "sq1", "sq7", "fp16", "flat")
@@ -248,21 +252,31 @@ def rescore(hits: DataFrame, q: DataFrame, c: DataFrame, k: int, space: str = "l
             per_query: int | None = None, limits: Limits = LIMITS) -> DataFrame:
     """Re-rank a candidate list by exact distance on the full vectors.
 
-    Candidates meet their vectors through an equi-join on the id (and ``join_on``, e.g. the list number, so that
-    other lists are never read). They are broadcast into it only when ``per_query``, the most candidates a query can
-    have, times the number of queries is small; otherwise Spark chooses the join. A query block within the limits
-    travels to the tasks, which keep k rows per query; a larger query side is joined in.
+    The vectors are not shuffled where the candidates are few enough to travel: pairs (``limits.state_rows`` at most) go to the scan of
+    the vectors, whose tasks compare what they hold and keep k rows per query. ``join_on`` names further columns of both tables, e.g. the
+    list number, so that other lists are never read. Beyond that number a Bloom filter of the candidates, tested inside the scan,
+    decides which vectors are worth a shuffle.
     """
     check_k(k)
     keys = [id, *join_on]
     keep = tuple(n for n in keep if n not in keys)
-    wanted = hits.select(query_id, *keys)
     scan = Scan(METRIC_OF_SPACE[space], space, query_id, query_vec, id, vec, (id, *keep), (id,), k=k)
     q = q.where(F.col(query_vec).isNotNull())
+    c = c.where(F.col(vec).isNotNull())
     block, _ = query_block(scan, q, limits)
-    if block is not None and per_query is not None and block.num_rows * per_query <= limits.join_rows:
-        wanted = F.broadcast(wanted)
-    pairs = c.select(*keys, vec, *keep).where(F.col(vec).isNotNull()).join(wanted, keys)
+    wanted = hits.select(query_id, *keys).where(F.col(id).isNotNull())
+    if block is not None:
+        few = block.num_rows * per_query if per_query is not None else None
+        if few is None or few > limits.state_rows:
+            wanted = cut(wanted.distinct())
+            few = wanted.count()
+        if few <= limits.state_rows:
+            pairs = wanted.select(query_id, key_hash(keys).alias("_h"), *keys).toArrow()
+            return _compared(scan, block.combine_chunks(), q, c, pairs, join_on, k, boost, keep)
+    else:
+        wanted = cut(wanted.distinct())
+    candidates = bloom.build(wanted.select(key_hash(keys).alias("h")))
+    pairs = c.select(*keys, vec, *keep).where(candidates.column(key_hash(keys))).join(wanted, keys)
     if block is not None:
         found = scan_pairs(scan, block, q, pairs)
     else:
@@ -271,3 +285,40 @@ def rescore(hits: DataFrame, q: DataFrame, c: DataFrame, k: int, space: str = "l
         found = pairs.select(query_id, id, *keep, "distance")
     found = merge_top_k(found, k, query_id, [id])
     return with_score(found, space, boost).select(query_id, id, "rank", "distance", "score", *keep)
+
+
+def _compared(scan: Scan, block: pa.Table, q: DataFrame, c: DataFrame, pairs: pa.Table, join_on, k: int, boost: float, keep) -> DataFrame:
+    """The best k of given pairs (query id, hash and values of the row's keys); a pair given twice counts once."""
+    pairs = pairs.group_by(pairs.column_names).aggregate([])
+    who = pc.index_in(pairs.column(0), value_set=combined(block.column(scan.query_id)))
+    known = pc.is_valid(who)
+    pairs, who = pairs.filter(known), combined(who.filter(known)).to_numpy()
+    for name in join_on:
+        values = pc.unique(pairs.column(name)).to_pylist()
+        if len(values) <= 1000:
+            c = c.where(F.col(name).isin(values)) if values else c.where(F.lit(False))
+    found = match_scan(scan, block, q, c, who, pairs.drop_columns([scan.query_id]).combine_chunks())
+    found = merge_top_k(found, k, scan.query_id, [scan.id])
+    return with_score(found, scan.space, boost).select(scan.query_id, scan.id, "rank", "distance", "score", *keep)
+
+
+def second_pass(first: Scan, q: DataFrame, df: DataFrame, k: int, space: str, *, probes, vec: str, join_on, keep, boost: float,
+                limits: Limits) -> DataFrame | None:
+    """Both passes of a search whose queries fit one block: the candidates of the first come back merged and packed, and the second
+    compares them where their vectors lie. None where they do not fit."""
+    q = q.where(F.col(first.query_vec).isNotNull())
+    coded = df.where(F.col(first.vec).isNotNull())
+    block, dim = query_block(first, q, limits)
+    if block is None or dim is None:
+        return None
+    block = block.combine_chunks()
+    keys = [first.id, *join_on]
+    keep = tuple(n for n in keep if n not in keys)
+    # A candidate carries the hash of its keys, by which the second scan finds it.
+    marked = replace(first, columns=tuple(dict.fromkeys([*keys, *first.columns, "_h"])))
+    scan, coded, lists = block_lists(marked, block, q, coded.withColumn("_h", key_hash(keys)), probes)
+    got = packed_hits(scan, block, coded, lists, limits)
+    pairs = pa.table({first.query_id: block.column(first.query_id).take(got.column("_q")), **{n: got.column(n) for n in ("_h", *keys)}})
+    rows = df.where(F.col(vec).isNotNull())
+    exact = Scan(METRIC_OF_SPACE[space], space, first.query_id, first.query_vec, first.id, vec, (first.id, *keep), (first.id,), k=k)
+    return _compared(exact, block, q, rows, pairs, join_on, k, boost, keep)

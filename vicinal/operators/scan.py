@@ -228,6 +228,95 @@ def scan_pairs(scan: Scan, block: pa.Table, q: DataFrame, pairs: DataFrame) -> D
     return pairs.select(scan.query_id, *scan.columns, scan.vec).mapInArrow(task, schema)
 
 
+def packed_hits(scan: Scan, block: pa.Table, c: DataFrame, lists: dict | None, limits: Limits) -> pa.Table:
+    """The best k of every query of a block, merged, on the driver: ``_q`` (row of the block) and the scan's columns, at most
+    ``limits.state_rows`` rows. A task sends one row a query, holding its best as lists, and so does the merge."""
+    spark = c.sparkSession
+    carried = list(dict.fromkeys([*scan.columns, *scan.order]))
+    kinds = [c.schema[n].dataType for n in carried]
+    schema = T.StructType([T.StructField("_q", T.IntegerType()), T.StructField("_raw", T.ArrayType(T.DoubleType())),
+                           *[T.StructField(n, T.ArrayType(k)) for n, k in zip(carried, kinds)]])
+    arrow = to_arrow_schema(schema)
+    held = spark.sparkContext.broadcast((block, lists))
+    k, order, n_q = scan.k, scan.order, block.num_rows
+
+    def packed(found: pa.Table):
+        q = found.column("_q").to_numpy()
+        starts = np.flatnonzero(np.r_[True, q[1:] != q[:-1]])
+        offsets = pa.array(np.append(starts, len(q)).astype(np.int32))
+        columns = [pa.array(q[starts], pa.int32()), *[pa.ListArray.from_arrays(offsets, combined(found.column(n))) for n in ("_raw", *carried)]]
+        table = pa.table([x.cast(f.type) for x, f in zip(columns, arrow)], schema=arrow)
+        yield from table.to_batches(max_chunksize=max(1, 1_000_000 // k))
+
+    def task(batches):
+        rows, by_list = held.value
+        for found in _compare(scan, rows, batches, by_list):
+            yield from packed(found)
+
+    def merge(batches):
+        hits = Hits(n_q, k, order, None, None)
+        for batch in batches:
+            if batch.num_rows:
+                sizes = batch.column("_raw").value_lengths().to_numpy()
+                rows = pa.table({n: batch.column(n).flatten() for n in carried})
+                hits.push(np.repeat(batch.column("_q").to_numpy(), sizes), batch.column("_raw").flatten().to_numpy(), rows)
+        found = hits.result()
+        if found is not None:
+            yield from packed(found)
+
+    parts = few_partitions(c.select(*scan.corpus_columns)).mapInArrow(task, schema)
+    whole = parts.repartition("_q").mapInArrow(merge, schema).toArrow()
+    held.destroy()
+    sizes = combined(whole.column("_raw")).value_lengths().to_numpy() if whole.num_rows else np.empty(0, np.int64)
+    return pa.table({"_q": np.repeat(whole.column("_q").to_numpy(), sizes), **{n: combined(whole.column(n)).flatten() for n in carried}})
+
+
+def match_scan(scan: Scan, block: pa.Table, q: DataFrame, c: DataFrame, who: np.ndarray, wanted: pa.Table) -> DataFrame:
+    """Exact distances of the pairs (row ``who`` of the block, row of ``c`` with the keys of ``wanted``), found where the rows of ``c``
+    lie: pairs of bounded number travel to the scan, so no vector is shuffled or joined. A task keeps k rows per query."""
+    schema = output_schema(scan, q, c)
+    arrow = to_arrow_schema(schema)
+    keys = wanted.column_names[1:]
+    h = wanted.column("_h").to_numpy()
+    at = np.argsort(h, kind="stable")
+    held = c.sparkSession.sparkContext.broadcast((block, h[at], who[at].astype(np.int32), wanted.select(keys).take(pa.array(at)).combine_chunks()))
+
+    def task(batches):
+        rows, marks, asking, names = held.value
+        side = _query_side(scan, rows)
+        hits = Hits(side.n, scan.k, scan.order, None, None)
+        for batch in batches:
+            mine = batch.column("_h").to_numpy()
+            low = np.searchsorted(marks, mine, "left")
+            n = np.searchsorted(marks, mine, "right") - low
+            row = np.repeat(np.arange(len(mine)), n)
+            if not len(row):
+                continue
+            pair = np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n) + np.repeat(low, n)
+            same = np.ones(len(row), bool)
+            for key in keys:
+                same &= pc.equal(batch.column(key).take(pa.array(row)), combined(names.column(key)).take(pa.array(pair))).to_numpy(zero_copy_only=False)
+            row, pair = row[same], pair[same]
+            there, place = np.unique(row, return_inverse=True)
+            if not len(there):
+                continue
+            some = batch.take(pa.array(there))
+            vectors = _matrix(scan, some.column(scan.vec))
+            vectors = to_words(vectors) if scan.metric == "hamming" else vectors
+            raw = pair_distance(scan.metric, side.rows[asking[pair]], vectors[place])
+            hits.push(asking[pair], raw, pa.table({n: some.column(n).take(pa.array(place)) for n in scan.columns}))
+        found = hits.result()
+        if found is not None:
+            yield from _shape(scan, rows, found, arrow).to_batches(max_chunksize=10_000)
+
+    read = list(dict.fromkeys([*scan.columns, *keys, scan.vec]))
+    return c.select(*read, key_hash(keys).alias("_h")).mapInArrow(task, schema)
+
+
+def key_hash(keys):
+    return F.xxhash64(*[F.col(k) for k in keys])
+
+
 def _cells(n: int, rows: int) -> int:
     return max(1, -(-n // max(1, rows)))
 
@@ -357,6 +446,24 @@ def query_block(scan: Scan, q: DataFrame, limits: Limits):
     return (block if block.num_rows <= cap else None), dim
 
 
+def block_lists(scan: Scan, block: pa.Table, q: DataFrame, c: DataFrame, probes):
+    """(scan, corpus, lists) of a block: which of its rows want a list or key, and the corpus without unwanted lists."""
+    if probes is not None:
+        rows, numbers = probes.block(block.column(scan.query_vec))
+        lists = {int(n): rows[numbers == n] for n in np.unique(numbers)}
+        return scan, probes.prune(c, list(lists)), lists
+    keyed = _keyed(scan, q, c)
+    if keyed.query_list is not None:
+        groups: dict = {}
+        for i, key in enumerate(block.column(keyed.query_list).to_pylist()):
+            if key is not None:
+                groups.setdefault(key, []).append(i)
+        # With very many keys a batch would fall into tiny pieces; comparing under a mask is cheaper then.
+        if len(groups) <= 256:
+            return keyed, c, {key: np.array(rows) for key, rows in groups.items()}
+    return scan, c, None
+
+
 def run_scan(scan: Scan, q: DataFrame, c: DataFrame, *, probes: Callable | None = None, limits: Limits = LIMITS):
     """Unmerged hits ``(query_id, columns..., distance)`` and whether a task emitted at most k per query.
 
@@ -370,21 +477,7 @@ def run_scan(scan: Scan, q: DataFrame, c: DataFrame, *, probes: Callable | None
         return spark.createDataFrame([], output_schema(scan, q, c))
     if block is not None:
         block = block.combine_chunks()
-        lists = None
-        keyed = _keyed(scan, q, c)
-        if keyed.query_list is not None and probes is None:
-            keys = block.column(keyed.query_list).to_pylist()
-            groups: dict = {}
-            for i, key in enumerate(keys):
-                if key is not None:
-                    groups.setdefault(key, []).append(i)
-            # With very many keys a batch would fall into tiny pieces; comparing under a mask is cheaper then.
-            if len(groups) <= 256:
-                scan, lists = keyed, {key: np.array(rows) for key, rows in groups.items()}
-        if probes is not None:
-            rows, numbers = probes.block(block.column(scan.query_vec))
-            lists = {int(n): rows[numbers == n] for n in np.unique(numbers)}
-            c = probes.prune(c, list(lists))
+        scan, c, lists = block_lists(scan, block, q, c, probes)
         return _broadcast_scan(scan, block, q, c, lists)[0]
     if probes is not None:
         q = probes.explode(q, scan.query_vec)
