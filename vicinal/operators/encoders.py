@@ -80,7 +80,7 @@ class BitQuantizer(Encoder):
         return self.thresholds.shape[0]
 
     def rotate(self, rows: np.ndarray) -> np.ndarray:
-        return rows if self.rotation is None else rows.astype(np.float64) @ self.rotation.T
+        return rotated(rows, self.rotation)
 
     def encode_rows(self, rows):
         rows = self.rotate(rows)
@@ -275,7 +275,8 @@ class Sq1(Encoder):
 
 @dataclass
 class ProductQuantizer(Encoder):
-    """m sub-vectors, each replaced by the number of its nearest centroid; ``codebook`` is (m, centroids, dim / m)."""
+    """m sub-vectors, each replaced by the number of its nearest centroid; ``codebook`` is (m, centroids, dim / m). A number takes one byte,
+    or two (the higher first) where there are more than 256 centroids."""
 
     codebook: np.ndarray
     unit: bool = False
@@ -283,12 +284,17 @@ class ProductQuantizer(Encoder):
 
     def encode_rows(self, rows):
         rows = _unit(rows) if self.unit else rows
-        m, _, width = self.codebook.shape
-        return np.stack([nearest_centroid(rows[:, s * width:(s + 1) * width], self.codebook[s]) for s in range(m)],
-                        axis=1).astype(np.uint8)
+        m, k, width = self.codebook.shape
+        numbers = np.stack([nearest_centroid(rows[:, s * width:(s + 1) * width], self.codebook[s]) for s in range(m)], axis=1)
+        return numbers.astype(np.uint8) if k <= 256 else np.ascontiguousarray(numbers.astype(">u2")).view(np.uint8)
+
+    def numbers(self, codes: np.ndarray) -> np.ndarray:
+        """(row, sub-vector) centroid numbers of codes."""
+        return codes if self.codebook.shape[1] <= 256 else np.ascontiguousarray(codes).view(">u2")
 
     def decode_rows(self, codes, space):
-        return np.concatenate([self.codebook[s][codes[:, s]] for s in range(len(self.codebook))], axis=1)
+        numbers = self.numbers(codes)
+        return np.concatenate([self.codebook[s][numbers[:, s]] for s in range(len(self.codebook))], axis=1)
 
     def metric(self, space):
         return "ip_gap" if space == "cosinesimil" else METRIC_OF_SPACE[space]
@@ -299,9 +305,51 @@ class ProductQuantizer(Encoder):
 
 def nearest_centroid(rows: np.ndarray, centroids: np.ndarray, metric: str = "l2") -> np.ndarray:
     """Number of the nearest centroid of each row; the lowest number wins a tie."""
+    if metric == "l2" and len(centroids) >= TWO_LEVELS and len(rows) >= TWO_LEVELS // 4:
+        return nearest_in_two_levels(rows, centroids)
     return nearest_centroids(rows, centroids, 1, metric)[:, 0]
 
 
+TWO_LEVELS = 1024      # centroids from which a search in two levels pays
+
+
+def nearest_in_two_levels(rows: np.ndarray, centroids: np.ndarray) -> np.ndarray:
+    """``nearest_centroid`` for many centroids. They are grouped around about as many pivots as a group has members. A row compares the
+    pivots first, then only groups that the triangle inequality cannot exclude, nearest first; the result is the same."""
+    rows, centroids = rows.astype(np.float64), centroids.astype(np.float64)
+    pivots = centroids[np.linspace(0, len(centroids) - 1, int(len(centroids) ** 0.5)).astype(int)]
+    home = nearest_centroids(centroids, pivots, 1, "l2")[:, 0]
+    groups = [np.flatnonzero(home == g) for g in range(len(pivots))]
+    reach = np.array([np.sqrt(((centroids[m] - pivots[g]) ** 2).sum(axis=1).max()) if len(m) else -np.inf for g, m in enumerate(groups)])
+    size = (centroids * centroids).sum(axis=1)
+    out = np.empty(len(rows), np.int64)
+    step = max(1, 4_000_000 // len(pivots))
+    for s in range(0, len(rows), step):
+        x = rows[s:s + step]
+        own = (x * x).sum(axis=1)
+        far = np.sqrt(np.maximum(own[:, None] + (pivots * pivots).sum(axis=1)[None] - 2 * (x @ pivots.T), 0.0))
+        least = np.maximum(far - reach[None] - 1e-6 * (1 + far), 0.0) ** 2      # room for rounding
+        best, number = np.full(len(x), np.inf), np.full(len(x), -1, np.int64)
+
+        def look(at: np.ndarray, g: int) -> None:
+            members = groups[g]
+            score = size[members][None] - 2 * (x[at] @ centroids[members].T)
+            place = score.argmin(axis=1)
+            found, who = score[np.arange(len(at)), place], members[place]
+            better = (found < best[at]) | ((found == best[at]) & (who < number[at]))
+            best[at[better]], number[at[better]] = found[better], who[better]
+
+        first = np.where(np.isinf(reach)[None], np.inf, far).argmin(axis=1)
+        for g in np.unique(first).tolist():
+            look(np.flatnonzero(first == g), g)
+        for g in np.flatnonzero(~np.isinf(reach)).tolist():
+            at = np.flatnonzero((least[:, g] <= best + own + 1e-9 * (1 + own)) & (first != g))
+            if len(at):
+                look(at, g)
+        out[s:s + step] = number
+    return out
+
+
 COARSE_SPACES = ("l2", "cosinesimil", "innerproduct", "hamming")
 
 
@@ -354,10 +402,55 @@ def random_rotation(dim: int, seed: int = ROTATION_SEED) -> np.ndarray:
     return (q * np.sign(np.diag(r))).T
 
 
+ROUNDS = 3
+
+
+def structured_rotation(dim: int, seed: int = ROTATION_SEED) -> np.ndarray:
+    """A random orthogonal transform that needs no matrix, written as (dim, seed); see ``rotated``."""
+    return np.array([dim, seed], np.int64)
+
+
+def _walsh(rows: np.ndarray) -> None:
+    """Fast Walsh-Hadamard transform of the rows in place, scaled to keep lengths; the width is a power of two."""
+    n, width = rows.shape
+    half = 1
+    while half < width:
+        pairs = rows.reshape(n, width // (2 * half), 2, half)
+        low = pairs[:, :, 0].copy()
+        pairs[:, :, 0] += pairs[:, :, 1]
+        np.subtract(low, pairs[:, :, 1], out=pairs[:, :, 1])
+        half *= 2
+    rows /= np.sqrt(width)
+
+
+def rotated(rows: np.ndarray, rotation: np.ndarray | None) -> np.ndarray:
+    """Rows times an orthogonal matrix, or through the structured transform: in each round random signs, a Walsh-Hadamard transform of the
+    first and of the last so many dimensions as are a power of two, and a random order. Every step keeps lengths and angles."""
+    if rotation is None:
+        return rows
+    if rotation.ndim == 2:
+        return rows.astype(np.float64) @ rotation.T
+    dim, seed = (int(x) for x in rotation)
+    if len(rows) and rows.shape[1] != dim:
+        raise SpecError(f"vectors of {rows.shape[1]} dimensions do not match a rotation of {dim}")
+    out = rows.astype(np.float64)
+    width = 1 << (dim.bit_length() - 1)
+    draw = np.random.default_rng(seed)
+    for _ in range(ROUNDS if len(rows) else 0):
+        out = out * draw.choice((-1.0, 1.0), dim)
+        for part in (slice(0, width), slice(dim - width, dim))[:1 if width == dim else 2]:
+            block = np.ascontiguousarray(out[:, part])
+            _walsh(block)
+            out[:, part] = block
+        out = out[:, draw.permutation(dim)]
+    return out
+
+
 def rotate(vec, matrix: np.ndarray) -> Column:
+    """A vector column under a dense or structured rotation."""
     @F.arrow_udf("array<double>")
     def run(values: pa.Array) -> pa.Array:
-        return where_valid(values, pa.list_(pa.float64()), lambda v: list_array(as_matrix(v).astype(np.float64) @ matrix.T))
+        return where_valid(values, pa.list_(pa.float64()), lambda v: list_array(rotated(as_matrix(v), matrix)))
 
     return run(F.col(vec) if isinstance(vec, str) else vec)
 

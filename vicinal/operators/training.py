@@ -13,24 +13,39 @@ from pyspark.sql import functions as F
 
 from vicinal.operators.blocks import as_bytes, as_matrix, list_array
 from vicinal.operators.encoders import (BitQuantizer, ProductQuantizer, Sq1, Sq7, _unit, coarse_metric, nearest_centroid,
-                                        random_rotation)
+                                        random_rotation, rotated, structured_rotation)
 from vicinal.plans.limits import LIMITS, few_partitions, vector_length
-from vicinal.spec import IVF_LIMIT, SpecError
+from vicinal.spec import IVF_LIMIT, MAX_CODE_SIZE, SpecError
 
 
 def sample_vectors(c: DataFrame, n: int, *, id: str = "id", seed: int = 42) -> DataFrame:
     """Exactly ``n`` rows (all if there are fewer), uniform and repeatable: those with the smallest hashed ids.
 
-    Only (hash, id) pairs are sorted; the vectors are then filtered in place, without moving to one task.
+    The hash of the last one is found by histograms over ever more of its leading bits: partial counts of at most 65,536 slices a pass,
+    until the slice with the n-th row is small. No rows are sorted but those of that slice, and vectors do not move.
     """
     mark = F.xxhash64(F.lit(seed), F.col(id))
-    last = c.select(mark.alias("h"), F.col(id).alias("i")).orderBy("h", "i").limit(n).agg(
-        F.max(F.struct("h", "i")).alias("m"), F.count("*").alias("n")).first()
-    if last.n < n:
-        return c
+    inside, need, bits = F.lit(True), n, 16
+    while True:
+        slice_ = F.shiftright(mark, 64 - bits)
+        counts = sorted((r.s, r.n) for r in c.where(inside).groupBy(slice_.alias("s")).agg(F.count(F.lit(1)).alias("n")).collect())
+        if bits == 16 and sum(k for _, k in counts) <= n:
+            return c
+        for place, k in counts:
+            if k >= need:
+                break
+            need -= k
+        inside = slice_ == F.lit(place)
+        if k <= SLICE_ROWS or bits == 64:
+            break
+        bits += 16
+    last = c.where(inside).select(mark.alias("h"), F.col(id).alias("i")).orderBy("h", "i").limit(need).agg(F.max(F.struct("h", "i")).alias("m")).first()
     return c.where((mark < last.m.h) | ((mark == last.m.h) & (F.col(id) <= F.lit(last.m.i))))
 
 
+SLICE_ROWS = 10_000      # rows of a slice that are sorted to find the last one
+
+
 def _check_model_bytes(values: int) -> None:
     if values * 8 > LIMITS.model_bytes:
         raise SpecError("the trained table would exceed the size that may be held on the driver")
@@ -45,8 +60,7 @@ def _moments(c: DataFrame, vec: str, matrix: np.ndarray | None) -> DataFrame:
             rows = as_matrix(batch.column(0)).astype(np.float64)
             if not len(rows):
                 continue
-            if matrix is not None:
-                rows = rows @ matrix.T
+            rows = rotated(rows, matrix)
             if mean is None:
                 mean, m2 = np.zeros(rows.shape[1]), np.zeros(rows.shape[1])
             b_mean = rows.mean(axis=0)
@@ -80,8 +94,7 @@ def _side_means(c: DataFrame, vec: str, cut: np.ndarray, matrix: np.ndarray | No
             rows = as_matrix(batch.column(0)).astype(np.float64)
             if not len(rows):
                 continue
-            if matrix is not None:
-                rows = rows @ matrix.T
+            rows = rotated(rows, matrix)
             up = rows > cut
             n += up.sum(axis=0)
             high += np.where(up, rows, 0.0).sum(axis=0)
@@ -128,8 +141,8 @@ def fit_scalar_quantizer(c: DataFrame, bits: int = 1, *, sample: int | None = No
     if dim is None:
         raise SpecError("there is no vector to train on")
     if rotate and matrix is None:
-        _check_model_bytes(dim * dim)
-        matrix = random_rotation(dim)
+        # A dense matrix where the driver may hold one, else a transform that needs none.
+        matrix = random_rotation(dim) if dim * dim * 8 <= LIMITS.model_bytes else structured_rotation(dim)
     if sample is not None:
         c = sample_vectors(c, sample, id=id, seed=seed)
     mean, std = _column(_moments(c, vec, matrix), dim, "mean", "std")
@@ -367,9 +380,9 @@ def fit_ivf(c: DataFrame, nlist: int = 4, *, space: str = "l2", iterations: int
 
 def fit_pq(c: DataFrame, m: int = 1, code_size: int = 8, *, space: str = "l2", iterations: int = 10, seed: int = 42,
            vec: str = "vec", id: str = "id", init: np.ndarray | None = None) -> ProductQuantizer:
-    """Codebook of ``2**code_size`` centroids for each of ``m`` sub-vectors."""
-    if not 0 < code_size <= 8:
-        raise SpecError("code_size must lie in 1..8")
+    """Codebook of ``2**code_size`` centroids for each of ``m`` sub-vectors; up to 8 bits a code takes one byte, beyond that two."""
+    if not 0 < code_size <= MAX_CODE_SIZE:
+        raise SpecError(f"code_size must lie in 1..{MAX_CODE_SIZE}")
     c = c.where(F.col(vec).isNotNull())
     if space == "cosinesimil":
         from vicinal.functions.vectors import l2_normalize

@@ -80,6 +80,8 @@ def check_space(space: str, data_type: str = "float") -> str:
     return space
 
 
+MAX_CODE_SIZE = 16      # bits of a product code: a codebook has fewer centroids than there are rows to train on
+
 # name -> (kind, test) for every parameter that a method or an encoder accepts.
 _PARAMETERS = {
     "ivf": {
@@ -88,7 +90,7 @@ _PARAMETERS = {
     },
     "exact": {"ef_search": (int, lambda v: v > 0)},
     "flat": {},
-    "encoder:pq": {"m": (int, lambda v: v > 0), "code_size": (int, lambda v: 0 < v <= 8)},
+    "encoder:pq": {"m": (int, lambda v: v > 0), "code_size": (int, lambda v: 0 < v <= MAX_CODE_SIZE)},
     "encoder:binary": {
         "bits": (int, lambda v: v in COMPRESSION_OF_BITS),
         "random_rotation": (bool, lambda v: True),

@@ -21,7 +21,7 @@ from vicinal.sources import vectors as I
 from vicinal.spec import VectorSpec
 from vicinal.streaming import tables as T
 from vicinal.workload.tables import (DIM, binary_corpus, binary_ivf_model, bit_model, byte_vectors, child_rows, children, corpus, flat, ivf_model,
-                                     label_codebook, label_codes, label_means, queries, rounded, signed_bits, table, token_sets)
+                                     label_codebook, label_codes, label_means, queries, rounded, signed_bits, table, token_sets, wide_codebook)
 
 REGISTRY = {}
 FIXED_QUERY = [0.1 if i % 2 == 0 else -0.05 for i in range(DIM)]
@@ -421,6 +421,12 @@ def _(spark, d):
     return ranked(knn_join(queries(spark, d), _index(spark, d, _pq_model(spark, d)), 10, mode="pq"))
 
 
+@run("s12_pq_scan_12bit")
+def _(spark, d):
+    model = M.Model(VectorSpec(DIM, encoder="pq", params={"m": 8, "code_size": 12}), wide_codebook(spark, d))
+    return ranked(knn_join(queries(spark, d), _index(spark, d, model), 10, mode="pq"))
+
+
 @run("s13_two_phase")
 def _(spark, d):
     return ranked(knn_join(queries(spark, d), _index(spark, d, bit_model(spark, d)), 10, mode="binary", rescore=12))
@@ -680,6 +686,16 @@ def _(spark, d):
     return some.agg(F.count("*").alias("n"), F.count_distinct("id").alias("n_ids"))
 
 
+@run("q04_rotation_structured")
+def _(spark, d):
+    # Lengths and inner products of neighbours in id order, under the transform that needs no matrix.
+    turned = corpus(spark, d).select("id", E.rotate("vec", E.structured_rotation(DIM)).alias("vec"))
+    pair = turned.alias("a").join(turned.alias("b"), F.col("b.id") == F.col("a.id") + 1)
+    product = V.inner_product("a.vec", "b.vec")
+    return pair.select(F.col("a.id").alias("id"), F.round(V.magnitude_squared("a.vec"), 5).alias("size"),
+                       F.when(F.abs(product) < 5e-6, 0.0).otherwise(F.round(product, 5)).alias("product"))
+
+
 @run("q04_rotation")
 def _(spark, d):
     # A rotation keeps norms, so the result can be checked without the matrix.
@@ -762,6 +778,13 @@ def _(spark, d):
     return coded.select("id", F.posexplode(I.unpacked_bits("code")).alias("sub", "b")).select("id", "sub", F.col("b").cast("int").alias("centroid"))
 
 
+@run("q11_pq_encode_12bit")
+def _(spark, d):
+    coded = corpus(spark, d).select("id", F.hex(wide_codebook(spark, d).column("vec")).alias("code"))
+    sub = F.explode(F.sequence(F.lit(0), F.lit(7))).alias("sub")
+    return coded.select("id", sub, "code").select("id", "sub", F.conv(F.substring("code", F.col("sub") * 4 + 1, F.lit(4)), 16, 10).cast("int").alias("centroid"))
+
+
 @run("q12_ivf_train")
 def _(spark, d):
     means = label_means(spark, d)

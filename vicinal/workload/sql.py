@@ -271,6 +271,15 @@ SUBS = ("cb AS (SELECT list_id, s, cv[s * 8 + 1:s * 8 + 8] AS cv FROM m, range(8
         "pv AS (SELECT vec_id, flatten(list(cv ORDER BY s)) AS v FROM pc GROUP BY vec_id)")
 ORACLES["s12_pq_scan"] = top(l2(*QC), inverse, 10, ctes=(E, MEANS, SUBS), c="pv c")
 ORACLES["q11_pq_encode"] = f"WITH {E}, {MEANS}, {SUBS} SELECT vec_id AS id, CAST(s AS INTEGER) AS sub, CAST(list_id AS INTEGER) AS centroid FROM pc"
+WIDE = (SUBS.replace("cb AS (SELECT list_id, s, cv[s * 8 + 1:s * 8 + 8] AS cv FROM m, range(8) t(s))",
+                     "w AS (SELECT a.list_id * 400 + b.list_id * 40 + t AS list_id, list_transform(list_zip(a.cv, b.cv), lambda x: x[1] + (t - 20 + 0.5::DOUBLE) / 8 * x[2]) AS cv "
+                     "FROM m a, m b, range(40) r(t)), cb AS MATERIALIZED (SELECT list_id, s, cv[s * 8 + 1:s * 8 + 8] AS cv FROM w, range(8) t(s))")
+        .replace("pc AS (", "pc AS MATERIALIZED ("))
+ORACLES["s12_pq_scan_12bit"] = top(l2(*QC), inverse, 10, ctes=(E, MEANS, WIDE), c="pv c")
+ORACLES["q11_pq_encode_12bit"] = f"WITH {E}, {MEANS}, {WIDE} SELECT vec_id AS id, CAST(s AS INTEGER) AS sub, CAST(list_id AS INTEGER) AS centroid FROM pc"
+ORACLES["q04_rotation_structured"] = (
+    f"WITH {E} SELECT a.vec_id AS id, round(list_inner_product(a.v, a.v), 5) AS size, CASE WHEN abs(list_inner_product(a.v, b.v)) < 5e-6 THEN 0.0 "
+    "ELSE round(list_inner_product(a.v, b.v), 5) END AS product FROM e a JOIN e b ON b.vec_id = a.vec_id + 1")
 ORACLES["q10_pq_train"] = (
     f"WITH {E}, {MEANS}, {SUBS}, pu AS (SELECT pc.s, pc.list_id, unnest(sv.v) AS x, generate_subscripts(sv.v, 1) AS p FROM pc JOIN sv "
     "ON pc.vec_id = sv.vec_id AND pc.s = sv.s), pa AS (SELECT s, list_id, p, avg(x) AS x FROM pu GROUP BY s, list_id, p) "

@@ -96,6 +96,14 @@ def label_codebook(spark, sf_dir, m: int = 8) -> ProductQuantizer:
     return ProductQuantizer(means.reshape(len(means), m, DIM // m).transpose(1, 0, 2))
 
 
+def wide_codebook(spark, sf_dir, m: int = 8, steps: int = 40) -> ProductQuantizer:
+    """4,000 fixed centroids a sub-vector, made of all pairs of label means: a + t * b with ``steps`` factors t."""
+    means = label_means(spark, sf_dir)
+    factors = (np.arange(steps) - steps / 2 + 0.5) / 8
+    rows = (means[:, None, None] + factors[None, None, :, None] * means[None, :, None]).reshape(-1, DIM)
+    return ProductQuantizer(rows.reshape(len(rows), m, DIM // m).transpose(1, 0, 2))
+
+
 def signed_bits(vec: str) -> Column:
     from vicinal.sources.vectors import packed_bits
 
