@@ -22,6 +22,7 @@ def test_links_equal_brute_force(spark, dim, blocks, cell):
     ids = np.random.default_rng(1).permutation(len(x)) + 10
     bad = [None, [0.0] * dim, [float("nan")] * dim, [float("inf")] + [1.0] * (dim - 1), [None] * dim, []]
     rows = [(int(i), v.tolist(), "a", "b") for i, v in zip(ids, x)] + [(10_000 + n, v, "a", "b") for n, v in enumerate(bad)]
+    rows += [(rows[5][0], (-x[5]).tolist(), "a", "b"), (rows[9][0], x[40].tolist(), "a", "b")]      # ids with two vectors
     rows += [(None, x[0].tolist(), "a", "b"), (20_000, [1.0] * (dim + 1), "a", "b"), rows[0], (20_001, [1e30] * dim, "a", "b"), (20_002, [1e-30] * dim, "a", "b")]
     got = near_duplicates(frame(spark, rows, SCHEMA), blocks=blocks, cell=cell)
     assert got.columns == ["vec_id", "n_links", "component_id", "kept"]
@@ -41,3 +42,9 @@ def test_links_equal_brute_force(spark, dim, blocks, cell):
 
 def test_empty_table(spark):
     assert near_duplicates(frame(spark, [], SCHEMA)).collect() == []
+
+
+def test_an_id_with_two_vectors(spark):
+    rows = [(1, [1.0, 0.0]), (1, [0.0, 1.0]), (2, [1.0, 0.01]), (3, [-1.0, 0.0]), (0, [0.01, 1.0])]
+    got = near_duplicates(frame(spark, [(*r, "a", "b") for r in rows], SCHEMA)).collect()
+    assert sorted(map(tuple, got)) == [(0, 1, 0, True), (1, 1, 0, False), (1, 1, 1, True), (2, 1, 1, False), (3, 0, 3, True)]

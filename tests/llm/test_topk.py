@@ -34,6 +34,18 @@ def test_codes_of_signs(spark):
     assert bytes(got[0].c) == (0b10001).to_bytes(8, "big") and got[1].c is None
 
 
+def test_codes_beyond_64_components(spark):
+    from pyspark.sql import functions as F
+
+    random.seed(3)
+    rows = [(i, [random.choice((-1.0, 1.0)) for _ in range(150)]) for i in range(40)] + [(99, [])]
+    codes = frame(spark, rows, "id long, v array<float>").select("id", sign_code(F.col("v")).alias("code"))
+    held = {r.id: bytes(r.code) for r in codes.collect()}
+    assert {len(c) for i, c in held.items() if i < 99} == {24} and held[99] == bytes(8)
+    assert all(far(held[i], held[j]) == sum(a != b for a, b in zip(rows[i][1], rows[j][1])) for i in range(40) for j in range(i))
+    assert {(r.query_id, r.id) for r in nearest(codes, codes, 1).collect()} == {(i, i) for i in held}
+
+
 def test_empty_sides(spark):
     some, none = frame(spark, [(1, b"a", "x")], SCHEMA), frame(spark, [], SCHEMA)
     assert nearest(some, none).collect() == [] and nearest(none, some).collect() == []

@@ -151,20 +151,24 @@ def near_duplicates(vectors: DataFrame, id: str = "vec_id", vec: str = "embeddin
     reachable by such links (itself included), and whether that is its own.
 
     Rows with a null id and vectors that are null, zero, or hold null or non-finite components link with nothing. Vectors of different
-    length are not compared. Repeated rows are other rows with the same vector. Other columns are not read."""
+    length are not compared. Repeated rows are other rows with the same vector; rows of one id with different vectors are rows of their
+    own, linked only where their vectors are. Other columns are not read."""
     rows = vectors.select(F.col(id).cast("bigint").alias("id"), F.col(vec).alias("vec"))
     good = rows.where(F.col("id").isNotNull() & usable(F.col("vec")))
-    classes = good.groupBy("vec").agg(F.min("id").alias("node"), F.count(F.lit(1)).alias("n"))
-    classes = cut(classes.select("node", "n", "vec"), "vector-classes")
+    # A class has a number of its own, fixed once written: an id may stand for several vectors.
+    classes = good.groupBy("vec").agg(F.min("id").alias("rep"), F.count(F.lit(1)).alias("n"))
+    classes = cut(classes.select(F.monotonically_increasing_id().alias("node"), "rep", "n", "vec"), "vector-classes")
     kind = vectors.schema[vec].dataType.simpleString()
     budget = 2 - 2 * least
-    slabs = classes.mapInArrow(_slabs(blocks, budget, seed), f"dim int, block int, slab bigint, home boolean, node bigint, n bigint, vec {kind}")
+    slabs = classes.select("node", "n", "vec").mapInArrow(_slabs(blocks, budget, seed), f"dim int, block int, slab bigint, home boolean, node bigint, n bigint, vec {kind}")
     dealt = cells(cut(slabs, "vector-slabs"), ["dim", "block", "slab"], F.struct("node", "home"), cell)
     found = cut(dealt.mapInArrow(_verify(blocks, least, budget, seed), "a bigint, b bigint, links bigint"), "vector-links")
     counts = found.where("links > 0").groupBy(F.col("a").alias("node")).agg(F.sum("links").alias("others"))
     roots = components(found.where("links = 0").select("a", "b"), "vector-components")
-    known = classes.join(counts, "node", "left").join(roots, "node", "left").select(
-        F.col("vec").alias("__vec"), (F.col("n") - 1 + F.coalesce("others", F.lit(0))).alias("n_links"), F.coalesce("root", "node").alias("component_id"))
+    rooted = classes.select("node", "rep").join(roots, "node", "left").select("node", "rep", F.coalesce("root", "node").alias("root"))
+    best = rooted.join(rooted.groupBy("root").agg(F.min("rep").alias("component_id")), "root").select("node", "component_id")
+    known = classes.join(counts, "node", "left").join(best, "node").select(
+        F.col("vec").alias("__vec"), (F.col("n") - 1 + F.coalesce("others", F.lit(0))).alias("n_links"), "component_id")
     got = rows.join(known, (F.col("vec") == F.col("__vec")) & F.col("id").isNotNull(), "left")
     return got.select(F.col("id").alias(id), F.coalesce("n_links", F.lit(0)).cast("bigint").alias("n_links"),
                       F.coalesce("component_id", "id").alias("component_id")).withColumn("kept", F.coalesce(F.col(id) == F.col("component_id"), F.lit(True)))

@@ -16,15 +16,23 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .common import shared_path
+
 SEGMENT = 16
 BLOCK = 65_536       # queries broadcast at once
 SHARD = 1 << 20      # rows indexed at once in a task
 
 
 def sign_code(vec: Column) -> Column:
-    """One bit a component, set where it is positive, most significant first, in bytes; for up to 64 components."""
-    bits = F.aggregate(vec, F.lit(0).cast("long"), lambda a, x: F.shiftleft(a, 1).bitwiseOR((F.coalesce(x, F.lit(0.0)) > 0).cast("long")))
-    return F.unhex(F.lpad(F.hex(bits), 16, "0"))
+    """One bit a component, set where it is positive, most significant first; 64 components take eight bytes, the last ones of a longer
+    vector eight more. A vector without components has eight zero bytes."""
+    def word(part: Column) -> Column:
+        bits = F.aggregate(part, F.lit(0).cast("long"), lambda a, x: F.shiftleft(a, 1).bitwiseOR((F.coalesce(x, F.lit(0.0)) > 0).cast("long")))
+        return F.lpad(F.hex(bits), 16, "0")
+
+    words = F.greatest(F.ceil(F.size(vec) / 64), F.lit(1)).cast("int")
+    parts = F.transform(F.sequence(F.lit(0), words - 1), lambda i: word(F.slice(vec, i * 64 + 1, F.lit(64))))
+    return F.when(vec.isNotNull(), F.unhex(F.array_join(parts, "")))
 
 
 def masks(bits: int, radius: int) -> np.ndarray:
@@ -146,14 +154,23 @@ def nearest(queries: DataFrame, rows: DataFrame, k: int = 10, id: str = "id", co
     asked = queries.where(usable).select(F.col(id).cast("long").alias("id"), F.col(code).alias("code")).groupBy("id").agg(F.min("code").alias("code"))
     given = rows.where(usable).select(F.col(id).cast("long").alias("id"), F.col(code).alias("code"))
     blocks = max(1, -(-asked.count() // block))
-    found = None
-    for b in range(blocks):
+    rank = F.row_number().over(Window.partitionBy("query_id").orderBy("distance", "id"))
+
+    def best(b: int):
         part = asked.where(F.pmod(F.xxhash64("id"), F.lit(blocks)) == b).orderBy("id").toArrow()
         sent = spark.sparkContext.broadcast(list(zip(part.column("id").to_pylist(), part.column("code").to_pylist())))
-        one = given.mapInArrow(_search(sent, k, shard), "query_id bigint, id bigint, distance int")
-        found = one if found is None else found.union(one)
-    rank = F.row_number().over(Window.partitionBy("query_id").orderBy("distance", "id"))
-    return found.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "id", "distance")
+        found = given.mapInArrow(_search(sent, k, shard), "query_id bigint, id bigint, distance int")
+        return found.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "id", "distance"), sent
+
+    if blocks == 1:
+        return best(0)[0]
+    # One block of queries at a time is held by the driver and the tasks; its hits are written before the next one.
+    out = shared_path(spark, "top-k")
+    for b in range(blocks):
+        found, sent = best(b)
+        found.write.mode("append").parquet(out)
+        sent.destroy()
+    return spark.read.schema(found.schema).parquet(out)
 
 
 TOPK_SQL = """
