@@ -62,7 +62,7 @@ def test_oversampling_of_wide_vectors_and_the_users_choice():
 
 
 def test_first_pass():
-    assert first_pass_k(10, 5) == 100 and first_pass_k(100, 2.5) == 250 and first_pass_k(9000, 3) == 10_000
+    assert first_pass_k(10, 5) == 100 and first_pass_k(100, 2.5) == 250 and first_pass_k(9000, 3) == 27_000 and first_pass_k(9000, 3, most=10_000) == 10_000
     assert [first_pass_k(100, 9, by_dimension=d) for d in (100, 768, 1000)] == [300, 200, 100]
 
 

@@ -236,3 +236,46 @@ def test_streams(spark, corpus, tmp_path):
     got = spark.read.parquet(at("out")).drop("batch")
     want = knn_join(spark.read.parquet(at("q")), index, 3, mode="ivf")
     assert got.exceptAll(want).count() == 0 and got.count() == 18
+
+
+def test_an_id_twice_in_one_change(spark, corpus, tmp_path):
+    path = str(tmp_path / "twice")
+    X.write_index(corpus, M.fit_model(corpus, IVF, iterations=1), path)
+    rows = spark.createDataFrame([(1, [5.0] * 8, 0, 3), (1, [6.0] * 8, 0, 9), (1, [7.0] * 8, 0, 4), (2, [8.0] * 8, 0, 1)], "id bigint, vec array<float>, label int, at int")
+    with pytest.raises(SpecError, match="more than once"):
+        X.apply_changes(spark, path, rows.drop("at"))
+    n = corpus.count()
+    assert X.open_index(spark, path).df.count() == n
+    index = X.apply_changes(spark, path, rows, order="at")
+    assert index.df.count() == n and {r.id: r.vec[0] for r in index.df.where("id in (1, 2)").collect()} == {1: 6.0, 2: 8.0}
+
+
+def test_streams_that_start_again_and_ids_twice_in_a_batch(spark, corpus, tmp_path):
+    import shutil
+
+    at = lambda name: str(tmp_path / name)
+    X.write_index(corpus.where("id < 50"), M.fit_model(corpus, IVF, iterations=1), at("index"))
+    twice = corpus.where("id = 60").union(corpus.where("id = 60")).union(corpus.where("id = 61").withColumn("label", F.lit(9)))
+    twice.coalesce(1).write.parquet(at("a"))
+    T.stream_into_index(spark.readStream.schema(corpus.schema).parquet(at("a")), at("index"), at("c")).awaitTermination()
+    assert X.open_index(spark, at("index")).df.where("id in (60, 61)").count() == 2
+    # The checkpoint is deleted and started again over other rows: its batch 0 is not the batch 0 that was committed.
+    shutil.rmtree(at("c"))
+    corpus.where("id between 70 and 79").coalesce(1).write.parquet(at("b"))
+    T.stream_into_index(spark.readStream.schema(corpus.schema).parquet(at("b")), at("index"), at("c")).awaitTermination()
+    assert X.open_index(spark, at("index")).df.where("id between 70 and 79").count() == 10
+    assert X.commits(spark, at("index")).where("writer is not null").select("writer").distinct().count() == 2
+
+
+def test_two_changes_with_one_number(spark, corpus, tmp_path, monkeypatch):
+    path = str(tmp_path / "race")
+    X.write_index(corpus, M.fit_model(corpus, IVF, iterations=1), path)
+    number = X.commits(spark, path).first().number + 5
+
+    def same(spark, path, change, writer=None, batch=None):
+        spark.createDataFrame([(change, number, writer, batch)], X.COMMIT_SCHEMA).coalesce(1).write.mode("append").parquet(f"{path}/commits")
+
+    monkeypatch.setattr(X, "_commit", same)
+    for value in (3.0, 4.0):
+        X.apply_changes(spark, path, table(spark, {7: [value] * 8}).withColumn("label", F.lit(0)))
+    assert X.open_index(spark, path).df.where("id = 7").count() == 1 and X.open_index(spark, path).df.count() == corpus.count()

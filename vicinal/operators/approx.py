@@ -133,7 +133,8 @@ def index_scan(index: Index, mode: str, space: str, query_id: str, query_vec: st
 def approx_join(q: DataFrame, index: Index, k: int, *, mode: str, space: str = "l2", query_id: str = "query_id",
                 query_vec: str = "query_vec", filter: Column | str | None = None, on=None, keep=(), boost: float = 1.0,
                 candidates: int | None = None, rescore=None, nprobes: int | None = None, explain: bool = False,
-                metrics: bool = False, ignore_unmapped: bool = False, fill: str | None = None, limits: Limits = LIMITS) -> DataFrame:
+                metrics: bool = False, ignore_unmapped: bool = False, fill: str | None = None, first_pass: int | None = None,
+                limits: Limits = LIMITS) -> DataFrame:
     check_k(k)
     model = index.model
     if model.vec not in index.df.columns:
@@ -142,12 +143,12 @@ def approx_join(q: DataFrame, index: Index, k: int, *, mode: str, space: str = "
         raise SpecError(f"column {model.vec!r} is not in the table")
     if fill is not None:
         return _filled_join(q, index, k, fill, mode=mode, space=space, query_id=query_id, query_vec=query_vec, filter=filter, on=on, keep=keep,
-                            boost=boost, candidates=candidates, rescore=rescore, nprobes=nprobes, explain=explain, metrics=metrics, limits=limits)
+                            boost=boost, candidates=candidates, rescore=rescore, nprobes=nprobes, explain=explain, metrics=metrics, first_pass=first_pass, limits=limits)
     df = index.df if filter is None else index.df.where(filter)
     id, vec = model.id, model.vec
     by_codes = model.encoder is not None
     user = resolve_rescore(model.spec, rescore) if rescore is not None else model.default_rescore(mode)
-    first = k if user is None else first_pass_k(k, user.oversample)
+    first = k if user is None else first_pass_k(k, user.oversample, most=first_pass)
     if not by_codes:
         user, first = None, k
     first = max(first, candidates or 0)

@@ -59,7 +59,8 @@ def knn_join(q: DataFrame, c, k: int, space: str = "l2", *, mode: str = "exact",
              query_vec: str = "query_vec", id: str = "id", vec: str = "vec", filter: Column | str | None = None,
              on=None, keep=(), boost: float = 1.0, candidates: int | None = None, rescore=None,
              nprobes: int | None = None, explain: bool = False, metrics: bool = False, ignore_unmapped: bool = False,
-             threshold: int | None = None, fallback: bool = True, fill: str | None = None, limits: Limits = LIMITS) -> DataFrame:
+             threshold: int | None = None, fallback: bool = True, fill: str | None = None, first_pass: int | None = None,
+             limits: Limits = LIMITS) -> DataFrame:
     """The ``k`` rows of ``c`` nearest to each row of ``q``:
     ``(query_id, id, rank, distance, score, *keep)``, ties settled by the smaller id.
 
@@ -67,7 +68,8 @@ def knn_join(q: DataFrame, c, k: int, space: str = "l2", *, mode: str = "exact",
     result instead to rank first. ``on`` restricts which corpus rows a query may meet. For modes other than
     ``exact``, ``c`` is an index made by ``vicinal.sources.index``. ``candidates`` is the depth each
     part is searched to before the merge. ``mode='auto'`` searches the index, and exactly where that comes up short or
-    ``threshold`` rows or fewer pass the filter. ``fill='exact'`` does the former for any index mode.
+    ``threshold`` rows or fewer pass the filter. ``fill='exact'`` does the former for any index mode. ``first_pass`` limits the
+    candidates that oversampling asks of the codes (``spec.MAX_FIRST_PASS`` is customary); by default nothing does.
     """
     check_k(k)
     if mode == "auto":
@@ -84,8 +86,8 @@ def knn_join(q: DataFrame, c, k: int, space: str = "l2", *, mode: str = "exact",
 
         return approx_join(q, c, k, mode=mode, space=space, query_id=query_id, query_vec=query_vec, filter=filter,
                            on=on, keep=keep, boost=boost, candidates=candidates, rescore=rescore, nprobes=nprobes,
-                           explain=explain, metrics=metrics, ignore_unmapped=ignore_unmapped, fill=fill, limits=limits)
-    for name, value in (("rescore", rescore), ("nprobes", nprobes), ("threshold", threshold), ("fill", fill)):
+                           explain=explain, metrics=metrics, ignore_unmapped=ignore_unmapped, fill=fill, first_pass=first_pass, limits=limits)
+    for name, value in (("rescore", rescore), ("nprobes", nprobes), ("threshold", threshold), ("fill", fill), ("first_pass", first_pass)):
         if value is not None:
             raise SpecError(f"{name} needs an index mode")
     c = one_table(c)

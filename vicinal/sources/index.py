@@ -101,8 +101,10 @@ def _live(spark: SparkSession, path: str, model: Model) -> DataFrame:
     data = spark.read.parquet(f"{path}/data").join(done, "change")
     gone = _maybe(spark, f"{path}/gone")
     if gone is not None:
-        gone = gone.join(done, "change").groupBy(F.col(model.id).alias("_gone")).agg(F.max("number").alias("_since"))
-        data = data.join(gone, (F.col(model.id) == F.col("_gone")) & (F.col("number") < F.col("_since")), "left_anti")
+        # Two writers at once may take one number; the change's name then decides, the same for every reader.
+        when = F.struct("number", "change")
+        gone = gone.join(done, "change").groupBy(F.col(model.id).alias("_gone")).agg(F.max(when).alias("_since"))
+        data = data.join(gone, (F.col(model.id) == F.col("_gone")) & (when < F.col("_since")), "left_anti")
     return data.drop("change", "number")
 
 
@@ -116,9 +118,12 @@ def newest(spark: SparkSession, path: str, id: str) -> DataFrame | None:
 
 
 def apply_changes(spark: SparkSession, path: str, upserts: DataFrame | None = None, deletes: DataFrame | None = None, *,
-                  writer: str | None = None, batch: int | None = None, marks: DataFrame | None = None) -> Index:
+                  writer: str | None = None, batch: int | None = None, marks: DataFrame | None = None, order: str | None = None) -> Index:
     """Replace the rows of ``upserts`` and remove the ids of ``deletes``; neither appears in later searches.
 
+    An id that ``upserts`` holds twice is an error, unless ``order`` names the column whose largest value decides; an id in both
+    tables is upserted.
+
     ``writer`` and ``batch`` name the change: if it was committed before, nothing happens. ``marks`` (id, at) is what
     ``newest`` will report."""
     index = open_index(spark, path)
@@ -131,6 +136,7 @@ def apply_changes(spark: SparkSession, path: str, upserts: DataFrame | None = No
     if not ids:
         return index
     if upserts is not None:
+        upserts = _one_each(upserts, model.id, order)
         _write(upserts, model, path, change, encode=built)
     dead = (ids[0] if len(ids) == 1 else ids[0].unionByName(ids[1])).distinct()
     dead = dead.withColumn("at", F.lit(None).cast("double")) if marks is None else marks.select(model.id, F.col("at").cast("double"))
@@ -139,6 +145,23 @@ def apply_changes(spark: SparkSession, path: str, upserts: DataFrame | None = No
     return open_index(spark, path)
 
 
+def latest(df: DataFrame, id: str, order: str | None) -> DataFrame:
+    """One row an id: the one with the largest ``order``, or, of rows that tie or without one, the one with the largest hash. Partial
+    aggregates come first, so an id with very many rows is no task's list."""
+    whole = [F.col(f"`{c}`") for c in df.columns]
+    key = F.struct(*([F.col(f"`{order}`")] if order else []), F.xxhash64(*whole))
+    return df.groupBy(id).agg(F.max_by(F.struct(*whole), key).alias("_row")).select("_row.*")
+
+
+def _one_each(upserts: DataFrame, id: str, order: str | None) -> DataFrame:
+    if order is not None:
+        return latest(upserts, id, order)
+    twice = upserts.groupBy(id).count().where("count > 1").limit(1).collect()
+    if twice:
+        raise SpecError(f"id {twice[0][0]!r} appears more than once in one change")
+    return upserts
+
+
 def merge_changes(base: DataFrame, upserts: DataFrame | None, deletes: DataFrame | None, id: str = "id") -> DataFrame:
     """The same change on plain DataFrames."""
     gone = [d.select(id) for d in (upserts, deletes) if d is not None]

@@ -206,12 +206,14 @@ def resolve_rescore(spec: VectorSpec, user=None, engine: str = "faiss") -> Resco
     return Rescore(OVERSAMPLE_OF_COMPRESSION[spec.compression], user_provided=False)
 
 
-def first_pass_k(k: int, oversample: float, *, by_dimension: int | None = None) -> int:
+def first_pass_k(k: int, oversample: float, *, by_dimension: int | None = None, most: int | None = None) -> int:
     """Candidates the first pass must return. ``by_dimension`` replaces the factor where the
-    second pass runs once over the merged result and the user gave no factor."""
+    second pass runs once over the merged result and the user gave no factor. ``most`` (``MAX_FIRST_PASS`` is customary) limits them;
+    by default nothing does."""
     if by_dimension is not None:
         oversample = 1.0 if by_dimension >= 1000 else 2.0 if by_dimension >= 768 else 3.0
-    return min(MAX_FIRST_PASS, max(MIN_FIRST_PASS, math.ceil(k * oversample)))
+    asked = max(MIN_FIRST_PASS, math.ceil(k * oversample))
+    return asked if most is None else min(most, asked)
 
 
 def estimate_overhead_kb(spec: VectorSpec) -> int:

@@ -2,15 +2,16 @@
 
 from __future__ import annotations
 
+import json
 from typing import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from vicinal.operators.approx import Index
 from vicinal.operators.knn import knn_join
-from vicinal.sources.index import apply_changes, newest, open_index
+from vicinal.sources.index import apply_changes, latest, newest, open_index
 from vicinal.sources.vectors import validate_vectors
 from vicinal.spec import SpecError
 
@@ -20,11 +21,17 @@ def _start(stream: DataFrame, each: Callable, checkpoint: str, trigger: dict | N
             .trigger(**(trigger or {"availableNow": True})).start())
 
 
+def _writer(spark: SparkSession, checkpoint: str) -> str:
+    """The id that Spark gave the query when its checkpoint was made. A checkpoint that is deleted and started again counts its batches
+    from 0 once more, but as another writer."""
+    return json.loads(spark.read.text(f"{checkpoint}/metadata").first()[0])["id"]
+
+
 def stream_into_index(stream: DataFrame, path: str, checkpoint: str, *, bad_rows: str | None = None, writer: str | None = None,
-                      trigger: dict | None = None) -> StreamingQuery:
-    """Index arriving rows: check, encode with the index's model, write; a row whose id is stored replaces it. Batch n of a
-    ``writer`` (by default the checkpoint names it) is one change, so a batch that is run again is stored once. Bad rows
-    stop the stream or go to ``bad_rows``."""
+                      order: str | None = None, trigger: dict | None = None) -> StreamingQuery:
+    """Index arriving rows: check, encode with the index's model, write; a row whose id is stored replaces it. Of rows of a batch with one
+    id one is stored, that with the largest ``order`` where a column is named. Batch n of a ``writer`` (by default the id that the
+    checkpoint keeps) is one change, so a batch that is run again is stored once. Bad rows stop the stream or go to ``bad_rows``."""
 
     def each(batch: DataFrame, n: int) -> None:
         spark = batch.sparkSession
@@ -34,7 +41,7 @@ def stream_into_index(stream: DataFrame, path: str, checkpoint: str, *, bad_rows
         else:
             good, bad = validate_vectors(batch, model.spec, vec=model.vec, on_error="quarantine")
             bad.write.mode("overwrite").parquet(f"{bad_rows}/batch={n}")
-        apply_changes(spark, path, good, writer=writer or checkpoint, batch=n)
+        apply_changes(spark, path, latest(good, model.id, order), writer=writer or _writer(spark, checkpoint), batch=n)
 
     return _start(stream, each, checkpoint, trigger)
 
@@ -62,7 +69,7 @@ def stream_changes(stream: DataFrame, path: str, checkpoint: str, *, op: str = "
             last = last.join(before, id, "left").where("at is null or _at >= at").drop("at")
         upserts = last.where(F.col(op) == "upsert").drop(op, order, "_at")
         deletes = last.where(F.col(op) == "delete").select(id)
-        apply_changes(spark, path, upserts, deletes, writer=writer or checkpoint, batch=n, marks=last.select(id, F.col("_at").alias("at")))
+        apply_changes(spark, path, upserts, deletes, writer=writer or _writer(spark, checkpoint), batch=n, marks=last.select(id, F.col("_at").alias("at")))
 
     return _start(stream, each, checkpoint, trigger)
 
