@@ -103,3 +103,28 @@ def test_sql_names(spark):
     V.register_sql_functions(spark)
     row = spark.sql("SELECT l2_squared(array(1D,1D), array(4D,4D)) a, cosine_similarity(array(0D), array(1D)) b, hamming_long(7, 0) c").first()
     assert (row.a, row.b, row.c) == (18.0, 0.0, 3)
+
+
+def test_codes_of_many_lengths_and_nulls(spark):
+    rng = np.random.default_rng(3)
+    rows = [(i, bytes(rng.integers(0, 256, i % 21).astype(np.uint8)), bytes(rng.integers(0, 256, i % 21).astype(np.uint8)), rng.normal(size=8 * (i % 21)).tolist()) for i in range(200)]
+    df = spark.createDataFrame(rows + [(900, None, b"a", [0.0] * 8), (901, b"a", None, None)], "id int, a binary, b binary, q array<double>")
+    got = df.select("id", V.hamming("a", "b").alias("h"), V.l2_squared_adc("q", "b").alias("l"), V.inner_product_adc("q", "b").alias("i")).collect()
+    for r in got:
+        if r.id >= 900:
+            assert r.h is None and (r.l is None) == (r.id == 901)
+            continue
+        _, a, b, q = rows[r.id]
+        bits = np.unpackbits(np.frombuffer(b, np.uint8))
+        assert r.h == sum((x ^ y).bit_count() for x, y in zip(a, b))
+        assert r.l == pytest.approx(((bits - np.array(q)) ** 2).sum()) and r.i == pytest.approx((bits * np.array(q)).sum())
+
+
+def test_sql_names(spark):
+    V.register_sql_functions(spark)
+    row = spark.sql("""SELECT hamming(x'0f', x'f1') a, hamming_bytes(array(-1Y, 0Y), array(0Y, 1Y)) b, l2_squared_adc(array(0D,1D,0D,0D,0D,0D,0D,0D), x'80') c,
+        inner_product_adc(array(3D,1D,0D,0D,0D,0D,0D,0D), x'80') d, cosine_known_norm(array(3D,4D), array(6D,8D), 25D) e, hamming(NULL, x'00') f,
+        late_interaction_l2(array(array(1D,0D)), array(array(1D,0D), array(5D,5D))) g, late_interaction_innerproduct(array(array(1D,0D), array(0D,1D)), array(array(2D,3D))) h""").first()
+    assert row[:6] == (7, 9, 2.0, 3.0, pytest.approx(1.0), None) and row.g == pytest.approx(1.0) and row.h == pytest.approx(3.0 + 4.0)
+    with pytest.raises(Exception, match="vector lengths differ"):
+        spark.sql("SELECT hamming(x'0f', x'f1f1')").collect()

@@ -99,3 +99,28 @@ def test_late_interaction_join(spark, space, limits):
     assert np.allclose(got.score.to_numpy().reshape(12, 4), -np.sort(-total, axis=1)[:, :4])
     pairs = q.where("query_id = 3").select("query_vecs").join(d.where("id = 9"), F.lit(True))
     assert pairs.select(late_interaction("query_vecs", "vecs", space).alias("s")).first().s == pytest.approx(total[3, 9])
+
+
+@pytest.mark.parametrize("space", ["l2", "innerproduct", "cosinesimil"])
+def test_ragged_documents_equal_a_loop(spark, space, monkeypatch):
+    from vicinal.operators import rerank as R
+    from vicinal.operators.tokens import token_scores
+    from vicinal.operators.blocks import METRIC_OF_SPACE
+
+    monkeypatch.setattr(R, "TOKENS", 50)
+    monkeypatch.setattr(R, "PAIRS", 90)
+    rng = np.random.default_rng(8)
+    asked = [rng.normal(size=(int(rng.integers(1, 6)), 5)) for _ in range(120)]
+    held = [rng.normal(size=(int(rng.integers(0, 30)), 5)) for _ in range(120)]
+    held[7] = np.zeros((0, 5))
+    list_of = lambda m: [[float(v) for v in r] for r in m]
+    # A document of nothing but null or empty vectors counts as one without tokens.
+    rows = [(i, list_of(q), list_of(d) + [None] if i % 5 == 0 else list_of(d) or [[]]) for i, (q, d) in enumerate(zip(asked, held))]
+    df = spark.createDataFrame(rows, "id int, q array<array<double>>, d array<array<double>>").coalesce(1)
+    fixed = asked[3]
+    got = df.select("id", late_interaction("q", "d", space).alias("own"), late_interaction([r for r in fixed], "d", space).alias("one")).collect()
+    metric = METRIC_OF_SPACE[space]
+    for r in got:
+        d = held[r.id]
+        plain = lambda q: token_scores(q, d, metric, space).max(axis=1).sum() if len(d) else 0.0
+        assert r.own == pytest.approx(plain(asked[r.id])) and r.one == pytest.approx(plain(fixed))

@@ -1,13 +1,19 @@
-"""Vector functions as Column expressions: they stay in the JVM and can be used anywhere in a query.
+"""Vector functions as Column expressions that can be used anywhere in a query. Those on arrays stay in the JVM; those on packed codes,
+for which Spark has no functions, take whole columns at a time.
 
 Distances accumulate in double. Vectors of different lengths are an error; a null vector gives null.
 """
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from vicinal.operators.blocks import as_bytes, as_matrix, to_words
 from vicinal.spec import SpecError
 
 
@@ -92,25 +98,27 @@ def hamming_long(a, b) -> Column:
     return F.bit_count(_col(a).bitwiseXOR(_col(b)))
 
 
-def _byte_at(code: Column, i: Column) -> Column:
-    return F.conv(F.hex(F.substring(code, i, F.lit(1))), 16, 10).cast("int")
+def _by_width(rows: np.ndarray, widths: np.ndarray):
+    """The row numbers of each width in turn; columns hold few widths."""
+    for width in np.unique(widths[rows]):
+        yield rows[widths[rows] == width], int(width)
 
 
-def _hamming_equal(a: Column, b: Column) -> Column:
-    def count(codes: Column) -> Column:
-        size = F.octet_length(codes["a"])
-        # An empty code has no positions; sequence(1, 0) would count down.
-        places = F.when(size > 0, F.sequence(F.lit(1), size)).otherwise(F.array().cast("array<int>"))
-        return F.aggregate(places, F.lit(0), lambda acc, i: acc + F.bit_count(
-            _byte_at(codes["a"], i).bitwiseXOR(_byte_at(codes["b"], i))))
-
-    return _let(F.struct(a.alias("a"), b.alias("b")), count)
+@F.arrow_udf(T.IntegerType())
+def _differing_bits(a: pa.Array, b: pa.Array) -> pa.Array:
+    """Differing bits of codes of one length; rows without that count 0, which the callers replace."""
+    size_a, size_b = (np.asarray(pc.fill_null(pc.binary_length(x), -1)) for x in (a, b))
+    out = np.zeros(len(a), np.int32)
+    for rows, width in _by_width(np.flatnonzero((size_a == size_b) & (size_a > 0)), size_a):
+        at = pa.array(rows)
+        out[rows] = np.bitwise_count(to_words(as_bytes(a.take(at))) ^ to_words(as_bytes(b.take(at)))).sum(axis=1)
+    return pa.array(out)
 
 
 def hamming(a, b) -> Column:
     """Differing bits of two packed codes (binary columns) or of two arrays of signed bytes."""
     a, b = _col(a), _col(b)
-    return _guard(a, b, _hamming_equal(a, b), "int", F.octet_length)
+    return _guard(a, b, _differing_bits(a, b), "int", F.octet_length)
 
 
 def hamming_bytes(a, b) -> Column:
@@ -127,30 +135,40 @@ def hamming_base64(a, b) -> Column:
     zero = F.lit(b"\x00")
     wide_a = F.when(F.octet_length(raw_a) < width, F.lpad(raw_a, width, zero)).otherwise(raw_a)
     wide_b = F.when(F.octet_length(raw_b) < width, F.lpad(raw_b, width, zero)).otherwise(raw_b)
-    return F.when(raw_a.isNotNull() & raw_b.isNotNull(), _hamming_equal(wide_a, wide_b))
+    return F.when(raw_a.isNotNull() & raw_b.isNotNull(), _differing_bits(wide_a, wide_b))
+
+
+def _asymmetric(each):
+    """A sum over the dimensions of a float query and the bits of a code, whole columns at a time."""
+    @F.arrow_udf(T.DoubleType())
+    def run(q: pa.Array, code: pa.Array) -> pa.Array:
+        dims, bits = np.asarray(pc.fill_null(pc.list_value_length(q), -1)), 8 * np.asarray(pc.fill_null(pc.binary_length(code), -1))
+        out = np.zeros(len(q))
+        for rows, width in _by_width(np.flatnonzero((dims == bits) & (dims > 0)), dims):
+            at = pa.array(rows)
+            out[rows] = each(as_matrix(q.take(at)).astype(np.float64), np.unpackbits(as_bytes(code.take(at)), axis=1).astype(np.float64)).sum(axis=1)
+        return pa.array(out)
+
+    return run
 
 
-def code_bit(code: Column, i: Column) -> Column:
-    """Bit ``i`` of a packed code, most significant bit first."""
-    byte = _byte_at(code, (F.floor(i / 8) + 1).cast("int"))
-    return byte.bitwiseAND(F.element_at(F.array(*[F.lit(1 << (7 - b)) for b in range(8)]), (i % 8 + 1).cast("int"))) != 0
+_l2_bits = _asymmetric(lambda x, bit: (bit - x) ** 2)
+_ip_bits = _asymmetric(lambda x, bit: bit * x)
 
 
-def _adc(q: Column, code: Column, each) -> Column:
-    value = F.aggregate(F.transform(q, lambda x, i: each(_d(x), code_bit(code, i).cast("int").cast("double"))),
-                        F.lit(0.0), lambda acc, v: acc + v)
+def _adc(q: Column, code: Column, value) -> Column:
     wrong = F.raise_error(F.lit("the code must hold one bit per query dimension")).cast("double")
     return (F.when(q.isNull() | code.isNull(), F.lit(None).cast("double"))
-            .when(F.size(q) == F.octet_length(code) * 8, value).otherwise(wrong))
+            .when(F.size(q) == F.octet_length(code) * 8, value(q, code)).otherwise(wrong))
 
 
 def l2_squared_adc(q, code) -> Column:
     """Squared distance between a float query and a 1-bit code read as zeros and ones."""
-    return _adc(_col(q), _col(code), lambda x, bit: (bit - x) * (bit - x))
+    return _adc(_col(q), _col(code), _l2_bits)
 
 
 def inner_product_adc(q, code) -> Column:
-    return _adc(_col(q), _col(code), lambda x, bit: bit * x)
+    return _adc(_col(q), _col(code), _ip_bits)
 
 
 def score_with_adc(q, code, space: str) -> Column:
@@ -196,3 +214,22 @@ def register_sql_functions(spark: SparkSession) -> None:
               "RETURN aggregate(a, 0D, (s, v) -> s + v * v)")
     spark.sql("CREATE OR REPLACE TEMPORARY FUNCTION hamming_long(a BIGINT, b BIGINT) RETURNS INT "
               "RETURN bit_count(a ^ b)")
+    spark.sql("CREATE OR REPLACE TEMPORARY FUNCTION cosine_known_norm(a ARRAY<DOUBLE>, b ARRAY<DOUBLE>, norm_squared DOUBLE) RETURNS DOUBLE "
+              "RETURN CASE WHEN a IS NULL OR b IS NULL THEN NULL WHEN size(a) = size(b) THEN coalesce(aggregate(zip_with(a, b, (x, y) -> x * y), 0D, "
+              "(s, v) -> s + v) / nullif(sqrt(norm_squared * aggregate(b, 0D, (s, v) -> s + v * v)), 0D), 0D) "
+              "ELSE CAST(raise_error('vector lengths differ') AS DOUBLE) END")
+    spark.sql("CREATE OR REPLACE TEMPORARY FUNCTION hamming_bytes(a ARRAY<TINYINT>, b ARRAY<TINYINT>) RETURNS INT "
+              "RETURN CASE WHEN a IS NULL OR b IS NULL THEN NULL WHEN size(a) = size(b) THEN aggregate(zip_with(a, b, (x, y) -> "
+              "bit_count((int(x) ^ int(y)) & 255)), 0, (s, v) -> s + v) ELSE CAST(raise_error('vector lengths differ') AS INT) END")
+    # Whole-column functions under internal names, behind the same checks.
+    for name, function in (("_differing_bits", _differing_bits), ("_l2_bits", _l2_bits), ("_ip_bits", _ip_bits)):
+        spark.udf.register(name, function)
+    spark.sql("CREATE OR REPLACE TEMPORARY FUNCTION hamming(a BINARY, b BINARY) RETURNS INT RETURN CASE WHEN a IS NULL OR b IS NULL THEN NULL "
+              "WHEN octet_length(a) = octet_length(b) THEN _differing_bits(a, b) ELSE CAST(raise_error('vector lengths differ') AS INT) END")
+    for name, inner in (("l2_squared_adc", "_l2_bits"), ("inner_product_adc", "_ip_bits")):
+        spark.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION {name}(q ARRAY<DOUBLE>, code BINARY) RETURNS DOUBLE RETURN CASE WHEN q IS NULL OR code IS NULL "
+                  f"THEN NULL WHEN size(q) = octet_length(code) * 8 THEN {inner}(q, code) "
+                  "ELSE CAST(raise_error('the code must hold one bit per query dimension') AS DOUBLE) END")
+    from vicinal.operators.rerank import register_late_interaction
+
+    register_late_interaction(spark)

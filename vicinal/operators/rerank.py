@@ -143,34 +143,89 @@ def late_interaction(query_vectors, vecs, space: str = "l2") -> Column:
 
         @F.arrow_udf("double")
         def against_fixed(column: pa.Array) -> pa.Array:
-            return _late_rows(np.tile(fixed, (len(column), 1)), np.repeat(np.arange(len(column)), len(fixed)), column,
-                              metric, space)
+            return pa.array(_against_one(fixed, column, metric, space))
 
         return against_fixed(F.col(vecs) if isinstance(vecs, str) else vecs)
 
     @F.arrow_udf("double")
     def pairwise(left: pa.Array, right: pa.Array) -> pa.Array:
-        rows, owner = rows_and_cuts(left)
-        if len(np.unique(owner)) < len(left):
-            raise ValueError("query vectors must not be empty")
-        return _late_rows(rows, owner, right, metric, space)
+        return pa.array(_row_by_row(left, right, metric, space))
 
     return pairwise(*(F.col(c) if isinstance(c, str) else c for c in (query_vectors, vecs)))
 
 
-def _late_rows(q_rows, q_owner, column, metric, space) -> pa.Array:
-    n = len(column)
+def register_late_interaction(spark) -> None:
+    """``late_interaction_<space>(query vectors, vectors)`` in SQL text."""
+    def named(space: str):
+        @F.arrow_udf("double")
+        def score(left: pa.Array, right: pa.Array) -> pa.Array:
+            return pa.array(_row_by_row(left, right, METRIC_OF_SPACE[space], space))
+
+        return score
+
+    for space in LATE_SPACES:
+        spark.udf.register(f"late_interaction_{space}", named(space))
+
+
+TOKENS = 20_000       # document tokens of a block
+PAIRS = 400_000       # token pairs of a block, where every row has query tokens of its own
+
+
+def _documents(column):
+    """(token matrix, first token of each row, number of tokens of each row); null and empty vectors are no tokens."""
     lengths = np.nan_to_num(np.asarray(combined(column).value_lengths().to_numpy(zero_copy_only=False), dtype=float))
     if (lengths == 0).any():
         raise ValueError("document vectors must not be null or empty")
-    d_rows, d_owner = rows_and_cuts(column)
-    out = np.zeros(n)
-    for i in range(n):
-        mine = d_rows[np.searchsorted(d_owner, i):np.searchsorted(d_owner, i, "right")]
-        theirs = q_rows[np.searchsorted(q_owner, i):np.searchsorted(q_owner, i, "right")]
-        if len(mine):
-            out[i] = token_scores(theirs, mine, metric, space).max(axis=1).sum()
-    return pa.array(out)
+    rows, owner = rows_and_cuts(column)
+    n = np.bincount(owner, minlength=len(column)) if len(owner) else np.zeros(len(column), np.int64)
+    return rows, np.cumsum(n) - n, n
+
+
+def _pieces(weight: np.ndarray, most: int):
+    """Runs of rows whose weights add up to about ``most``."""
+    ends, at = np.cumsum(weight), 0
+    while at < len(weight):
+        stop = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + most, "right")))
+        yield at, stop
+        at = stop
+
+
+def _against_one(fixed: np.ndarray, column, metric: str, space: str) -> np.ndarray:
+    """Scores of documents against one list of query vectors: a block of tokens by a matrix product, its best per document by a segmented
+    maximum. A document all of whose vectors are null or empty scores 0."""
+    rows, first, n = _documents(column)
+    out = np.zeros(len(n))
+    for at, stop in _pieces(n, TOKENS):
+        there = np.flatnonzero(n[at:stop]) + at
+        if len(there):
+            begin, end = first[there[0]], first[there[-1]] + n[there[-1]]
+            scores = token_scores(fixed, rows[begin:end], metric, space)
+            out[there] = np.maximum.reduceat(scores, first[there] - begin, axis=1).sum(axis=0)
+    return out
+
+
+def _row_by_row(left, right, metric: str, space: str) -> np.ndarray:
+    """Scores of documents each against query vectors of its own row: all token pairs of a block of rows at once, reduced by query token and
+    then by row."""
+    asked, owner = rows_and_cuts(left)
+    m = np.bincount(owner, minlength=len(left)) if len(owner) else np.zeros(len(left), np.int64)
+    if (m == 0).any():
+        raise ValueError("query vectors must not be empty")
+    rows, first, n = _documents(right)
+    begin, out = np.cumsum(m) - m, np.zeros(len(n))
+    for at, stop in _pieces(m * n, PAIRS):
+        there = np.flatnonzero(n[at:stop]) + at
+        if not len(there):
+            continue
+        doc = np.repeat(there, m[there])                                    # of every query token
+        token = np.arange(len(doc)) - np.repeat(np.cumsum(m[there]) - m[there], m[there]) + begin[doc]
+        size = n[doc]
+        starts = np.cumsum(size) - size
+        theirs = np.arange(size.sum()) - np.repeat(starts, size) + np.repeat(first[doc], size)
+        a, b = asked[np.repeat(token, size)].astype(np.float64), rows[theirs].astype(np.float64)
+        best = np.maximum.reduceat(score_array(pair_distance(metric, a, b), space), starts)
+        out[there] = np.add.reduceat(best, np.cumsum(m[there]) - m[there])
+    return out
 
 
 def late_interaction_join(q: DataFrame, d: DataFrame, k: int, space: str = "l2", *, query_id: str = "query_id",
