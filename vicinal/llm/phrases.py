@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from vicinal.plans import bloom
 from .common import cut, partitions
 
-SLICE = 8 << 20          # bytes of text that a task looks at together
+SLICE = 2 << 20          # bytes of text that a task looks at together
 BUDGET = 1 << 20         # suffixes that one group of prefixes may bring to a task, about
 ENDS, BLANKS = b".,;:!?\n\x0b\x0c\r", b" \t"
 
@@ -57,7 +57,7 @@ class Words:
         offsets = np.concatenate([[0], np.cumsum(end - start)]).astype(np.int64)
         flat = pa.py_buffer(joined[word].tobytes())
         coded = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(start), [None, pa.py_buffer(offsets), flat]).dictionary_encode()
-        piece = np.cumsum(kind == 2)[start] if len(start) else np.empty(0, np.int64)
+        piece = np.searchsorted(np.flatnonzero(kind == 2), start)
         self.first = np.append(True, piece[1:] != piece[:-1]) if len(start) else np.empty(0, bool)
         names = sorted(set(langs))
         number = {n: i for i, n in enumerate(names)}
@@ -250,7 +250,7 @@ def counts(docs: DataFrame, text: str = "text", lang: str = "lang", least: int =
     groups = max(partitions(spark), -(-mass // budget))
     suffixes = rows.mapInArrow(_suffixed(good, tied, heavy, heavier, longest, groups), "group int, route array<bigint>, deep array<int>, lang array<binary>, suffix array<binary>, n array<bigint>")
     dealt = suffixes.repartition(groups, "group").sortWithinPartitions("group")
-    nodes = dealt.mapInArrow(_subtrees(least, longest, 4 * budget), "lang binary, phrase binary, words int, n bigint")
+    nodes = dealt.mapInArrow(_subtrees(least, longest, budget), "lang binary, phrase binary, words int, n bigint")
     long = nodes.groupBy("lang", "phrase", "words").agg(F.sum("n").alias("f")).where(F.col("f") >= least)
     short = singles.select("lang", F.col("word").alias("phrase"), F.lit(1).alias("words"), F.col("n").alias("f"))
     return sizes, cut(short.union(long.select("lang", "phrase", "words", "f")), "phrase-counts")
