@@ -298,3 +298,24 @@ def test_very_many_keys_and_one_hot_key(spark):
     assert out.n == asked.count() and out.far == 0.0
     # Keys of one row find that row; the hot key's queries find the smallest id with the same vector.
     assert out.own == asked.where("want > 0").count()
+
+
+@pytest.mark.parametrize("limits", [Limits(), GRID], ids=["broadcast", "blocks"])
+@pytest.mark.parametrize("on", [None, [("want", "!=", "tag")], [("want", "==", "tag")], [("low", "<=", "tag")]])
+def test_counts_are_measured(spark, limits, on):
+    """Rows compared with each query, by the tasks that compared them."""
+    c = table(spark, uniform(300, 5, 1)).selectExpr("*", "id % 7 as tag")
+    q = query(spark, *uniform(70, 5, 2)).selectExpr("*", "query_id % 7 as want", "query_id % 9 as low")
+    got = knn_join(q, c, 4, filter="id % 5 <> 0", on=on, metrics=True, limits=limits).groupBy("query_id").agg({"exact_count": "max", "filtered_rows": "max", "ann_count": "max"}).collect()
+    rows = [i % 7 for i in range(300) if i % 5]
+    test = {None: lambda n, t: True, "want!=": lambda n, t: n % 7 != t, "want==": lambda n, t: n % 7 == t, "low<=": lambda n, t: n % 9 <= t}[on and "".join(on[0][:2])]
+    want = {n: sum(test(n, t) for t in rows) for n in range(70)}
+    assert {r.query_id: r["max(exact_count)"] for r in got} == {n: k for n, k in want.items() if k}
+    assert {(r["max(filtered_rows)"], r["max(ann_count)"]) for r in got} == {(240, 0)}
+
+
+def test_no_rows_are_counted_while_the_plan_is_built(spark):
+    c = table(spark, uniform(50, 5, 1))
+    got = knn_join(query(spark, *uniform(3, 5, 2)), c, 4, explain=True, metrics=True)
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert "scalar-subquery" in plan and got.select("explain.cardinality").distinct().collect()[0][0] == 50

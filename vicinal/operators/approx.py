@@ -12,9 +12,9 @@ from pyspark.sql import functions as F
 from vicinal.functions.scores import score_to_threshold, to_score
 from vicinal.operators.blocks import METRIC_OF_SPACE, as_bytes, list_array
 from vicinal.operators.encoders import ADC_METRIC, centroid_rows, coarse_metric, nearest_centroid, nearest_centroids
-from vicinal.operators.knn import conditions, explanation, hit_schema, knn_join, pairwise_distance, rescore, second_pass
-from vicinal.operators.scan import Scan, merge_top_k, run_scan, with_score
-from vicinal.plans.limits import LIMITS, Limits
+from vicinal.operators.knn import conditions, explanation, hit_schema, knn_join, pairwise_distance, rescore, rows_of, second_pass
+from vicinal.operators.scan import Scan, merge_top_k, run_scan, with_counts, with_score
+from vicinal.plans.limits import LIMITS, Limits, cut
 from vicinal.spec import IVF_LIMIT, SpecError, check_k, check_radius, first_pass_k, resolve_rescore
 
 
@@ -156,25 +156,35 @@ def approx_join(q: DataFrame, index: Index, k: int, *, mode: str, space: str = "
     extra = [model.list_column] if probes else []
     columns = tuple(dict.fromkeys([id, *extra, *([] if user else keep)]))
     scan = index_scan(Index(df, model), mode, space, query_id, query_vec, id, columns, (id,), first, probes=probes, conds=conditions(on))
+    scan = replace(scan, counted=metrics)
+
+    def candidates_of(most: int) -> DataFrame:
+        found = run_scan(scan, q, df, probes=probes, limits=limits)
+        found = with_counts(found, query_id, "ann_count").drop("_seen") if metrics else found
+        return merge_top_k(found, most, query_id, [id])
+
+    counts = []
     if user is None:
-        hits = merge_top_k(run_scan(scan, q, df, probes=probes, limits=limits), k, query_id, [id])
+        hits = candidates_of(k)
+        counts = ["ann_count"] if metrics else []
         shown = "hamming" if by_codes and scan.metric == "hamming" else space
         if shown == "l2":
             hits = hits.withColumn("distance", F.greatest("distance", F.lit(0.0)))
-        hits = with_score(hits, shown, boost).select(query_id, id, "rank", "distance", "score",
-                                                     *[n for n in keep if n != id])
+        hits = with_score(hits, shown, boost).select(query_id, id, "rank", "distance", "score", *[n for n in keep if n != id], *counts)
     else:
-        hits = second_pass(scan, q, df, k, space, probes=probes, vec=vec, join_on=extra, keep=keep, boost=boost, limits=limits)
+        hits = None if metrics else second_pass(scan, q, df, k, space, probes=probes, vec=vec, join_on=extra, keep=keep, boost=boost, limits=limits)
         if hits is None:
-            hits = merge_top_k(run_scan(scan, q, df, probes=probes, limits=limits), first, query_id, [id]).drop("rank", "distance")
-            hits = _rescore(hits, q, df, k, space, query_id=query_id, query_vec=query_vec, id=id, vec=vec, join_on=extra,
+            found = candidates_of(first).drop("rank", "distance")
+            found = cut(found) if metrics else found
+            hits = _rescore(found.drop("ann_count"), q, df, k, space, query_id=query_id, query_vec=query_vec, id=id, vec=vec, join_on=extra,
                             keep=keep, boost=boost, per_query=first, limits=limits)
+            if metrics:
+                hits = hits.join(found.groupBy(query_id).agg(F.max("ann_count").alias("ann_count"), F.count(F.lit(1)).alias("exact_count")), query_id)
         hits = hits.drop(*extra) if not set(extra) & set(keep) else hits
-    rows = df.where(F.col(vec).isNotNull()).count() if explain or metrics else 0
+    rows = rows_of(df, vec)
     if metrics:
-        # Rows that passed the filter, candidates asked of the codes, and how many of them were compared exactly.
-        hits = hits.withColumns({"filtered_rows": F.lit(rows).cast("bigint"), "ann_count": F.lit(first).cast("bigint"),
-                                 "exact_count": F.lit(first if user else 0).cast("bigint")})
+        # Rows that passed the filter, rows that the lists or codes compared with this query, and how many of them were compared exactly.
+        hits = hits.withColumns({"filtered_rows": rows, **({"exact_count": F.lit(0).cast("bigint")} if user is None else {})})
     if explain:
         kind = "Approximate-NN" if user is None else "Disk-based"
         reason = f"{mode} search" + (f" with {probes.nprobes} lists per query" if probes else "")
@@ -189,7 +199,6 @@ _rescore = rescore
 def _filled_join(q, index: Index, k: int, fill: str, *, filter, query_id, query_vec, on, space, keep, boost, explain, metrics, limits, **how) -> DataFrame:
     """An index search whose queries with fewer than k hits are answered again exactly, if k rows pass the filter."""
     from vicinal.plans.choice import filled
-    from vicinal.plans.limits import cut
 
     if fill != "exact":
         raise SpecError("fill must be 'exact'")

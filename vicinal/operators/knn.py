@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 from vicinal.functions.scores import to_score
 from vicinal.operators.blocks import METRIC_OF_SPACE, as_bytes, as_matrix, combined, pair_distance
 from vicinal.operators.scan import (Scan, block_lists, key_hash, match_scan, merge_top_k, packed_hits, query_block, run_scan, scan_pairs, top_k,
-                                    with_score)
+                                    with_counts, with_score)
 from vicinal.plans import bloom
 from vicinal.plans.limits import LIMITS, Limits, cut, few_partitions, parallelism
 from vicinal.spec import SCORE_FORMULA, SpecError, check_k, check_radius
@@ -49,9 +49,9 @@ def hit_schema(q: DataFrame, c: DataFrame, query_id: str, id: str, keep) -> T.St
     return T.StructType(fields + [T.StructField(n, kind[n]) for n in keep if n in kind])
 
 
-def exact_scan(q, c, k, space, *, query_id, query_vec, id, vec, on=None, keep=(), limits: Limits = LIMITS) -> DataFrame:
+def exact_scan(q, c, k, space, *, query_id, query_vec, id, vec, on=None, keep=(), counted: bool = False, limits: Limits = LIMITS) -> DataFrame:
     scan = Scan(METRIC_OF_SPACE[space], space, query_id, query_vec, id, vec, tuple(dict.fromkeys([id, *keep])), (id,),
-                k=k, conds=conditions(on))
+                k=k, conds=conditions(on), counted=counted)
     return run_scan(scan, q, c, limits=limits)
 
 
@@ -100,27 +100,34 @@ def knn_join(q: DataFrame, c, k: int, space: str = "l2", *, mode: str = "exact",
     if filter is not None:
         c = c.where(filter)
     depth = max(k, candidates or k)
-    hits = exact_scan(q, c, depth, space, query_id=query_id, query_vec=query_vec, id=id, vec=vec, on=on, keep=keep,
+    hits = exact_scan(q, c, depth, space, query_id=query_id, query_vec=query_vec, id=id, vec=vec, on=on, keep=keep, counted=metrics,
                       limits=limits)
+    if metrics:
+        hits = with_counts(hits, query_id, "exact_count").drop("_seen")
+    counts = ["exact_count"] if metrics else []
     hits = with_score(merge_top_k(hits, k, query_id, [id]), space, boost)
-    hits = hits.select(query_id, id, "rank", "distance", "score", *[n for n in keep if n != id])
-    if explain or metrics:
-        rows = c.where(F.col(vec).isNotNull()).count()
-        if explain:
-            reason = "no index was given" if filter is None else "the filter is applied before an exact scan"
-            hits = hits.withColumn("explain", explanation("Exact", reason, space, rows, None))
-        if metrics:
-            hits = hits.withColumns({"filtered_rows": F.lit(rows).cast("bigint"), "ann_count": F.lit(0).cast("bigint"),
-                                     "exact_count": F.lit(rows).cast("bigint")})
+    hits = hits.select(query_id, id, "rank", "distance", "score", *[n for n in keep if n != id], *counts)
+    rows = rows_of(c, vec)
+    if explain:
+        reason = "no index was given" if filter is None else "the filter is applied before an exact scan"
+        hits = hits.withColumn("explain", explanation("Exact", reason, space, rows, None))
+    if metrics:
+        hits = hits.withColumns({"filtered_rows": rows, "ann_count": F.lit(0).cast("bigint")})
     return hits
 
 
-def explanation(kind: str, reason: str, space: str, cardinality: int | None, first_pass: int | None,
+def rows_of(c: DataFrame, vec: str) -> Column:
+    """The number of rows with a vector, as a scalar subquery: counted when the result is, by a scan of that column alone."""
+    return c.where(F.col(vec).isNotNull()).agg(F.count(F.lit(1))).scalar()
+
+
+def explanation(kind: str, reason: str, space: str, cardinality: Column | int | None, first_pass: int | None,
                 oversample: float | None = None) -> Column:
     """How a hit came about, as one struct column."""
+    cardinality = cardinality if isinstance(cardinality, Column) else F.lit(cardinality)
     return F.struct(F.lit(kind).alias("search_type"), F.lit(reason).alias("reason"),
                     F.col("distance").alias("raw"), F.lit(SCORE_FORMULA[space]).alias("formula"),
-                    F.lit(cardinality).cast("bigint").alias("cardinality"),
+                    cardinality.cast("bigint").alias("cardinality"),
                     F.lit(first_pass).cast("int").alias("first_pass_k"),
                     F.lit(oversample).cast("double").alias("oversample"))
 

@@ -25,7 +25,7 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from vicinal.functions.scores import score_array, to_score
-from vicinal.operators.blocks import Hits, Prepared, as_bytes, as_matrix, combined, pair_distance, scan_batch, to_words
+from vicinal.operators.blocks import CELLS, Hits, Prepared, allowed_pairs, as_bytes, as_matrix, combined, pair_distance, scan_batch, to_words
 from vicinal.operators.tokens import compare_token_sets
 from vicinal.plans.limits import LIMITS, Limits, few_partitions, parallelism, query_cap, scratch_dir, vector_length
 from vicinal.spec import SpecError
@@ -52,6 +52,7 @@ class Scan:
     encode_query: Callable | None = None  # query matrix -> matrix to compare with
     query_list: str | None = None
     list_column: str | None = None
+    counted: bool = False     # hits carry the number of rows that were compared with their query, see ``with_counts``
 
     @property
     def query_columns(self) -> list[str]:
@@ -111,6 +112,7 @@ class _Comparison:
         self.sets = scan.metric == "maxsim"
         self.carried = list(dict.fromkeys([*scan.columns, *scan.order]))
         self.hits = None
+        self.seen = np.zeros(q_table.num_rows, np.int64)
         if self.sets:
             self.hits = Hits(q_table.num_rows, scan.k, scan.order, None, None)
             return
@@ -128,12 +130,28 @@ class _Comparison:
             if not batch.num_rows or not self.q.n:
                 continue
             for part, index in _by_list(scan, batch, self.lists):
+                if scan.counted:
+                    self._count(part, index)
                 yield from scan_batch(self.hits, self.q, self.q_table, part, _matrix(scan, part.column(scan.vec)), scan.id, self.carried,
                                       scan.conds, self.limit, self.accept, index)
 
+    def _count(self, part, index) -> None:
+        rows = np.arange(self.q.n) if index is None else index
+        if not self.scan.conds:
+            self.seen[rows] += part.num_rows
+            return
+        step = max(1, CELLS // part.num_rows)
+        for at in range(0, len(rows), step):
+            some = rows[at:at + step]
+            self.seen[some] += allowed_pairs(self.scan.conds, self.q_table.take(pa.array(some)), part).sum(axis=1)
+
     def finish(self):
         table = self.hits.result() if self.hits is not None else None
         if table is not None:
+            if self.scan.counted:
+                q = table.column("_q").to_numpy()
+                first = np.r_[True, q[1:] != q[:-1]]
+                table = table.append_column("_seen", pa.array(np.where(first, self.seen[q], 0)))
             yield table
 
 
@@ -176,13 +194,16 @@ def _keyed(scan: Scan, q: DataFrame, c: DataFrame) -> Scan:
 def _shape(scan: Scan, q_table: pa.Table, found: pa.Table, schema: pa.Schema) -> pa.Table:
     who = q_table.column(scan.query_id).take(found.column("_q"))
     columns = {scan.query_id: who, **{c: found.column(c) for c in scan.columns}, "distance": found.column("_raw")}
+    if scan.counted:
+        columns["_seen"] = found.column("_seen")
     return pa.table([combined(columns[f.name]).cast(f.type) for f in schema], schema=schema)
 
 
 def output_schema(scan: Scan, q: DataFrame, c: DataFrame) -> T.StructType:
     fields = [T.StructField(scan.query_id, q.schema[scan.query_id].dataType)]
     fields += [T.StructField(name, c.schema[name].dataType) for name in scan.columns]
-    return T.StructType([*fields, T.StructField("distance", T.DoubleType())])
+    counts = [T.StructField("_seen", T.LongType())] if scan.counted else []
+    return T.StructType([*fields, T.StructField("distance", T.DoubleType()), *counts])
 
 
 def _broadcast_scan(scan: Scan, q_table: pa.Table, q: DataFrame, c: DataFrame, lists: dict | None):
@@ -338,7 +359,12 @@ def _block_scan(scan: Scan, q: DataFrame, c: DataFrame, dim: int, limits: Limits
             continue
         hits, held = _broadcast_scan(scan, block, q, c, None)
         if scan.k is not None and scan.group is None:
-            hits = merge_top_k(hits, scan.k, scan.query_id, list(scan.order)).drop("rank")
+            if scan.counted:
+                hits = with_counts(hits, scan.query_id, "_seen")
+            hits = merge_top_k(hits, scan.k, scan.query_id, list(scan.order))
+            if scan.counted:
+                hits = hits.withColumn("_seen", F.when(F.col("rank") == 1, F.col("_seen")).otherwise(0))
+            hits = hits.drop("rank")
         hits.write.mode("append").parquet(out)
         held.destroy()
     return spark.read.schema(output_schema(scan, q, c)).parquet(out)
@@ -493,6 +519,12 @@ def top_k(hits: DataFrame, k: int, query_id, order: list, *, rank: str = "rank")
     return hits.withColumn(rank, F.row_number().over(w)).where(F.col(rank) <= k)
 
 
+def with_counts(hits: DataFrame, query_id: str, name: str) -> DataFrame:
+    """``name``: how many rows were compared with each query, added up over the tasks, which counted them. A task puts its count of a query
+    on that query's first hit; a query that met a row has a hit."""
+    return hits.withColumn(name, F.sum("_seen").over(Window.partitionBy(query_id)))
+
+
 def merge_top_k(hits: DataFrame, k: int, query_id: str, order: list) -> DataFrame:
     """Global best k per query out of per-task bests; in two steps where one query could get very many rows."""
     if 4 * parallelism(hits.sparkSession) * k > 1_000_000:

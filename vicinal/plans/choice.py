@@ -45,22 +45,17 @@ def auto_join(q: DataFrame, index, k: int, space: str, *, query_id: str, query_v
     rows = df.where(F.col(model.vec).isNotNull()).count()
     built = model.encoder is not None or model.centroids is not None
     path, reason = choose(rows, k, filtered=filter is not None, threshold=threshold, built=built)
-    names = dict(query_id=query_id, query_vec=query_vec, on=on, keep=keep, boost=boost, candidates=candidates,
+    names = dict(query_id=query_id, query_vec=query_vec, on=on, keep=keep, boost=boost, candidates=candidates, metrics=metrics,
                  ignore_unmapped=ignore_unmapped, limits=limits)
 
     def exact(queries: DataFrame) -> DataFrame:
         return knn_join(queries, df, k, space, id=model.id, vec=model.vec, **names)
 
-    def finish(hits: DataFrame, kind: str, why: str, ann: int, brute: int) -> DataFrame:
-        if explain:
-            hits = hits.withColumn("explain", explanation(kind, why, space, rows, None))
-        if metrics:
-            hits = hits.withColumns({"filtered_rows": F.lit(rows).cast("bigint"), "ann_count": F.lit(ann).cast("bigint"),
-                                     "exact_count": F.lit(brute).cast("bigint")})
-        return hits
+    def finish(hits: DataFrame, kind: str, why: str) -> DataFrame:
+        return hits.withColumn("explain", explanation(kind, why, space, rows, None)) if explain else hits
 
     if path != "approximate":
-        return finish(exact(q), "Exact", reason, 0, rows)
+        return finish(exact(q), "Exact", reason)
     mode = "ivf" if model.centroids is not None else model.encoder.name
     found = cut(knn_join(q, index, k, space, mode=mode, filter=filter, nprobes=nprobes, rescore=rescore, **names))
     want = min(k, rows)
@@ -68,5 +63,5 @@ def auto_join(q: DataFrame, index, k: int, space: str, *, query_id: str, query_v
         kept, again = filled(found, q, want, query_id, exact)
         if again is not None:
             why = f"the index gave fewer than {want} rows to this query"
-            return finish(kept, "Approximate-NN", reason, k, 0).unionByName(finish(again, "Exact", why, 0, rows))
-    return finish(found, "Approximate-NN", reason, k, 0)
+            return finish(kept, "Approximate-NN", reason).unionByName(finish(again, "Exact", why))
+    return finish(found, "Approximate-NN", reason)

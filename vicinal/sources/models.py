@@ -128,10 +128,11 @@ def fit_model(c: DataFrame, spec: VectorSpec, *, vec: str = "vec", id: str = "id
 
 def train_model(c: DataFrame, model_id: str, spec: VectorSpec, path: str, *, description: str = "", vec: str = "vec",
                 id: str = "id", max_training_vectors: int | None = None, quantize_bits: int | None = None, seed: int = 42,
-                iterations: int = 10) -> Model:
+                iterations: int = 10, init_lists: np.ndarray | None = None) -> Model:
     """Check the request, record ``training``, fit on the rows that have a vector, record ``created`` or ``failed``.
 
-    ``quantize_bits`` trains on the 0/1 form of the rows' bit codes instead of the rows themselves.
+    ``quantize_bits`` trains on the 0/1 form of the rows' bit codes instead of the rows themselves. ``init_lists`` are the centroids
+    that training starts from.
     """
     spark = c.sparkSession
     if models(spark, path).where(F.col("model_id") == model_id).limit(1).count():
@@ -158,7 +159,7 @@ def train_model(c: DataFrame, model_id: str, spec: VectorSpec, path: str, *, des
             rows = rows.withColumn(vec, bits.decoded(bits.column(vec)))
             spec = replace(spec, dimension=quantize_bits * spec.dimension)
             about = _describe(model_id, spec, description)
-        model = fit_model(rows, spec, vec=vec, id=id, seed=seed, iterations=iterations)
+        model = fit_model(rows, spec, vec=vec, id=id, seed=seed, iterations=iterations, init_lists=init_lists)
         model.model_id = model_id
     except Exception as e:
         _append(spark, path, state="failed", error=str(e), **about)

@@ -21,7 +21,7 @@ from vicinal.sources import vectors as I
 from vicinal.spec import VectorSpec
 from vicinal.streaming import tables as T
 from vicinal.workload.tables import (DIM, binary_corpus, binary_ivf_model, bit_model, byte_vectors, child_rows, children, corpus, flat, ivf_model,
-                                     label_codebook, label_codes, label_means, queries, rounded, signed_bits, table, token_sets, wide_codebook)
+                                     label_codebook, label_codes, label_means, mean_rows, queries, rounded, signed_bits, table, token_sets, wide_codebook)
 
 REGISTRY = {}
 FIXED_QUERY = [0.1 if i % 2 == 0 else -0.05 for i in range(DIM)]
@@ -572,7 +572,8 @@ def _(spark, d):
 
 @run("s29_candidate_depth")
 def _(spark, d):
-    return ranked(knn_join(queries(spark, d), corpus(spark, d), 5, candidates=100))
+    # The depth counts where codes propose: 130 candidates of each query by 1-bit codes, the best 5 of them by distance.
+    return ranked(knn_join(queries(spark, d), _index(spark, d, bit_model(spark, d)), 5, mode="binary", candidates=130, rescore=1))
 
 
 @run("s30_combined_clauses")
@@ -812,19 +813,22 @@ def _(spark, d):
 @run("m01_train_model")
 def _(spark, d):
     path = scratch_dir(spark, "models")
-    M.train_model(corpus(spark, d), "coarse", VectorSpec(DIM, method="ivf", params={"nlist": 8, "nprobes": 8}), path, iterations=3)
-    index = _index(spark, d, M.load_model(spark, path, "coarse"))
-    # Probing every list is exact whatever the training found.
-    return ranked(knn_join(queries(spark, d), index, 5, mode="ivf"))
+    start = label_means(spark, d)
+    spec = VectorSpec(DIM, method="ivf", params={"nlist": len(start), "nprobes": 2})
+    M.train_model(corpus(spark, d), "coarse", spec, path, iterations=2, init_lists=start)
+    return ranked(knn_join(queries(spark, d), _index(spark, d, M.load_model(spark, path, "coarse")), 5, mode="ivf"))
 
 
 @run("m02_train_on_codes")
 def _(spark, d):
+    # One round of k-means over the bits of 1-bit codes, from the label means of those bits.
     path = scratch_dir(spark, "models")
-    model = M.train_model(corpus(spark, d), "bits", VectorSpec(DIM, method="ivf", params={"nlist": 4}), path, quantize_bits=1, iterations=3)
-    low, high = float(model.centroids.min()), float(model.centroids.max())
-    return corpus(spark, d).agg(F.count("*").alias("rows_seen")).select(
-        "rows_seen", F.lit(len(model.centroids)).alias("n_lists"), F.lit(low >= 0.0 and high <= 1.0).alias("in_unit_range"))
+    c = corpus(spark, d)
+    quantizer = Q.fit_scalar_quantizer(c, 1)
+    start = mean_rows(c.select("label", quantizer.decoded(quantizer.column("vec")).alias("vec")), "label", "vec")
+    spec = VectorSpec(DIM, method="ivf", params={"nlist": len(start)})
+    model = M.train_model(c, "bits", spec, path, quantize_bits=1, iterations=1, init_lists=start)
+    return _centroid_rows(spark, model.centroids[None])
 
 
 @run("m03_model_table")
@@ -885,6 +889,29 @@ def _(spark, d):
     return A.search_metrics(q, c, hits, on=("label", "label"), parent="parent_id")
 
 
+def _counts(hits: DataFrame) -> DataFrame:
+    return hits.groupBy("query_id").agg(*[F.max(n).alias(n) for n in ("filtered_rows", "ann_count", "exact_count")], F.count("*").alias("returned"))
+
+
+@run("a06_measured_exact")
+def _(spark, d):
+    q = queries(spark, d, F.col("label").alias("low"))
+    return _counts(knn_join(q, corpus(spark, d), 5, filter="label <> 4", on=[("low", "<=", "label"), ("query_id", "!=", "id")], metrics=True))
+
+
+@run("a06_measured_lists")
+def _(spark, d):
+    q = queries(spark, d, F.col("label").alias("want"))
+    index = _index(spark, d, ivf_model(spark, d))
+    return _counts(knn_join(q, index, 5, mode="ivf", nprobes=2, filter="label <> 4", on=[("want", "!=", "label")], metrics=True))
+
+
+@run("a06_measured_two_phase")
+def _(spark, d):
+    model = _pq_model(spark, d, "ivf", label_means(spark, d))
+    return _counts(knn_join(queries(spark, d), _index(spark, d, model), 10, mode="ivf", nprobes=3, rescore=True, metrics=True))
+
+
 @run("a07_index_stats")
 def _(spark, d):
     return rounded(X.index_stats(_index(spark, d, ivf_model(spark, d))), "share", "skew").drop("code_bytes")

@@ -167,8 +167,6 @@ for _name, _metric, _score in (("l2", l2, inverse), ("cosinesimil", cos, cos_sco
     ORACLES[f"s01_knn_join_{_name}"] = top(_metric(*QC), _score, 10)
 ORACLES["t02_stream_queries"] = ORACLES["s01_knn_join_l2"]
 ORACLES["s22_several_tables"] = ORACLES["s01_knn_join_l2"]
-ORACLES["s29_candidate_depth"] = top(l2(*QC), inverse, 5)
-ORACLES["m01_train_model"] = top(l2(*QC), inverse, 5)
 ORACLES["s20_boost"] = top(l2(*QC), inverse, 5, boost=" * 2.5")
 ORACLES["s02_single_query"] = (
     f"WITH {E}, d AS (SELECT vec_id AS id, label, {l2('v', LIT)} AS distance FROM e) SELECT id, {r('distance')} AS distance, "
@@ -254,12 +252,13 @@ for _s in ("l2", "innerproduct"):
         "(SELECT vec_id AS id, v FROM aq)", "id", "v")
 
 
-def second_pass(first, n, ctes, q, c, where="TRUE", metric=l2, score=inverse):
+def second_pass(first, n, ctes, q, c, where="TRUE", metric=l2, score=inverse, k=10):
     pool = (f"f AS (SELECT query_id, id FROM (SELECT q.vec_id AS query_id, c.vec_id AS id, row_number() OVER (PARTITION BY q.vec_id ORDER BY "
             f"{first}, c.vec_id) AS fr FROM {q}, {c} WHERE {where}) WHERE fr <= {n})")
-    return top(metric(*QC), score, 10, ctes=(*ctes, pool), q="f JOIN e q ON q.vec_id = f.query_id", c="e c", where="c.vec_id = f.id")
+    return top(metric(*QC), score, k, ctes=(*ctes, pool), q="f JOIN e q ON q.vec_id = f.query_id", c="e c", where="c.vec_id = f.id")
 
 
+ORACLES["s29_candidate_depth"] = second_pass(ham(*QC), 130, (E, X, MOM, codes(1)), "b q", "b c", k=5)
 ORACLES["s13_two_phase"] = second_pass(ham(*QC), 120, (E, X, MOM, codes(1)), "b q", "b c")
 ORACLES["s13_two_phase_adc"] = second_pass(ADC_PAIR_L2, 100, (*ADC_CTES, adc("l2")), "aq q", "b c")
 
@@ -501,7 +500,17 @@ ORACLES["r05_rescore_hits"] = (
     "JOIN e c ON c.vec_id = f.id), r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY distance, id) AS rk FROM d) "
     f"SELECT query_id, id, CAST(rk AS INTEGER) AS rank, {r('distance')} AS distance, {r(inverse('distance'))} AS score FROM r WHERE rk <= 5")
 
-ORACLES["m02_train_on_codes"] = "SELECT count(*) AS rows_seen, 4 AS n_lists, TRUE AS in_unit_range FROM embeddings"
+LATER = "s, m2 m)"
+ORACLES["m01_train_model"] = top(
+    l2(*QC), inverse, 5, ctes=(E, MEANS, lloyd(1, "m"), lloyd(2, "m1"), near_list(l2, 1).replace("s, m)", LATER), near_list(l2, 2, name="p").replace("s, m)", LATER),
+                               "x AS (SELECT e.*, a.list_id FROM e JOIN a ON e.vec_id = a.vec_id)"),
+    q="e q JOIN p ON p.vec_id = q.vec_id", c="x c", where="c.list_id = p.list_id")
+BIT_MEANS = ("m AS (SELECT label AS list_id, list(mx ORDER BY p) AS cv FROM (SELECT label, p, avg(x) AS mx FROM (SELECT e.label, unnest(b.v) AS x, "
+             "generate_subscripts(b.v, 1) AS p FROM b JOIN e ON e.vec_id = b.vec_id) GROUP BY label, p) GROUP BY label)")
+ORACLES["m02_train_on_codes"] = (
+    f"WITH {E}, {X}, {MOM}, {codes(1)}, {BIT_MEANS}, {lloyd(1, 'm').replace('FROM e, m c', 'FROM b e, m c')}, "
+    "u AS (SELECT list_id, unnest(cv) AS x, generate_subscripts(cv, 1) AS p FROM m1) "
+    f"SELECT 0 AS sub, CAST(list_id AS INTEGER) AS centroid, CAST(p AS INTEGER) - 1 AS pos, {r('x')} AS value FROM u")
 ORACLES["m03_model_table"] = (
     "SELECT t.model_id, 'created' AS state, CAST(d AS INTEGER) AS dimension, 'l2' AS space, 'ivf' AS method FROM (VALUES ('a'), ('c')) t(model_id), "
     "(SELECT max(len(embedding)) AS d FROM embeddings)")
@@ -522,6 +531,17 @@ ORACLES["a06_search_metrics"] = (
     "WITH n AS (SELECT label, count(*) AS filtered_rows, count(DISTINCT vec_id // 5) AS nested_docs FROM embeddings GROUP BY label) "
     "SELECT e.vec_id AS query_id, filtered_rows, nested_docs, least(5, nested_docs) AS returned, CAST(0 AS BIGINT) AS ann_count, filtered_rows AS exact_count "
     "FROM embeddings e JOIN n ON n.label = e.label")
+FILTERED = "(SELECT count(*) FROM embeddings WHERE label <> 4) AS filtered_rows"
+ORACLES["a06_measured_exact"] = (
+    f"WITH n AS (SELECT q.vec_id AS query_id, count(*) AS n FROM embeddings q, embeddings c WHERE c.label <> 4 AND q.label <= c.label AND q.vec_id <> c.vec_id GROUP BY q.vec_id) "
+    f"SELECT query_id, {FILTERED}, CAST(0 AS BIGINT) AS ann_count, n AS exact_count, least(n, 5) AS returned FROM n")
+ORACLES["a06_measured_lists"] = (
+    f"WITH {E}, {MEANS}, {near_list(l2, 1)}, {near_list(l2, 2, name='p')}, n AS (SELECT q.vec_id AS query_id, count(*) AS n FROM e q JOIN p ON p.vec_id = q.vec_id "
+    "JOIN a ON a.list_id = p.list_id JOIN e c ON c.vec_id = a.vec_id WHERE c.label <> 4 AND q.label <> c.label GROUP BY q.vec_id) "
+    f"SELECT query_id, {FILTERED}, n AS ann_count, CAST(0 AS BIGINT) AS exact_count, least(n, 5) AS returned FROM n")
+ORACLES["a06_measured_two_phase"] = (
+    f"WITH {E}, {MEANS}, {near_list(l2, 1)}, {near_list(l2, 3, name='p')}, n AS (SELECT p.vec_id AS query_id, count(*) AS n FROM p JOIN a ON a.list_id = p.list_id GROUP BY p.vec_id) "
+    "SELECT query_id, (SELECT count(*) FROM embeddings) AS filtered_rows, n AS ann_count, least(n, 100) AS exact_count, least(n, 10) AS returned FROM n")
 ORACLES["a07_index_stats"] = (
     f"WITH {E}, {MEANS}, {near_list(l2, 1)}, g AS (SELECT list_id, count(*) AS n FROM a GROUP BY list_id), t AS (SELECT sum(n)::DOUBLE AS total, count(*) AS lists FROM g) "
     f"SELECT list_id, n AS row_count, n AS vector_count, n * {DIM} * 4 AS vector_bytes, {r('n / total')} AS share, {r('n * lists / total')} AS skew FROM g, t")

@@ -50,16 +50,20 @@ def token_sets(spark, sf_dir, id: str, vecs: str) -> DataFrame:
             .select(id, F.col("m.embedding").alias(vecs)))
 
 
-def label_means(spark, sf_dir) -> np.ndarray:
-    """Mean vector of each label: 10 rows, used as fixed coarse centroids and codebooks."""
-    e = table(spark, sf_dir, "embeddings").select("label", F.posexplode("embedding").alias("pos", "x"))
-    rows = e.groupBy("label", "pos").agg(F.avg(F.col("x").cast("double")).alias("m")).collect()
-    out = np.zeros((max(r.label for r in rows) + 1, DIM))
+def mean_rows(df: DataFrame, key: str, vec: str) -> np.ndarray:
+    """Mean vector of each key 0, 1, 2, ..."""
+    rows = df.select(key, F.posexplode(vec).alias("pos", "x")).groupBy(key, "pos").agg(F.avg(F.col("x").cast("double")).alias("m")).collect()
+    out = np.zeros((max(r[key] for r in rows) + 1, DIM))
     for r in rows:
-        out[r.label, r.pos] = r.m
+        out[r[key], r.pos] = r.m
     return out
 
 
+def label_means(spark, sf_dir) -> np.ndarray:
+    """Mean vector of each label: 10 rows, used as fixed coarse centroids and codebooks."""
+    return mean_rows(table(spark, sf_dir, "embeddings"), "label", "embedding")
+
+
 def ivf_model(spark, sf_dir, space: str = "l2") -> Model:
     means = label_means(spark, sf_dir)
     return Model(VectorSpec(DIM, space=space, method="ivf", params={"nlist": len(means)}), None, means)
