@@ -124,3 +124,23 @@ def test_ragged_documents_equal_a_loop(spark, space, monkeypatch):
         d = held[r.id]
         plain = lambda q: token_scores(q, d, metric, space).max(axis=1).sum() if len(d) else 0.0
         assert r.own == pytest.approx(plain(asked[r.id])) and r.one == pytest.approx(plain(fixed))
+
+
+@pytest.mark.parametrize("space", ["l2", "cosinesimil", "innerproduct"])
+def test_vectors_are_fetched_for_candidates_only(spark, space, monkeypatch):
+    from vicinal.operators import rerank as R
+    from vicinal.operators.knn import knn_join
+    from tests.conftest import query, table, uniform
+
+    c = table(spark, uniform(300, 6, 3))
+    q = query(spark, *uniform(12, 6, 4))
+    carried = mmr(knn_join(q, c, 30, space, keep=["vec"]), size=5, candidates=20, diversity=0.7, space=space)
+    bare = knn_join(q, c, 30, space)
+    fetched = mmr(bare, size=5, candidates=20, diversity=0.7, space=space, source=c)
+    assert "vec" not in bare.columns and fetched.columns == carried.columns
+    key = lambda r: (r.query_id, r.mmr_rank)
+    assert [(r.query_id, r.id) for r in sorted(fetched.collect(), key=key)] == [(r.query_id, r.id) for r in sorted(carried.collect(), key=key)]
+    vectors = np.random.default_rng(1).normal(size=(40, 6))
+    plain = R._similarities(vectors, space)
+    monkeypatch.setattr(R, "SMALL", 10)
+    assert np.allclose(plain, R._similarities(vectors, space))

@@ -11,9 +11,10 @@ from pyspark.sql.pandas.types import to_arrow_schema
 
 from vicinal.functions.scores import score_array
 from vicinal.operators.blocks import METRIC_OF_SPACE, as_bytes, as_matrix, combined, pair_distance, to_words
-from vicinal.operators.scan import Scan, merge_top_k, run_scan
+from vicinal.operators.scan import Scan, key_hash, merge_top_k, run_scan
 from vicinal.operators.tokens import rows_and_cuts, token_scores
-from vicinal.plans.limits import LIMITS, Limits
+from vicinal.plans import bloom
+from vicinal.plans.limits import LIMITS, Limits, cut
 from vicinal.spec import SpecError, check_k
 
 EXPLAIN = T.StructType([
@@ -44,9 +45,39 @@ def resolve_vector_path(tables: list, path: str, spaces: list | None = None) ->
     return kinds[0]
 
 
+SMALL = 4_000_000      # products held at once where similarities are computed one by one
+
+
+def _similarities(vectors: np.ndarray, space: str) -> np.ndarray:
+    """The score of every two vectors of a group."""
+    n, metric = len(vectors), METRIC_OF_SPACE[space]
+    if n * n * vectors.shape[1] <= SMALL or metric not in ("l2", "ip", "cos"):
+        step = max(1, SMALL // (n * vectors.shape[1]))
+        rows = []
+        for at in range(0, n, step):
+            part = vectors[at:at + step]
+            left, right = np.repeat(part, n, axis=0), np.tile(vectors, (len(part), 1))
+            rows.append(score_array(pair_distance(metric, left, right), space).reshape(len(part), n))
+        return np.concatenate(rows)
+    x = vectors.astype(np.float64)
+    if metric == "l2":
+        x = x - x.mean(axis=0)
+    gram = x @ x.T
+    size = np.diag(gram)
+    if metric == "l2":
+        raw = np.maximum(size[:, None] + size[None] - 2 * gram, 0.0)
+    elif metric == "ip":
+        raw = -gram
+    else:
+        norms = np.sqrt(size[:, None] * size[None])
+        raw = 1.0 - np.where(norms > 0, gram / np.where(norms > 0, norms, 1.0), 0.0)
+    return score_array(raw.ravel(), space).reshape(n, n)
+
+
 def _select(vectors: np.ndarray, scores: np.ndarray, size: int, diversity: float, space: str):
     """Greedy selection; candidates come best first, and the first maximum wins."""
     n = len(scores)
+    alike = _similarities(vectors, space)
     nearest = np.zeros(n)
     open_ = np.ones(n, bool)
     picked, trail = [], []
@@ -56,19 +87,21 @@ def _select(vectors: np.ndarray, scores: np.ndarray, size: int, diversity: float
         picked.append(best)
         trail.append((nearest[best], value[best]))
         open_[best] = False
-        mine = np.broadcast_to(vectors[best], vectors.shape)
-        nearest = np.maximum(nearest, score_array(pair_distance(METRIC_OF_SPACE[space], vectors, mine), space))
+        nearest = np.maximum(nearest, alike[best])
     return picked, trail
 
 
 def mmr(hits: DataFrame, size: int = 10, diversity: float = 0.5, candidates: int | None = None, *, space: str = "l2",
         vector_path: str = "vec", query_id: str = "query_id", id: str = "id", score: str = "score", rank: str = "rank",
-        keep_vector: bool = False, explain: bool = False) -> DataFrame:
+        keep_vector: bool = False, explain: bool = False, source: DataFrame | None = None, join_on=()) -> DataFrame:
     """Pick ``size`` hits per query that are relevant and unlike each other.
 
     Every step takes the largest ``(1 - diversity) * score - diversity * (highest similarity to a picked hit)``.
     Only the best ``candidates`` hits of a query (3 x size unless given) enter its group, so groups are small.
     The result has the columns of ``hits`` with ``mmr_rank`` added and, unless asked for, the vector dropped.
+
+    With ``source``, the table that was searched, ``hits`` needs no vectors: a search carries ids only, and the vectors of the candidates
+    alone are fetched by ``id`` (and ``join_on``, e.g. the list number), past a Bloom filter inside the scan.
     """
     if not 0.0 <= diversity <= 1.0:
         raise SpecError("diversity must lie in 0..1")
@@ -77,10 +110,12 @@ def mmr(hits: DataFrame, size: int = 10, diversity: float = 0.5, candidates: int
     candidates = 3 * size if candidates is None else candidates
     if candidates < size:
         raise SpecError("candidates must not be smaller than size")
-    kind = resolve_vector_path([hits], vector_path)
+    kind = resolve_vector_path([hits if source is None else source], vector_path)
     if rank not in hits.columns:
         w = Window.partitionBy(query_id).orderBy(F.col(score).desc(), F.col(id))
         hits = hits.withColumn(rank, F.row_number().over(w))
+    if source is not None:
+        hits = _with_vectors(hits.where(F.col(rank) <= candidates), source, [id, *join_on], vector_path.split(".")[0])
     pool = hits.where(F.col(rank) <= candidates).withColumn("_vec", F.col(vector_path))
     plain = [f for f in hits.schema.fields]
     schema = T.StructType([*plain, T.StructField("mmr_rank", T.IntegerType()),
@@ -109,6 +144,14 @@ def mmr(hits: DataFrame, size: int = 10, diversity: float = 0.5, candidates: int
     return out if keep_vector else without_path(out, vector_path)
 
 
+def _with_vectors(hits: DataFrame, source: DataFrame, keys: list, column: str) -> DataFrame:
+    """``hits`` with a column of the rows they name."""
+    hits = cut(hits.drop(column))
+    wanted = bloom.build(hits.select(key_hash(keys).alias("h")))
+    rows = source.select(*keys, column).where(F.col(keys[0]).isNotNull()).where(wanted.column(key_hash(keys)))
+    return hits.join(rows, keys).select(*hits.columns, column)
+
+
 def without_path(df: DataFrame, path: str) -> DataFrame:
     """The table without a column or a field inside structs; a struct of which nothing is left goes as well."""
     steps = path.split(".")

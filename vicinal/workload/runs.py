@@ -606,6 +606,13 @@ def _(spark, d):
     return picked.select("query_id", "id", "mmr_rank", F.round("score", 6).alias("score"))
 
 
+@run("r01_mmr_by_id")
+def _(spark, d):
+    c = corpus(spark, d)
+    picked = mmr(knn_join(queries(spark, d), c, 9), size=3, diversity=0.6, candidates=9, source=c)
+    return picked.select("query_id", "id", "mmr_rank", F.round("score", 6).alias("score"))
+
+
 @run("r02_mmr_explain")
 def _(spark, d):
     picked = mmr(_hits(spark, d, 9), size=3, diversity=0.6, candidates=9, explain=True)

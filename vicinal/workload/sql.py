@@ -476,6 +476,7 @@ PICKS = ", ".join([POOL, pick(1, "0.0", "", ""), pick(2, "greatest(0, s1.sim)",
                    pick(3, "greatest(0, s1.sim, s2.sim)", J2, "WHERE p.id <> p1.id AND p.id <> p2.id")])
 UNION = " UNION ALL ".join(f"SELECT query_id, id, CAST({i} AS INTEGER) AS mmr_rank, score, sim, mmr FROM p{i}" for i in (1, 2, 3))
 ORACLES["r01_mmr"] = f"WITH {PICKS}, u AS ({UNION}) SELECT query_id, id, mmr_rank, {r('score')} AS score FROM u"
+ORACLES["r01_mmr_by_id"] = ORACLES["r01_mmr"]
 ORACLES["r02_mmr_explain"] = (
     f"WITH {PICKS}, u AS ({UNION}) SELECT query_id, id, mmr_rank, {r('score')} AS original_score, {r('sim')} AS max_similarity, {r('mmr')} AS mmr_score FROM u")
 ORACLES["r03_mmr_vector_path"] = f"WITH {PICKS}, u AS ({UNION}) SELECT query_id, id, mmr_rank FROM u"
