@@ -108,24 +108,14 @@ def _live(spark: SparkSession, path: str, model: Model) -> DataFrame:
     return data.drop("change", "number")
 
 
-def newest(spark: SparkSession, path: str, id: str) -> DataFrame | None:
-    """``(id, at)``: the latest order value that a stream of changes has brought for an id, where it has brought one."""
-    gone = _maybe(spark, f"{path}/gone")
-    if gone is None or "at" not in gone.columns:
-        return None
-    done = commits(spark, path).select("change")
-    return gone.where("at is not null").join(done, "change").groupBy(id).agg(F.max("at").alias("at"))
-
-
 def apply_changes(spark: SparkSession, path: str, upserts: DataFrame | None = None, deletes: DataFrame | None = None, *,
-                  writer: str | None = None, batch: int | None = None, marks: DataFrame | None = None, order: str | None = None) -> Index:
+                  writer: str | None = None, batch: int | None = None, order: str | None = None) -> Index:
     """Replace the rows of ``upserts`` and remove the ids of ``deletes``; neither appears in later searches.
 
     An id that ``upserts`` holds twice is an error, unless ``order`` names the column whose largest value decides; an id in both
     tables is upserted.
 
-    ``writer`` and ``batch`` name the change: if it was committed before, nothing happens. ``marks`` (id, at) is what
-    ``newest`` will report."""
+    ``writer`` and ``batch`` name the change: if it was committed before, nothing happens."""
     index = open_index(spark, path)
     model = index.model
     if writer is not None and commits(spark, path).where((F.col("writer") == writer) & (F.col("batch") == batch)).limit(1).count():
@@ -139,7 +129,6 @@ def apply_changes(spark: SparkSession, path: str, upserts: DataFrame | None = No
         upserts = _one_each(upserts, model.id, order)
         _write(upserts, model, path, change, encode=built)
     dead = (ids[0] if len(ids) == 1 else ids[0].unionByName(ids[1])).distinct()
-    dead = dead.withColumn("at", F.lit(None).cast("double")) if marks is None else marks.select(model.id, F.col("at").cast("double"))
     dead.write.mode("overwrite").parquet(f"{path}/gone/change={change}")
     _commit(spark, path, change, writer, batch)
     return open_index(spark, path)

@@ -7,17 +7,19 @@ from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming.state import GroupStateTimeout
 
 from vicinal.operators.approx import Index
 from vicinal.operators.knn import knn_join
-from vicinal.sources.index import apply_changes, latest, newest, open_index
+from vicinal.sources.index import apply_changes, latest, open_index
 from vicinal.sources.vectors import validate_vectors
 from vicinal.spec import SpecError
 
 
-def _start(stream: DataFrame, each: Callable, checkpoint: str, trigger: dict | None) -> StreamingQuery:
-    return (stream.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint)
+def _start(stream: DataFrame, each: Callable, checkpoint: str, trigger: dict | None, mode: str = "append") -> StreamingQuery:
+    return (stream.writeStream.foreachBatch(each).outputMode(mode).option("checkpointLocation", checkpoint)
             .trigger(**(trigger or {"availableNow": True})).start())
 
 
@@ -46,32 +48,49 @@ def stream_into_index(stream: DataFrame, path: str, checkpoint: str, *, bad_rows
     return _start(stream, each, checkpoint, trigger)
 
 
+def _newest_only(stream: DataFrame, id: str, op: str, order: str) -> DataFrame:
+    """Of each id the newest row of a batch, where no newer one came before: Spark keeps the largest ``order`` of each id as keyed state, so
+    a batch costs what it brings, however long the stream has run."""
+    names = stream.columns
+    schema = T.StructType(list(stream.schema.fields))
+
+    def pick(key, frames, state):
+        held = state.get[0] if state.exists else None
+        best, row = None, None
+        for frame in frames:
+            for i, (what, at) in enumerate(zip(frame[op], frame[order])):
+                if what not in ("upsert", "delete"):
+                    raise SpecError(f"unknown change {what!r}")
+                missing = at is None or at != at
+                mark = float("-inf") if missing else float(at.value if hasattr(at, "value") else at)
+                if best is None or (mark, what) > best:
+                    best, row = (mark, what), frame.iloc[i:i + 1]
+        if row is not None and (held is None or best[0] >= held):
+            state.update((best[0],))
+            yield row[names]
+
+    return stream.groupBy(id).applyInPandasWithState(pick, schema, "at double", "update", GroupStateTimeout.NoTimeout)
+
+
 def stream_changes(stream: DataFrame, path: str, checkpoint: str, *, op: str = "op", order: str = "ts", writer: str | None = None,
                    trigger: dict | None = None) -> StreamingQuery:
-    """Apply a stream of ``upsert``/``delete`` rows. Of an id the row with the largest ``order`` (a number or time) counts, in a batch and
-    across batches: a row older than what was applied before is dropped. Any other ``op`` stops the stream."""
+    """Apply a stream of ``upsert``/``delete`` rows. Of an id the row with the largest ``order`` (a number or time; none is the oldest)
+    counts, in a batch and across the batches of the stream: a row older than what was applied before is dropped, of equally old ones
+    an upsert counts. Any other ``op`` stops the stream. What was applied before is state of the checkpoint."""
+    id = open_index(stream.sparkSession, path).model.id
+    newest = _newest_only(stream, id, op, order)
 
     def each(batch: DataFrame, n: int) -> None:
         spark = batch.sparkSession
-        id = open_index(spark, path).model.id
-        wrong = batch.where(~F.coalesce(F.col(op).isin("upsert", "delete"), F.lit(False))).limit(1).collect()
-        if wrong:
-            raise SpecError(f"unknown change {wrong[0][op]!r}")
-        names = [c for c in batch.columns if c != id]
-        # Partial aggregation first: an id with very many changes in one batch still costs one row per task.
-        last = batch.groupBy(id).agg(F.max_by(F.struct(*names), F.struct(order, op)).alias("_l")).select(
-            id, *[F.col(f"_l.{c}").alias(c) for c in names])
-        time = batch.schema[order].dataType.typeName() in ("timestamp", "timestamp_ntz", "date")
-        at = F.unix_micros(F.col(order).cast("timestamp")) if time else F.col(order)
-        last = last.withColumn("_at", at.cast("double"))
-        before = newest(spark, path, id)
-        if before is not None:
-            last = last.join(before, id, "left").where("at is null or _at >= at").drop("at")
-        upserts = last.where(F.col(op) == "upsert").drop(op, order, "_at")
-        deletes = last.where(F.col(op) == "delete").select(id)
-        apply_changes(spark, path, upserts, deletes, writer=writer or _writer(spark, checkpoint), batch=n, marks=last.select(id, F.col("_at").alias("at")))
-
-    return _start(stream, each, checkpoint, trigger)
+        batch = batch.persist()
+        try:
+            upserts = batch.where(F.col(op) == "upsert").drop(op, order)
+            deletes = batch.where(F.col(op) == "delete").select(id)
+            apply_changes(spark, path, upserts, deletes, writer=writer or _writer(spark, checkpoint), batch=n)
+        finally:
+            batch.unpersist()
+
+    return _start(newest, each, checkpoint, trigger, mode="update")
 
 
 def stream_knn(queries: DataFrame, table: DataFrame | Index, k: int, space: str, out_path: str, checkpoint: str, *,
