@@ -1,7 +1,7 @@
 import pytest
 
 from vicinal.llm.secrets import base_spans, named_spans, redact, redacted, scan, spelled
-from .conftest import frame
+from .conftest import DATA, frame, needs_data
 
 
 @pytest.mark.parametrize("text, want", [
@@ -67,3 +67,69 @@ def test_every_part_of_a_literal_is_found(text, parts):
     assert len(got) == parts
     if parts:
         assert not any(p in redacted(text) for p in got)
+
+
+@needs_data
+def test_base_spans_of_all_documents_equal_a_plain_scan(spark):
+    """The query over its whole table against the contract's patterns, read by a scanner of its own without any shortcut."""
+    import hashlib
+
+    from vicinal.llm import queries
+
+    def runs(text, allowed, at):
+        end = at
+        while end < len(text) and text[end] in allowed:
+            end += 1
+        return end
+
+    digits, capitals, small = "0123456789", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+    value = set(capitals + small + digits + "+/_.=-")
+
+    def assigned(text, at):
+        """(end, length of group 2) of an assignment that begins here."""
+        low = "".join(chr(ord(c) + 32) if c in capitals else c for c in text[at:at + 8])
+        name = next((n for n in ("password", "passwd", "secret", "token", "apikey", "api_key") if low.startswith(n)), None)
+        if name is None:
+            return None
+        p = at + len(name)
+        p += p < len(text) and text[p] in "\"'"
+        p = runs(text, " ", p)
+        if p >= len(text) or text[p] not in ":=":
+            return None
+        p = runs(text, " ", p + 1)
+        p += p < len(text) and text[p] in "\"'"
+        end = runs(text, value, p)
+        return (end, end - p) if end > p else None
+
+    def spans(text):
+        out = []
+        at = 0
+        while at < len(text):
+            hit = assigned(text, at)
+            if hit and hit[1] >= 8:
+                out.append((at, 0, "assign", hit[0]))
+            at = hit[0] if hit else at + 1
+        at = 0
+        while (at := text.find("AKIA", at)) >= 0:
+            end = runs(text, capitals + digits, at + 4)
+            if end > at + 4 and end - at >= 16:
+                out.append((at, 1, "access", end))
+            at = end if end > at + 4 else at + 1
+        at = 0
+        while at < len(text):
+            end = runs(text, "0123456789abcdef", at)
+            if end - at >= 32:
+                out.append((at, 2, "hex", end))
+            at = max(end, at + 1)
+        return sorted(out)
+
+    data = DATA.replace("sf0.001", "sf0.01")      # the smallest scale has no secret
+    docs = {r.doc_id: r.text or "" for r in spark.read.parquet(f"{data}/documents.parquet").collect()}
+    got = queries.op4_secret_scan(spark, data).collect()
+    assert len(got) == len(docs) and sum(r.n_assign + r.n_access + r.n_hex for r in got) > 5
+    for r in got:
+        want = spans(docs[r.doc_id])
+        said = ",".join(f"{kind}:{a}:{b}" for a, _, kind, b in want)
+        assert [r.n_assign, r.n_access, r.n_hex] == [sum(w[1] == k for w in want) for k in range(3)]
+        assert r.base_sha256 == hashlib.sha256(said.encode()).hexdigest()
+        assert set(filter(None, said.split(","))) <= set(r.spans.split(","))
