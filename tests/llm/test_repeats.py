@@ -56,6 +56,37 @@ def test_a_filter_that_lets_all_through_changes_nothing(spark, monkeypatch):
     assert all(hashlib.sha256(r.kept).hexdigest() == r.kept_sha256 for r in got)
 
 
+def crowded_texts():
+    random.seed(21)
+    letters = lambda n: "".join(random.choice("abcdefgh") for _ in range(n))
+    line, exact, near = letters(60), letters(100), letters(90)
+    rows = []
+    for n in range(220):
+        kind = n % 4
+        middle = {0: line, 1: exact, 2: near + random.choice("xy") + letters(20), 3: letters(30) + line + letters(9)}[kind]
+        rows.append((n, letters(random.randint(0, 150)) + middle + letters(random.randint(0, 150))))
+    rows += [(300 + n, random.choice("xy") + line + random.choice("xyz") + near[:38] + letters(5)) for n in range(30)]
+    return [(*r, "x", "y") for r in rows]
+
+
+@pytest.mark.parametrize("crowd", [200_000, 40, 5, 1])
+def test_crowded_grams_are_dealt_further(spark, monkeypatch, crowd):
+    """Short lines, one exact string and overlapping passages in very many places: the same result however small a bucket must be."""
+    monkeypatch.setattr(substrings, "CROWD", crowd)
+    rows = crowded_texts() + (odd_texts() if crowd == 5 else [])
+    got = substrings.without_repeats(frame(spark, rows, "doc_id long, text string, id string, tag string").repartition(4)).drop("kept").collect()
+    assert sorted(map(tuple, got), key=str) == brute_substrings(rows)
+
+
+def test_no_bucket_of_a_crowded_gram_is_large(spark, monkeypatch):
+    monkeypatch.setattr(substrings, "CROWD", 12)
+    docs = frame(spark, crowded_texts(), "doc_id long, text string, id string, tag string")
+    sizes = substrings.bucket_rows(docs, "doc_id", "text", 100).where("right >= 0").groupBy("gram").count().agg({"count": "max"}).first()[0]
+    monkeypatch.setattr(substrings, "CROWD", 200_000)
+    before = substrings.bucket_rows(docs, "doc_id", "text", 100).where("right >= 0").groupBy("gram").count().agg({"count": "max"}).first()[0]
+    assert sizes <= 12 < 50 < before
+
+
 def test_no_documents(spark):
     assert substrings.without_repeats(frame(spark, [])).collect() == [] and paragraphs.repeats(frame(spark, [])).collect() == []
 
