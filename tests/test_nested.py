@@ -149,3 +149,14 @@ def test_radius_by_query_with_conditions_and_columns(spark):
     for limits in (Limits(), GRID):
         got = nested_radius(q, df, max_distance="reach", on=[("want", "!=", "kind")], keep=["kind"], limits=limits).collect()
         assert {(r.query_id, r.parent_id): (r.child_pos, r.kind) for r in got} == {k: v[1:] for k, v in want.items()}
+
+
+def test_winners_beyond_the_broadcast_limit(spark):
+    rng = np.random.default_rng(3)
+    rows = [(int(i // 4), int(i % 4), [float(x) for x in rng.random(5)], int(i % 3)) for i in range(200)]
+    df = spark.createDataFrame(rows, "parent_id bigint, child_pos int, vec array<float>, kind int")
+    q = query(spark, *rng.random((11, 5)).astype(np.float32))
+    key = lambda r: (r.query_id, r.rank, r.child_pos)
+    want = sorted(nested_knn(q, df, 3, expand=True, child_filter="kind <> 1", keep=["kind"]).collect(), key=key)
+    got = nested_knn(q, df, 3, expand=True, child_filter="kind <> 1", keep=["kind"], limits=Limits(join_rows=5))
+    assert sorted(got.collect(), key=key) == want and len(want) > 33

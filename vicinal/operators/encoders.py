@@ -66,13 +66,15 @@ class BitQuantizer(Encoder):
     """b thresholds per dimension; bit i of dimension j is set where the value exceeds threshold i.
 
     Bits are laid out plane after plane, most significant bit first, zero-filled to whole bytes.
-    ``below``/``above`` are the means on either side of the single threshold (1 bit only).
+    ``below``/``above`` are the means on either side of the single threshold (1 bit only). With ``unit`` rows and queries are
+    scaled to length 1 first, as thresholds for cosine are trained.
     """
 
     thresholds: np.ndarray
     below: np.ndarray | None = None
     above: np.ndarray | None = None
     rotation: np.ndarray | None = None
+    unit: bool = False
     name = "binary"
 
     @property
@@ -80,7 +82,7 @@ class BitQuantizer(Encoder):
         return self.thresholds.shape[0]
 
     def rotate(self, rows: np.ndarray) -> np.ndarray:
-        return rotated(rows, self.rotation)
+        return rotated(_unit(rows.astype(np.float64)) if self.unit else rows, self.rotation)
 
     def encode_rows(self, rows):
         rows = self.rotate(rows)

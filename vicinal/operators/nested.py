@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 
 from vicinal.operators.blocks import METRIC_OF_SPACE
 from vicinal.operators.knn import conditions, pairwise_distance
-from vicinal.operators.scan import Scan, run_scan, top_k, with_score
-from vicinal.plans.limits import LIMITS, Limits
+from vicinal.operators.scan import Scan, key_hash, run_scan, top_k, with_score
+from vicinal.plans import bloom
+from vicinal.plans.limits import LIMITS, Limits, cut
 from vicinal.spec import SpecError, check_k, check_radius, first_pass_k, resolve_rescore
 
 
@@ -38,14 +39,18 @@ def _best_child(hits: DataFrame, query_id: str, parent: str, pos: str, extra=())
 
 
 def siblings(winners: DataFrame, q: DataFrame, children: DataFrame, space: str, *, query_id: str, query_vec: str, parent: str,
-             pos: str, vec: str, keep=(), conds=(), max_hits: int | None = None, limits: Limits = LIMITS) -> DataFrame:
+             pos: str, vec: str, keep=(), conds=(), limits: Limits = LIMITS) -> DataFrame:
     """Every child of the winning parents that meets ``conds`` with the query, with its own distance: an equi-join on
-    the parent."""
-    wanted = winners.select(query_id, parent, *([] if "rank" not in winners.columns else ["rank"]))
-    if max_hits is not None and max_hits <= limits.join_rows:
-        wanted = F.broadcast(wanted)
+    the parent. The winners are written first; as many as ``limits.join_rows`` are broadcast, of more a Bloom filter inside the scan
+    tells which children are worth a shuffle."""
+    wanted = cut(winners.select(query_id, parent, *([] if "rank" not in winners.columns else ["rank"])))
+    few = wanted.count() <= limits.join_rows
     tests = [(F.col(left).alias(f"_q{n}"), F.col(right).alias(f"_c{n}")) for n, (left, _, right) in enumerate(conds)]
-    rows = children.where(F.col(vec).isNotNull()).select(parent, pos, vec, *keep, *[c for _, c in tests]).join(wanted, parent)
+    rows = children.where(F.col(vec).isNotNull()).select(parent, pos, vec, *keep, *[c for _, c in tests])
+    if not few:
+        named = bloom.build(wanted.select(key_hash([parent]).alias("h")))
+        rows = rows.where(F.col(parent).isNotNull()).where(named.column(key_hash([parent])))
+    rows = rows.join(F.broadcast(wanted) if few else wanted, parent)
     queries = q.select(query_id, F.col(query_vec).alias("_query_vec"), *[a for a, _ in tests])
     pairs = rows.join(queries, query_id)
     for n, (_, op, _) in enumerate(conds):
@@ -91,13 +96,13 @@ def nested_knn(q: DataFrame, children, k: int, space: str = "l2", *, expand: boo
         hits = _best_child(run_scan(scan, q, children, probes=probes, limits=limits), query_id, parent, pos)
         if second:
             hits = top_k(hits, first, query_id, [parent])
-            again = siblings(hits.drop("rank"), q, children, space, conds=conds, max_hits=q.count() * first, limits=limits, **names)
+            again = siblings(hits.drop("rank"), q, children, space, conds=conds, limits=limits, **names)
             hits = _best_child(again, query_id, parent, pos)
     best = top_k(hits, k, query_id, [parent])
     shown = "hamming" if mode == "binary" and rescore is False else space
     if not expand:
         return with_score(best, shown, boost).select(query_id, parent, pos, "rank", "distance", "score")
-    rows = siblings(best, q, children, space, keep=keep, conds=conds, max_hits=q.count() * k, limits=limits, **names)
+    rows = siblings(best, q, children, space, keep=keep, conds=conds, limits=limits, **names)
     return with_score(rows, space, boost).select(query_id, parent, pos, "rank", "distance", "score", *keep)
 
 

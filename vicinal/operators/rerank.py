@@ -25,6 +25,10 @@ EXPLAIN = T.StructType([
 ])
 
 
+# Fixed value: the text form of a step's arithmetic.
+FORMULA = "(1 - {0:.4f}) * {1:.4f} - {0:.4f} * {2:.4f} = {3:.4f}"
+
+
 def resolve_vector_path(tables: list, path: str, spaces: list | None = None) -> T.DataType:
     """Check that a dotted path leads to vectors of one type (and one space) in every table."""
     kinds = []
@@ -135,7 +139,7 @@ def mmr(hits: DataFrame, size: int = 10, diversity: float = 0.5, candidates: int
         columns = [combined(out.column(n)) for n in names] + [pa.array(range(1, len(picked) + 1), pa.int32())]
         if explain:
             rows = [{"original_score": scores[p], "max_similarity_to_selected": sim, "mmr_score": value,
-                     "mmr_formula": f"(1 - {diversity:.4f}) * {scores[p]:.4f} - {diversity:.4f} * {sim:.4f} = {value:.4f}"}
+                     "mmr_formula": FORMULA.format(diversity, scores[p], sim, value)}
                     for p, (sim, value) in zip(picked, trail)]
             columns.append(pa.array(rows, arrow.field("explain").type))
         return pa.table([c.cast(f.type) for c, f in zip(columns, arrow)], schema=arrow)

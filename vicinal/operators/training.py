@@ -130,9 +130,9 @@ def vector_stats(c: DataFrame, *, vec: str = "vec") -> DataFrame:
 
 
 def fit_scalar_quantizer(c: DataFrame, bits: int = 1, *, sample: int | None = None, rotate: bool = False,
-                         vec: str = "vec", id: str = "id", seed: int = 42, matrix: np.ndarray | None = None) -> BitQuantizer:
+                         vec: str = "vec", id: str = "id", seed: int = 42, matrix: np.ndarray | None = None, unit: bool = False) -> BitQuantizer:
     """Thresholds ``mean + (-1 + 2(i+1)/(bits+1)) * std`` per dimension, over all rows, or over
-    ``sample`` of them.
+    ``sample`` of them. ``unit`` scales rows to length 1 first, which is what cosine compares.
     """
     if bits not in (1, 2, 4):
         raise SpecError("bits must be 1, 2 or 4")
@@ -145,12 +145,16 @@ def fit_scalar_quantizer(c: DataFrame, bits: int = 1, *, sample: int | None = No
         matrix = random_rotation(dim) if dim * dim * 8 <= LIMITS.model_bytes else structured_rotation(dim)
     if sample is not None:
         c = sample_vectors(c, sample, id=id, seed=seed)
+    if unit:
+        from vicinal.functions.vectors import l2_normalize
+
+        c = c.withColumn(vec, l2_normalize(vec))
     mean, std = _column(_moments(c, vec, matrix), dim, "mean", "std")
     if bits == 1:
         below, above = _column(_side_means(c, vec, mean, matrix), dim, "below", "above")
-        return BitQuantizer(mean[None, :], below, above, matrix)
+        return BitQuantizer(mean[None, :], below, above, matrix, unit)
     step = -1 + 2 * (np.arange(bits) + 1) / (bits + 1)
-    return BitQuantizer(mean[None, :] + step[:, None] * std[None, :], rotation=matrix)
+    return BitQuantizer(mean[None, :] + step[:, None] * std[None, :], rotation=matrix, unit=unit)
 
 
 def fit_sq7(c: DataFrame, confidence_interval: float | None = None, *, vec: str = "vec", id: str = "id",

@@ -107,7 +107,7 @@ def fit_model(c: DataFrame, spec: VectorSpec, *, vec: str = "vec", id: str = "id
     encoder = None
     if spec.encoder == "binary":
         encoder = training.fit_scalar_quantizer(c, p.get("bits", 1), sample=sample, rotate=p.get("random_rotation", False),
-                                                vec=vec, id=id)
+                                                vec=vec, id=id, unit=space == "cosinesimil")
     elif spec.encoder == "pq":
         encoder = training.fit_pq(c, p.get("m", 1), p.get("code_size", 8), space=space, iterations=iterations, seed=seed,
                                   vec=vec, id=id, init=init_codes)
