@@ -53,6 +53,39 @@ def test_unigram_pass_is_the_best_division():
             assert sum(scores[i] for i in ids if i) + low * runs == pytest.approx(best, abs=1e-3)
 
 
+def test_texts_without_spaces_equal_the_library_and_are_quick(vocabulary):
+    import time
+
+    import sentencepiece
+
+    sp = sentencepiece.SentencePieceProcessor(model_file=P.MODEL)
+    random.seed(12)
+    han = "".join(chr(random.randint(0x4E00, 0x9FA5)) for _ in range(20_000))
+    made = [han, han[:300] + "abc" * 40 + han[300:400], "".join(random.choice(ALPHABET.replace(" ", "")) for _ in range(3000)),
+            "".join(random.choice("的一是在不了有和人这中大为上个国我以要他") for _ in range(500)), "thequickbrownfox" * 30, "".join(random.choice("ab") for _ in range(400))]
+    tables = vocabulary.prepare()
+    for t in made:
+        offsets, ids = P.Encoder(tables).encode([t])
+        assert ids.tolist() == sp.encode(t)
+    start = time.perf_counter()
+    P.Encoder(tables).encode([han])
+    assert time.perf_counter() - start < 0.6
+
+
+@pytest.mark.parametrize("long", [0, 1, 3])
+def test_cuts_change_nothing(monkeypatch, long):
+    """With and without unknown characters, on words of every length."""
+    random.seed(13)
+    names = sorted({"".join(random.choice("abcd") for _ in range(random.randint(1, 3))) for _ in range(14)} - {"d"})
+    texts = ["<unk>", *names]
+    scores = np.array([0.0, *(-random.random() * 10 for _ in names)], np.float32)
+    made = P.Pieces(texts, scores, ["unknown"] + ["normal"] * len(names), P.UNIGRAM, prefix=False, fallback=False)
+    words = ["".join(random.choice("abcdxy") for _ in range(random.randint(1, 30))) for _ in range(300)]
+    plain = [P.Encoder(made.prepare()).encode([w])[1].tolist() for w in words]
+    monkeypatch.setattr(P, "LONG", long)
+    assert [P.Encoder(made.prepare()).encode([w])[1].tolist() for w in words] == plain
+
+
 def test_bounded_memory_forgets_words(vocabulary, monkeypatch):
     encoder = P.Encoder(vocabulary.prepare())
     first = encoder.encode(["one two three"])

@@ -27,6 +27,8 @@ SPACE = "▁"
 BASE = np.uint64(0x9E3779B97F4A7C15)
 TOGETHER = 8192        # words that advance together, at most
 EXACT = 32             # longest words grouped by exact length; longer ones are padded to a common length
+SIEVE = np.uint64(44)  # a table by the upper bits of a hash stands before each search in sorted keys
+LONG = 48              # characters from which a word is cut at places that no piece crosses
 REMEMBERED = 250_000   # distinct words that a task remembers
 UNIGRAM, BPE = 1, 2
 
@@ -142,8 +144,12 @@ class Tables:
                     raise ValueError(f"piece {text!r} ranks before its parts")
             self.pairs = np.array(sorted(pairs), np.int64)
             self.pair_rank = np.array([pairs[k] for k in self.pairs.tolist()], np.int64)
+            self.pair_sieve = np.zeros(1 << (64 - int(SIEVE)), bool)
+            self.pair_sieve[(self.pairs.view(np.uint64) * BASE) >> SIEVE] = True
         found = sorted((hashed(t), len(t), ids[t]) for t in usable)
         self.keys = np.array([f[0] for f in found], np.uint64)
+        self.sieve = np.zeros(1 << (64 - int(SIEVE)), bool)
+        self.sieve[self.keys >> SIEVE] = True
         self.lengths = np.array([f[1] for f in found], np.int32)
         self.at = np.array([f[2] for f in found], np.int32)
         self.scores = np.full(size, (p.scores[live].min() if live else 0.0) - 10, np.float32)
@@ -156,6 +162,10 @@ class Tables:
         self.bytes = {int(p.texts[i][3:5], 16): i for i in range(n) if p.kinds[i] == "byte"}
         self.unk = p.kinds.index("unknown") if "unknown" in p.kinds else -1
 
+        # Pairs of characters that stand together in some piece, and characters that are pieces.
+        self.joined = np.array(sorted({ord(a) << 21 | ord(b) for i in live for a, b in zip(p.texts[i], p.texts[i][1:])}), np.int64)
+        self.single = np.array(sorted(ord(p.texts[i]) for i in live if len(p.texts[i]) == 1), np.int64)
+
     # -- one group of words
 
     def substrings(self, chars: np.ndarray) -> np.ndarray:
@@ -167,9 +177,11 @@ class Tables:
         h = np.zeros((k, n), np.uint64)
         for size in range(1, most + 1):
             h = h[:, : n - size + 1] * BASE + value[:, size - 1:]
-            at = np.minimum(np.searchsorted(self.keys, h), len(self.keys) - 1)
-            hit = (self.keys[at] == h) & (self.lengths[at] == size)
-            out[size - 1, :, : n - size + 1] = np.where(hit, self.at[at], -1)
+            word, start = np.nonzero(self.sieve[h >> SIEVE])      # most substrings are no piece
+            some = h[word, start]
+            at = np.minimum(np.searchsorted(self.keys, some), len(self.keys) - 1)
+            hit = (self.keys[at] == some) & (self.lengths[at] == size)
+            out[size - 1, word[hit], start[hit]] = self.at[at[hit]]
         single = out[0]
         single[single < 0] = self.unknown
         return out
@@ -183,8 +195,10 @@ class Tables:
         size = self.unknown + 1
         while len(live):
             key = a * size + b
-            at = np.minimum(np.searchsorted(self.pairs, key), len(self.pairs) - 1)
-            bad = (self.pairs[at] == key) & (self.pair_rank[at] < limit)
+            some = np.flatnonzero(self.pair_sieve[(key.view(np.uint64) * BASE) >> SIEVE])
+            at = np.minimum(np.searchsorted(self.pairs, key[some]), len(self.pairs) - 1)
+            bad = np.zeros(len(key), bool)
+            bad[some] = (self.pairs[at] == key[some]) & (self.pair_rank[at] < limit[some])
             ok[live[bad]] = False
             ra, rb = self.rank[a], self.rank[b]
             go = ~bad & ((ra >= 0) | (rb >= 0))
@@ -283,7 +297,23 @@ class Tables:
         if not text:
             return []
         text = text.replace(" ", SPACE)
-        return self.words.findall(SPACE + text if self.pieces.prefix else text)
+        words = self.words.findall(SPACE + text if self.pieces.prefix else text)
+        return words if max(map(len, words)) <= LONG else [part for word in words for part in (self.parts(word) if len(word) > LONG else (word,))]
+
+    def parts(self, word: str) -> list[str]:
+        """A long word, such as a text without spaces, cut where no piece spells the two characters together: no division and no merge
+        crosses such a place. Runs of characters that become one unknown piece stay whole."""
+        chars = np.frombuffer(word.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64)
+        free = ~_within(chars[:-1] << 21 | chars[1:], self.joined)
+        if not self.pieces.fallback:
+            known = _within(chars, self.single)
+            free &= known[:-1] | known[1:]
+        edges = [0, *(np.flatnonzero(free) + 1).tolist(), len(word)]
+        return [word[a:b] for a, b in zip(edges, edges[1:])]
+
+
+def _within(values: np.ndarray, known: np.ndarray) -> np.ndarray:
+    return known[np.minimum(np.searchsorted(known, values), len(known) - 1)] == values if len(known) else np.zeros(len(values), bool)
 
 
 class Encoder:
