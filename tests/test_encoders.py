@@ -219,6 +219,16 @@ def test_radius_on_codes_loses_nothing(recall_data, space, limit):
     assert capped.exceptAll(radius_join(q, c, space=space, max_results=2, **limit)).count() == 0
 
 
+def test_radius_on_codes_checks_its_candidates_where_they_lie(recall_data):
+    q, c, _ = recall_data
+    model = fit_model(c, VectorSpec(32, encoder="sq1", compression="32x"))
+    for limits in (Limits(), Limits(query_rows=13)):
+        found = radius_approx(q, Index(model.encode(c), model), max_distance=3.0, limits=limits)
+        assert "Join" not in found._jdf.queryExecution().optimizedPlan().toString()
+        exact = radius_join(q, c, max_distance=3.0)
+        assert 0 < exact.count() == found.count() and found.select("query_id", "id").exceptAll(exact.select("query_id", "id")).count() == 0
+
+
 def test_radius_bound_is_below_every_distance_and_prunes():
     c, q = uniform(2000, 64, 1).astype(float) - 0.5, uniform(50, 64, 2).astype(float) - 0.5
     code = E.Sq1(c.mean(axis=0), "l2")

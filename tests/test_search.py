@@ -319,3 +319,13 @@ def test_no_rows_are_counted_while_the_plan_is_built(spark):
     got = knn_join(query(spark, *uniform(3, 5, 2)), c, 4, explain=True, metrics=True)
     plan = got._jdf.queryExecution().optimizedPlan().toString()
     assert "scalar-subquery" in plan and got.select("explain.cardinality").distinct().collect()[0][0] == 50
+
+
+def test_matches_of_query_blocks_are_not_written(spark, monkeypatch):
+    def never(*_):
+        raise AssertionError("matches or queries of a block were written")
+
+    monkeypatch.setattr("vicinal.operators.scan.scratch_dir", never)
+    q, c = uniform(90, 12, 61), uniform(200, 12, 62)
+    got = {(r.query_id, r.id) for r in radius_join(query(spark, *q), table(spark, c), max_distance=1.5, limits=GRID).collect()}
+    assert got == {(i, j) for i, j in zip(*np.nonzero(distances("l2", q, c) <= 1.5))}
