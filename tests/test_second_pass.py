@@ -73,3 +73,10 @@ def test_nothing_to_compare(spark, index):
     assert knn_join(query(spark, *uniform(3, 12, 2)), index, 5, mode="binary", filter="id < 0").count() == 0
     assert knn_join(query(spark, *uniform(3, 12, 2)).where("query_id < 0"), index, 5, mode="binary").count() == 0
     assert rescore(spark.createDataFrame([], "query_id bigint, id bigint"), query(spark, *uniform(3, 12, 2)), index.df, 5).count() == 0
+
+
+def test_more_queries_than_a_block_join_no_vectors(spark, index):
+    q = uniform(40, 12, 2)
+    got = knn_join(query(spark, *q), index, 7, mode="binary", candidates=60, limits=Limits(query_rows=11))
+    assert "Join" not in exchanged(got)[0]
+    assert ids(got) == ids(knn_join(query(spark, *q), index, 7, mode="binary", candidates=60))
