@@ -2,7 +2,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tests.conftest import distances, query, uniform
+from tests.conftest import distances, query, table, uniform
 from vicinal.operators.approx import Index
 from vicinal.operators.nested import explode_children, nested_knn, nested_radius
 from vicinal.operators.training import fit_scalar_quantizer
@@ -160,3 +160,13 @@ def test_winners_beyond_the_broadcast_limit(spark):
     want = sorted(nested_knn(q, df, 3, expand=True, child_filter="kind <> 1", keep=["kind"]).collect(), key=key)
     got = nested_knn(q, df, 3, expand=True, child_filter="kind <> 1", keep=["kind"], limits=Limits(join_rows=5))
     assert sorted(got.collect(), key=key) == want and len(want) > 33
+
+
+def test_many_winners_take_their_queries_to_the_children(spark):
+    """The pairs with all children, vectors on both sides, are made by the last join and not dealt again."""
+    rows = table(spark, uniform(200, 6, 71)).select(F.floor(F.col("id") / 4).alias("parent_id"), (F.col("id") % 4).alias("child_pos"), "vec")
+    q = query(spark, *uniform(20, 6, 72))
+    got = nested_knn(q, rows, 3, expand=True, limits=Limits(join_rows=5))
+    joins = [line for line in got._jdf.queryExecution().optimizedPlan().toString().splitlines() if "Join Inner" in line]
+    assert "parent_id" in joins[0]
+    assert got.exceptAll(nested_knn(q, rows, 3, expand=True)).count() == 0 and got.count() == 20 * 3 * 4
