@@ -180,6 +180,59 @@ def test_short_lines_are_counted_apart(spark):
     assert {r.doc_id for r in paragraphs.repeats(docs).collect()} == {5}
 
 
+@pytest.mark.parametrize("least, near, batch", [(51, 12, 1 << 20), (12, 5, 300), (7, 1, 1)])
+def test_runs_inside_other_text(spark, monkeypatch, least, near, batch):
+    """Against every window of the texts: all of ``least`` words that two documents share are covered, and all that is covered is shared."""
+    monkeypatch.setattr(paragraphs, "BATCH", batch)
+    random.seed(12)
+    words = [f"w{i}" for i in range(300)]
+    some = lambda a, b: [random.choice(words) for _ in range(random.randint(a, b))]
+    planted = [some(n, n) for n in (5, 11, 12, 30, 50, 51, 52, 90)]
+    rows = []
+    for n in range(80):
+        text = some(0, 60) + random.choice(planted) + some(0, 60) + (random.choice(planted) if n % 3 else ["so"] * random.choice((3, 60))) + some(0, 9)
+        rows.append((n, "".join(w.upper() + random.choice((" ", " ", " ", "\n", "\t ", "\n\n")) for w in text)))
+    rows += [(None, " ".join(planted[-1])), (None, "x " + " ".join(planted[-1])), (90, None), (91, ""), (92, " ".join(planted[-1][:-1] + ["end"])), (93, "one"), (7, " ".join(planted[5]))]
+    gram, split, owners, grams = least - near + 1, {}, {}, {}
+    for i, text in rows:
+        split.setdefault(i, []).append([(w, n) for n, line in enumerate((text or "").encode().lower().split(b"\n")) for w in line.split()])
+    for i, texts in split.items():
+        for t in texts:
+            for size, seen in ((least, owners), (gram, grams)):
+                for at in range(len(t) - size + 1):
+                    seen.setdefault(tuple(w for w, _ in t[at:at + size]), set()).add(i)
+    got = paragraphs.shared_runs(frame(spark, rows).repartition(3), least=least, near=near).collect()
+    covered = {}
+    for r in got:
+        covered.setdefault(r.doc_id, set()).update(range(r.word, r.word + r.n_words))
+        if len(split[r.doc_id]) > 1:
+            continue
+        t = next(t for t in split[r.doc_id] if len(t) >= r.word + r.n_words and t[r.word][1] == r.paragraph and t[r.word + r.n_words - 1][1] == r.paragraph + r.lines - 1)
+        there = grams[tuple(w for w, _ in t[r.word:r.word + gram])]
+        assert len(there) > 1 and r.first_id in there and (r.first_id is None or r.doc_id is not None and r.first_id <= r.doc_id) and r.removed == (r.doc_id != r.first_id)
+        assert len(grams[tuple(w for w, _ in t[r.word + r.n_words - gram:r.word + r.n_words])]) > 1
+    pairs = 0
+    for i, texts in split.items():
+        for t in texts:
+            for at in range(len(t) - least + 1):
+                if len(owners[tuple(w for w, _ in t[at:at + least])]) > 1:
+                    pairs += 1
+                    assert len(covered[i] & set(range(at, at + least))) >= gram
+    assert pairs > 100 and len(got) > 40
+
+
+def test_the_query_finds_a_passage_inside_longer_lines(spark, tmp_path):
+    from vicinal.llm.queries import op9_paragraph_dedup
+
+    one = lambda name, n: " ".join(f"{name}{i}" for i in range(n))
+    rows = [(1, one("a", 90) + " " + one("same", 51) + " " + one("b", 90)), (2, one("c", 40) + "\n" + one("d", 70) + "\t" + one("same", 51).upper()),
+            (3, one("e", 90) + " " + one("same", 39) + " " + one("f", 30))]
+    frame(spark, rows).write.parquet(f"{tmp_path}/documents.parquet")
+    got = [r for r in op9_paragraph_dedup(spark, str(tmp_path)).collect() if r.word is not None]
+    assert {(r.doc_id, r.paragraph, r.first_id, r.first_paragraph, r.removed) for r in got if r.doc_id < 3} == {(1, 0, 1, 0, False), (2, 1, 1, 0, True)}
+    assert all(40 <= r.n_words <= 51 and r.word >= 90 for r in got if r.doc_id < 3)
+
+
 @needs_data
 def test_shared_passages_are_caught_and_clean_documents_left_alone(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")

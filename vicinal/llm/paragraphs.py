@@ -8,6 +8,9 @@ their exact Jaccard similarity is computed from the words themselves. Only the w
 that a Bloom filter of their digests tells which; documents are not shuffled. Verified links make components, and of each component the
 first passage (smallest document, then line) stays.
 
+A passage that stands in the middle of other text, wherever the lines break, is none of these: ``shared_runs`` finds runs of ``RUN`` words or more
+that two documents share, by grams that are least among their neighbours (a band of one minimum) and so are the same in both.
+
 Shorter lines (headings, licence tags) are no passages: that two documents share one says nothing about either. ``short_lines`` counts
 them apart."""
 
@@ -20,7 +23,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from vicinal.plans import bloom
@@ -30,6 +33,8 @@ SHINGLE = 5
 CELL = 1024       # classes of a bucket that one chunk holds, about
 BATCH = 1 << 20   # words hashed at once
 CELL_BYTES = 32 << 20   # of words that one chunk holds, about
+RUN = 51          # words that make a shared run a repeat, wherever it stands
+NEAR = 12         # neighbours of which the least gram is compared
 
 
 @dataclass(frozen=True)
@@ -210,6 +215,102 @@ def repeats(docs: DataFrame, id: str = "doc_id", text: str = "text", settings: S
         (place != F.col("first")).alias("removed"))
 
 
+def _mixed(h: np.ndarray) -> np.ndarray:
+    h = (h ^ (h >> np.uint64(31))) * np.uint64(0x9E3779B97F4A7C15)
+    return h ^ (h >> np.uint64(29))
+
+
+def _window_hashes(h: np.ndarray, size: int, seed: int) -> np.ndarray:
+    """A hash of every ``size`` neighbours: differences of the running sum of a polynomial, whose factor has an inverse modulo 2^64."""
+    k = int(np.random.default_rng(seed).integers(1, 1 << 60)) * 8 + 5
+    up, down = np.full(len(h), k, np.uint64), np.full(len(h), pow(k, -1, 1 << 64), np.uint64)
+    up[:1] = down[:1] = 1
+    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(h * np.cumprod(up), dtype=np.uint64)])
+    return _mixed((sums[size:] - sums[:-size]) * np.cumprod(down)[:len(h) - size + 1])
+
+
+def _least_of(h: np.ndarray, size: int) -> np.ndarray:
+    """The least of every ``size`` neighbours."""
+    wide = 1
+    while 2 * wide <= size:
+        h, wide = np.minimum(h[:-wide], h[wide:]), 2 * wide
+    return np.minimum(h[:len(h) - (size - wide)], h[size - wide:])
+
+
+def _grams(batches, gram: int, near: int):
+    """(id, first word, first and last line, hash) of every gram of ``gram`` words whose hash is least among some ``near`` neighbours, as arrays
+    of some texts each: two texts that share ``gram + near - 1`` words have one of them in common there."""
+    def flush(held):
+        h = np.concatenate([x[1] for x in held])
+        line = np.concatenate([x[2] for x in held])
+        sizes = np.array([len(x[1]) for x in held])
+        start, doc = np.cumsum(sizes) - sizes, np.repeat(np.arange(len(held)), sizes)
+        hashes = _window_hashes(h, gram, 5)
+        least = _least_of(hashes, near)
+        inside = doc[:len(least)] == doc[gram + near - 2:]
+        chosen = np.zeros(len(hashes), bool)
+        for i in range(near):
+            chosen[i:i + len(least)] |= inside & (hashes[i:i + len(least)] == least)
+        at = np.flatnonzero(chosen)
+        ids = pa.array([x[0] for x in held], pa.int64()).take(pa.array(doc[at]))
+        return ids, (at - start[doc[at]]).astype(np.int32), line[at], line[at + gram - 1], _mixed(hashes[at]).view(np.int64)
+
+    held, size = [], 0
+    for batch in batches:
+        for id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
+            lines = [line.split() for line in (text.as_py() or b"").lower().split(b"\n")]
+            n = [len(line) for line in lines]
+            if sum(n) < gram + near - 1:
+                continue
+            hashes = np.fromiter((xxhash.xxh3_64_intdigest(w) for line in lines for w in line), np.uint64, sum(n))
+            held.append((id, hashes, np.repeat(np.arange(len(lines), dtype=np.int32), n)))
+            size += len(hashes)
+            if size >= BATCH:
+                yield flush(held)
+                held, size = [], 0
+    if held:
+        yield flush(held)
+
+
+def shared_runs(docs: DataFrame, id: str = "doc_id", text: str = "text", least: int = RUN, near: int = NEAR) -> DataFrame:
+    """Passages that two documents share wherever they stand, one row for each stretch of a document that overlapping shared grams cover and
+    that stands first in one document: id, paragraph and lines (first line and number of lines), n_words (words of the stretch), first_id
+    and first_paragraph (smallest document of which its first gram is compared, and line there), removed (in another document), word (number of its first word, from 0).
+
+    Grams have ``least - near + 1`` words; those are compared whose hash is least among some ``near`` neighbours. So every passage of ``least`` words or
+    more that two documents share has a row, one of fewer words than a gram has none, and one in between may have one. Words are as
+    in ``repeats``, line breaks are white space like any other. Documents shorter than ``least`` have no rows. A null id sorts first, and rows repeated with one id are
+    one document."""
+    gram = least - near + 1
+    rows = docs.select(F.col(id).cast("bigint").alias("id"), F.col(text).cast("binary").alias("t"))
+
+    def named(batches):
+        for ids, _, _, _, h in _grams(batches, gram, near):
+            yield pa.record_batch([pa.array(h), ids], ["h", "id"])
+
+    without = F.max(F.col("id").isNull()).alias("without")
+    names = rows.mapInArrow(named, "h bigint, id bigint").groupBy("h").agg(F.min("id").alias("a"), F.max("id").alias("b"), without)
+    shared = cut(names.where("a < b or without and b is not null").select("h", F.when(~F.col("without"), F.col("a")).alias("first_id")), "run-grams")
+    wanted = bloom.build(shared)
+
+    def held(batches):
+        for ids, word, line, last, h in _grams(batches, gram, near):
+            some = np.flatnonzero(wanted.has(h))
+            if len(some):
+                yield pa.record_batch([pa.array(h[some]), ids.take(pa.array(some)), *[pa.array(x[some]) for x in (word, line, last)]], ["h", "id", "word", "line", "last"])
+
+    found = cut(rows.mapInArrow(held, "h bigint, id bigint, word int, line int, last int").join(shared, "h"), "run-places")
+    there = found.where(F.col("id").eqNullSafe(F.col("first_id"))).groupBy("h").agg(F.min("line").alias("there"))
+    by = Window.partitionBy("id", "first_id").orderBy("word")
+    begins = F.coalesce(F.col("word") - F.lag("word").over(by) > gram, F.lit(True)).cast("int")
+    runs = found.withColumn("begins", begins).withColumn("run", F.sum("begins").over(by.rangeBetween(Window.unboundedPreceding, Window.currentRow)))
+    whole = runs.groupBy("id", "first_id", "run").agg(F.min("word").alias("word"), F.min("line").alias("line"), F.min_by("h", F.struct("word", "h")).alias("h"),
+                                                     F.max("word").alias("end"), F.max("last").alias("last"))
+    return whole.join(there, "h").select(
+        F.col("id").alias(id), F.col("line").alias("paragraph"), (F.col("last") - F.col("line") + 1).alias("lines"), (F.col("end") - F.col("word") + gram).alias("n_words"),
+        "first_id", F.col("there").alias("first_paragraph"), (~F.col("id").eqNullSafe(F.col("first_id"))).alias("removed"), "word")
+
+
 def without_repeats(docs: DataFrame, id: str = "doc_id", text: str = "text", settings: Settings = Settings()) -> DataFrame:
     """``docs`` with the removed passages' lines taken out of its texts, row for row."""
     lines = F.explode(F.sequence("paragraph", F.col("paragraph") + F.col("lines") - 1)).alias("line")
