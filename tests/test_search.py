@@ -329,3 +329,39 @@ def test_matches_of_query_blocks_are_not_written(spark, monkeypatch):
     q, c = uniform(90, 12, 61), uniform(200, 12, 62)
     got = {(r.query_id, r.id) for r in radius_join(query(spark, *q), table(spark, c), max_distance=1.5, limits=GRID).collect()}
     assert got == {(i, j) for i, j in zip(*np.nonzero(distances("l2", q, c) <= 1.5))}
+
+
+@pytest.mark.parametrize("space", ["l1", "linf"])
+@pytest.mark.parametrize("make, fine", [(lambda x: x, True), (lambda x: x * 1e-6, True), (lambda x: x + 100, True), (lambda x: x + 1e14, False),
+                                        (lambda x: np.where(np.arange(len(x))[:, None] == 5, 1e6, x), False), (lambda x: x * 0, False)])
+def test_bounds_on_a_grid_hold(space, make, fine):
+    from vicinal.operators import blocks as B
+
+    x = make(np.random.default_rng(3).standard_normal((300, 24)))
+    asked = x[:100].copy()
+    asked[0] += 0.5 * (asked[0] - x.mean(axis=0))
+    q, c = B.Prepared(space, asked), B.Prepared(space, x[100:] if fine else x)
+    assert (B._grid(q, c) is not None) == fine
+    raw = distances(space, q.wide, c.wide)
+    for part, want in ((q.take(0, 1), raw[:1]), (q.take(50, 100), raw[50:]), (q, raw)):
+        low, eq, ec = B.lower_bounds(part, c)
+        slack = 1e-6 * np.abs(want) + 1e-30
+        assert (low <= want + slack).all() and (want <= low.astype(float) + eq[:, None] + ec[None] + slack).all()
+
+
+def test_query_blocks_read_a_corpus_that_is_computed_once(spark, monkeypatch):
+    """Derived columns are not computed for each block, and vectors of hits do not travel to the merge; ids may repeat or be null."""
+    from pyspark.sql import functions as F
+
+    from vicinal.operators import scan as S
+
+    c, q = uniform(300, 6, 1), uniform(90, 6, 2)
+    rows = table(spark, c).withColumn("id", F.when(F.col("id") % 50 == 0, None).otherwise(F.col("id") % 200))
+    derived = rows.groupBy("id", "vec").agg(F.count("*").alias("n")).withColumn("name", F.concat(F.lit("x"), F.col("id").cast("string")))
+    plans, columns, plain = [], [], S._broadcast_scan
+    monkeypatch.setattr(S, "_broadcast_scan", lambda *a: plans.append(a[3]._jdf.queryExecution().optimizedPlan().toString()) or columns.append(a[0].columns) or plain(*a))
+    got = knn_join(query(spark, *q), derived, 4, keep=["vec", "name", "n"], limits=GRID)
+    assert len(plans) >= 3 and not any("Aggregate" in p for p in plans) and not any("vec" in x or "name" in x for x in columns)
+    one = knn_join(query(spark, *q), derived, 4, keep=["vec", "name", "n"])
+    assert got.columns == one.columns and got.count() == 90 * 4
+    assert sorted(map(str, got.collect())) == sorted(map(str, one.collect()))
