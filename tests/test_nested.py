@@ -170,3 +170,72 @@ def test_many_winners_take_their_queries_to_the_children(spark):
     joins = [line for line in got._jdf.queryExecution().optimizedPlan().toString().splitlines() if "Join Inner" in line]
     assert "parent_id" in joins[0]
     assert got.exceptAll(nested_knn(q, rows, 3, expand=True)).count() == 0 and got.count() == 20 * 3 * 4
+
+
+def _grouped(n, dim, labels, batch, seed=3):
+    """A comparison of 40 queries with n children, five a parent, in batches; brute force beside it."""
+    import pyarrow as pa
+
+    from vicinal.operators.blocks import list_array
+    from vicinal.operators.scan import Scan, _Comparison
+
+    c, q = uniform(n, dim, seed), uniform(40, dim, seed + 1)
+    want = np.arange(40) % 3
+    block = pa.table({"query_id": np.arange(40), "query_vec": list_array(q), "want": want})
+    parts = [pa.RecordBatch.from_pydict({"parent": pa.array(np.arange(s, min(n, s + batch)) // 5), "pos": pa.array(np.arange(s, min(n, s + batch)) % 5),
+                                         "vec": list_array(c[s:s + batch]), "label": pa.array(labels[s:s + batch])}) for s in range(0, n, batch)]
+    scan = Scan("l2", "l2", "query_id", "query_vec", "parent", "vec", ("parent", "pos"), ("parent", "pos"), k=3, group="parent", conds=(("want", "!=", "label"),))
+    both = _Comparison(scan, block)
+    assert not list(both.feed(parts))
+    found = next(both.finish())
+    d = np.where(want[:, None] != labels[None], distances("l2", q, c), np.inf)
+    best = d.reshape(40, -1, 5).min(axis=2)
+    order = np.argsort(best, axis=1, kind="stable")[:, :3]
+    return found, [(i, int(p), best[i, p]) for i in range(40) for p in order[i] if np.isfinite(best[i, p])]
+
+
+def test_conditions_are_tested_on_candidates(monkeypatch):
+    """Once every query has its parents, only pairs near enough are held against the conditions."""
+    from vicinal.operators import blocks
+
+    seen = []
+    whole = blocks.allowed_pairs
+    monkeypatch.setattr(blocks, "allowed_pairs", lambda conds, q, c: seen.append(q.num_rows * c.num_rows) or whole(conds, q, c))
+    found, best = _grouped(20_000, 8, np.arange(20_000) % 3, 2_000)
+    assert [(q, p) for q, p in zip(found["_q"].to_pylist(), found["parent"].to_pylist())] == [b[:2] for b in best]
+    assert found["_raw"].to_pylist() == pytest.approx([b[2] for b in best])
+    assert sum(seen) <= 40 * 4_000
+
+
+def test_first_groups_may_be_excluded():
+    """A third of the queries may not meet the first 400 parents: their bounds come from all the others."""
+    labels = np.r_[np.ones(2_000, int), np.full(2_020, 3)]
+    found, best = _grouped(4_020, 8, labels, 4_020)
+    assert len(best) == 120
+    assert [(q, p) for q, p in zip(found["_q"].to_pylist(), found["parent"].to_pylist())] == [b[:2] for b in best]
+
+
+def test_set_places():
+    from vicinal.operators.blocks import set_places
+
+    rng = np.random.default_rng(0)
+    for shape, part in (((0, 5), 0.5), ((1, 3), 1.0), ((7, 13), 0.0), ((40, 1001), 0.002), ((16, 64), 0.7)):
+        ok = rng.random(shape) < part
+        assert set_places(ok).tolist() == np.flatnonzero(ok).tolist()
+
+
+def test_vectors_are_dealt_as_bytes(spark, monkeypatch):
+    """Compared vectors reach the query blocks as bytes; a null or ragged one is refused as ever."""
+    from vicinal.operators import scan as S
+
+    kinds, plain = [], S._meet
+    monkeypatch.setattr(S, "_meet", lambda scan, left, right, *rest: kinds.append(dict(right.dtypes)["vec"]) or plain(scan, left, right, *rest))
+    c, q = uniform(60, 6, 1), uniform(30, 6, 2)
+    for kind in ("float", "double"):
+        rows = spark.createDataFrame([(i // 3, i % 3, c[i].tolist()) for i in range(60)], f"parent_id bigint, child_pos int, vec array<{kind}>")
+        got = nested_knn(table(spark, q, "query_id", "query_vec", kind), rows, 4, limits=GRID).collect()
+        best = distances("l2", q.astype(float), c.astype(float)).reshape(30, 20, 3).min(axis=2)
+        assert {(r.query_id, r["rank"]): r.parent_id for r in got} == {(i, n + 1): p for i in range(30) for n, p in enumerate(np.argsort(best[i], kind="stable")[:4])}
+    assert kinds == ["binary"] * 2
+    with pytest.raises(Exception, match="same length"):
+        nested_knn(table(spark, q, "query_id", "query_vec"), rows.union(spark.sql("select 99L, 0, array(1d)")), 4, limits=GRID).collect()
