@@ -48,3 +48,28 @@ def test_an_id_with_two_vectors(spark):
     rows = [(1, [1.0, 0.0]), (1, [0.0, 1.0]), (2, [1.0, 0.01]), (3, [-1.0, 0.0]), (0, [0.01, 1.0])]
     got = near_duplicates(frame(spark, [(*r, "a", "b") for r in rows], SCHEMA)).collect()
     assert sorted(map(tuple, got)) == [(0, 1, 0, True), (1, 1, 0, False), (1, 1, 1, True), (2, 1, 1, False), (3, 0, 3, True)]
+
+
+def test_wide_vectors_are_cut_into_smaller_chunks(spark):
+    """Chunks are bounded by the components they hold as well; results don't depend on them."""
+    x = vectors(12, 5)
+    df = frame(spark, [(i, v.tolist(), "a", "b") for i, v in enumerate(x)], SCHEMA)
+    whole = sorted(map(tuple, near_duplicates(df).collect()))
+    u = x.astype(float) / np.linalg.norm(x.astype(float), axis=1, keepdims=True)
+    assert [r[1] for r in whole] == ((u @ u.T >= 0.9).sum(axis=1) - 1).tolist()
+    assert sorted(map(tuple, near_duplicates(df, numbers=12 * 35).collect())) == whole
+
+
+def test_a_slab_that_fits_a_task_is_sent_once(spark, monkeypatch):
+    from vicinal.llm import embeddings
+
+    sent, plain = [], embeddings.met_in
+    monkeypatch.setattr(embeddings, "met_in", lambda df, *rest: sent.append((df, plain(df, *rest))) or sent[0][1])
+    x = np.random.default_rng(0).normal(size=(12_000, 8))
+    got = near_duplicates(spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<float>"), blocks=1)
+    x = x.astype(np.float32).astype(float)
+    u = x / np.linalg.norm(x, axis=1, keepdims=True)
+    links = sum((np.array_split(u, 8)[n] @ u.T >= 0.9).sum() for n in range(8)) - len(u)
+    assert got.agg({"n_links": "sum"}).first()[0] == links
+    rows, dealt = sent[0]
+    assert dealt.count() <= rows.count()

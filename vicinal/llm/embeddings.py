@@ -7,7 +7,7 @@ inside a slab the distances of the block's coordinates alone decide who is a can
 the whole vectors in double precision. A pair that several blocks find counts in the first of them only, so nothing is counted
 twice and no pair has to be shuffled: a cell returns link counts by vector and a spanning forest of its links.
 
-Equal vectors are one class with a weight. Slabs are cut into cells of bounded size (``common.cells``), hot ones into many."""
+Equal vectors are one class with a weight. Slabs are cut into cells of bounded size (``common.met_in``), hot ones into many."""
 
 from __future__ import annotations
 
@@ -16,10 +16,11 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import Forest, cells, components, cut, whole_groups
+from .common import Forest, components, cut, in_cells, met_in, whole_groups
 
-CELL = 8192     # rows of a slab that one chunk holds, about
-TILE = 512      # rows compared at once
+CELL = 32768        # rows of a slab that one chunk holds, about
+NUMBERS = 1 << 22   # and components of their vectors: a slab of n chunks is sent n times, a task holds two
+TILE = 512          # rows compared at once, a multiple of 8
 SLACK = 1e-9    # relative room for rounding when a block's budget is tested
 
 
@@ -91,18 +92,24 @@ def _verify(blocks: int, least: float, budget: float, seed: int):
         """Verified pairs of the rows a with the rows b; within one list each pair once."""
         lo, hi = cuts[block], cuts[block + 1]
         share = np.diff(cuts) / cuts[-1] * budget * (1 + SLACK)
-        right = y[b, lo:hi].astype(np.float32)
-        norms = (right ** 2).sum(axis=1)
-        for at in range(0, len(a), TILE):
-            rows = a[at:at + TILE]
-            left = y[rows, lo:hi].astype(np.float32)
-            near = (left ** 2).sum(axis=1)[:, None] + norms - 2 * (left @ right.T) <= share[block] + 1e-5
-            i, j = np.nonzero(near)
+        x, z = y[a, lo:hi], y[b, lo:hi]
+        # Two further columns carry either side's square, so a product not below zero is a distance within the share. Its error in float32 is less than the room.
+        room = (8 * (hi - lo) + 32) * 2.0 ** -24
+        left = np.column_stack([x, np.ones(len(a)), (share[block] + room - (x ** 2).sum(axis=1)) / 2]).astype(np.float32)
+        right = np.zeros((-(-len(b) // 8) * 8, hi - lo + 2), np.float32)
+        right[:, -2] = -9       # rows that fill up the last eight are far from all
+        right[:len(b)] = np.column_stack([z, (z ** 2).sum(axis=1) / -2, np.ones(len(b))])
+        for at, to in ((at, to) for at in range(0, len(a), TILE) for to in range(at if same else 0, len(b), TILE)):
+            near = left[at:at + TILE] @ right[to:to + TILE].T >= 0
+            some = np.flatnonzero(near.reshape(-1).view(np.uint64))
+            row, byte = np.nonzero(near.reshape(-1, 8)[some])
+            i, j = np.divmod(some[row] * 8 + byte, near.shape[1])
+            i, j = i + at, j + to
             if same:
-                keep = i + at < j
+                keep = i < j
                 i, j = i[keep], j[keep]
             for part in range(0, len(i), 65536):
-                p, q = rows[i[part:part + 65536]], b[j[part:part + 65536]]
+                p, q = a[i[part:part + 65536]], b[j[part:part + 65536]]
                 ok = np.einsum("ij,ij->i", raw[p], raw[q]) >= least
                 p, q = p[ok], q[ok]
                 if not len(p):
@@ -146,7 +153,7 @@ def _verify(blocks: int, least: float, budget: float, seed: int):
 
 
 def near_duplicates(vectors: DataFrame, id: str = "vec_id", vec: str = "embedding", least: float = 0.9, blocks: int = 4, seed: int = 10,
-                    cell: int = CELL) -> DataFrame:
+                    cell: int = CELL, numbers: int = NUMBERS) -> DataFrame:
     """(id, n_links, component_id, kept) for each row: how many other rows have a cosine of ``least`` or more with it, the smallest id
     reachable by such links (itself included), and whether that is its own.
 
@@ -161,7 +168,8 @@ def near_duplicates(vectors: DataFrame, id: str = "vec_id", vec: str = "embeddin
     kind = vectors.schema[vec].dataType.simpleString()
     budget = 2 - 2 * least
     slabs = classes.select("node", "n", "vec").mapInArrow(_slabs(blocks, budget, seed), f"dim int, block int, slab bigint, home boolean, node bigint, n bigint, vec {kind}")
-    dealt = cells(cut(slabs, "vector-slabs"), ["dim", "block", "slab"], F.struct("node", "home"), cell)
+    where = ["dim", "block", "slab"]
+    dealt = in_cells(met_in(cut(slabs, "vector-slabs"), where, F.struct("node", "home"), cell, F.size("vec"), numbers), where)
     found = cut(dealt.mapInArrow(_verify(blocks, least, budget, seed), "a bigint, b bigint, links bigint"), "vector-links")
     counts = found.where("links > 0").groupBy(F.col("a").alias("node")).agg(F.sum("links").alias("others"))
     roots = components(found.where("links = 0").select("a", "b"), "vector-components")
