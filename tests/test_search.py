@@ -1,8 +1,10 @@
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from tests.conftest import distances, ids, nearest, query, table, uniform
+from vicinal.operators import scan as S
 from vicinal.operators.knn import combine_knn, knn, knn_join, page, radius_join, rescore, score_all
 from vicinal.plans.limits import Limits
 from vicinal.spec import SpecError
@@ -365,3 +367,30 @@ def test_query_blocks_read_a_corpus_that_is_computed_once(spark, monkeypatch):
     one = knn_join(query(spark, *q), derived, 4, keep=["vec", "name", "n"])
     assert got.columns == one.columns and got.count() == 90 * 4
     assert sorted(map(str, got.collect())) == sorted(map(str, one.collect()))
+
+
+def test_matches_beyond_a_block_go_out_by_distance(spark):
+    """Equal values stand side by side, so a written result takes less space; no match is lost."""
+    q, c = uniform(50, 6, 31), uniform(400, 6, 32)
+    for space, far in (("l2", 0.8), ("cosinesimil", 0.1), ("innerproduct", -1.5)):
+        got = radius_join(query(spark, *q), table(spark, c), space=space, max_distance=far, limits=GRID)
+        rows = got.withColumn("task", F.spark_partition_id()).collect()
+        for task in {r.task for r in rows}:
+            mine = [r.distance for r in rows if r.task == task]
+            assert len(mine) > 1 and mine == sorted(mine)
+        want = np.argwhere(distances(space, q, c) <= far)
+        assert sorted((r.query_id, r.id) for r in rows) == [(i, j) for i, j in want.tolist()]
+
+
+def test_a_task_holds_matches_up_to_its_limits(monkeypatch):
+    q, c = uniform(20, 6, 33), uniform(300, 6, 34)
+    block = pa.table({"query_id": pa.array(range(20)), "query_vec": pa.array(q.tolist(), pa.list_(pa.float32()))})
+    rows = pa.table({"id": pa.array(range(300)), "vec": pa.array(c.tolist(), pa.list_(pa.float32()))})
+    scan = S.Scan("l2", "l2", "query_id", "query_vec", "id", "vec", ("id",), ("id",), max_distance=0.9)
+    whole = sorted((distances("l2", q, c) <= 0.9).sum(axis=1).tolist())
+    for rows_held, bytes_held in ((100, 1 << 20), (10**6, 2000)):
+        monkeypatch.setattr(S, "MATCHES", rows_held)
+        monkeypatch.setattr(S, "MATCH_BYTES", bytes_held)
+        found = list(S._compare(scan, block, rows.to_batches(max_chunksize=10)))
+        assert len(found) > 1 and max(t.num_rows for t in found) <= 300
+        assert sorted(np.bincount(np.concatenate([t.column("_q").to_numpy() for t in found]), minlength=20).tolist()) == whole

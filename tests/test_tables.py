@@ -10,6 +10,7 @@ from vicinal.sources import models as M
 from vicinal.sources import vectors as I
 from vicinal.spec import SpecError, VectorSpec
 from vicinal.streaming import tables as T
+from vicinal.workload.tables import rounded
 
 IVF = VectorSpec(8, method="ivf", params={"nlist": 4, "nprobes": 4})
 
@@ -279,3 +280,14 @@ def test_two_changes_with_one_number(spark, corpus, tmp_path, monkeypatch):
     for value in (3.0, 4.0):
         X.apply_changes(spark, path, table(spark, {7: [value] * 8}).withColumn("label", F.lit(0)))
     assert X.open_index(spark, path).df.where("id = 7").count() == 1 and X.open_index(spark, path).df.count() == corpus.count()
+
+
+def test_six_decimals_are_those_of_round(spark):
+    rng = np.random.default_rng(51)
+    near = np.round(rng.uniform(-3, 3, 20_000), 6)
+    odd = [0.0, -0.0, -1e-9, 5e-7, -5e-7, 0.0000005, 1.0000005, 2.5e-6, 999.9999995, 1000.0000005, 1e15, -1e300, float("nan"), float("inf"), float("-inf"), None]
+    values = [*rng.uniform(-3, 3, 100_000), *rng.uniform(-2000, 2000, 20_000), *(rng.standard_normal(20_000) * 1e-6), *near, *(near + 5e-7), *np.nextafter(near + 5e-7, 0)]
+    df = spark.createDataFrame([(None if x is None else float(x),) for x in [*values, *odd]], "x double").withColumn("y", F.col("x"))
+    bits = lambda n: F.hex(F.col(n).cast("string").cast("binary"))
+    assert rounded(df, "x").withColumn("y", F.round("y", 6)).where(~bits("x").eqNullSafe(bits("y"))).count() == 0
+    assert rounded(spark.range(3).withColumn("z", F.lit(1.25).cast("float")), "id", "z").dtypes == [("id", "bigint"), ("z", "float")]
