@@ -239,3 +239,45 @@ def test_vectors_are_dealt_as_bytes(spark, monkeypatch):
     assert kinds == ["binary"] * 2
     with pytest.raises(Exception, match="same length"):
         nested_knn(table(spark, q, "query_id", "query_vec"), rows.union(spark.sql("select 99L, 0, array(1d)")), 4, limits=GRID).collect()
+
+
+def nearest_children(q, rows, far):
+    """{(query id, parent): (distance, position, kind)} by brute force; ids and parents may repeat or be null."""
+    best = {}
+    for who, a in q:
+        for parent, pos, kind, b in rows:
+            d = float(((np.asarray(a) - np.asarray(b)) ** 2).sum())
+            least = (round(d, 9), pos, (kind is not None, kind or ""))
+            if d <= far and (who, parent) not in best or d <= far and least < best[who, parent]:
+                best[who, parent] = least
+    return best
+
+
+@pytest.mark.parametrize("repeated", [False, True], ids=["ids once", "ids twice"])
+@pytest.mark.parametrize("batch", [7, 10_000])
+def test_radius_beyond_a_block_shuffles_no_match(spark, batch, repeated):
+    """Parents lie in any partition and batch, one holds a third of all children; ties, repeated rows and nulls count as they did."""
+    rng = np.random.default_rng(41)
+    q = [(i % 30 if repeated else i, rng.integers(0, 4, 3).tolist()) for i in range(60)] + [(None, [1, 1, 1])]
+    rows = [(0 if i < 100 else None if i < 110 else i // 5, int(rng.integers(0, 6)), "a" if i % 3 else None, rng.integers(0, 4, 3).tolist()) for i in range(300)]
+    qdf = spark.createDataFrame([(i, [float(x) for x in v]) for i, v in q], "query_id bigint, query_vec array<float>")
+    df = spark.createDataFrame([(p, j, k, [float(x) for x in v]) for p, j, k, v in rows], "parent_id bigint, child_pos int, kind string, vec array<float>").repartition(5)
+    want = nearest_children(q, rows, 3.0)
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(batch))
+    try:
+        got = nested_radius(qdf, df, max_distance=3.0, keep=["kind"], limits=GRID)
+        assert "Aggregate" not in got._jdf.queryExecution().optimizedPlan().toString()
+        for found in (got, nested_radius(qdf, df, max_distance=3.0, keep=["kind"])):
+            mine = [((r.query_id, r.parent_id), (round(r.distance, 9), r.child_pos, (r.kind is not None, r.kind or ""))) for r in found.collect()]
+            assert len(mine) == len(want) and dict(mine) == want
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+
+
+def test_radius_beyond_a_block_with_parents_grouped_by_spark(spark):
+    """Parents whose equality is Spark's own are grouped there."""
+    rows = [(float("nan") if i % 2 else -0.0 if i % 4 else 0.0, i, [float(i % 3)]) for i in range(40)]
+    df = spark.createDataFrame(rows, "parent_id double, child_pos int, vec array<float>")
+    got = nested_radius(query(spark, *[[0.0]] * 20), df, max_distance=0.5, limits=GRID).collect()
+    assert len(got) == 40 and {(str(r.parent_id), r.child_pos) for r in got} == {("0.0", 0), ("nan", 3)}
